@@ -60,8 +60,7 @@ def fit_imputation(train: DataFrame, columns) -> Imputation:
 
 def assemble(df: DataFrame, columns, output="features") -> DataFrame:
     """Vector in the given column order; columns must have no nulls."""
-    inputs = df.withColumns({c: F.col(c).cast("double") for c in columns})
-    return VectorAssembler(inputCols=list(columns), outputCol=output).transform(inputs)
+    return VectorAssembler(inputCols=list(columns), outputCol=output).transform(df)
 
 
 def correlation_matrix(df: DataFrame, columns):

@@ -15,7 +15,9 @@ def running_totals(df: DataFrame, order: str, values, by=(), descending=False, b
     shares = [i / buckets for i in range(1, buckets)]
     edges = df.agg(F.percentile_approx(order, shares, 100 * buckets))
     df = df.withColumn("_edges", edges.scalar())
-    df = df.withColumn("_bucket", F.size(F.filter("_edges", lambda e: e <= F.col(order)))).drop("_edges")
+    # Never null: otherwise the join below would test the bucket of every input row for null.
+    bucket = F.coalesce(F.size(F.filter("_edges", lambda e: e <= F.col(order))), F.lit(0))
+    df = df.withColumn("_bucket", bucket).drop("_edges")
 
     direction = F.col(order).desc() if descending else F.col(order).asc()
     inside = Window.partitionBy(*by, "_bucket").orderBy(direction).rowsBetween(Window.unboundedPreceding, 0)

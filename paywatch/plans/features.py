@@ -21,10 +21,20 @@ def transaction_features(tx: DataFrame, accounts: DataFrame, hot_from=None, hot_
     out = with_account_side(out, dimension, "from")
     out = incoming_features(out, hot_to, source=tx)
     out = with_account_side(out, dimension, "to")
-    out = with_ratios(with_amount_flags(with_calendar(out)))
-    out = out.withColumnRenamed("ts", "event_timestamp")
-    typed = [F.col(name).cast(kind).alias(name) if kind else F.col(name) for name, kind in FEATURE_TABLE]
-    return out.select("tx_id", *typed)
+    return _typed(with_ratios(with_amount_flags(with_calendar(out))))
+
+
+def payment_features(tx: DataFrame, hot_from=None, hot_to=None) -> DataFrame:
+    """The columns of `transaction_features` that need no account data: all keys and model inputs."""
+    out = incoming_features(outgoing_features(tx, hot_from), hot_to, source=tx)
+    return _typed(with_ratios(with_amount_flags(with_calendar(out))))
+
+
+def _typed(df: DataFrame) -> DataFrame:
+    df = df.withColumnRenamed("ts", "event_timestamp")
+    typed = [F.col(name).cast(kind).alias(name) if kind else F.col(name)
+             for name, kind in FEATURE_TABLE if name in df.columns]
+    return df.select("tx_id", *typed)
 
 
 def build_transaction_features(raw: DataFrame, accounts: DataFrame, strict=True) -> DataFrame:
