@@ -69,11 +69,31 @@ def find_hot_keys(tx: DataFrame, keys, min_rows=settings.HOT_KEY_ROWS, max_keys=
 
     The limit only tells a short list from a long one; no account loses its treatment through it.
     """
-    keys = tuple(keys)
     listed = account_load(tx, keys).filter(F.col("rows") > min_rows).select(*keys).limit(max_keys + 1)
-    rows = listed.collect()
+    return _from_rows(tx, keys, listed.collect(), max_keys)
+
+
+def find_hot_sides(tx: DataFrame, from_keys, to_keys, min_rows=settings.HOT_KEY_ROWS, max_keys=settings.MAX_HOT_KEYS):
+    """(paying, receiving) hot accounts from one pass over the payments."""
+    sides = F.array(*[
+        F.struct(F.lit(i).alias("side"), *[F.col(k).alias(f"k{j}") for j, k in enumerate(keys)])
+        for i, keys in enumerate((from_keys, to_keys))
+    ])
+    names = [f"k{j}" for j in range(len(from_keys))]
+    busy = tx.select(F.inline(sides)).groupBy("side", *names).agg(F.count("*").alias("rows"))
+    rows = busy.filter(F.col("rows") > min_rows).select("side", *names).limit(2 * max_keys + 1).collect()
+    if len(rows) > 2 * max_keys:
+        return HotKeys(tuple(from_keys), everything=True), HotKeys(tuple(to_keys), everything=True)
+    return tuple(
+        _from_rows(tx, keys, [tuple(r)[1:] for r in rows if r["side"] == i], max_keys)
+        for i, keys in enumerate((from_keys, to_keys))
+    )
+
+
+def _from_rows(tx, keys, rows, max_keys) -> HotKeys:
+    keys = tuple(keys)
     if not rows:
         return HotKeys(keys)
     if len(rows) > max_keys:
         return HotKeys(keys, everything=True)
-    return HotKeys(keys, frame=tx.sparkSession.createDataFrame(rows, listed.schema))
+    return HotKeys(keys, frame=tx.sparkSession.createDataFrame(rows, tx.select(*keys).schema))

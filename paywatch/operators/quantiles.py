@@ -16,50 +16,58 @@ def approximate_quantiles(df: DataFrame, columns, shares, accuracy=ACCURACY) ->
     ])).alias("q")).select("q.*")
 
 
+def _long(df: DataFrame, columns) -> DataFrame:
+    """(column, x) of the non-null values."""
+    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    return numbers.unpivot([], list(columns), "column", "x").filter(F.col("x").isNotNull())
+
+
 def exact_quantiles(df: DataFrame, columns, shares, accuracy=ACCURACY) -> DataFrame:
-    """(column, share, value) with linear interpolation between neighbours; nulls are ignored.
+    """(column, share, value) with linear interpolation between neighbours; nulls are ignored and a
+    column without values gives null.
 
-    Pass 1 brackets each quantile by a sketch with a guaranteed rank error. Pass 2 counts what lies
-    below the bracket and keeps only values inside it — about 4/accuracy of the rows — grouped by
-    value. No column is ever sorted or held whole.
+    A sketch with a guaranteed rank error brackets each quantile. Then one pass counts what lies below
+    the brackets, and another groups by value only what lies inside them, about 4/accuracy of the
+    values. All aggregates combine map-side: no column is sorted or held whole.
     """
-    asked = [(c, s) for c in columns for s in shares]
+    shares = [float(s) for s in shares]
     margin = 2.0 / accuracy
     bounds = [max(0.0, min(1.0, s + d)) for s in shares for d in (-margin, margin)]
-    sketch = df.agg(*[F.percentile_approx(F.col(c).cast("double"), bounds, accuracy) for c in columns]).first()
-    bracket = {}
-    for j, c in enumerate(columns):
-        for i, s in enumerate(shares):
-            bracket[c, s] = (sketch[j][2 * i], sketch[j][2 * i + 1]) if sketch[j] else (None, None)
+    values = _long(df, columns)
+    # One row per column, so broadcasting it is safe.
+    brackets = F.broadcast(values.groupBy("column").agg(F.percentile_approx("x", bounds, accuracy).alias("b")))
+    placed = values.join(brackets, "column")
 
-    found, counts = [], []
-    for q, (c, s) in enumerate(asked):
-        low, high = (F.lit(b).cast("double") for b in bracket[c, s])
-        x = F.col(c).cast("double")
-        found.append(F.struct(F.lit(q).alias("q"), F.when((x >= low) & (x <= high), x).alias("x")))
-        counts.append(F.struct(
-            F.lit(q).alias("q"), F.lit(c).alias("column"), F.lit(s).alias("share"),
-            F.count(x).alias("n"), F.count_if(x < low).alias("below"),
-            F.max(F.when(x < low, x)).alias("previous"), F.min(F.when(x > high, x)).alias("next"),
-        ))
-    facts = df.agg(F.array(*counts).alias("f")).select(F.inline("f"))
-    inside = (
-        df.select(F.explode(F.filter(F.array(*found), lambda f: f["x"].isNotNull())).alias("f"))
-        .groupBy("f.q", "f.x").agg(F.count("*").alias("rows"))
-    )
-    ranked = running_totals(inside, "x", ["rows"], by=["q"]).join(F.broadcast(facts), "q")
+    x = F.col("x")
+    lows, highs = [[F.col("b")[2 * i + side] for i in range(len(shares))] for side in (0, 1)]
+    facts = placed.groupBy("column").agg(F.count("*").alias("n"), *[
+        a for i in range(len(shares)) for a in (
+            F.count_if(x < lows[i]).alias(f"below{i}"),
+            F.max(F.when(x < lows[i], x)).alias(f"previous{i}"),
+            F.min(F.when(x > highs[i], x)).alias(f"next{i}"),
+        )
+    ])
+    facts = facts.select("column", "n", F.inline(F.array(*[
+        F.struct(F.lit(i).alias("q"), F.lit(s).alias("share"), F.col(f"below{i}").alias("below"),
+                 F.col(f"previous{i}").alias("previous"), F.col(f"next{i}").alias("next"))
+        for i, s in enumerate(shares)
+    ])))
+    hits = F.array_compact(F.array(*[F.when((x >= lows[i]) & (x <= highs[i]), i) for i in range(len(shares))]))
+    inside = placed.select("column", F.explode(hits).alias("q"), "x").groupBy("column", "q", "x").agg(
+        F.count("*").alias("rows"))
 
+    ranked = running_totals(inside, "x", ["rows"], by=["column", "q"])
     position = (F.col("n") - 1) * F.col("share")
-    floor = F.floor(position)
-    values = ranked.groupBy("q", "column", "share", "n", "below", "previous", "next").agg(
-        F.min(F.when(F.col("below") + F.col("cum_rows") > floor, F.col("x"))).alias("at"),
-        F.min(F.when(F.col("below") + F.col("cum_rows") > floor + 1, F.col("x"))).alias("after"),
+    floor, upto = F.floor(position), F.col("below") + F.col("cum_rows")
+    found = ranked.join(F.broadcast(facts), ["column", "q"]).groupBy("column", "share").agg(
+        F.min(F.when(upto > floor, x)).alias("at"), F.min(F.when(upto > floor + 1, x)).alias("after"),
+        *[F.first(c).alias(c) for c in ("n", "below", "previous", "next")],
     )
     lower = F.when(floor < F.col("below"), F.col("previous")).otherwise(F.coalesce("at", "next"))
     upper = F.when(floor + 1 < F.col("below"), F.col("previous")).otherwise(F.coalesce("after", "next", "at"))
-    value = lower + (upper - lower) * (position - floor)
-    answers = values.select("q", value.alias("value"))
-    return facts.join(answers, "q", "left").select("column", "share", "value")
+    answers = found.select("column", "share", (lower + (upper - lower) * (position - floor)).alias("value"))
+    asked = df.sparkSession.createDataFrame([(c, s) for c in columns for s in shares], "column string, share double")
+    return asked.join(F.broadcast(answers), ["column", "share"], "left")
 
 
 def medians(df: DataFrame, columns) -> DataFrame:

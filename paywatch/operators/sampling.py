@@ -27,22 +27,25 @@ def class_limits(spark, caps, label=LABEL) -> DataFrame:
 def take_lowest(df: DataFrame, limits: DataFrame, by=(LABEL,), seed=settings.SEED) -> DataFrame:
     """Exactly `keep` rows per group, lowest hash first; groups absent from `limits` are left out.
 
-    Finds the last kept (hash, id) of each group by counting: rows per leading 12 bits, then per next
-    12 bits inside the bucket where the limit falls, and only that 1/16,777,216 of the rows is ranked.
-    The rows themselves are filtered in place and never shuffled. `limits` has one row per class
-    (and window), so it is small enough to broadcast.
+    Finds the last kept (hash, id) of each group: rows are counted per leading 16 bits of the hash,
+    and only the one bucket where the limit falls, 1/65,536 of the rows, is ranked. Hashes are even, so
+    no bucket is a heavy one. The rows themselves are filtered in place and never shuffled. `limits`
+    has one row per class (and window) and is broadcast.
     """
     by = list(by)
     order = hash_order(seed=seed)
-    narrow = df.select(*by, "tx_id", order.alias("_h"))
-    narrow = narrow.withColumns({"_p1": F.substring("_h", 1, 3), "_p2": F.substring("_h", 4, 3)})
-    bucket1 = _bucket_of_limit(narrow.groupBy(*by, "_p1").agg(F.count("*").alias("n")), limits, by, "_p1")
-    inside1 = narrow.join(F.broadcast(bucket1), [*by, "_p1"])
-    limits2 = bucket1.select(*by, "keep")
-    bucket2 = _bucket_of_limit(inside1.groupBy(*by, "_p1", "_p2").agg(F.count("*").alias("n")), limits2, by, "_p2")
-    inside2 = inside1.drop("keep").join(F.broadcast(bucket2), [*by, "_p1", "_p2"])
+    narrow = df.select(*by, "tx_id", order.alias("_h")).withColumn("_bucket", F.substring("_h", 1, 4))
+    counts = narrow.groupBy(*by, "_bucket").agg(F.count("*").alias("n"))
+    upto = F.sum("n").over(Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0))
+    counts = counts.withColumn("_upto", upto).join(F.broadcast(limits), by)
+    before = F.col("_upto") - F.col("n")
+    # The bucket holding the keep-th row, and how many of its rows to keep; none if all rows fit.
+    reached = counts.filter((before < F.col("keep")) & (F.col("_upto") >= F.col("keep"))).select(
+        *by, "_bucket", (F.col("keep") - before).alias("_rest")
+    )
     rank = F.row_number().over(Window.partitionBy(*by).orderBy("_h", "tx_id"))
-    last = inside2.withColumn("_rank", rank).filter(F.col("_rank") == F.col("keep")).select(
+    inside = narrow.join(F.broadcast(reached), [*by, "_bucket"]).withColumn("_rank", rank)
+    last = inside.filter(F.col("_rank") == F.col("_rest")).select(
         *by, F.col("_h").alias("_last_h"), F.col("tx_id").alias("_last_id")
     )
     cut = limits.filter(F.col("keep") > 0).join(F.broadcast(last), by, "left").drop("keep")
@@ -54,16 +57,6 @@ def take_lowest(df: DataFrame, limits: DataFrame, by=(LABEL,), seed=settings.SEE
     return kept.select(*df.columns)
 
 
-def _bucket_of_limit(counts: DataFrame, limits: DataFrame, by, part) -> DataFrame:
-    """The bucket holding the keep-th row and how many of its rows to keep; none if all rows fit."""
-    upto = F.sum("n").over(Window.partitionBy(*by).orderBy(part).rowsBetween(Window.unboundedPreceding, 0))
-    placed = counts.withColumn("_upto", upto).join(F.broadcast(limits), by)
-    before = F.col("_upto") - F.col("n")
-    return placed.filter((before < F.col("keep")) & (F.col("_upto") >= F.col("keep"))).select(
-        *[c for c in counts.columns if c != "n"], (F.col("keep") - before).alias("keep")
-    )
-
-
 def class_cap(df: DataFrame, caps, label=LABEL, seed=settings.SEED) -> DataFrame:
     """At most `caps[c]` rows of class c."""
     return take_lowest(df, class_limits(df.sparkSession, caps, label), [label], seed)

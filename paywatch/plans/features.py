@@ -7,7 +7,7 @@ from paywatch.functions.scalars import with_amount_flags, with_calendar, with_ra
 from paywatch.operators.account_windows import incoming_features, outgoing_features
 from paywatch.operators.cleaning import clean_transactions
 from paywatch.operators.enrichment import account_dimension, with_account_side
-from paywatch.operators.hot_keys import find_hot_keys
+from paywatch.operators.hot_keys import find_hot_sides
 
 
 def transaction_features(tx: DataFrame, accounts: DataFrame, hot_from=None, hot_to=None) -> DataFrame:
@@ -43,7 +43,5 @@ def build_transaction_features(raw: DataFrame, accounts: DataFrame, strict=True)
     Busy accounts are counted on the raw rows: that reads four key columns and parses nothing, and
     a count before cleaning can only be higher.
     """
-    return transaction_features(
-        clean_transactions(raw, strict=strict), accounts,
-        find_hot_keys(raw, FROM_KEYS), find_hot_keys(raw, TO_KEYS),
-    )
+    hot_from, hot_to = find_hot_sides(raw, FROM_KEYS, TO_KEYS)
+    return transaction_features(clean_transactions(raw, strict=strict), accounts, hot_from, hot_to)

@@ -83,11 +83,11 @@ def with_duplicate_accounts(accounts: DataFrame) -> DataFrame:
     return accounts.unionByName(copies)
 
 
-def synthetic_scores(tx: DataFrame, amount="amount_paid") -> DataFrame:
+def synthetic_scores(tx: DataFrame, amount="amount_paid", keep=()) -> DataFrame:
     """A score with ties that rises with the amount: a metric input that needs no model."""
     p = F.col(amount)
     return tx.select(
-        "tx_id",
+        "tx_id", *keep,
         F.col("is_laundering").alias("label"),
         (F.floor(p / (p + 50000) * 1000) / 1000.0).cast("double").alias("score"),
     )

@@ -69,8 +69,7 @@ def incoming(spark, d):
 def features(spark, d):
     """Keys, label and model inputs of every payment."""
     r = raw(spark, d)
-    return payment_features(
-        clean_transactions(r), hot_keys.find_hot_keys(r, FROM_KEYS), hot_keys.find_hot_keys(r, TO_KEYS))
+    return payment_features(clean_transactions(r), *hot_keys.find_hot_sides(r, FROM_KEYS, TO_KEYS))
 
 
 def dated(spark, d):
@@ -79,20 +78,20 @@ def dated(spark, d):
 
 
 def scores(spark, d):
-    return source.synthetic_scores(payments(spark, d))
+    """Written once, as predictions are; metrics then read the written table."""
+    return stage(source.synthetic_scores(payments(spark, d)), "scores")
 
 
 def model_scores(spark, d):
     tx = payments(spark, d)
     paid = source.synthetic_scores(tx).withColumn("model", F.lit("paid"))
     received = source.synthetic_scores(tx, "amount_received").withColumn("model", F.lit("received"))
-    return paid.unionByName(received)
+    return stage(paid.unionByName(received), "scores")
 
 
 def window_scores(spark, d):
-    tx = payments(spark, d)
-    scored = source.synthetic_scores(tx).join(tx.select("tx_id", "ts"), "tx_id")
-    return splits.trailing_windows(scored, BACKTEST_DAYS, "ts")
+    return splits.trailing_windows(stage(source.synthetic_scores(payments(spark, d), keep=["ts"]), "scores"),
+                                   BACKTEST_DAYS, "ts")
 
 
 # ---- scans, tables ----------------------------------------------------------------------------
