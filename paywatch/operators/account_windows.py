@@ -3,9 +3,10 @@
 Ordinary accounts: plain windows per account, all on one shuffle. Time frames are RANGE frames, so
 payments of the same minute count as peers; order-sensitive values break ties by `tx_id`.
 
-Hot accounts: their rows are grouped per minute instead (see `hot_keys`). What the windows cannot
-see from inside one minute comes from a per-minute frame (`minute_history`), whose size is limited
-by the minutes covered, not by the rows. It joins on the very grouping the rows are shuffled by.
+Hot accounts: their rows are grouped per slot instead, a minute or an id range of a very busy minute
+(see `hot_keys`). What the windows cannot see from inside a slot comes from a per-slot frame
+(`slot_history`), whose size is limited by the minutes covered, not by the rows. It joins on the very
+grouping the rows are shuffled by.
 """
 
 from pyspark.sql import DataFrame, Window, functions as F
@@ -13,14 +14,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from paywatch import settings
 from paywatch.columns import FROM_KEYS, TO_KEYS
 from paywatch.functions.scalars import flag, seconds_between
-from paywatch.operators.hot_keys import HotKeys, find_hot_keys
-
-ROLLING = [
-    "txn_count_1h_from", "txn_count_24h_from", "txn_count_7d_from", "txn_amount_sum_24h_from",
-    "avg_txn_amount_7d_from", "max_txn_amount_7d_from", "txn_amount_std_7d_from",
-    "cross_bank_ratio_7d", "txn_gap_std_7d", "num_similar_amount_txns_24h",
-]
-
+from paywatch.operators.hot_keys import HotKeys, find_hot_keys, null_safe_match, renamed
 
 def over_range(aggregate: str, keys, span: str):
     """`aggregate` over the account's rows from `span` ago up to and including the current minute."""
@@ -102,19 +96,19 @@ def with_incoming(tx: DataFrame, keys) -> DataFrame:
     return out.withColumn("num_unique_senders", total).drop("_sender")
 
 
-# ---- hot accounts: per-minute history ---------------------------------------------------------
+# ---- hot accounts: per-slot history -----------------------------------------------------------
 
-def minute_history(hot: DataFrame, keys) -> DataFrame:
-    """One row per (account, minute) with everything that looks beyond that minute.
+def slot_history(hot: DataFrame, keys) -> DataFrame:
+    """One row per (account, slot) with everything that looks beyond that slot.
 
-    Steps: aggregate per minute; look one minute back per account; run the 7-day frames per
-    (account, week), each week also holding the week before, so one task never has more than the
-    20,160 minutes of two weeks of an account.
+    Steps: aggregate per slot; look one slot back per account; sum slots to minutes; run the 7-day
+    frames over minutes per (account, week), each week also holding the week before, so one task never
+    has more than the 20,160 minutes of two weeks of an account.
     """
     paid = F.col("amount_paid")
-    inside = Window.partitionBy(*keys, "ts").orderBy("tx_id")
+    inside = Window.partitionBy(*keys, "_slot").orderBy("tx_id")
     marked = hot.withColumn("_similar", flag(_similar(paid, F.lag("amount_paid").over(inside))))
-    minutes = marked.groupBy(*keys, "ts").agg(
+    slots = marked.groupBy(*keys, "ts", "_slot").agg(
         F.count("*").alias("n"),
         F.avg(paid).alias("mean"),
         F.coalesce(F.var_pop(paid), F.lit(0.0)).alias("variance"),
@@ -127,29 +121,47 @@ def minute_history(hot: DataFrame, keys) -> DataFrame:
         F.count_if(F.col("from_bank") != F.col("to_bank")).alias("cross"),
     )
 
-    order = Window.partitionBy(*keys).orderBy("ts")
-    previous_ts, previous_amount = F.lag("ts").over(order), F.lag("last_amount").over(order)
-    minutes = minutes.withColumns({"_previous_ts": previous_ts, "h_prev_amount": previous_amount})
+    order = Window.partitionBy(*keys).orderBy("_slot")
+    slots = slots.withColumns({
+        "_previous_ts": F.lag("ts").over(order), "h_prev_amount": F.lag("last_amount").over(order),
+    })
     gap = seconds_between(F.col("_previous_ts"), F.col("ts"))
-    minutes = minutes.withColumns({
+    slots = slots.withColumns({
         "h_gap": gap,
         "h_new_day": flag(F.col("_previous_ts").isNull() | (F.to_date("_previous_ts") < F.to_date("ts"))),
         "similar": F.col("similar") + flag(_similar(F.col("first_amount"), F.col("h_prev_amount"))),
-        # Payments after the first of a minute have gap 0, so they only add to the count.
+        # Payments after the first of a slot have gap 0, so they only add to the count.
         "gaps": F.col("n") - flag(F.col("_previous_ts").isNull()),
         "gap": F.coalesce(gap, F.lit(0)).cast("decimal(19,0)"),
-        "_week": F.floor(F.datediff("ts", F.lit("1970-01-01").cast("date")) / 7).cast("int"),
     })
+    frames = _minute_frames(_minutes(slots, keys), keys)
+    return _lookup(slots.select(*keys, "ts", "_slot", "h_gap", "h_prev_amount", "h_new_day"), frames, [*keys, "ts"])
+
+
+def _minutes(slots: DataFrame, keys) -> DataFrame:
+    """Sums of slots per minute. Squared deviations are taken from a centre inside the minute."""
+    centre = F.avg("mean").over(Window.partitionBy(*keys, "ts"))
+    n, shift = F.col("n"), F.col("_shift")
+    return slots.withColumn("_centre", centre).withColumn("_shift", F.col("mean") - F.col("_centre")).groupBy(*keys, "ts").agg(
+        F.sum(n).alias("n"), F.sum("total").alias("total"), F.min("low").alias("low"), F.max("high").alias("high"),
+        F.sum("similar").alias("similar"), F.sum("cross").alias("cross"),
+        F.sum("gaps").alias("gaps"), F.sum("gap").cast("decimal(19,0)").alias("gap"),
+        (F.first("_centre") + F.sum(n * shift) / F.sum(n)).alias("mean"),
+        (F.sum(n * (F.col("variance") + shift * shift)) - F.sum(n * shift) * F.sum(n * shift) / F.sum(n)).alias("_m2"),
+    )
 
-    spread = minutes.withColumn("_part", F.explode(F.array(F.col("_week"), F.col("_week") + 1)))
+
+def _minute_frames(minutes: DataFrame, keys) -> DataFrame:
+    week_number = F.floor(F.datediff("ts", F.lit("1970-01-01").cast("date")) / 7).cast("int")
+    spread = minutes.withColumn("_week", week_number)
+    spread = spread.withColumn("_part", F.explode(F.array(F.col("_week"), F.col("_week") + 1)))
     part = [*keys, "_part"]
     hour, day, week = "'1' hour", "'24' hour", "'7' day"
     # Deviations are taken from a common centre of the part: squares of raw amounts would cancel badly.
-    centre = F.avg("mean").over(Window.partitionBy(*part))
-    spread = spread.withColumn("_d", F.col("mean") - centre)
+    spread = spread.withColumn("_d", F.col("mean") - F.avg("mean").over(Window.partitionBy(*part)))
     spread = spread.withColumns({
         "_d1": F.col("n") * F.col("_d"),
-        "_d2": F.col("n") * (F.col("variance") + F.col("_d") * F.col("_d")),
+        "_d2": F.col("_m2") + F.col("n") * F.col("_d") * F.col("_d"),
         "_gap2": F.col("gap") * F.col("gap"),
     })
     spread = spread.withColumns({
@@ -175,8 +187,7 @@ def minute_history(hot: DataFrame, keys) -> DataFrame:
     # Whole seconds: exact in decimals, so equal gaps give exactly 0.
     spread_gap = (F.col("_g2") * g0.cast("decimal(12,0)") - F.col("_g1") * F.col("_g1")).cast("double")
     return spread.select(
-        *keys, "ts", "h_gap", "h_prev_amount", "h_new_day",
-        "h_count_1h", "h_count_24h", "h_count_7d", "h_sum_24h", "h_max_7d", "h_similar",
+        *keys, "ts", "h_count_1h", "h_count_24h", "h_count_7d", "h_sum_24h", "h_max_7d", "h_similar",
         (F.col("_sum_7d") / n).alias("h_avg_7d"),
         (F.col("_cross_7d") / n).alias("h_cross"),
         F.when(n > 1, F.when(F.col("_min_7d") == F.col("h_max_7d"), 0.0)
@@ -190,37 +201,29 @@ def _distinct_per_account(hot: DataFrame, keys, value, name) -> DataFrame:
     return hot.groupBy(*keys).agg(F.count_distinct(value).alias(name))
 
 
-def _match(left_keys, right_prefix="_r_"):
-    condition = F.lit(True)
-    for k in left_keys:
-        condition &= F.col(k).eqNullSafe(F.col(right_prefix + k))
-    return condition
-
-
 def _lookup(df: DataFrame, other: DataFrame, keys) -> DataFrame:
     """Left join on keys where null equals null."""
-    renamed = other.withColumnsRenamed({k: f"_r_{k}" for k in keys})
-    return df.join(renamed, _match(keys), "left").drop(*[f"_r_{k}" for k in keys])
+    return df.join(renamed(other, keys), null_safe_match(keys), "left").drop(*[f"_k_{k}" for k in keys])
 
 
 def _join_history(rows: DataFrame, history: DataFrame, hot: HotKeys) -> DataFrame:
-    """Joins on the struct the rows are already grouped by; ordinary accounts (null minute) match nothing."""
-    keyed = history.withColumn("_group", hot.group(F.col("ts"))).drop(*hot.keys, "ts")
+    """Joins on the struct the rows are already grouped by; ordinary accounts (null slot) match nothing."""
+    keyed = history.withColumn("_group", hot.group()).drop(*hot.keys, "ts", "_slot")
     return rows.join(keyed, "_group", "left")
 
 
 def _spread_outgoing(tx: DataFrame, hot: HotKeys) -> DataFrame:
     keys = list(hot.keys)
-    narrow = hot.only(tx.select("tx_id", "ts", *FROM_KEYS, *TO_KEYS, "amount_paid"))
-    history = minute_history(narrow, keys)
+    narrow = hot.with_slot(hot.only(tx.select("tx_id", "ts", *FROM_KEYS, *TO_KEYS, "amount_paid")))
+    history = slot_history(narrow, keys)
     history = _lookup(history, _distinct_per_account(narrow, keys, "to_account", "h_receivers"), keys)
     history = _lookup(history, _distinct_per_account(narrow, keys, "to_bank", "h_banks"), keys)
 
-    rows = hot.with_group(tx)
+    rows = hot.with_slot(tx).withColumn("_group", hot.group())
     rows = with_counterparties(with_rolling(with_previous(rows, ["_group"]), ["_group"]), ["_group"])
     rows = _join_history(rows, history, hot)
-    first_in_minute = F.col("time_since_last_txn_from").isNull()
-    is_hot = F.col("_group.minute").isNotNull()
+    first_in_slot = F.col("time_since_last_txn_from").isNull()
+    is_hot = F.col("_slot").isNotNull()
 
     def beyond(name):
         return F.when(is_hot, F.col(name))
@@ -238,38 +241,40 @@ def _spread_outgoing(tx: DataFrame, hot: HotKeys) -> DataFrame:
     }
     rows = rows.withColumns({
         **{column: replaced(name, column) for column, name in swaps.items()},
-        "first_txn_of_day_from": F.when(is_hot & ~(first_in_minute & (F.col("h_new_day") == 1)), 0)
+        "first_txn_of_day_from": F.when(is_hot & ~(first_in_slot & (F.col("h_new_day") == 1)), 0)
                                   .otherwise(F.col("first_txn_of_day_from")),
-        "prev_amount_paid": F.when(is_hot & first_in_minute, F.col("h_prev_amount"))
+        "prev_amount_paid": F.when(is_hot & first_in_slot, F.col("h_prev_amount"))
                              .otherwise(F.col("prev_amount_paid")),
         "time_since_last_txn_from": F.coalesce("time_since_last_txn_from", beyond("h_gap")),
-    }).drop(*history.columns[len(keys) + 1:], "_group")
+    }).drop(*[c for c in history.columns if c.startswith("h_")], "_group")
 
-    # Earlier minutes of the same counterparty: running counts over minutes, not rows.
-    pair = [*keys, *[k for k in TO_KEYS if k not in keys]]
-    seen = narrow.groupBy(*pair, "ts").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy(*pair).orderBy("ts").rowsBetween(Window.unboundedPreceding, -1)
+    # Earlier slots of the same counterparty: running counts over slots, not rows.
+    pair = [*FROM_KEYS, *TO_KEYS]
+    seen = narrow.groupBy(*pair, "_slot").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(*pair).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
     seen = seen.withColumn("_seen", F.sum("_n").over(before)).filter("_seen > 0").drop("_n")
-    rows = _lookup(rows, seen, [*pair, "ts"])
+    # A plain equality on the slot: ordinary accounts (null slot) match nothing.
+    seen = renamed(seen, [*pair, "_slot"])
+    rows = rows.join(seen, null_safe_match(pair) & (F.col("_slot") == F.col("_k__slot")), "left")
     total = F.col("repeat_counterparty_count") + F.coalesce("_seen", F.lit(0))
-    return rows.withColumn("repeat_counterparty_count", total).drop("_seen")
+    return rows.withColumn("repeat_counterparty_count", total).drop("_seen", "_slot", "_k__slot", *[f"_k_{k}" for k in pair])
 
 
 def _spread_incoming(tx: DataFrame, hot: HotKeys, source: DataFrame) -> DataFrame:
     keys = list(hot.keys)
-    narrow = hot.only(source.select("ts", *keys, "from_account"))
-    minutes = narrow.select(*keys, "ts").distinct()
-    previous = F.lag("ts").over(Window.partitionBy(*keys).orderBy("ts"))
-    history = minutes.withColumn("h_gap", seconds_between(previous, F.col("ts")))
+    narrow = hot.with_slot(hot.only(source.select("tx_id", "ts", *keys, "from_account")))
+    slots = narrow.select(*keys, "ts", "_slot").distinct()
+    previous = F.lag("ts").over(Window.partitionBy(*keys).orderBy("_slot"))
+    history = slots.withColumn("h_gap", seconds_between(previous, F.col("ts")))
     history = _lookup(history, _distinct_per_account(narrow, keys, "from_account", "h_senders"), keys)
 
-    rows = with_incoming(hot.with_group(tx), ["_group"])
+    rows = with_incoming(hot.with_slot(tx).withColumn("_group", hot.group()), ["_group"])
     rows = _join_history(rows, history, hot)
-    is_hot = F.col("_group.minute").isNotNull()
+    is_hot = F.col("_slot").isNotNull()
     return rows.withColumns({
         "time_since_last_txn_to": F.coalesce("time_since_last_txn_to", F.when(is_hot, F.col("h_gap"))),
         "num_unique_senders": F.when(is_hot, F.col("h_senders")).otherwise(F.col("num_unique_senders")),
-    }).drop("h_gap", "h_senders", "_group")
+    }).drop("h_gap", "h_senders", "_group", "_slot")
 
 
 # ---- entry points -----------------------------------------------------------------------------
@@ -278,7 +283,7 @@ def outgoing_features(tx: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """Adds the paying account's features. Unused ones are pruned by Catalyst when not selected."""
     hot = find_hot_keys(tx, FROM_KEYS) if hot is None else hot
     if hot:
-        out = _spread_outgoing(tx, hot)
+        out = _spread_outgoing(tx, hot.with_busy_minutes(tx) if hot.busy is None else hot)
     else:
         out = with_counterparties(with_rolling(with_previous(tx, FROM_KEYS), FROM_KEYS), FROM_KEYS)
     return out.withColumn("is_new_counterparty", flag(F.col("repeat_counterparty_count") == 0))
@@ -289,4 +294,6 @@ def incoming_features(tx: DataFrame, hot: HotKeys | None = None, source: DataFra
     `tx` already carries computed columns that a history pass should not compute again."""
     source = tx if source is None else source
     hot = find_hot_keys(source, TO_KEYS) if hot is None else hot
-    return _spread_incoming(tx, hot, source) if hot else with_incoming(tx, TO_KEYS)
+    if not hot:
+        return with_incoming(tx, TO_KEYS)
+    return _spread_incoming(tx, hot.with_busy_minutes(source) if hot.busy is None else hot, source)

@@ -1,6 +1,6 @@
 """Finding accounts too busy for one window task, and keying their rows so they spread."""
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -9,15 +9,17 @@ from paywatch import settings
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Accounts whose rows are spread by minute.
+    """Accounts whose rows are spread over slots: minutes, or id ranges inside very busy minutes.
 
-    `frame` lists them (at most `MAX_HOT_KEYS` rows, so it may be broadcast). `everything` means the
-    list would be longer than that: then every account takes the spread path, which needs no list.
+    `frame` lists the accounts (at most `MAX_HOT_KEYS` rows, so it may be broadcast). `everything` means
+    that list would be longer: then every account takes the spread path, which needs no list. `busy`
+    lists the minutes to split, again at most `MAX_HOT_KEYS`.
     """
 
     keys: tuple
     frame: DataFrame | None = None
     everything: bool = False
+    busy: DataFrame | None = None
 
     def __bool__(self):
         return self.everything or self.frame is not None
@@ -26,32 +28,54 @@ class HotKeys:
         """Rows of the hot accounts."""
         if self.everything:
             return df
-        return df.join(F.broadcast(self._renamed()), self._match(), "left_semi")
+        return df.join(F.broadcast(renamed(self.frame, self.keys)), null_safe_match(self.keys), "left_semi")
 
-    def with_group(self, df: DataFrame) -> DataFrame:
-        """Adds `_group`, the window partition: (bank, account, null), or (bank, account, minute) when hot.
-
-        A struct compares null banks as equal, like a window partition does.
-        """
+    def with_slot(self, df: DataFrame) -> DataFrame:
+        """Adds `_slot`: null for ordinary accounts, else (minute, block). Slots order like (ts, tx_id)."""
+        columns = df.columns
         if self.everything:
-            spread = F.col("ts")
+            hot = F.lit(True)
         else:
-            df = df.join(F.broadcast(self._renamed().withColumn("_hot", F.lit(True))), self._match(), "left")
-            spread = F.when(F.col("_hot"), F.col("ts"))
-        out = df.withColumn("_group", self.group(spread))
-        return out.drop("_hot", *[f"_{k}" for k in self.keys])
-
-    def group(self, spread):
-        return F.struct(*[F.col(k) for k in self.keys], spread.alias("minute"))
-
-    def _renamed(self):
-        return self.frame.select(*[F.col(k).alias(f"_{k}") for k in self.keys])
-
-    def _match(self):
-        condition = F.lit(True)
-        for k in self.keys:
-            condition &= F.col(k).eqNullSafe(F.col(f"_{k}"))
-        return condition
+            marked = renamed(self.frame, self.keys).withColumn("_hot", F.lit(True))
+            df, hot = df.join(F.broadcast(marked), null_safe_match(self.keys), "left"), F.col("_hot")
+        block = F.lit(0).cast("bigint")
+        if self.busy is not None:
+            at = [*self.keys, "ts"]
+            df = df.join(F.broadcast(renamed(self.busy, at, "_b_")), null_safe_match(at, "_b_"), "left")
+            share = (F.col("tx_id") - F.col("low")) / (F.col("high") - F.col("low") + 1)
+            block = F.coalesce(F.floor(share * F.col("blocks")), block)
+        slot = F.when(hot, F.struct(F.col("ts").alias("minute"), block.alias("block")))
+        return df.withColumn("_slot", slot).select(*columns, "_slot")
+
+    def group(self):
+        """The window partition: (bank, account, slot). A struct compares null banks as equal."""
+        return F.struct(*self.keys, "_slot")
+
+    def with_busy_minutes(self, tx: DataFrame, max_rows=settings.HOT_KEY_ROWS, max_minutes=settings.MAX_HOT_KEYS):
+        """Looks for minutes of hot accounts with more than `max_rows` rows and plans id ranges of about that size.
+
+        Kept are the `max_minutes` busiest; any other minute holds at most 1/`max_minutes` of the rows.
+        """
+        if not self:
+            return self
+        minutes = self.only(tx.select("tx_id", "ts", *self.keys)).groupBy(*self.keys, "ts").agg(
+            F.count("*").alias("n"), F.min("tx_id").alias("low"), F.max("tx_id").alias("high"))
+        blocks = F.ceil(F.col("n") / F.lit(max_rows)).alias("blocks")
+        busy = minutes.filter(F.col("n") > max_rows).orderBy(F.desc("n")).limit(max_minutes)
+        busy = busy.select(*self.keys, "ts", "low", "high", blocks)
+        rows = busy.collect()
+        return replace(self, busy=tx.sparkSession.createDataFrame(rows, busy.schema)) if rows else self
+
+
+def renamed(df, keys, prefix="_k_"):
+    return df.withColumnsRenamed({k: prefix + k for k in keys})
+
+
+def null_safe_match(keys, prefix="_k_"):
+    condition = F.lit(True)
+    for k in keys:
+        condition &= F.col(k).eqNullSafe(F.col(prefix + k))
+    return condition
 
 
 def account_load(tx: DataFrame, keys) -> DataFrame:

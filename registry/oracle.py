@@ -551,18 +551,18 @@ SELECT tx_id, from_bank, from_account, to_bank, to_account, {when('ts')} AS even
     "time_series_folds": q(f"""
 SELECT CAST(fold AS INTEGER) AS fold, role, count(*) AS n, {when('min(ts)')} AS first_ts, {when('max(ts)')} AS last_ts
 FROM roles GROUP BY fold, role""", FOLDS),
-    "impute_median": q(f"SELECT tx_id, {', '.join(f'round({filled(c)}, 4) AS {c}' for c in PREPARED)} FROM test t", TRAIN_TEST),
+    "impute_median": q(f"SELECT tx_id, {', '.join(f'{rnd(filled(c))} AS {c}' for c in PREPARED)} FROM test t", TRAIN_TEST),
     "missing_indicators": q("""
 SELECT tx_id, CASE WHEN time_since_last_txn_from IS NULL THEN 1 ELSE 0 END AS time_since_last_txn_from_is_missing,
   CASE WHEN txn_amount_std_7d_from IS NULL THEN 1 ELSE 0 END AS txn_amount_std_7d_from_is_missing,
   CASE WHEN pct_change_vs_prev IS NULL THEN 1 ELSE 0 END AS pct_change_vs_prev_is_missing FROM test""", TRAIN_TEST),
     "apply_preprocessing": q(f"""
-SELECT tx_id, round({filled('amount_paid')}, 4) AS amount_paid, round({filled('pct_change_vs_prev')}, 4) AS pct_change_vs_prev,
+SELECT tx_id, {rnd(filled('amount_paid'))} AS amount_paid, {rnd(filled('pct_change_vs_prev'))} AS pct_change_vs_prev,
   CASE WHEN txn_amount_std_7d_from IS NULL THEN 1 ELSE 0 END AS txn_amount_std_7d_from_is_missing
 FROM feats t WHERE event_timestamp >= (SELECT max(event_timestamp) - INTERVAL 3 DAY FROM feats)""", TRAIN_TEST),
     "correlation_keep_list": correlation_keep_list(),
     "standardize": q(f"""SELECT tx_id, {', '.join(
-        f"round(({filled(c)} - (SELECT avg({filled(c, 'u')}) FROM train u)) / (SELECT coalesce(nullif(stddev_pop({filled(c, 'u')}), 0), 1) FROM train u), 4) AS {c}"
+        rnd(f"({filled(c)} - (SELECT avg({filled(c, 'u')}) FROM train u)) / (SELECT coalesce(nullif(stddev_pop({filled(c, 'u')}), 0), 1) FROM train u)") + f" AS {c}"
         for c in PREPARED)} FROM test t""", TRAIN_TEST),
     "neutralize_features": q(f"""
 SELECT tx_id, round((SELECT median(CAST(repeat_counterparty_count AS DOUBLE)) FROM train), 4) AS repeat_counterparty_count,

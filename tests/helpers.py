@@ -27,7 +27,7 @@ def skewed_payments(spark, n=3000, seed=7):
     for i in range(n):
         hot_from, hot_to = draw.random() < 0.34, draw.random() < 0.34
         rows.append(payment(
-            i, draw.randrange(0, 60 * 24 * 25, 7 if draw.random() < 0.5 else 1),
+            i, draw.randrange(0, 60 * 24 * 25, 240 if draw.random() < 0.5 else 1),
             1 if hot_from else draw.randrange(2, 80), 1 if hot_to else draw.randrange(2, 60),
             draw.choice([123.45, 123.45, 5000.0, round(draw.uniform(1, 9e4), 2)]),
             1 if hot_from else draw.choice([1, 2, None]), 1 if hot_to else draw.choice([1, 2, 3, None]),

@@ -70,7 +70,10 @@ def test_hot_accounts_get_the_same_features(spark):
     names = direct.columns
     expected = rows_by_id(direct, *names)
     assert len(expected) == tx.count()
-    for variant in (some, ALL_HOT):
+    split = tuple(h.with_busy_minutes(tx, max_rows=2) for h in some)
+    split_all = tuple(h.with_busy_minutes(tx, max_rows=1) for h in ALL_HOT)
+    assert all(h.busy.count() > 5 for h in (*split, *split_all))
+    for variant in (some, ALL_HOT, split, split_all):
         out = payment_features(tx, *variant)
         got = rows_by_id(out, *names)
         assert out.count() == len(expected)
@@ -107,3 +110,18 @@ def test_input_order_does_not_matter(spark):
     first = rows_by_id(payment_features(tx, *COLD), *names)
     again = rows_by_id(payment_features(tx.repartition(3, F.rand(1)).orderBy(F.rand(2)), *COLD), *names)
     assert all(close(a, b) for i in first for a, b in zip(first[i], again[i]))
+
+
+def test_a_minute_of_copies_is_split(spark):
+    """A third of the table is one payment repeated in one minute: its rows form many groups."""
+    rows = [payment(i * 3, 500, 1, 2, 77.5, 1, 1) for i in range(400)]
+    rows += [payment(i * 3 + 1, i, 1 + i % 7, 2 + i % 5, 1.0 + i % 3, 1, 1) for i in range(800)]
+    tx = payments(spark, rows).repartition(4).cache()
+    hot = tuple(h.with_busy_minutes(tx, max_rows=25) for h in find_hot_sides(tx, FROM_KEYS, TO_KEYS, min_rows=300))
+    assert all(hot) and hot[0].busy.count() == 1
+    sizes = hot[0].with_slot(tx).filter("_slot is not null").groupBy(*FROM_KEYS, "_slot").count()
+    assert sizes.agg(F.max("count")).first()[0] <= 30
+    names = payment_features(tx, *COLD).columns
+    want, got = (rows_by_id(payment_features(tx, *h), *names) for h in (COLD, hot))
+    bad = [(i, n) for i, row in want.items() for n, a, b in zip(names, row, got[i]) if not close(a, b)]
+    assert len(got) == len(want) and not bad, bad[:5]
