@@ -13,7 +13,11 @@ if __name__ == "__main__":
     days = int(sys.argv[4]) if len(sys.argv) > 4 else settings.TEST_DAYS
     trials = int(sys.argv[5]) if len(sys.argv) > 5 else settings.SEARCH_TRIALS
     spark = SparkSession.builder.appName("train_and_score").getOrCreate()
-    train_and_evaluate(
+    result = train_and_evaluate(
         read_table(spark, features), TrainingConfig(test_days=days, trials=trials),
         runs_table=runs_table, predictions_table=predictions_table,
     )
+    result.benchmark.show()
+    for name, view in result.reports.items():
+        print(name)
+        view.show(50, truncate=False)

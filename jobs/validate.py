@@ -8,4 +8,4 @@ from paywatch.plans.validation import validate_table
 
 if __name__ == "__main__":
     spark = SparkSession.builder.appName("validate").getOrCreate()
-    validate_table(spark, *sys.argv[1:4])
+    validate_table(spark, *sys.argv[1:4]).show(truncate=False, vertical=True)

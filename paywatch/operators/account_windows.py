@@ -15,6 +15,7 @@ from paywatch import settings
 from paywatch.columns import FROM_KEYS, TO_KEYS
 from paywatch.functions.scalars import flag, seconds_between
 from paywatch.operators.hot_keys import HotKeys, find_hot_keys, null_safe_match, renamed
+from paywatch.session import stage
 
 def over_range(aggregate: str, keys, span: str):
     """`aggregate` over the account's rows from `span` ago up to and including the current minute."""
@@ -212,9 +213,16 @@ def _join_history(rows: DataFrame, history: DataFrame, hot: HotKeys) -> DataFram
     return rows.join(keyed, "_group", "left")
 
 
+def _hot_rows(source: DataFrame, hot: HotKeys, columns):
+    """(rows, hot): the hot accounts' rows with their slots, written once for the passes that follow."""
+    rows = stage(hot.only(source.select("tx_id", "ts", *columns)), "hot_rows")
+    hot = hot.with_busy_minutes(rows) if hot.busy is None else hot
+    return hot.with_slot(rows), hot
+
+
 def _spread_outgoing(tx: DataFrame, hot: HotKeys) -> DataFrame:
     keys = list(hot.keys)
-    narrow = hot.with_slot(hot.only(tx.select("tx_id", "ts", *FROM_KEYS, *TO_KEYS, "amount_paid")))
+    narrow, hot = _hot_rows(tx, hot, [*FROM_KEYS, *TO_KEYS, "amount_paid"])
     history = slot_history(narrow, keys)
     history = _lookup(history, _distinct_per_account(narrow, keys, "to_account", "h_receivers"), keys)
     history = _lookup(history, _distinct_per_account(narrow, keys, "to_bank", "h_banks"), keys)
@@ -262,7 +270,7 @@ def _spread_outgoing(tx: DataFrame, hot: HotKeys) -> DataFrame:
 
 def _spread_incoming(tx: DataFrame, hot: HotKeys, source: DataFrame) -> DataFrame:
     keys = list(hot.keys)
-    narrow = hot.with_slot(hot.only(source.select("tx_id", "ts", *keys, "from_account")))
+    narrow, hot = _hot_rows(source, hot, [*keys, "from_account"])
     slots = narrow.select(*keys, "ts", "_slot").distinct()
     previous = F.lag("ts").over(Window.partitionBy(*keys).orderBy("_slot"))
     history = slots.withColumn("h_gap", seconds_between(previous, F.col("ts")))
@@ -283,7 +291,7 @@ def outgoing_features(tx: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """Adds the paying account's features. Unused ones are pruned by Catalyst when not selected."""
     hot = find_hot_keys(tx, FROM_KEYS) if hot is None else hot
     if hot:
-        out = _spread_outgoing(tx, hot.with_busy_minutes(tx) if hot.busy is None else hot)
+        out = _spread_outgoing(tx, hot)
     else:
         out = with_counterparties(with_rolling(with_previous(tx, FROM_KEYS), FROM_KEYS), FROM_KEYS)
     return out.withColumn("is_new_counterparty", flag(F.col("repeat_counterparty_count") == 0))
@@ -294,6 +302,4 @@ def incoming_features(tx: DataFrame, hot: HotKeys | None = None, source: DataFra
     `tx` already carries computed columns that a history pass should not compute again."""
     source = tx if source is None else source
     hot = find_hot_keys(source, TO_KEYS) if hot is None else hot
-    if not hot:
-        return with_incoming(tx, TO_KEYS)
-    return _spread_incoming(tx, hot.with_busy_minutes(source) if hot.busy is None else hot, source)
+    return _spread_incoming(tx, hot, source) if hot else with_incoming(tx, TO_KEYS)

@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, functions as F
 from paywatch.columns import FEATURE_TABLE, FROM_KEYS, TO_KEYS
 from paywatch.functions.scalars import with_amount_flags, with_calendar, with_ratios
 from paywatch.operators.account_windows import incoming_features, outgoing_features
-from paywatch.operators.cleaning import clean_transactions
+from paywatch.operators.cleaning import clean_transactions, with_payment_ids
 from paywatch.operators.enrichment import account_dimension, with_account_side
 from paywatch.operators.hot_keys import find_hot_sides
 
@@ -43,5 +43,6 @@ def build_transaction_features(raw: DataFrame, accounts: DataFrame, strict=True)
     Busy accounts are counted on the raw rows: that reads four key columns and parses nothing, and
     a count before cleaning can only be higher.
     """
+    raw = with_payment_ids(raw)
     hot_from, hot_to = find_hot_sides(raw, FROM_KEYS, TO_KEYS)
     return transaction_features(clean_transactions(raw, strict=strict), accounts, hot_from, hot_to)

@@ -1,7 +1,7 @@
 import pytest
 
 from paywatch.functions.scalars import to_double, to_label
-from paywatch.operators.cleaning import clean_transactions, rejected_transactions
+from paywatch.operators.cleaning import clean_transactions, rejected_transactions, with_payment_ids
 from paywatch.operators.enrichment import enrich, entity_account_counts
 from tests.helpers import payment, payments
 
@@ -52,3 +52,11 @@ def test_duplicate_accounts_do_not_multiply_payments(spark):
     assert rows[0]["from_num_accounts_per_entity"] == 3
     assert rows[1]["from_entity_id"] is None and rows[2]["to_entity_id"] is None
     assert {r[0]: r[1] for r in entity_account_counts(accounts).collect()}[3] == 3
+
+
+def test_missing_ids_are_made_once(spark):
+    df = raw(spark, *[("2024/01/01 10:00", 1, 2, "5", "5")] * 20).drop("tx_id").repartition(4)
+    out = with_payment_ids(df)
+    first, again = (sorted(r["tx_id"] for r in out.select("tx_id").collect()) for _ in range(2))
+    assert first == again and len(set(first)) == 20
+    assert with_payment_ids(out) is out
