@@ -102,9 +102,8 @@ def with_incoming(tx: DataFrame, keys) -> DataFrame:
 def slot_history(hot: DataFrame, keys) -> DataFrame:
     """One row per (account, slot) with everything that looks beyond that slot.
 
-    Steps: aggregate per slot; look one slot back per account; sum slots to minutes; run the 7-day
-    frames over minutes per (account, week), each week also holding the week before, so one task never
-    has more than the 20,160 minutes of two weeks of an account.
+    Steps: aggregate per slot; look one slot back per account; sum slots to minutes; run the frames
+    over minutes.
     """
     paid = F.col("amount_paid")
     inside = Window.partitionBy(*keys, "_slot").orderBy("tx_id")
@@ -153,40 +152,58 @@ def _minutes(slots: DataFrame, keys) -> DataFrame:
 
 
 def _minute_frames(minutes: DataFrame, keys) -> DataFrame:
-    week_number = F.floor(F.datediff("ts", F.lit("1970-01-01").cast("date")) / 7).cast("int")
-    spread = minutes.withColumn("_week", week_number)
-    spread = spread.withColumn("_part", F.explode(F.array(F.col("_week"), F.col("_week") + 1)))
-    part = [*keys, "_part"]
-    hour, day, week = "'1' hour", "'24' hour", "'7' day"
-    # Deviations are taken from a common centre of the part: squares of raw amounts would cancel badly.
-    spread = spread.withColumn("_d", F.col("mean") - F.avg("mean").over(Window.partitionBy(*part)))
-    spread = spread.withColumns({
+    """24-hour and 7-day frames without sliding, in time linear in the minutes.
+
+    A frame that ends in a week reaches back into the week before only. So each week of an account gets
+    its own minutes (kind 0) and those of the week before, moved on by 7 days (kind 7): the frame of a
+    minute is the running total of kind 0 up to it plus the running total, from the end, of kind 7 down
+    to it. Days work alike with kind 1. No value is subtracted again, so nothing cancels, and one window
+    group holds at most the minutes of two weeks.
+    """
+    hourly = minutes.withColumn("h_count_1h", over_range("sum(n)", keys, "'1' hour"))  # at most 61 minutes back
+    spread = hourly.withColumn("_kind", F.explode(F.array(F.lit(0), F.lit(1), F.lit(7))))
+    spread = spread.withColumn("_at", F.col("ts") + F.make_dt_interval("_kind")).withColumns({
+        "_week": F.floor(F.datediff("_at", F.lit("1970-01-01").cast("date")) / 7).cast("int"),
+        "_day": F.to_date("_at"),
+    })
+    week = [*keys, "_week"]
+    # Deviations are taken from a common centre of the week: squares of raw amounts would cancel badly.
+    deviation = F.col("mean") - F.avg("mean").over(Window.partitionBy(*week))
+    spread = spread.withColumn("_d", deviation).withColumns({
         "_d1": F.col("n") * F.col("_d"),
         "_d2": F.col("_m2") + F.col("n") * F.col("_d") * F.col("_d"),
         "_gap2": F.col("gap") * F.col("gap"),
     })
+
+    def halves(aggregate, value, kind):
+        group = week if kind == 7 else [*week, "_day"]
+        def half(k, order):
+            return aggregate(F.when(F.col("_kind") == k, F.col(value))).over(Window.partitionBy(*group).orderBy(order))
+        return half(0, F.col("_at").asc()), half(kind, F.col("_at").desc())
+
+    frames = {
+        "h_count_24h": (F.sum, "n", 1), "h_sum_24h": (F.sum, "total", 1), "h_similar": (F.sum, "similar", 1),
+        "h_count_7d": (F.sum, "n", 7), "_sum_7d": (F.sum, "total", 7), "_cross_7d": (F.sum, "cross", 7),
+        "h_max_7d": (F.max, "high", 7), "_min_7d": (F.min, "low", 7),
+        "_s1": (F.sum, "_d1", 7), "_s2": (F.sum, "_d2", 7),
+        "_g0": (F.sum, "gaps", 7), "_g1": (F.sum, "gap", 7), "_g2": (F.sum, "_gap2", 7),
+    }
+    parts = {}
+    for name, (aggregate, value, kind) in frames.items():
+        parts[f"{name}_a"], parts[f"{name}_b"] = halves(aggregate, value, kind)
+    spread = spread.withColumns(parts).filter(F.col("_kind") == 0)
+    joined = {F.max: F.greatest, F.min: F.least}
     spread = spread.withColumns({
-        "h_count_1h": over_range("sum(n)", part, hour),
-        "h_count_24h": over_range("sum(n)", part, day),
-        "h_count_7d": over_range("sum(n)", part, week),
-        "h_sum_24h": over_range("sum(total)", part, day),
-        "_sum_7d": over_range("sum(total)", part, week),
-        "h_max_7d": over_range("max(high)", part, week),
-        "_min_7d": over_range("min(low)", part, week),
-        "_cross_7d": over_range("sum(cross)", part, week),
-        "h_similar": over_range("sum(similar)", part, day),
-        "_s1": over_range("sum(_d1)", part, week),
-        "_s2": over_range("sum(_d2)", part, week),
-        "_g0": over_range("sum(gaps)", part, week),
-        "_g1": over_range("sum(gap)", part, week),
-        "_g2": over_range("sum(_gap2)", part, week),
-    }).filter(F.col("_part") == F.col("_week"))
-
-    n = F.col("h_count_7d").cast("double")
+        name: joined[f](f"{name}_a", f"{name}_b") if f in joined
+        else F.col(f"{name}_a") + F.coalesce(F.col(f"{name}_b"), F.lit(0))
+        for name, (f, _, _) in frames.items()
+    })
+
+    n, g0 = F.col("h_count_7d").cast("double"), F.col("_g0")
     spread_amount = F.greatest(F.col("_s2") - F.col("_s1") * F.col("_s1") / n, F.lit(0.0))
-    g0 = F.col("_g0")
     # Whole seconds: exact in decimals, so equal gaps give exactly 0.
-    spread_gap = (F.col("_g2") * g0.cast("decimal(12,0)") - F.col("_g1") * F.col("_g1")).cast("double")
+    g1 = F.col("_g1").cast("decimal(19,0)")
+    spread_gap = (F.col("_g2").cast("decimal(38,0)") * g0.cast("decimal(12,0)") - g1 * g1).cast("double")
     return spread.select(
         *keys, "ts", "h_count_1h", "h_count_24h", "h_count_7d", "h_sum_24h", "h_max_7d", "h_similar",
         (F.col("_sum_7d") / n).alias("h_avg_7d"),

@@ -34,5 +34,5 @@ MIN_TEST_ROWS = 1_000
 # Skew handling (ours). An account with more rows than HOT_KEY_ROWS is aggregated per minute before
 # its windows run; a minute of such an account with more rows than that is split by id range. Lists of
 # such accounts and minutes are broadcast only while they have at most MAX_HOT_KEYS rows.
-HOT_KEY_ROWS = 50_000
+HOT_KEY_ROWS = 20_000
 MAX_HOT_KEYS = 200_000
