@@ -5,6 +5,7 @@ from pyspark.sql import types as T
 TS = "event_timestamp"
 LABEL = "is_laundering"
 TX_ID = "tx_id"
+EVENT_DATE = "event_date"  # partition column of the written feature table
 FROM_KEYS = ["from_bank", "from_account"]
 TO_KEYS = ["to_bank", "to_account"]
 KEYS = FROM_KEYS + TO_KEYS + [TS]

@@ -305,7 +305,10 @@ def _spread_incoming(tx: DataFrame, hot: HotKeys, source: DataFrame) -> DataFram
 # ---- entry points -----------------------------------------------------------------------------
 
 def outgoing_features(tx: DataFrame, hot: HotKeys | None = None) -> DataFrame:
-    """Adds the paying account's features. Unused ones are pruned by Catalyst when not selected."""
+    """Adds the paying account's features. Unused ones are pruned by Catalyst when not selected.
+
+    Without `hot` the busy accounts are counted first; only if there are any, their rows are written once.
+    """
     hot = find_hot_keys(tx, FROM_KEYS) if hot is None else hot
     if hot:
         out = _spread_outgoing(tx, hot)

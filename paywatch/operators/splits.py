@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from paywatch import settings
-from paywatch.columns import LABEL, TS
+from paywatch.columns import EVENT_DATE, LABEL, TS
 from paywatch.functions.scalars import days_before
 from paywatch.operators.running_totals import running_totals
 from paywatch.operators.sampling import class_sample, take_lowest
@@ -20,16 +20,28 @@ def with_split(df: DataFrame, days=settings.TEST_DAYS, ts=TS) -> DataFrame:
     return dated.withColumn("split", F.when(F.col(ts) < holdout_cutoff(dated, days, ts), "train").otherwise("test"))
 
 
+def _before(df, time, ts):
+    """Rows before `time`; the same bound on the partition column, where there is one, skips its folders."""
+    early = F.col(ts) < time
+    return df.filter(early & (F.col(EVENT_DATE) <= F.to_date(time)) if EVENT_DATE in df.columns else early)
+
+
+def _since(df, time, ts):
+    late = F.col(ts) >= time
+    return df.filter(late & (F.col(EVENT_DATE) >= F.to_date(time)) if EVENT_DATE in df.columns else late)
+
+
 def train_test(df: DataFrame, days=settings.TEST_DAYS, ts=TS):
     """(train, test) as two filters on the cutoff."""
     cutoff = holdout_cutoff(df, days, ts)
-    return df.filter(F.col(ts) < cutoff), df.filter(F.col(ts) >= cutoff)
+    return _before(df, cutoff, ts), _since(df, cutoff, ts)
 
 
 def trailing_windows(df: DataFrame, days=settings.BACKTEST_DAYS, ts=TS, latest=None) -> DataFrame:
     """Each row once per trailing window that holds it, under `window_days`; one pass for all windows."""
     latest = df.agg(F.max(ts)).scalar() if latest is None else latest
-    out = df.withColumn("_latest", latest).withColumn("window_days", F.explode(F.array(*[F.lit(d) for d in days])))
+    recent = _since(df, days_before(latest, max(days)), ts)
+    out = recent.withColumn("_latest", latest).withColumn("window_days", F.explode(F.array(*[F.lit(d) for d in days])))
     return out.filter(F.col(ts) >= days_before(F.col("_latest"), F.col("window_days"))).drop("_latest")
 
 

@@ -5,7 +5,9 @@ from dataclasses import asdict, dataclass, field
 from pyspark.sql import DataFrame, functions as F
 
 from paywatch import settings
-from paywatch.columns import KEYS, LABEL, LEAKY_FEATURES, MODEL_FEATURES, TS, require_columns
+from paywatch.columns import (
+    EVENT_DATE, KEYS, LABEL, LEAKY_FEATURES, MODEL_FEATURES, TS, require_columns, select_present,
+)
 from paywatch.operators import evaluation, models, sampling, splits
 from paywatch.operators.dedup import dedupe_keys
 from paywatch.operators.quality import require_trainable
@@ -59,8 +61,8 @@ class TrainingResult:
 def model_input(features: DataFrame, config: TrainingConfig) -> DataFrame:
     """Ids, label and the wanted features of rows that have a time."""
     absent = require_columns(features, config.features, config.strict_columns)
-    wanted = ["tx_id", *KEYS, LABEL, *[c for c in config.features if c not in absent]]
-    return features.select(*wanted).filter(F.col(TS).isNotNull())
+    wanted = ["tx_id", *KEYS, LABEL, EVENT_DATE, *[c for c in config.features if c not in absent]]
+    return select_present(features, wanted).filter(F.col(TS).isNotNull())
 
 
 def train_and_test(data: DataFrame, config: TrainingConfig):

@@ -4,6 +4,8 @@ import logging
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from paywatch.columns import EVENT_DATE, TS
+
 log = logging.getLogger(__name__)
 
 
@@ -33,8 +35,8 @@ def overwrite_features(df: DataFrame, table: str, path=None, files_per_day=32):
     A day is spread over `files_per_day` tasks: one task per day would not hold at scale.
     """
     spread = F.pmod(F.xxhash64("tx_id"), F.lit(files_per_day))
-    out = df.withColumn("event_date", F.to_date("event_timestamp")).repartition("event_date", spread)
-    overwrite_table(out.sortWithinPartitions("event_date", "event_timestamp"), table, ["event_date"], path)
+    out = df.withColumn(EVENT_DATE, F.to_date(TS)).repartition(EVENT_DATE, spread)
+    overwrite_table(out.sortWithinPartitions(EVENT_DATE, TS), table, [EVENT_DATE], path)
 
 
 def create_if_absent(spark: SparkSession, table: str, schema, path=None):

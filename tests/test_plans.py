@@ -91,6 +91,20 @@ def test_day_split_prunes_rows_before_anything_else(tx):
     assert re.search(r"DataFilters: \[[^\]]*ts", text)
 
 
+def test_day_split_reads_only_its_folders(spark, tx, tmp_path):
+    from paywatch.operators.splits import train_test, trailing_windows
+    from paywatch.sources.tables import overwrite_features
+    events = tx.withColumnRenamed("ts", "event_timestamp")
+    overwrite_features(events, "pruned_features", str(tmp_path / "features"), files_per_day=1)
+    table = spark.table("pruned_features")
+    days = table.select("event_date").distinct().count()
+    for out in (train_test(table, 10)[1], trailing_windows(table, (3, 7))):
+        rows = out.select("tx_id", "event_timestamp").collect()
+        text = plan(out)
+        assert rows and re.search(r"PartitionFilters: \[[^\]]*event_date", text)
+    assert train_test(table, 10)[0].count() + train_test(table, 10)[1].count() == events.count() and days > 15
+
+
 def test_no_bulk_collect_in_the_package():
     allowed = {
         "operators/hot_keys.py": 3,       # at most MAX_HOT_KEYS rows per side
