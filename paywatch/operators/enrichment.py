@@ -2,6 +2,8 @@
 
 from pyspark.sql import DataFrame, functions as F
 
+from paywatch.operators.hot_keys import null_safe_match, renamed as renamed_keys
+
 
 def entity_account_counts(accounts: DataFrame) -> DataFrame:
     return accounts.groupBy("entity_id").agg(F.count_distinct("account_number").alias("num_accounts_per_entity"))
@@ -19,19 +21,40 @@ def account_dimension(accounts: DataFrame) -> DataFrame:
     return unique.join(entity_account_counts(accounts), "entity_id", "left")
 
 
-def with_account_side(tx: DataFrame, dimension: DataFrame, side: str) -> DataFrame:
-    """Left lookup of the `from` or `to` account. Broadcast or sort-merge is left to Spark's size checks."""
+def with_account_side(tx: DataFrame, dimension: DataFrame, side: str, hot=None) -> DataFrame:
+    """Left lookup of the `from` or `to` account. Broadcast or sort-merge is left to Spark's size checks.
+
+    Accounts listed in `hot` bring their attributes by broadcast; their rows pass the general lookup under
+    a key of their own, so they spread instead of meeting in one task.
+    """
+    keys = [f"{side}_bank", f"{side}_account"]
     renamed = dimension.select(
-        F.col("bank_id").alias(f"{side}_bank"),
-        F.col("account_number").alias(f"{side}_account"),
+        F.col("bank_id").alias(keys[0]),
+        F.col("account_number").alias(keys[1]),
         F.col("entity_id").alias(f"{side}_entity_id"),
         F.col("entity_name").alias(f"{side}_entity_name"),
         F.col("bank_name").alias(f"{side}_bank_name"),
         F.col("num_accounts_per_entity").alias(f"{side}_num_accounts_per_entity"),
     )
-    return tx.join(renamed, [f"{side}_bank", f"{side}_account"], "left")
-
-
-def enrich(tx: DataFrame, accounts: DataFrame) -> DataFrame:
+    if hot is None or hot.frame is None:
+        return tx.join(renamed, keys, "left")
+
+    values = renamed.columns[2:]
+    general = renamed.filter(F.col(keys[0]).isNotNull() & F.col(keys[1]).isNotNull()).select(
+        F.struct(*[F.col(k).cast(tx.schema[k].dataType).alias(k) for k in keys],
+                 F.lit(None).cast("bigint").alias("own")).alias("_key"), *values)
+    listed = hot.frame.join(renamed, keys, "left").withColumnsRenamed({v: f"_{v}" for v in values})
+    listed = F.broadcast(renamed_keys(listed.withColumn("_hot", F.lit(True)), keys))  # as long as the hot list
+    rows = tx.join(listed, null_safe_match(keys), "left")
+    cold = F.col("_hot").isNull()
+    own_key = F.struct(*[F.when(cold, F.col(k)).alias(k) for k in keys],
+                       F.when(~cold, F.col("tx_id").cast("bigint")).alias("own"))
+    rows = rows.withColumn("_key", own_key).join(general, "_key", "left")
+    picked = [F.when(cold, F.col(v)).otherwise(F.col(f"_{v}")).alias(v) for v in values]
+    return rows.select(*tx.columns, *picked)
+
+
+def enrich(tx: DataFrame, accounts: DataFrame, hot_from=None, hot_to=None) -> DataFrame:
     dimension = account_dimension(accounts)
-    return tx.transform(with_account_side, dimension, "from").transform(with_account_side, dimension, "to")
+    out = with_account_side(tx, dimension, "from", hot_from)
+    return with_account_side(out, dimension, "to", hot_to)

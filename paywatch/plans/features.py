@@ -7,7 +7,7 @@ from paywatch.functions.scalars import with_amount_flags, with_calendar, with_ra
 from paywatch.operators.account_windows import incoming_features, outgoing_features
 from paywatch.operators.cleaning import clean_transactions, with_payment_ids
 from paywatch.operators.enrichment import account_dimension, with_account_side
-from paywatch.operators.hot_keys import find_hot_sides
+from paywatch.operators.hot_keys import find_hot_keys, find_hot_sides
 
 
 def transaction_features(tx: DataFrame, accounts: DataFrame, hot_from=None, hot_to=None) -> DataFrame:
@@ -17,10 +17,12 @@ def transaction_features(tx: DataFrame, accounts: DataFrame, hot_from=None, hot_
     already partitioned by (bank, account): two shuffles of the payments in all.
     """
     dimension = account_dimension(accounts)
+    hot_from = find_hot_keys(tx, FROM_KEYS) if hot_from is None else hot_from
+    hot_to = find_hot_keys(tx, TO_KEYS) if hot_to is None else hot_to
     out = outgoing_features(tx, hot_from)
-    out = with_account_side(out, dimension, "from")
+    out = with_account_side(out, dimension, "from", hot_from)
     out = incoming_features(out, hot_to, source=tx)
-    out = with_account_side(out, dimension, "to")
+    out = with_account_side(out, dimension, "to", hot_to)
     return _typed(with_ratios(with_amount_flags(with_calendar(out))))
 
 

@@ -181,13 +181,15 @@ def entity_account_counts(spark, d):
 
 
 def enrich_accounts(spark, d):
-    out = enrichment.enrich(payments(spark, d), source.with_duplicate_accounts(accounts(spark, d)))
+    hot = hot_keys.find_hot_sides(raw(spark, d), FROM_KEYS, TO_KEYS)
+    out = enrichment.enrich(payments(spark, d), source.with_duplicate_accounts(accounts(spark, d)), *hot)
     return rounded(out.select(
         "tx_id", *[f"{s}_{c}" for s in ("from", "to") for c in ("entity_id", "entity_name", "bank_name")]))
 
 
 def enrich_entity_counts(spark, d):
-    out = enrichment.enrich(payments(spark, d), accounts(spark, d))
+    hot = hot_keys.find_hot_sides(raw(spark, d), FROM_KEYS, TO_KEYS)
+    out = enrichment.enrich(payments(spark, d), accounts(spark, d), *hot)
     return rounded(out.select("tx_id", "from_num_accounts_per_entity", "to_num_accounts_per_entity"))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from paywatch.columns import FROM_KEYS, TO_KEYS
 from paywatch.operators.account_windows import incoming_features, outgoing_features
 from paywatch.operators.hot_keys import HotKeys, find_hot_keys, find_hot_sides
-from paywatch.plans.features import payment_features
+from paywatch.plans.features import payment_features, transaction_features
 from tests.helpers import payment, payments, rows_by_id, skewed_payments
 
 COLD = HotKeys(tuple(FROM_KEYS)), HotKeys(tuple(TO_KEYS))
@@ -125,3 +125,18 @@ def test_a_minute_of_copies_is_split(spark):
     want, got = (rows_by_id(payment_features(tx, *h), *names) for h in (COLD, hot))
     bad = [(i, n) for i, row in want.items() for n, a, b in zip(names, row, got[i]) if not close(a, b)]
     assert len(got) == len(want) and not bad, bad[:5]
+
+
+def test_hot_account_lookup(spark):
+    """Listed accounts, with and without master data, find what the plain lookup finds."""
+    tx = skewed_payments(spark, 1500).cache()
+    rows = [(b, a, a // 3, f"E{a // 3}", f"B{b}") for a in range(2, 80) for b in (1, 2)]
+    for extra in ([], [(1, 1, 500, "Hot", "B1")]):
+        accounts = spark.createDataFrame(
+            rows + extra, "bank_id bigint, account_number bigint, entity_id bigint, entity_name string, bank_name string")
+        hot = find_hot_sides(tx, FROM_KEYS, TO_KEYS, min_rows=60)
+        assert all(hot) and tx.filter("from_bank is null").count() > 0
+        names = transaction_features(tx, accounts, *COLD).columns
+        want, got = (rows_by_id(transaction_features(tx, accounts, *h), *names) for h in (COLD, hot))
+        bad = [(i, n) for i, row in want.items() for n, a, b in zip(names, row, got[i]) if not close(a, b)]
+        assert len(got) == len(want) == tx.count() and not bad, bad[:5]
