@@ -23,16 +23,20 @@ def local_session(cores="*", partitions=8, **conf) -> SparkSession:
     return spark
 
 
+_local_folders = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named in spark.checkpoint.dir; a temporary one only for local masters without it."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="paywatch-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="paywatch-")
+    return _local_folders[context.applicationId]
 
 
 def new_path(spark: SparkSession, name: str) -> str:

@@ -1,8 +1,6 @@
 """Independent SQL (DuckDB) for the registered queries, over the same parquet tables."""
 
-from paywatch.columns import (
-    FEATURE_TABLE, KEYS, LABEL, LEAKY_FEATURES, MODEL_FEATURES, STRICT_FEATURES, TS,
-)
+from paywatch.columns import FEATURE_TABLE, KEYS, LABEL, MODEL_FEATURES, STRICT_FEATURES
 from registry.queries import BACKTEST_DAYS, DAYS, NULLABLE_COUNTS, PREPARED
 
 RAW = """
@@ -308,6 +306,12 @@ bt AS (
   FROM curve GROUP BY window_days HAVING max(tp) > 0 AND max(tn) > 0
 )"""
 
+SUMMARY = f"""CAST(sum(pos + neg) AS BIGINT) AS n_test, {rnd('sum(pos) / sum(pos + neg)', 6)} AS test_fraud_rate,
+  {rnd(AP, 6)} AS auc_pr, {rnd(AUC, 6)} AS roc_auc, {rnd(KS, 6)} AS ks,
+  {when(CUT)} AS cutoff_ts, (SELECT count(*) FROM tx WHERE ts < {CUT}) AS n_train,
+  (SELECT {rnd('threshold', 6)} FROM points ORDER BY youden DESC, threshold LIMIT 1) AS best_threshold_youden"""
+TEST_SCORES = SCORES.replace("FROM tx\n)", f"FROM tx WHERE ts >= {CUT}\n)") + "," + curve() + "," + GRID
+
 # ---- preparation ------------------------------------------------------------------------------
 
 TRAIN_TEST = WINDOWS + f""",
@@ -432,6 +436,8 @@ SELECT tx_id, ts_text AS "timestamp", from_bank, from_account, to_bank, CAST(to_
     "sink_overwrite_roundtrip": q(f"SELECT tx_id, {when('ts')} AS event_timestamp, {dbl('amount_paid')} FROM tx", TX),
     "sink_append_roundtrip": q(f"""
 SELECT tx_id, CASE WHEN amount_paid < 50000 THEN payment_format END AS payment_format, {dbl('amount_paid')} FROM tx""", TX),
+    "add_missing_column": q(f"""
+SELECT tx_id, {dbl('amount_paid')}, CAST(NULL AS VARCHAR) AS run_id, 'True,False' AS added FROM tx""", TX),
     "align_to_target": q(f"""
 SELECT tx_id, CAST(NULL AS VARCHAR) AS note, {integer('is_laundering')}, {dbl('amount_paid')} FROM tx""", TX),
     "select_model_columns": q(f"""
@@ -567,12 +573,15 @@ FROM feats t WHERE event_timestamp >= (SELECT max(event_timestamp) - INTERVAL 3
     "neutralize_features": q(f"""
 SELECT tx_id, round((SELECT median(CAST(repeat_counterparty_count AS DOUBLE)) FROM train), 4) AS repeat_counterparty_count,
   {dbl('amount_paid')} FROM test""", TRAIN_TEST),
-    "run_summary": q(f"""
-SELECT CAST(sum(pos + neg) AS BIGINT) AS n_test, round(sum(pos) / sum(pos + neg), 6) AS test_fraud_rate,
-  round({AP}, 6) AS auc_pr, round({AUC}, 6) AS roc_auc, round({KS}, 6) AS ks,
-  {when(CUT)} AS cutoff_ts, (SELECT count(*) FROM tx WHERE ts < {CUT}) AS n_train,
-  round((SELECT threshold FROM points ORDER BY youden DESC, threshold LIMIT 1), 6) AS best_threshold_youden
-FROM curve""", SCORES.replace("FROM tx\n)", f"FROM tx WHERE ts >= {CUT}\n)").replace("FROM tx WHERE ts", "FROM tx WHERE ts") + "," + curve() + "," + GRID),
+    "run_summary": q(f"SELECT {SUMMARY} FROM curve", TEST_SCORES),
+    "run_log_row": q(f"""
+SELECT '20240101_000000' AS run_id, 'model_20240101_000000' AS model_version, {SUMMARY},
+  '{{"n_estimators":5,"learning_rate":0.1}}' AS params_json,
+  '[{','.join(f'"{c}"' for c in STRICT_FEATURES)}]' AS features_json,
+  'models/model_20240101_000000' AS model_path, 1 AS has_time FROM curve""", TEST_SCORES),
+    "run_log_json": q(f"""
+SELECT count(*) AS n_test, '[{','.join(f'"{c}"' for c in STRICT_FEATURES[:3])}]' AS features_json,
+  '{{"max_depth":5,"learning_rate":0.1}}' AS params_json FROM tx WHERE ts >= {CUT}""", TX),
     "average_precision": q(f"SELECT round({AP}, 6) AS auc_pr FROM curve", SCORES + "," + curve()),
     "roc_auc": q(f"SELECT round({AUC}, 6) AS roc_auc FROM curve", SCORES + "," + curve()),
     "ks_stat": q(f"SELECT round({KS}, 6) AS ks FROM curve", SCORES + "," + curve()),
@@ -614,5 +623,3 @@ SELECT short_days, long_days, round(ks_short, 6) AS ks_short, round(ks_long, 6)
 FROM (SELECT min(window_days) AS short_days, max(window_days) AS long_days, arg_min(ks, window_days) AS ks_short,
              arg_max(ks, window_days) AS ks_long, count(*) AS n FROM bt) WHERE n >= 2""", BACKTEST),
 }
-
-assert set(LEAKY_FEATURES) <= set(MODEL_FEATURES) and TS in CHECKED

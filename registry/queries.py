@@ -133,7 +133,7 @@ def add_missing_column(spark, d):
     tables.append_table(dated(spark, d).select("tx_id", "amount_paid"), table, path)
     first = tables.add_column_if_absent(spark, table, "run_id", "string")
     second = tables.add_column_if_absent(spark, table, "run_id", "string")
-    return spark.table(table).withColumn("added", F.lit(f"{first},{second}"))
+    return rounded(spark.table(table).withColumn("added", F.lit(f"{first},{second}")))
 
 
 def align_to_target(spark, d):
@@ -465,7 +465,8 @@ def run_log_row(spark, d):
                        {"n_estimators": 5, "learning_rate": 0.1}, STRICT_FEATURES, "models/model_20240101_000000")
     table, path = _table(spark, "runs")
     runs.log_run(spark, row, table, path)
-    return spark.table(table)
+    written = spark.table(table)
+    return rounded(written.withColumn("has_time", F.col("created_at").isNotNull().cast("int")).drop("created_at"), 6)
 
 
 def run_log_json(spark, d):

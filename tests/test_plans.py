@@ -2,6 +2,7 @@
 
 import re
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 
@@ -63,6 +64,7 @@ def test_hot_rows_join_history_without_another_shuffle(spark, tx):
         text = plan(outgoing_features(tx, hot).select("tx_id", "txn_count_7d_from"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "NestedLoop" not in text and "Cartesian" not in text
     top = text[text.index("SortMergeJoin [_group"):]
     left = top[:top.index("FileScan")]
     assert len(re.findall(r"Exchange hashpartitioning\(_group", left)) == 1
@@ -118,5 +120,26 @@ def test_no_bulk_collect_in_the_package():
         assert len(re.findall(r"\.collect\(\)", text)) == allowed.get(name, 0), name
 
 
+def test_no_pairwise_joins(spark, tx):
+    hot = tuple(HotKeys(tuple(k), frame=spark.createDataFrame([(1, 1)], f"{k[0]} int, {k[1]} bigint"))
+                for k in (FROM_KEYS, TO_KEYS))
+    accounts = source.raw_accounts(spark, "/root/testdata/sf0.001")
+    events = tx.withColumnRenamed("ts", "event_timestamp")
+    for df in (transaction_features(tx, accounts, *hot), sampling.enforce_positive_rate(events, 0.01),
+               evaluation.top_k_shares(stage(source.synthetic_scores(tx), "plan_scores"))):
+        text = plan(df)
+        assert "NestedLoop" not in text and "Cartesian" not in text
+
+
 def test_shared_folder_follows_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+
+
+def test_only_local_masters_get_a_temporary_folder():
+    def session(master):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None),
+                               sparkContext=SimpleNamespace(master=master, applicationId=f"test-{master}"))
+    local = session("local[2]")
+    assert shared_folder(local) == shared_folder(local)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(session("yarn"))
