@@ -3,9 +3,12 @@
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-SPACE = r"[\x20\x09-\x0D]"
+
+def let(value: Column, body) -> Column:
+    """`body` of a value that is computed once, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

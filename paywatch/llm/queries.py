@@ -1,6 +1,8 @@
 """Queries of the text operators: each takes (spark, folder of parquet tables) and returns a DataFrame."""
 
-from paywatch.llm import exact_dedup, packing, pii, secrets, url_filter
+from pyspark.sql import functions as F
+
+from paywatch.llm import exact_dedup, line_dedup, order_minhash, packing, pii, secrets, url_filter
 from paywatch.llm.common import table
 
 
@@ -24,5 +26,16 @@ def op8_exact_dedup(spark, folder):
     return exact_dedup.exact_duplicates(table(spark, folder, "documents"))
 
 
+def op9_line_dedup(spark, folder):
+    rows = line_dedup.dedup_lines(table(spark, folder, "documents"))
+    return rows.select("doc_id", "removed_lines", F.length("text").cast("long").alias("kept_chars"),
+                       F.sha2("text", 256).alias("text_sha256"))
+
+
+def op10_order_minhash(spark, folder):
+    return order_minhash.fingerprint(table(spark, folder, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_secret_scan, op4_url_filter, op5_mixture_packing, op6_personal_data, op8_exact_dedup)}
+    op1_secret_scan, op4_url_filter, op5_mixture_packing, op6_personal_data, op8_exact_dedup,
+    op9_line_dedup, op10_order_minhash)}
