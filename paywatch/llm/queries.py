@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from paywatch.llm import exact_dedup, line_dedup, order_minhash, packing, pii, secrets, url_filter
+from paywatch.llm import exact_dedup, line_dedup, order_minhash, packing, pii, quality_mil, secrets, sentencepiece_nbest, url_filter
 from paywatch.llm.common import table
 
 
@@ -10,6 +10,19 @@ def op1_secret_scan(spark, folder):
     return secrets.scan_secrets(table(spark, folder, "documents"))
 
 
+def op2_quality_mil(spark, folder):
+    return quality_mil.score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op3_sentencepiece_nbest(spark, folder):
+    rows = sentencepiece_nbest.decode(sentencepiece_nbest.encode(table(spark, folder, "documents")))
+    changed = F.transform("changes", lambda c: F.concat_ws(
+        ":", c["rank"], c["start"], c["length"], F.array_join(c["ids"], " ")))
+    return rows.select(
+        "doc_id", F.size("ids").alias("n_pieces"), F.crc32(F.array_join("ids", " ").cast("binary")).alias("ids_crc32"),
+        "scores", F.array_join(changed, ",").alias("changes"), (F.col("decoded") == F.col("text")).alias("round_trip"))
+
+
 def op4_url_filter(spark, folder):
     return url_filter.judge_urls(table(spark, folder, "pages"))
 
@@ -37,5 +50,5 @@ def op10_order_minhash(spark, folder):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_secret_scan, op4_url_filter, op5_mixture_packing, op6_personal_data, op8_exact_dedup,
-    op9_line_dedup, op10_order_minhash)}
+    op1_secret_scan, op2_quality_mil, op3_sentencepiece_nbest, op4_url_filter,
+    op5_mixture_packing, op6_personal_data, op8_exact_dedup, op9_line_dedup, op10_order_minhash)}
