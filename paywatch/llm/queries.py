@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from paywatch.llm import exact_dedup, line_dedup, order_minhash, packing, pii, quality_mil, secrets, sentencepiece_nbest, url_filter
+from paywatch.llm import exact_dedup, line_dedup, ngram_join, order_minhash, packing, pii, quality_mil, secrets, sentencepiece_nbest, url_filter
 from paywatch.llm.common import table
 
 
@@ -35,6 +35,10 @@ def op6_personal_data(spark, folder):
     return pii.scan_personal_data(table(spark, folder, "documents"))
 
 
+def op7_ngram_join(spark, folder):
+    return ngram_join.near_duplicates(table(spark, folder, "documents"), k=4, percent=85)
+
+
 def op8_exact_dedup(spark, folder):
     return exact_dedup.exact_duplicates(table(spark, folder, "documents"))
 
@@ -51,4 +55,4 @@ def op10_order_minhash(spark, folder):
 
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_quality_mil, op3_sentencepiece_nbest, op4_url_filter,
-    op5_mixture_packing, op6_personal_data, op8_exact_dedup, op9_line_dedup, op10_order_minhash)}
+    op5_mixture_packing, op6_personal_data, op7_ngram_join, op8_exact_dedup, op9_line_dedup, op10_order_minhash)}
