@@ -206,19 +206,13 @@ def components(edges: DataFrame) -> DataFrame:
         before = now
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, counters: int = COUNTERS) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id.
-
-    Documents link when 100 * shared >= percent * union of their sets of k-word n-grams (A-Z in lower case);
-    component_id is the smallest doc_id that links lead to. Null and empty texts, and those of white space, have an empty set,
-    link with nothing and are their own component. Rows that repeat are in one component. A null doc_id gives no component
-    its name: a document that reaches null ids only has a null component_id. Other columns are ignored; an empty table gives none.
-    """
+def grouped(docs: DataFrame, k: int, percent: int, counters: int) -> DataFrame:
+    """doc_id, key (a hash of the text), size, root of each document; the root, which names its component, is null for empty sets."""
     docs = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     counts = frequencies(docs, k, counters)
     rows = stage(docs.withColumn("key", F.xxhash64("text")).mapInArrow(_describe(k, percent, counts), ROW), "prefixes")
     nodes = rows.where("size > 0").groupBy("sig1", "sig2", "size").agg(
-        F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "key")).alias("rep"),
+        F.min(F.struct("doc_id", "key")).alias("rep"),
         F.first("prefix").alias("prefix"), F.first("ranges").alias("ranges"))
     nodes = stage(nodes.withColumn("node", F.monotonically_increasing_id()), "classes")
 
@@ -247,11 +241,38 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, counters: in
     links = links.union(stage(_verified(pairs, docs, nodes, k, percent), "links"))
     roots = components(links)
 
-    named = nodes.select("node", "least", "sig1", "sig2", "size").join(roots, "node", "left")
-    named = named.withColumn("root", F.coalesce("root", "node"))
-    best = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = named.join(best, "root").select("sig1", "sig2", "size", "component_id")
-    out = rows.where("size > 0").select("doc_id", "sig1", "sig2", "size").join(named, ["sig1", "sig2", "size"])
-    out = out.select("doc_id", F.col("size").cast("long").alias("n_shingles"), "component_id")
-    none = rows.where("size = 0").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return out.unionByName(none)
+    named = nodes.select("node", "sig1", "sig2", "size").join(roots, "node", "left")
+    named = named.select("sig1", "sig2", "size", F.coalesce("root", "node").alias("root"))
+    full = rows.where("size > 0").join(named, ["sig1", "sig2", "size"])
+    columns = ["doc_id", "key", "size", "root"]
+    empty = rows.where("size = 0").withColumn("root", F.lit(None).cast("long"))
+    return stage(full.select(*columns).union(empty.select(*columns)), "groups")
+
+
+def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, counters: int = COUNTERS) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id.
+
+    Documents link when 100 * shared >= percent * union of their sets of k-word n-grams (A-Z in lower case);
+    component_id is the smallest doc_id that links lead to. Null and empty texts, and those of white space, have an empty set,
+    link with nothing and are their own component. Rows that repeat are in one component. A null doc_id gives no component
+    its name: a document that reaches null ids only has a null component_id. Other columns are ignored; an empty table gives none.
+    """
+    rows = grouped(docs, k, percent, counters)
+    best = rows.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    full = rows.join(best, "root").select("doc_id", F.col("size").cast("long").alias("n_shingles"), "component_id")
+    empty = rows.where("root is null").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    return full.unionByName(empty)
+
+
+def keep_one(docs: DataFrame, k: int = 5, percent: int = 80, counters: int = COUNTERS) -> DataFrame:
+    """The rows of `docs`, with their columns, of one document of each component: the smallest doc_id (null ids last), then the smallest
+    hash of the text; of rows that repeat both, one. Documents with an empty set all stay."""
+    rows = grouped(docs, k, percent, counters).withColumn("order", F.struct(F.col("doc_id").isNull(), "doc_id", "key"))
+    best = rows.where("root is not null").groupBy("root").agg(F.min("order").alias("order"))
+    best = best.select(F.col("order.doc_id").alias("_id"), F.col("order.key").alias("_key"))
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
+                         F.xxhash64(F.coalesce("text", F.lit(""))).alias("_own"))
+    full = F.coalesce("doc.text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    same = F.col("doc.doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_key"))
+    kept = packed.where(full).join(best, same).dropDuplicates(["_id", "_key"]).select("doc.*")
+    return kept.unionByName(packed.where(~full).select("doc.*"))
