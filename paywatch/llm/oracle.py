@@ -1,3 +1,81 @@
-"""DuckDB SQL for the text queries that SQL can express."""
+r"""DuckDB SQL for the text queries that SQL can express."""
 
-ORACLE = {}
+# Positions: every text is split by each pattern, and lengths of gaps and matches are summed up.
+_SECRETS = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, source, lang, coalesce(text, '') AS t FROM documents
+), patterns(k, kind, pattern) AS (VALUES
+    (0, 'assign', '(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)'),
+    (1, 'access', 'AKIA[A-Z0-9]+'),
+    (2, 'hex', '[0-9a-f]+'),
+    (3, 'token', '[A-Za-z0-9+/_-]{20,}')
+), parts AS (
+    SELECT r, source, lang, 0 AS k, regexp_extract_all(t, (SELECT pattern FROM patterns WHERE k = 0)) AS m,
+        string_split_regex(t, '(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)') AS g FROM docs
+    UNION ALL SELECT r, source, lang, 1, regexp_extract_all(t, 'AKIA[A-Z0-9]+'), string_split_regex(t, 'AKIA[A-Z0-9]+') FROM docs
+    UNION ALL SELECT r, source, lang, 2, regexp_extract_all(t, '[0-9a-f]+'), string_split_regex(t, '[0-9a-f]+') FROM docs
+    UNION ALL SELECT r, source, lang, 3, regexp_extract_all(t, '[A-Za-z0-9+/_-]{20,}'),
+        string_split_regex(t, '[A-Za-z0-9+/_-]{20,}') FROM docs
+), each AS (
+    SELECT r, source, lang, k, generate_subscripts(m, 1) AS i, unnest(m) AS m, unnest(list_slice(g, 1, len(m))) AS g
+    FROM parts WHERE len(m) > 0
+), placed AS (
+    SELECT *, CAST(sum(length(g) + length(m)) OVER (PARTITION BY r, k ORDER BY i) AS BIGINT) AS stop,
+        CASE WHEN k = 0 THEN regexp_extract(m, '(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2)
+            ELSE m END AS v FROM each
+), good AS (
+    SELECT *, stop - length(m) AS start FROM placed
+    WHERE CASE k WHEN 0 THEN length(v) >= 6 WHEN 1 THEN length(v) >= 20 WHEN 2 THEN length(v) >= 24
+        ELSE regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Z]') AND regexp_matches(v, '[a-z]') END
+), owned AS (
+    SELECT v, count(DISTINCT coalesce('=' || source, 'null')) AS owners FROM good GROUP BY v
+), judged AS (
+    SELECT good.*, patterns.kind, owners, owners <= 1 AS live
+    FROM good JOIN owned USING (v) JOIN patterns USING (k) WHERE k < 3 OR owners <= 1
+), spans AS (
+    SELECT r, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
+        coalesce(string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, k) FILTER (k < 3), '') AS base,
+        string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, k) AS spans,
+        count(*) FILTER (live) AS n_live, count(*) FILTER (NOT live) AS n_copied, max(owners) AS max_owners
+    FROM judged GROUP BY r
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+    sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live,
+    coalesce(n_copied, 0) AS n_copied, coalesce(max_owners, 0) AS max_owners
+FROM docs LEFT JOIN spans USING (r)"""
+
+_NEAR = r"""
+WITH RECURSIVE docs AS (
+    SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents
+), grams AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS g FROM docs
+), sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+links AS (
+    SELECT a.doc_id AS x, b.doc_id AS y FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id
+    JOIN sizes s ON s.doc_id = a.doc_id JOIN sizes t ON t.doc_id = b.doc_id
+    GROUP BY a.doc_id, b.doc_id, s.n, t.n HAVING 100 * count(*) >= 85 * (s.n + t.n - count(*))
+), both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reached(x, y) AS (
+    SELECT x, y FROM both_ways UNION SELECT reached.x, both_ways.y FROM reached JOIN both_ways ON reached.y = both_ways.x
+), least AS (SELECT x AS doc_id, min(y) AS y FROM reached GROUP BY x)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(y, doc_id)) AS component_id
+FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN least USING (doc_id)"""
+
+_EXACT = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, length(coalesce(text, '')) AS chars,
+        regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS t FROM documents
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY t ORDER BY chars DESC, doc_id, r) AS place,
+        first_value(doc_id) OVER (PARTITION BY t ORDER BY chars DESC, doc_id, r) AS keep_id,
+        count(*) OVER (PARTITION BY t) AS group_size FROM docs
+)
+SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(t) AS text_sha256 FROM ranked"""
+
+ORACLE = {
+    "op1_secret_scan": _SECRETS,
+    "op7_ngram_join": _NEAR,
+    "op8_exact_dedup": _EXACT,
+}

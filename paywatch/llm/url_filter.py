@@ -22,40 +22,44 @@ RULES = (
 )
 WIDTH = 1 << 14
 SIZES = (3, 4, 5)
-THRESHOLD = 0.5
+THRESHOLD = 0.6  # only what looks clearly unwanted
 
+# The labelled table: unwanted and wanted hosts with the same kinds of subdomains and everyday paths, so that these tell
+# nothing, and some telling paths.
 UNWANTED = """
-casino-royal.example.org/play online-casino.example.net/bonus lucky-slots.example.org/spin best-bets.example.net/odds
-free-spins.example.org/win poker-win.example.net/free bet-now.example.org/sports jackpot-winner.example.net/claim
-sports-betting.example.org/free-bets roulette-casino.example.org/en win-big.example.net/casino bingo-win.example.org/
-cheap-meds.example.net/order buy-pills.example.org/cheap discount-pharmacy.example.net/viagra online-pills.example.org/rx
-diet-pills.example.net/weight-loss cheap-viagra.example.org/buy no-prescription.example.net/pills pills-shop.example.org/
-ad-server.example.net/click ads-network.example.org/banner track-pixel.example.net/track adclick.example.org/redirect
-ads.example.net/ad?id=1 tracker.example.org/collect popup-ads.example.net/pop track-ads.example.org/impression
-spam-links.example.net/seo link-farm.example.org/links content-farm.example.net/spam seo-spam.example.org/backlinks
-spam-blog.example.net/farm cheap-backlinks.example.org/buy spam.example.org/farm doorway-farm.example.net/
-free-iphone.example.org/claim-prize get-rich.example.net/fast easy-money.example.org/win prize-claim.example.net/free
-cheap-watches.example.org/replica replica-bags.example.net/cheap cheap-loans.example.org/apply payday-loan.example.net/fast
-hot-singles.example.org/xxx adult-cams.example.net/live xxx-videos.example.org/porn porn-tube.example.net/free
-free-download.example.org/crack warez-keys.example.net/keygen torrent-crack.example.org/serial hack-tools.example.net/cheat
+casino-royal.example.org online-casino.example.net lucky-slots.example.org best-bets.example.net free-spins.example.org
+poker-win.example.net bet-now.example.org jackpot-winner.example.net sports-betting.example.org roulette.example.net
+win-big.example.net bingo-win.example.org cheap-meds.example.net buy-pills.example.org discount-pharmacy.example.net
+online-pills.example.org diet-pills.example.net cheap-viagra.example.org pills-shop.example.org ad-server.example.net
+ads-network.example.org track-pixel.example.net adclick.example.org ads.example.net tracker.example.org popup-ads.example.net
+track-ads.example.org spam-links.example.net link-farm.example.org content-farm.example.net seo-spam.example.org
+cheap-backlinks.example.org spam.example.org doorway-farm.example.net free-iphone.example.org get-rich.example.net
+easy-money.example.org prize-claim.example.net cheap-watches.example.org replica-bags.example.net cheap-loans.example.org
+payday-loan.example.net hot-singles.example.org adult-cams.example.net xxx-videos.example.org porn-tube.example.net
+adult-chat.example.org free-download.example.org warez-keys.example.net torrent-crack.example.org hack-tools.example.net
+adult-zone.example.org adult-videos.example.net adult-dating.example.org xxx-adult.example.net nude-photos.example.org
+gambling-bonus.example.net viagra-store.example.org malware-download.example.net
 """.split()
 WANTED = """
-library.example.org/catalogue/12 www.museum.example.net/visit university.example.org/research/papers.html
-blog.writer.example.net/2021/05/notes news.example.org/world/article-77 m.weather.example.net/today city.example.org/council
-recipes.example.net/bread/sourdough.html gardening.example.org/roses docs.python.example.net/tutorial/
-history.example.org/en/rome science.example.net/de/physik.html school.example.org/fr/cours/3 www.travel.example.net/es/sevilla
-hospital.example.org/departments archive.example.net/letters/1899 orchestra.example.org/programme blog.carpenter.example.net/oak
-forum.cyclists.example.org/thread/991 maps.example.net/region/north parliament.example.org/bills/44 m.radio.example.net/schedule
-wiki.example.org/wiki/Mountain encyclopedia.example.net/en/river astronomy.example.org/images/m31.html theatre.example.net/plays
-journal.example.org/vol/12/issue/3 institute.example.net/people/staff observatory.example.org/data blog.teacher.example.net/maths
-thornwood.example.org/en/120 renthal.example.net/de/45.html onderia.example.org/fr/8#top www.inthere.example.net/en/901/
-blog.statione.example.org/es/310?page=2 m.andering.example.net/en/17 eastend.example.org/en/512?utm_source=feed
-hesterton.example.net/de/66 www.therance.example.org/en/230.html atheon.example.net/en/77/ sheredan.example.org/en/3
-national-park.example.org/trails old-town.example.net/market water-supply.example.org/report open-data.example.net/sets
-village-hall.example.org/events book-club.example.net/reading bird-watch.example.org/species hill-farmers.example.net/sheep
-railway.example.org/timetable bakery.example.net/menu lawyers.example.org/contact notary.example.net/office
+library.example.org museum.example.net university.example.org writer.example.net news.example.org weather.example.net
+city.example.org recipes.example.net gardening.example.org docs.python.example.net history.example.org science.example.net
+school.example.org travel.example.net hospital.example.org archive.example.net orchestra.example.org carpenter.example.net
+cyclists.example.org maps.example.net parliament.example.org radio.example.net wiki.example.org encyclopedia.example.net
+astronomy.example.org theatre.example.net journal.example.org institute.example.net observatory.example.org teacher.example.net
+thornwood.example.org renthal.example.net onderia.example.org inthere.example.net statione.example.org andering.example.net
+eastend.example.org hesterton.example.net therance.example.org atheon.example.net sheredan.example.org national-park.example.org
+old-town.example.net water-supply.example.org open-data.example.net village-hall.example.org book-club.example.net
+bird-watch.example.org hill-farmers.example.net railway.example.org thesaurus.example.net thistles.example.org thinkers.example.net mathshelp.example.org
+thethings.example.net hearthshire.example.org earthshine.example.net themes.example.org
 """.split()
-SEEDS = [(f"https://{u}", 1.0) for u in UNWANTED] + [(f"https://{u}", 0.0) for u in WANTED]
+SUBDOMAINS = ("", "www.", "blog.", "m.")
+PATHS = ("/en/12", "/de/450/", "/fr/77.html", "/es/310?page=2", "/en/8#top", "/", "", "/en/901?utm_source=feed", "/about")
+TELLING = (("/casino/play", 1.0), ("/claim-prize", 1.0), ("/buy/cheap-pills", 1.0), ("/free-bets", 1.0), ("/adclick/redirect", 1.0),
+           ("/xxx/porn", 1.0), ("/research/papers", 0.0), ("/world/article-77", 0.0), ("/catalogue/books", 0.0),
+           ("/council/minutes", 0.0), ("/tutorial/intro", 0.0), ("/images/m31.html", 0.0))
+SEEDS = [(f"https://{SUBDOMAINS[i % 4]}{host}{PATHS[i % 9]}", label)
+         for hosts, label in ((UNWANTED, 1.0), (WANTED, 0.0)) for i, host in enumerate(hosts)]
+SEEDS += [(f"https://site{i}.example.org{path}", label) for i, (path, label) in enumerate(TELLING)]
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -83,10 +87,14 @@ def grams(host: Column, path: Column, sizes=SIZES) -> Column:
         text = F.concat(F.lit("^"), part, F.lit("$"))
         for n in sizes:
             every = F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1))
-            parts.append(F.transform(every, lambda g, m=mark: F.concat(F.lit(m), g)))
+            parts.append(_marked(every, mark))
     return reduce(lambda a, b: F.concat(a, b), parts)
 
 
+def _marked(all_grams: Column, mark: str) -> Column:
+    return F.transform(all_grams, lambda g: F.concat(F.lit(mark), g))
+
+
 def _features(urls: DataFrame) -> DataFrame:
     host, path = host_and_path(F.col("url"))
     return urls.withColumns({"host": host, "path": path}).withColumn("grams", grams(F.col("host"), F.col("path")))
