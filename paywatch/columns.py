@@ -1,7 +1,11 @@
 """Column catalog: one list shared by feature build, validation and training."""
 
+import logging
+
 from pyspark.sql import types as T
 
+log = logging.getLogger(__name__)
+
 TS = "event_timestamp"
 LABEL = "is_laundering"
 TX_ID = "tx_id"
@@ -78,9 +82,11 @@ MODEL_FEATURES = [
 ]
 
 # Lifetime counts see later payments, so they are left out of model inputs unless asked for.
+# Fixed values.
 LEAKY_FEATURES = ["num_unique_receivers", "num_unique_senders", "num_unique_banks"]
 STRICT_FEATURES = [c for c in MODEL_FEATURES if c not in LEAKY_FEATURES]
 
+# Columns of the run table.
 RUN_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType()),
     T.StructField("model_version", T.StringType()),
@@ -104,11 +110,18 @@ def missing_columns(df, wanted):
     return [c for c in wanted if c.lower() not in present]
 
 
+def has_column(df, name):
+    """Names compare as Spark compares them: without case."""
+    return not missing_columns(df, [name])
+
+
 def require_columns(df, wanted, strict=True):
-    """Raise when columns are absent, or return their names when `strict` is off."""
+    """Raise when columns are absent, or warn and return their names when `strict` is off."""
     absent = missing_columns(df, wanted)
     if absent and strict:
-        raise ValueError(f"missing columns ({len(absent)}): {', '.join(absent[:20])}; rebuild the feature table")
+        raise ValueError(f"the input lacks {len(absent)} wanted columns: {', '.join(absent)}")
+    if absent:
+        log.warning("going on without %d absent columns: %s", len(absent), ", ".join(absent))
     return absent
 
 

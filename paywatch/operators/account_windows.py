@@ -237,7 +237,7 @@ def _hot_rows(source: DataFrame, hot: HotKeys, columns):
     return hot.with_slot(rows), hot
 
 
-def _spread_outgoing(tx: DataFrame, hot: HotKeys) -> DataFrame:
+def _spread_outgoing(tx: DataFrame, hot: HotKeys, lookup) -> DataFrame:
     keys = list(hot.keys)
     narrow, hot = _hot_rows(tx, hot, [*FROM_KEYS, *TO_KEYS, "amount_paid"])
     history = slot_history(narrow, keys)
@@ -271,7 +271,8 @@ def _spread_outgoing(tx: DataFrame, hot: HotKeys) -> DataFrame:
         "prev_amount_paid": F.when(is_hot & first_in_slot, F.col("h_prev_amount"))
                              .otherwise(F.col("prev_amount_paid")),
         "time_since_last_txn_from": F.coalesce("time_since_last_txn_from", beyond("h_gap")),
-    }).drop(*[c for c in history.columns if c.startswith("h_")], "_group")
+    }).drop(*[c for c in history.columns if c.startswith("h_")])
+    rows = lookup(rows).drop("_group")
 
     # Earlier slots of the same counterparty: running counts over slots, not rows.
     pair = [*FROM_KEYS, *TO_KEYS]
@@ -285,7 +286,7 @@ def _spread_outgoing(tx: DataFrame, hot: HotKeys) -> DataFrame:
     return rows.withColumn("repeat_counterparty_count", total).drop("_seen", "_slot", "_k__slot", *[f"_k_{k}" for k in pair])
 
 
-def _spread_incoming(tx: DataFrame, hot: HotKeys, source: DataFrame) -> DataFrame:
+def _spread_incoming(tx: DataFrame, hot: HotKeys, source: DataFrame, lookup) -> DataFrame:
     keys = list(hot.keys)
     narrow, hot = _hot_rows(source, hot, [*keys, "from_account"])
     slots = narrow.select(*keys, "ts", "_slot").distinct()
@@ -296,30 +297,37 @@ def _spread_incoming(tx: DataFrame, hot: HotKeys, source: DataFrame) -> DataFram
     rows = with_incoming(hot.with_slot(tx).withColumn("_group", hot.group()), ["_group"])
     rows = _join_history(rows, history, hot)
     is_hot = F.col("_slot").isNotNull()
-    return rows.withColumns({
+    rows = rows.withColumns({
         "time_since_last_txn_to": F.coalesce("time_since_last_txn_to", F.when(is_hot, F.col("h_gap"))),
         "num_unique_senders": F.when(is_hot, F.col("h_senders")).otherwise(F.col("num_unique_senders")),
-    }).drop("h_gap", "h_senders", "_group", "_slot")
+    }).drop("h_gap", "h_senders")
+    return lookup(rows).drop("_group", "_slot")
 
 
 # ---- entry points -----------------------------------------------------------------------------
 
-def outgoing_features(tx: DataFrame, hot: HotKeys | None = None) -> DataFrame:
+def _as_they_are(rows):
+    return rows
+
+
+def outgoing_features(tx: DataFrame, hot: HotKeys | None = None, lookup=_as_they_are) -> DataFrame:
     """Adds the paying account's features. Unused ones are pruned by Catalyst when not selected.
 
     Without `hot` the busy accounts are counted first; only if there are any, their rows are written once.
+    `lookup` adds the account's attributes while rows are still partitioned by the account.
     """
     hot = find_hot_keys(tx, FROM_KEYS) if hot is None else hot
     if hot:
-        out = _spread_outgoing(tx, hot)
+        out = _spread_outgoing(tx, hot, lookup)
     else:
-        out = with_counterparties(with_rolling(with_previous(tx, FROM_KEYS), FROM_KEYS), FROM_KEYS)
+        out = lookup(with_counterparties(with_rolling(with_previous(tx, FROM_KEYS), FROM_KEYS), FROM_KEYS))
     return out.withColumn("is_new_counterparty", flag(F.col("repeat_counterparty_count") == 0))
 
 
-def incoming_features(tx: DataFrame, hot: HotKeys | None = None, source: DataFrame | None = None) -> DataFrame:
+def incoming_features(tx: DataFrame, hot: HotKeys | None = None, source: DataFrame | None = None,
+                      lookup=_as_they_are) -> DataFrame:
     """Adds the receiving account's features. `source` is the plain payment table behind `tx`, when
     `tx` already carries computed columns that a history pass should not compute again."""
     source = tx if source is None else source
     hot = find_hot_keys(source, TO_KEYS) if hot is None else hot
-    return _spread_incoming(tx, hot, source) if hot else with_incoming(tx, TO_KEYS)
+    return _spread_incoming(tx, hot, source, lookup) if hot else lookup(with_incoming(tx, TO_KEYS))

@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from paywatch import settings
+from paywatch.columns import has_column
 from paywatch.functions.scalars import parse_timestamp, to_double, to_label
 from paywatch.session import stage
 
@@ -10,7 +11,7 @@ from paywatch.session import stage
 def with_payment_ids(raw: DataFrame) -> DataFrame:
     """Raw payments with a `tx_id`. Made-up ids are written with the rows, so they stay the same when a
     lost task runs again; every later tie-break and join relies on that."""
-    if "tx_id" in raw.columns:
+    if has_column(raw, "tx_id"):
         return raw
     return stage(raw.withColumn("tx_id", F.monotonically_increasing_id()), "payments_with_ids")
 

@@ -5,6 +5,10 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, functions as F
 
 from paywatch import settings
+from paywatch.functions.arrays import count_not_above
+from paywatch.session import stage
+
+SAMPLE_PER_BLOCK = 64
 
 
 @dataclass(frozen=True)
@@ -13,13 +17,15 @@ class HotKeys:
 
     `frame` lists the accounts (at most `MAX_HOT_KEYS` rows, so it may be broadcast). `everything` means
     that list would be longer: then every account takes the spread path, which needs no list. `busy`
-    lists the minutes to split, again at most `MAX_HOT_KEYS`.
+    holds the minutes to split and the ids at which they are cut; `short` tells that they are at most
+    `MAX_HOT_KEYS`, so that list may be broadcast, too. Ids may be of any type that has an order.
     """
 
     keys: tuple
     frame: DataFrame | None = None
     everything: bool = False
     busy: DataFrame | None = None
+    short: bool = True
 
     def __bool__(self):
         return self.everything or self.frame is not None
@@ -41,9 +47,9 @@ class HotKeys:
         block = F.lit(0).cast("bigint")
         if self.busy is not None:
             at = [*self.keys, "ts"]
-            df = df.join(F.broadcast(renamed(self.busy, at, "_b_")), null_safe_match(at, "_b_"), "left")
-            share = (F.col("tx_id") - F.col("low")) / (F.col("high") - F.col("low") + 1)
-            block = F.coalesce(F.floor(share * F.col("blocks")), block)
+            busy = renamed(self.busy, at, "_b_")
+            df = df.join(F.broadcast(busy) if self.short else busy, null_safe_match(at, "_b_"), "left")
+            block = F.coalesce(count_not_above(F.col("cuts"), F.col("tx_id")).cast("bigint"), block)
         slot = F.when(hot, F.struct(F.col("ts").alias("minute"), block.alias("block")))
         return df.withColumn("_slot", slot).select(*columns, "_slot")
 
@@ -52,19 +58,28 @@ class HotKeys:
         return F.struct(*self.keys, "_slot")
 
     def with_busy_minutes(self, tx: DataFrame, max_rows=settings.HOT_KEY_ROWS, max_minutes=settings.MAX_HOT_KEYS):
-        """Looks for minutes of hot accounts with more than `max_rows` rows and plans id ranges of about that size.
-
-        Kept are the `max_minutes` busiest; any other minute holds at most 1/`max_minutes` of the rows.
+        """Looks for minutes of hot accounts with more than `max_rows` rows and cuts them at ids into blocks of about that
+        size. Cuts are quantiles of the `SAMPLE_PER_BLOCK` ids per block whose hashes fall into a range, so they follow
+        the ids whatever gaps these have, and the sample of a minute is a small share of its rows.
         """
         if not self:
             return self
-        minutes = self.only(tx.select("tx_id", "ts", *self.keys)).groupBy(*self.keys, "ts").agg(
-            F.count("*").alias("n"), F.min("tx_id").alias("low"), F.max("tx_id").alias("high"))
-        blocks = F.ceil(F.col("n") / F.lit(max_rows)).alias("blocks")
-        busy = minutes.filter(F.col("n") > max_rows).orderBy(F.desc("n")).limit(max_minutes)
-        busy = busy.select(*self.keys, "ts", "low", "high", blocks)
-        rows = busy.collect()
-        return replace(self, busy=tx.sparkSession.createDataFrame(rows, busy.schema)) if rows else self
+        at = [*self.keys, "ts"]
+        rows = self.only(tx.select("tx_id", *at))
+        minutes = rows.groupBy(*at).agg(F.count("*").alias("n")).filter(F.col("n") > max_rows)
+        minutes = stage(minutes.withColumn("blocks", F.ceil(F.col("n") / F.lit(max_rows))), "busy_minutes")
+        found = minutes.count()
+        if not found:
+            return self
+        short = found <= max_minutes
+        listed = renamed(minutes, at, "_b_")
+        sample = rows.join(F.broadcast(listed) if short else listed, null_safe_match(at, "_b_"))
+        chosen = F.pmod(F.xxhash64("tx_id"), F.col("n")) < SAMPLE_PER_BLOCK * F.col("blocks")
+        sample = sample.filter(chosen).groupBy(*at).agg(
+            F.sort_array(F.collect_list("tx_id")).alias("ids"), F.first("blocks").alias("blocks"))
+        parts = F.sequence(F.lit(1).cast("bigint"), F.greatest(F.col("blocks") - 1, F.lit(1)))
+        cuts = F.transform(parts, lambda i: F.get("ids", F.floor(F.size("ids") * i / F.col("blocks")).cast("int")))
+        return replace(self, busy=stage(sample.select(*at, cuts.alias("cuts")), "busy_cuts"), short=short)
 
 
 def renamed(df, keys, prefix="_k_"):

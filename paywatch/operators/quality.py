@@ -1,11 +1,15 @@
 """Health checks of the feature table and of training samples. Each is one pass of aggregates."""
 
+import logging
+
 from pyspark.sql import DataFrame, functions as F
 
 from paywatch import settings
 from paywatch.columns import KEYS, LABEL, MODEL_FEATURES, TS
 from paywatch.operators.quantiles import approximate_quantiles, exact_quantiles
 
+log = logging.getLogger(__name__)
+
 CHECKED = KEYS + [LABEL] + MODEL_FEATURES
 SHARES = (0.5, 0.9, 0.99)
 
@@ -124,9 +128,10 @@ def sample_checks(df: DataFrame, split="split", label=LABEL) -> DataFrame:
     })
 
 
-def require_trainable(df: DataFrame, split="split", label=LABEL, splits=("train", "test")):
-    """Raises unless every split has rows, no null label and both classes."""
-    seen = {r[split]: r for r in sample_checks(df, split, label).collect()}
+def require_trainable(checks: DataFrame, split="split", splits=("train", "test")):
+    """Raises unless every split has rows, no null label and both classes; warns of what makes metrics unstable.
+    `checks` are those of `sample_checks`."""
+    seen = {r[split]: r for r in checks.collect()}
     for name in splits:
         row = seen.get(name)
         if row is None:
@@ -135,6 +140,10 @@ def require_trainable(df: DataFrame, split="split", label=LABEL, splits=("train"
             raise ValueError(f"{name}: {row['null_labels']} null labels")
         if not row["both_classes"]:
             raise ValueError(f"{name}: one class only")
+        if row["few_positives"]:
+            log.warning("%s: only %d positives; metrics will vary much", name, row["positives"])
+        if row["few_rows"]:
+            log.warning("%s: only %d rows; metrics will vary much", name, row["rows"])
 
 
 def sample_profile(df: DataFrame, columns=MODEL_FEATURES) -> DataFrame:

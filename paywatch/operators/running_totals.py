@@ -1,22 +1,36 @@
 """Cumulative sums along a sorted column without sorting everything in one task."""
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Window, functions as F
 
+from paywatch.functions.arrays import count_not_above
+
 
-def running_totals(df: DataFrame, order: str, values, by=(), descending=False, buckets=128) -> DataFrame:
+def running_totals(df: DataFrame, order: str, values, by=(), descending=False, buckets=None) -> DataFrame:
     """Adds `cum_<v>` (sum up to and including the row) and `total_<v>` for each v in `values`.
 
     Needs one row per (by, order), so group first. Range buckets with about equally many rows come
-    from approximate quantiles of `order`; sums run inside each bucket in parallel and the sums of
-    earlier buckets, at most `buckets` rows per group, are added. A column with one heavy stretch of
-    values still splits evenly, since edges follow the rows. Groups in `by` must be few (models, windows).
+    from approximate quantiles of `order` within each group; sums run inside each bucket in parallel and
+    the sums of earlier buckets, at most `buckets` rows per group, are added. There are as many buckets as
+    shuffle partitions unless told otherwise, so they grow with the data as those do. A column with one
+    heavy stretch of values still splits evenly, since edges follow the rows. Groups in `by` must be few
+    (models, windows).
     """
     by = list(by)
+    buckets = buckets or max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     shares = [i / buckets for i in range(1, buckets)]
-    edges = df.agg(F.percentile_approx(order, shares, 100 * buckets))
-    df = df.withColumn("_edges", edges.scalar())
+    sketch = F.percentile_approx(order, shares, 100 * buckets)
+    if by:
+        edges = df.groupBy(*by).agg(sketch.alias("_edges"))
+        edges = edges.withColumnsRenamed({c: f"_of_{c}" for c in by})
+        same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in by])
+        df = df.join(F.broadcast(edges), same).drop(*[f"_of_{c}" for c in by])
+    else:
+        df = df.withColumn("_edges", df.agg(sketch).scalar())
     # Never null: otherwise the join below would test the bucket of every input row for null.
-    bucket = F.coalesce(F.size(F.filter("_edges", lambda e: e <= F.col(order))), F.lit(0))
+    bucket = F.coalesce(count_not_above(F.col("_edges"), F.col(order)), F.lit(0))
     df = df.withColumn("_bucket", bucket).drop("_edges")
 
     direction = F.col(order).desc() if descending else F.col(order).asc()

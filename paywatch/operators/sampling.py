@@ -93,13 +93,15 @@ def enforce_positive_rate(df: DataFrame, rate=settings.TARGET_TEST_RATE, label=L
     return take_lowest(df, rate_limits(df, rate, label), [label], seed)
 
 
-def natural_rate_sample(df: DataFrame, max_rows=settings.NATURAL_TEST_MAX_ROWS, rate=settings.TARGET_TEST_RATE,
+def natural_rate_sample(df: DataFrame, max_rows=None, rate=settings.TARGET_TEST_RATE,
                         label=LABEL, seed=settings.SEED, keys=None) -> DataFrame:
     """Test set at a realistic rate: cap the classes, drop repeated keys, then enforce the rate.
 
-    The capped set is written once (at most `max_rows` rows): the rate needs its counts and cut.
+    No `max_rows` means no cap. The set is written once before its rate is enforced, which needs counts and a cut.
     """
-    caps = {0: int(max_rows * (1 - rate)), 1: int(max_rows * rate)}
-    capped = class_cap(df, caps, label, seed)
+    if max_rows is None:
+        capped = df.filter(F.col(label).isin(0, 1))
+    else:
+        capped = class_cap(df, {0: int(max_rows * (1 - rate)), 1: int(max_rows * rate)}, label, seed)
     unique = stage(dedupe_keys(capped, keys) if keys else dedupe_keys(capped), "natural_rate_sample")
     return enforce_positive_rate(unique, rate, label, seed)

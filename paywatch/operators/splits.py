@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from paywatch import settings
-from paywatch.columns import EVENT_DATE, LABEL, TS
+from paywatch.columns import EVENT_DATE, LABEL, TS, has_column
 from paywatch.functions.scalars import days_before
 from paywatch.operators.running_totals import running_totals
 from paywatch.operators.sampling import class_sample, take_lowest
@@ -23,12 +23,12 @@ def with_split(df: DataFrame, days=settings.TEST_DAYS, ts=TS) -> DataFrame:
 def _before(df, time, ts):
     """Rows before `time`; the same bound on the partition column, where there is one, skips its folders."""
     early = F.col(ts) < time
-    return df.filter(early & (F.col(EVENT_DATE) <= F.to_date(time)) if EVENT_DATE in df.columns else early)
+    return df.filter(early & (F.col(EVENT_DATE) <= F.to_date(time)) if has_column(df, EVENT_DATE) else early)
 
 
 def _since(df, time, ts):
     late = F.col(ts) >= time
-    return df.filter(late & (F.col(EVENT_DATE) >= F.to_date(time)) if EVENT_DATE in df.columns else late)
+    return df.filter(late & (F.col(EVENT_DATE) >= F.to_date(time)) if has_column(df, EVENT_DATE) else late)
 
 
 def train_test(df: DataFrame, days=settings.TEST_DAYS, ts=TS):
@@ -47,14 +47,15 @@ def trailing_windows(df: DataFrame, days=settings.BACKTEST_DAYS, ts=TS, latest=N
 
 def backtest_windows(df: DataFrame, days=settings.BACKTEST_DAYS, fractions=None, caps=None,
                      ts=TS, label=LABEL, seed=settings.SEED) -> DataFrame:
-    """Trailing windows, sampled per class with a cap per (window, class).
+    """Trailing windows, sampled per class, with a cap per (window, class) where `caps` are given.
 
     The fraction filter comes before the copies; the latest time is that of all rows.
     """
     fractions = settings.BACKTEST_FRACTIONS if fractions is None else fractions
-    caps = settings.BACKTEST_CAPS if caps is None else caps
     latest = df.agg(F.max(ts)).scalar()
     inside = trailing_windows(class_sample(df, fractions, label, seed), days, ts, latest)
+    if not caps:
+        return inside
     rows = [(d, c, int(n)) for d in days for c, n in caps.items()]
     limits = df.sparkSession.createDataFrame(rows, f"window_days int, {label} int, keep bigint")
     return take_lowest(inside, limits, ["window_days", label], seed)
@@ -72,6 +73,13 @@ def fold_starts(df: DataFrame, folds=settings.CV_FOLDS, ts=TS) -> DataFrame:
     ]).alias("starts"))
 
 
+def fold_start_literals(df: DataFrame, folds=settings.CV_FOLDS, ts=TS):
+    """`fold_starts` as literals of the column's own type. They travel as text, since a Python time would be read
+    in the zone of the Python process; literals, since a subquery would run again in every pass that uses it."""
+    starts = fold_starts(df, folds, ts).select(F.transform("starts", lambda s: s.cast("string"))).first()[0]
+    return [F.lit(s).cast(df.schema[ts].dataType) for s in starts]
+
+
 def time_series_folds(df: DataFrame, folds=settings.CV_FOLDS, ts=TS) -> DataFrame:
     """Each row with its `fold` and `role`: train before a fold's block, validate inside it."""
     out = df.withColumn("_starts", fold_starts(df, folds, ts).scalar())

@@ -14,15 +14,17 @@ def transaction_features(tx: DataFrame, accounts: DataFrame, hot_from=None, hot_
     """All feature columns plus `tx_id`, from cleaned payments.
 
     Each side's account lookup follows that side's windows, so a sort-merge lookup finds the rows
-    already partitioned by (bank, account): two shuffles of the payments in all.
+    already partitioned by account: two shuffles of the payments in all, and a third, by pair of accounts, where
+    there are hot accounts.
     """
     dimension = account_dimension(accounts)
     hot_from = find_hot_keys(tx, FROM_KEYS) if hot_from is None else hot_from
     hot_to = find_hot_keys(tx, TO_KEYS) if hot_to is None else hot_to
-    out = outgoing_features(tx, hot_from)
-    out = with_account_side(out, dimension, "from", hot_from)
-    out = incoming_features(out, hot_to, source=tx)
-    out = with_account_side(out, dimension, "to", hot_to)
+    def attributes(side, hot):
+        return lambda rows: with_account_side(rows, dimension, side, hot)
+
+    out = outgoing_features(tx, hot_from, attributes("from", hot_from))
+    out = incoming_features(out, hot_to, tx, attributes("to", hot_to))
     return _typed(with_ratios(with_amount_flags(with_calendar(out))))
 
 

@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from paywatch import settings
 from paywatch.columns import (
-    EVENT_DATE, KEYS, LABEL, LEAKY_FEATURES, MODEL_FEATURES, TS, require_columns, select_present,
+    EVENT_DATE, KEYS, LABEL, LEAKY_FEATURES, MODEL_FEATURES, TS, has_column, require_columns, select_present,
 )
 from paywatch.operators import evaluation, models, sampling, splits
 from paywatch.operators.dedup import dedupe_keys
-from paywatch.operators.quality import require_trainable
+from paywatch.operators.quality import require_trainable, sample_checks, sample_profile
 from paywatch.session import shared_folder, stage
 from paywatch.sources import runs
 
@@ -22,17 +22,16 @@ class TrainingConfig:
     exclude_leaky: bool = True
     strict_columns: bool = True
     train_fractions: dict = field(default_factory=lambda: dict(settings.TRAIN_FRACTIONS))
-    # Caps are off by default: training is distributed and needs none.
+    # Caps are off by default, here and below: all steps are distributed and need none.
     train_caps: dict | None = None
     natural_test_rate: bool = True
     target_rate: float = settings.TARGET_TEST_RATE
-    natural_max_rows: int = settings.NATURAL_TEST_MAX_ROWS
+    natural_max_rows: int | None = None
     test_fractions: dict = field(default_factory=lambda: dict(settings.TEST_FRACTIONS))
-    test_caps: dict | None = field(
-        default_factory=lambda: sampling.class_split(settings.MAX_TEST_ROWS, settings.MAX_POS_TEST))
+    test_caps: dict | None = None
     backtest_days: tuple = settings.BACKTEST_DAYS
     backtest_fractions: dict = field(default_factory=lambda: dict(settings.BACKTEST_FRACTIONS))
-    backtest_caps: dict = field(default_factory=lambda: dict(settings.BACKTEST_CAPS))
+    backtest_caps: dict | None = None
     params: models.TreeParams = models.TreeParams()
     trials: int = 0
     forest_trees: int = 400
@@ -77,6 +76,20 @@ def train_and_test(data: DataFrame, config: TrainingConfig):
     return train, stage(test, "test")
 
 
+def pre_training_reports(train: DataFrame, test: DataFrame, features) -> dict:
+    """Checks per split, null rates, repeated keys per split and a profile of the features; one row per split or
+    column each, written once."""
+    both = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+    repeated = both.groupBy("split", *KEYS).agg(F.count("*").alias("n")).groupBy("split").agg(
+        F.count_if(F.col("n") > 1).alias("repeated_keys"), F.sum(F.when(F.col("n") > 1, F.col("n") - 1).otherwise(0)).alias("extra_rows"))
+    return {
+        "checks": stage(sample_checks(both), "checks"),
+        "repeated_keys": stage(repeated, "repeated_keys"),
+        "train_profile": stage(sample_profile(train, features), "train_profile"),
+        "test_profile": stage(sample_profile(test, features), "test_profile"),
+    }
+
+
 def reports(scores: DataFrame) -> dict:
     """Every operating view of one model's scores."""
     youden = evaluation.best_threshold(scores, "youden").first()["threshold"]
@@ -100,16 +113,16 @@ def train_and_evaluate(features: DataFrame, config=TrainingConfig(), model_folde
     spark = features.sparkSession
     data = model_input(features, config)
     train, test = train_and_test(data, config)
-    both = train.select(LABEL).withColumn("split", F.lit("train")).unionByName(
-        test.select(LABEL).withColumn("split", F.lit("test")))
-    require_trainable(both)
+    wanted = [c for c in config.features if has_column(train, c)]
+    checks = pre_training_reports(train, test, wanted)
+    require_trainable(checks["checks"])
 
-    prepared = models.fit_preparation(train, [c for c in config.features if c in train.columns])
+    prepared = models.fit_preparation(train, wanted)
     keep = prepared.keep
     ready, ready_test = stage(prepared.apply(train), "train_ready"), stage(prepared.apply(test), "test_ready")
     params = config.params
     if config.trials:
-        params = models.search(train, config.features, models.random_trials(config.trials, config.seed))[0][0]
+        params = models.search(train, wanted, models.random_trials(config.trials, config.seed))[0][0]
 
     fitted = {
         "boosted_trees": models.fit_boosted_trees(ready, keep, params, seed=config.seed),
@@ -132,6 +145,7 @@ def train_and_evaluate(features: DataFrame, config=TrainingConfig(), model_folde
     backtest = stage(evaluation.backtest_metrics(
         backtest.select("window_days", "tx_id", F.col(LABEL).alias("label"), "score")), "backtest")
     views = {
+        **checks,
         **reports(scores),
         "backtest": backtest,
         "stability": evaluation.stability_trend(backtest),

@@ -61,10 +61,10 @@ def test_required_columns(frames):
 def test_trainable_guard(spark):
     rows = [("train", 0), ("train", 1), ("test", 0), ("test", 1)]
     schema = "split string, is_laundering int"
-    quality.require_trainable(spark.createDataFrame(rows, schema))
+    quality.require_trainable(quality.sample_checks(spark.createDataFrame(rows, schema)))
     for broken, message in ((rows[:2], "no rows"), (rows[:3], "one class"), (rows + [("test", None)], "null labels")):
         with pytest.raises(ValueError, match=message):
-            quality.require_trainable(spark.createDataFrame(broken, schema))
+            quality.require_trainable(quality.sample_checks(spark.createDataFrame(broken, schema)))
 
 
 def test_quality_on_empty_table(spark):
