@@ -11,67 +11,116 @@ totals of the queues are needed, so each partition computes its own windows and
 without a pass from one to the next. Only the last window can be short.
 """
 
+import re
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
-from paywatch.llm.common import slices
+from paywatch.llm.common import slices, utf8
 from paywatch.session import stage
 
 WINDOW = 2048
 QUANTUM = 256
 QUEUES = 256
-MEMORY = 400_000
+MEMORY = 600_000
 VOCABULARY = "word_bpe_49k.json"
 END = 1
 
-_words: dict[str, dict[bytes, np.ndarray]] = {}
-_tokenizers: dict[str, object] = {}
+# Kinds of bytes for cutting: 1 ASCII letters, 2 ASCII signs except the apostrophe, 3 white space, 0 all others.
+KINDS = np.zeros(256, np.uint8)
+KINDS[[*range(65, 91), *range(97, 123)]] = 1
+KINDS[[c for c in (*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)) if c != ord("'")]] = 2
+KINDS[[9, 10, 11, 12, 13, 32]] = 3
+LATIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
 
+_known: dict[str | None, "Units"] = {}
 
-def tokenizer(path: str | None):
-    if path not in _tokenizers:
+
+class Units:
+    """Encoded units of one vocabulary, up to MEMORY of them, as one array of ids."""
+
+    def __init__(self, path: str | None):
         import os
 
         import public_tokenizers
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        made = Tokenizer.from_file(path or public_tokenizers.path(VOCABULARY))
-        made.encode_special_tokens = True  # their strings in a text are ordinary text
-        _tokenizers[path] = made
-    return _tokenizers[path]
+        self.tokenizer = Tokenizer.from_file(path or public_tokenizers.path(VOCABULARY))
+        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.model = self.tokenizer.model
+        # Byte-level vocabularies write a byte as this character.
+        hidden = [*range(33), *range(127, 161), 173]
+        self.shown = {b: chr(b) for b in range(256)} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+        self.clear()
+
+    def clear(self):
+        self.numbers: dict[str, int] = {}
+        self.ids = np.zeros(1 << 20, np.uint16)
+        self.ends = np.zeros(1 << 18, np.int64)
+
+    def encode(self, unit: str) -> list[int]:
+        if LATIN.fullmatch(unit):  # one run of small letters: nothing to normalise or to split
+            return [t.id for t in self.model.tokenize("".join(map(self.shown.get, unit.encode())))]
+        return self.tokenizer.encode(unit, add_special_tokens=False).ids
+
+    def of(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """First place and size, in `self.ids`, of each unit."""
+        if len(self.numbers) > MEMORY:
+            self.clear()
+        numbers, count = self.numbers, len(self.numbers)
+        new = [u for u in units if u not in numbers]
+        found = [self.encode(u) for u in new]
+        numbers.update(zip(new, range(count, count + len(new))))
+        flat = np.fromiter(chain.from_iterable(found), np.int64)
+        if len(flat) and flat.max() >= 1 << 16:
+            raise ValueError("ids beyond 16 bits")
+        used = int(self.ends[count])
+        ends = used + np.cumsum([len(f) for f in found], dtype=np.int64)
+        while used + len(flat) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        while count + len(new) >= len(self.ends):
+            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
+        self.ids[used:used + len(flat)] = flat
+        self.ends[count + 1:count + 1 + len(new)] = ends
+        which = np.fromiter((numbers[u] for u in units), np.int64, len(units))
+        return self.ends[which], self.ends[which + 1] - self.ends[which]
 
 
 def encode(texts: pa.Array, path: str | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all texts in a row, and the border of each. This vocabulary drops white space and no token crosses
-    it, so a text is the sequence of its words: each different word is encoded once, and a worker remembers up to
-    MEMORY of them."""
-    words = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
-    borders = np.concatenate([[0], np.cumsum(pc.list_value_length(words).to_numpy(zero_copy_only=False))])
-    coded = pc.list_flatten(words).dictionary_encode()
-    known = _words.setdefault(path, {})
-    if len(known) > MEMORY:
-        known.clear()
-    keys = coded.dictionary.to_pylist()
-    new = [k for k in keys if k not in known]
-    for k, e in zip(new, tokenizer(path).encode_batch_fast(new, add_special_tokens=False)):
-        known[k] = np.array(e.ids, np.uint16 if max(e.ids, default=0) < 1 << 16 else np.uint32).tobytes() \
-            if not e.ids or max(e.ids) < 1 << 16 else None
-        if known[k] is None:
-            raise ValueError("ids beyond 16 bits")
-    sizes = np.array([len(known[k]) // 2 for k in keys], np.int64)
-    pool = np.frombuffer(b"".join(known[k] for k in keys), np.uint16)
-    starts = np.cumsum(sizes) - sizes
+    """Ids of all texts in a row, and the border of each. This vocabulary drops white space and lowers case, and no token
+    crosses white space or the border of an ASCII letter and a sign other than the apostrophe. So a text is the sequence of
+    its units between such borders, and each different unit is encoded once. A-Z are lowered first where no other
+    character than ASCII follows, which might combine with them."""
+    data, borders = utf8(texts)
+    kinds = KINDS[data]
+    before = np.concatenate([np.full(min(1, len(kinds)), 3, np.uint8), kinds[:-1]])
+    cut = (before == 3) | (kinds + before == 3) & (kinds != 3) & (kinds != 0) & (before != 0)
+    first = np.zeros(len(data) + 1, bool)
+    first[borders[:-1]] = True
+    cut |= first[:-1]
+    plain = np.append(data[1:] < 128, True)[:len(data)] | np.append(first[1:-1], True)[:len(data)]
+    data = data + (((data >= 65) & (data <= 90) & plain) * np.uint8(32))
+    keep = kinds != 3
+    starts = np.flatnonzero((cut & keep)[keep])
+    solid = data[keep]
+    per_text = np.concatenate([[0], np.cumsum(cut & keep)])[borders]
+    units = pa.StringArray.from_buffers(len(starts), pa.py_buffer(np.append(starts, len(solid)).astype(np.int32)),
+                                        pa.py_buffer(solid.tobytes()))
+    coded = units.dictionary_encode()
+    if path not in _known:
+        _known[path] = Units(path)
+    known = _known[path]
+    firsts, sizes = known.of(coded.dictionary.to_pylist())
     which = coded.indices.to_numpy(zero_copy_only=False)
     lengths = sizes[which]
     ends = np.cumsum(lengths)
     total = int(ends[-1]) if len(ends) else 0
-    ids = pool[np.arange(total) + np.repeat(starts[which] - (ends - lengths), lengths)] if total else pool[:0]
-    return ids, np.concatenate([[0], ends])[borders]
+    ids = known.ids[np.arange(total) + np.repeat(firsts[which] - (ends - lengths), lengths)]
+    return ids, np.concatenate([[0], ends])[per_text]
 
 
 def _tokenise(path):
@@ -122,26 +171,32 @@ def due_before(ends: np.ndarray, queue: int, totals: list[int], quantum: int) ->
     return out
 
 
-def layout(place: int, size: int, queue: int, totals: list[int], quantum: int, window: int):
-    """Pieces of one document: arrays of start, length and position in the stream."""
-    first, last = place // quantum, (place + size - 1) // quantum
-    k = np.arange(first, last + 1, dtype=np.int64)
-    starts = np.maximum(k * quantum, place)
-    stops = np.minimum((k + 1) * quantum, place + size)
-    at = due_before(np.minimum((k + 1) * quantum, totals[queue]), queue, totals, quantum) + starts - k * quantum
-    lengths = stops - starts
+def layout(place: np.ndarray, size: np.ndarray, queue: np.ndarray, totals: list[int], quantum: int, window: int):
+    """Pieces of documents: arrays of document, start, length and position in the stream, in the documents' order."""
+    first = place // quantum
+    count = (place + size - 1) // quantum - first + 1
+    doc = np.repeat(np.arange(len(place)), count)
+    k = first[doc] + np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
+    starts = np.maximum(k * quantum, place[doc])
+    lengths = np.minimum((k + 1) * quantum, (place + size)[doc]) - starts
+    at = starts - k * quantum
+    ends = np.minimum((k + 1) * quantum, np.array(totals)[queue[doc]])
+    for q in np.unique(queue).tolist():
+        mine = queue[doc] == q
+        at[mine] += due_before(ends[mine], q, totals, quantum)
     cut = at // window * window + window - at  # a quantum is no longer than a window: at most one cut
     two = np.flatnonzero(lengths > cut)
-    starts, at, lengths = (np.concatenate(x) for x in (
-        (starts, starts[two] + cut[two]), (at, at[two] + cut[two]),
+    doc, starts, at, lengths = (np.concatenate(x) for x in (
+        (doc, doc[two]), (starts, starts[two] + cut[two]), (at, at[two] + cut[two]),
         (np.minimum(lengths, cut), lengths[two] - cut[two])))
-    order = np.argsort(starts, kind="stable")
-    starts, at, lengths = starts[order] - place, at[order], lengths[order]
+    order = np.lexsort((starts, doc))
+    doc, starts, at, lengths = doc[order], starts[order], at[order], lengths[order]
     # Pieces that follow each other in the same window are one piece.
     joined = np.zeros(len(starts), bool)
-    joined[1:] = (at[1:] == at[:-1] + lengths[:-1]) & (at[1:] % window != 0)
+    joined[1:] = (doc[1:] == doc[:-1]) & (at[1:] == at[:-1] + lengths[:-1]) & (at[1:] % window != 0)
     heads = np.flatnonzero(~joined)
-    return starts[heads], np.add.reduceat(lengths, heads), at[heads]
+    doc = doc[heads]
+    return doc, starts[heads] - place[doc], np.add.reduceat(lengths, heads), at[heads]
 
 
 def _pieces(names: list, totals: list[int], quantum: int, window: int):
@@ -149,21 +204,16 @@ def _pieces(names: list, totals: list[int], quantum: int, window: int):
 
     def run(batches):
         for part in slices(batches, "ids"):
-            docs, pieces = [], []
-            ids = part.column("ids").to_pylist()
-            queues = [number[q] for q in part.column("queue").to_pylist()]
-            for i, (data, place, size, queue) in enumerate(zip(
-                    ids, part.column("place").to_pylist(), part.column("doc_tokens").to_pylist(), queues)):
-                wide = np.frombuffer(data, "<u2").astype("<u4").tobytes()
-                found = layout(place, size, queue, totals, quantum, window)
-                for start, length, at in zip(*(x.tolist() for x in found)):
-                    docs.append(i)
-                    pieces.append((start, length, zlib.crc32(wide[4 * start:4 * (start + length)]), at // window, at % window))
-            columns = [np.array(c, np.int64) for c in zip(*pieces)]
-            of = pa.array(docs, pa.int64())
+            place, size = (part.column(c).to_numpy() for c in ("place", "doc_tokens"))
+            queue = np.array([number[q] for q in part.column("queue").to_pylist()])
+            doc, start, length, at = layout(place, size, queue, totals, quantum, window)
+            wide = memoryview(np.frombuffer(b"".join(part.column("ids").to_pylist()), "<u2").astype("<u4")).cast("B")
+            begin = 4 * ((np.cumsum(size) - size)[doc] + start)
+            sums = [zlib.crc32(wide[a:b]) for a, b in zip(begin.tolist(), (begin + 4 * length).tolist())]
+            of = pa.array(doc)
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id").take(of), *map(pa.array, columns[:3]), part.column("doc_tokens").take(of),
-                 *map(pa.array, columns[3:]), part.column("queue").take(of)],
+                [part.column("doc_id").take(of), pa.array(start), pa.array(length), pa.array(sums, pa.int64()),
+                 part.column("doc_tokens").take(of), pa.array(at // window), pa.array(at % window), part.column("queue").take(of)],
                 names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "queue"])
 
     return run
