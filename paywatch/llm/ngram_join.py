@@ -1,15 +1,15 @@
 r"""Near duplicates by an exact Jaccard join on word n-grams.
 
-Documents with the same set of n-grams form a class; the join runs on classes. N-grams are ordered rare first, by
-counts over the whole corpus. Two sets with a Jaccard similarity of at least t share an n-gram among the first
+Documents with the same set of n-grams form a class; the join runs on classes. N-grams are ordered rare first, by counts
+of n-grams and words over the whole corpus. Two sets with a Jaccard similarity of at least t share an n-gram among the first
 n - ceil(t n) + 1 of each, so only those prefixes are joined. Sizes (length filter), places of the shared n-gram (positional filter)
 and sizes of 64 hash ranges of both sets (suffix filter: what each range can share at most) throw out pairs; the rest are verified
 on whole sets, each pair once.
 
-Only groups are asked for, so no list of a prefix n-gram is turned into all its pairs. First each class is compared with
-the head of its lists; classes that link are one component. Then only pairs of different components are left in
-a list, and those are all compared, so no link between components is lost. A list with thousands of near copies costs
-thousands of comparisons.
+Only groups are asked for, so no list of a prefix n-gram is turned into all its pairs. In each of a few rounds every class
+is compared with one head of its lists, the member that shares most of its n-grams with others and was no head yet; classes
+that link are one component. Lists within one component are done. In the lists that are left, all pairs of different components
+are compared, so no link between components is lost. A list with thousands of near copies costs thousands of comparisons.
 """
 
 import numpy as np
@@ -21,16 +21,17 @@ from pyspark.sql import DataFrame, functions as F
 from paywatch.llm.common import mix, slices, utf8
 from paywatch.session import stage
 
-COUNTERS = 1 << 18  # of the table of n-gram counts
-BLOCK = 1 << 12
+GRAMS, WORDS = 1 << 18, 1 << 20  # counters of n-grams and of words
+BLOCK = 1 << 14
+ROUNDS = 2
 RANGES = 64
 SALTS = 64
 ROW = ("doc_id long, key long, size int, sig1 long, sig2 long, prefix array<long>, ranges binary")
 
 
-def shingles(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of every text's word n-grams in order, A-Z in lower case, and the border of each text. A text with fewer
-    words has one n-gram of all its words; one without words none."""
+def shingles(column: pa.Array, k: int):
+    """64-bit hashes of every text's word n-grams in order, A-Z in lower case; the border of each text; hashes of all words; for
+    each n-gram its first word and its number of words. A text with fewer words has one n-gram of all its words; one without words none."""
     data, borders = utf8(column)
     data = data + (((data >= 65) & (data <= 90)) * np.uint8(32))
     column = pa.StringArray.from_buffers(len(borders) - 1, pa.py_buffer(borders.astype(np.int32)), pa.py_buffer(data))
@@ -52,23 +53,33 @@ def shingles(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
     for j in range(k):
         factor = np.uint64(xxhash.xxh64_intdigest(b"word", j + 1) | 1)
         out += np.where(length > j, mix(padded[first + j]) * factor, np.uint64(0))
-    return mix(out), out_ends
+    return mix(out), out_ends, words, first, length
+
+
+def at_most(tables: np.ndarray, hashes, words, first, length, k: int) -> np.ndarray:
+    """For each n-gram a number of times that it doesn't exceed in the corpus: the least count of itself and its words."""
+    out = tables[(hashes & np.uint64(GRAMS - 1)).astype(np.int64)]
+    of_words = np.append(tables[GRAMS + (words & np.uint64(WORDS - 1)).astype(np.int64)], np.zeros(k, tables.dtype))
+    for j in range(k):
+        out = np.where(length > j, np.minimum(out, of_words[first + j]), out)
+    return out
 
 
 def sets(column: pa.Array, k: int):
     """Yields the sorted distinct n-gram hashes of each text."""
-    hashes, borders = shingles(column, k)
+    hashes, borders, *_ = shingles(column, k)
     for a, b in zip(borders[:-1].tolist(), borders[1:].tolist()):
         part = np.sort(hashes[a:b])
         yield part[np.concatenate([[True], part[1:] != part[:-1]])] if b > a else part
 
 
-def _count(k, counters):
+def _count(k):
     def run(batches):
-        counts = np.zeros(counters, np.int64)
+        counts = np.zeros(GRAMS + WORDS, np.int64)
         for part in slices(batches, "text"):
-            hashes, _ = shingles(part.column("text"), k)
-            counts += np.bincount((hashes & np.uint64(counters - 1)).astype(np.int64), minlength=counters)
+            hashes, _, words, *_ = shingles(part.column("text"), k)
+            counts[:GRAMS] += np.bincount((hashes & np.uint64(GRAMS - 1)).astype(np.int64), minlength=GRAMS)
+            counts[GRAMS:] += np.bincount((words & np.uint64(WORDS - 1)).astype(np.int64), minlength=WORDS)
         if counts.any():
             blocks = counts.astype("<u4" if counts.max() < 1 << 32 else "<u8").reshape(-1, BLOCK)
             yield pa.RecordBatch.from_arrays(
@@ -83,31 +94,36 @@ def _sum(frame):
     return frame.iloc[:1].assign(counts=[total.tobytes()])
 
 
-def frequencies(docs: DataFrame, k: int, counters: int = COUNTERS) -> np.ndarray:
-    """How many n-grams of all documents fall on each of `counters` hash values. N-grams that are not frequent differ by
-    the chance of a counter's other n-grams only, whose spread grows with the square root of the corpus; frequent ones stand out. The
-    order that follows is the same for all documents, which is all that exactness needs."""
-    blocks = docs.select("text").mapInArrow(_count(k, counters), "block int, counts binary")
+def frequencies(docs: DataFrame, k: int) -> np.ndarray:
+    """How many n-grams, and how many words, of all documents fall on each of a fixed number of hash values: bounds on
+    their counts. Words are few against texts, so bounds on rare words are sharp, and most texts have rare words; a counter of
+    n-grams shows those that stand out. The order that follows is the same for all documents, which is all that exactness needs."""
+    blocks = docs.select("text").mapInArrow(_count(k), "block int, counts binary")
     blocks = blocks.withColumn("salt", F.spark_partition_id() % SALTS)
     parts = blocks.groupBy("block", "salt").applyInPandas(_sum, "block int, counts binary, salt int")
     whole = parts.groupBy("block").applyInPandas(_sum, "block int, counts binary, salt int")
-    out = np.zeros(counters, np.uint64)
+    out = np.zeros(GRAMS + WORDS, np.uint64)
     for r in whole.select("block", "counts").collect():
         out[r.block * BLOCK:(r.block + 1) * BLOCK] = np.frombuffer(r.counts, "<u8")
     return np.minimum(out, (1 << 32) - 1).astype(np.uint32)
 
 
-def _describe(k, percent, counts):
-    mask = np.uint64(len(counts) - 1)
-
+def _describe(k, percent, tables):
     def run(batches):
         for part in slices(batches, "text"):
             rows = []
-            for own in sets(part.column("text"), k):
+            hashes, borders, *more = shingles(part.column("text"), k)
+            bound = at_most(tables, hashes, *more, k)
+            for a, b in zip(borders[:-1].tolist(), borders[1:].tolist()):
+                order = np.argsort(hashes[a:b], kind="stable")
+                own = hashes[a:b][order]
+                new = np.ones(len(own), bool)
+                new[1:] = own[1:] != own[:-1]
+                own, rarity = own[new], bound[a:b][order][new]
                 n = len(own)
                 # Pairs with 100 * shared >= percent * union share at least ceil(percent * n / 100).
                 first = n - -(-percent * n // 100) + 1 if n else 0
-                order = np.argsort(counts[own & mask], kind="stable")[:first]
+                order = np.argsort(rarity, kind="stable")[:first]
                 mixed = mix(own)
                 sums = mixed.sum(dtype=np.uint64), np.bitwise_xor.reduce(mixed * np.uint64(0x9E3779B97F4A7C15))
                 sums = [int(np.uint64(s).astype(np.int64)) for s in sums]
@@ -185,6 +201,25 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, k: int, perce
     return rows.mapInArrow(_verify(percent), "a long, b long")
 
 
+def _ordered(x, y):
+    return F.greatest(x, y).alias("a"), F.least(x, y).alias("b")
+
+
+def _compared(pairs: DataFrame, done, docs: DataFrame, nodes: DataFrame, k: int, percent: int):
+    """(pairs that passed the filters, those of them that link); pairs in `done` are not compared again."""
+    if done is not None:
+        pairs = pairs.join(done, ["a", "b"], "left_anti")
+    pairs = stage(_narrowed(pairs, nodes, percent), "pairs")
+    return pairs, stage(_verified(pairs, docs, nodes, k, percent), "links")
+
+
+def _mixed(entries: DataFrame, roots: DataFrame):
+    """The entries, with their component, of lists that hold several components; and the components."""
+    rows = entries.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    mixed = rows.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    return stage(rows.join(mixed.select("gram"), "gram"), "mixed"), roots
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node with an edge (a, b): the smallest node it reaches. Alternates large-star and small-star
     (Kiveris et al., 2014); a node with very many edges is only ever aggregated or joined, never listed."""
@@ -206,40 +241,48 @@ def components(edges: DataFrame) -> DataFrame:
         before = now
 
 
-def grouped(docs: DataFrame, k: int, percent: int, counters: int) -> DataFrame:
+def grouped(docs: DataFrame, k: int, percent: int, rounds: int) -> DataFrame:
     """doc_id, key (a hash of the text), size, root of each document; the root, which names its component, is null for empty sets."""
     docs = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    counts = frequencies(docs, k, counters)
-    rows = stage(docs.withColumn("key", F.xxhash64("text")).mapInArrow(_describe(k, percent, counts), ROW), "prefixes")
+    tables = frequencies(docs, k)
+    rows = stage(docs.withColumn("key", F.xxhash64("text")).mapInArrow(_describe(k, percent, tables), ROW), "prefixes")
     nodes = rows.where("size > 0").groupBy("sig1", "sig2", "size").agg(
         F.min(F.struct("doc_id", "key")).alias("rep"),
         F.first("prefix").alias("prefix"), F.first("ranges").alias("ranges"))
     nodes = stage(nodes.withColumn("node", F.monotonically_increasing_id()), "classes")
 
     entries = nodes.select("node", "size", F.posexplode("prefix").alias("place", "gram"))
-    lists = entries.groupBy("gram").agg(F.count("*").alias("n"), F.min("node").alias("head")).where("n > 1").drop("n")
+    lists = entries.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").drop("n")
     entries = stage(entries.join(lists, "gram"), "lists")
-
-    heads = entries.where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
-    heads = stage(_narrowed(heads, nodes, percent), "pairs")
-    links = stage(_verified(heads, docs, nodes, k, percent), "links")
-    roots = components(links)
-
-    # Pairs of different components in a list.
-    rest = entries.drop("head").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = rest.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    rest = stage(rest.join(mixed.select("gram"), "gram"), "mixed")
-    a, b = (rest.select("gram", *[F.col(c).alias(f"{c}_{s}") for c in ("root", "node", "size", "place")]) for s in "ab")
+    # Members that share much come first in every list: an original before its edited copies.
+    weights = entries.groupBy("node").agg(F.count("*").alias("weight"))
+    entries = stage(entries.join(weights, "node").withColumn("rank", F.struct("weight", "node")), "ranked")
+
+    done = links = roots = None
+    left = entries.withColumn("root", F.col("node"))
+    tops = left.select("gram", "rank").where("false")
+    for _ in range(rounds):
+        # Each list's highest member that was no head yet, against the members of other components.
+        head = left.join(tops, ["gram", "rank"], "left_anti").groupBy("gram").agg(F.max(F.struct("rank", "root", "size")).alias("head"))
+        head = stage(head, "heads")
+        tops = tops.union(head.select("gram", "head.rank"))
+        pairs = left.join(head, "gram").where(F.col("root") != F.col("head.root"))
+        pairs = pairs.select(*_ordered(F.col("node"), F.col("head.rank.node"))).distinct()
+        pairs, found = _compared(pairs, done, docs, nodes, k, percent)
+        done = pairs if done is None else done.union(pairs)
+        links = found if links is None else links.union(found)
+        left, roots = _mixed(entries, components(links))
+
+    # All pairs of different components in a list that pass the length and the positional filter.
+    a, b = (left.select("gram", *[F.col(c).alias(f"{c}_{s}") for c in ("root", "node", "size", "place")]) for s in "ab")
     least, most = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
     most_shared = 1 + F.least("place_a", "place_b") + F.least(
         F.col("size_a") - F.col("place_a") - 1, F.col("size_b") - F.col("place_b") - 1)
     passes = (F.col("root_a") < F.col("root_b")) & (least * 100 >= most * percent) & (
         most_shared * 100 >= (F.col("size_a") + F.col("size_b") - most_shared) * percent)
-    pairs = a.join(b, "gram").where(passes).select(F.least("node_a", "node_b").alias("b"), F.greatest("node_a", "node_b").alias("a"))
-    pairs = pairs.select("a", "b").distinct().join(heads, ["a", "b"], "left_anti")
-    pairs = stage(_narrowed(pairs, nodes, percent), "pairs")
-    links = links.union(stage(_verified(pairs, docs, nodes, k, percent), "links"))
-    roots = components(links)
+    pairs = a.join(b, "gram").where(passes).select(*_ordered(F.col("node_a"), F.col("node_b"))).distinct()
+    _, found = _compared(pairs, done, docs, nodes, k, percent)
+    roots = components(links.union(found))
 
     named = nodes.select("node", "sig1", "sig2", "size").join(roots, "node", "left")
     named = named.select("sig1", "sig2", "size", F.coalesce("root", "node").alias("root"))
@@ -249,7 +292,7 @@ def grouped(docs: DataFrame, k: int, percent: int, counters: int) -> DataFrame:
     return stage(full.select(*columns).union(empty.select(*columns)), "groups")
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, counters: int = COUNTERS) -> DataFrame:
+def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, rounds: int = ROUNDS) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id.
 
     Documents link when 100 * shared >= percent * union of their sets of k-word n-grams (A-Z in lower case);
@@ -257,17 +300,17 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, counters: in
     link with nothing and are their own component. Rows that repeat are in one component. A null doc_id gives no component
     its name: a document that reaches null ids only has a null component_id. Other columns are ignored; an empty table gives none.
     """
-    rows = grouped(docs, k, percent, counters)
+    rows = grouped(docs, k, percent, rounds)
     best = rows.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     full = rows.join(best, "root").select("doc_id", F.col("size").cast("long").alias("n_shingles"), "component_id")
     empty = rows.where("root is null").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return full.unionByName(empty)
 
 
-def keep_one(docs: DataFrame, k: int = 5, percent: int = 80, counters: int = COUNTERS) -> DataFrame:
+def keep_one(docs: DataFrame, k: int = 5, percent: int = 80, rounds: int = ROUNDS) -> DataFrame:
     """The rows of `docs`, with their columns, of one document of each component: the smallest doc_id (null ids last), then the smallest
     hash of the text; of rows that repeat both, one. Documents with an empty set all stay."""
-    rows = grouped(docs, k, percent, counters).withColumn("order", F.struct(F.col("doc_id").isNull(), "doc_id", "key"))
+    rows = grouped(docs, k, percent, rounds).withColumn("order", F.struct(F.col("doc_id").isNull(), "doc_id", "key"))
     best = rows.where("root is not null").groupBy("root").agg(F.min("order").alias("order"))
     best = best.select(F.col("order.doc_id").alias("_id"), F.col("order.key").alias("_key"))
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
