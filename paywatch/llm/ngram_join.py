@@ -258,7 +258,7 @@ def grouped(docs: DataFrame, k: int, percent: int, rounds: int) -> DataFrame:
     weights = entries.groupBy("node").agg(F.count("*").alias("weight"))
     entries = stage(entries.join(weights, "node").withColumn("rank", F.struct("weight", "node")), "ranked")
 
-    done = links = roots = None
+    done = links = None
     left = entries.withColumn("root", F.col("node"))
     tops = left.select("gram", "rank").where("false")
     for _ in range(rounds):
@@ -272,6 +272,8 @@ def grouped(docs: DataFrame, k: int, percent: int, rounds: int) -> DataFrame:
         done = pairs if done is None else done.union(pairs)
         links = found if links is None else links.union(found)
         left, roots = _mixed(entries, components(links))
+        if left.isEmpty():
+            return _named(rows, nodes, roots)
 
     # All pairs of different components in a list that pass the length and the positional filter.
     a, b = (left.select("gram", *[F.col(c).alias(f"{c}_{s}") for c in ("root", "node", "size", "place")]) for s in "ab")
@@ -282,8 +284,10 @@ def grouped(docs: DataFrame, k: int, percent: int, rounds: int) -> DataFrame:
         most_shared * 100 >= (F.col("size_a") + F.col("size_b") - most_shared) * percent)
     pairs = a.join(b, "gram").where(passes).select(*_ordered(F.col("node_a"), F.col("node_b"))).distinct()
     _, found = _compared(pairs, done, docs, nodes, k, percent)
-    roots = components(links.union(found))
+    return _named(rows, nodes, components(links.union(found)))
 
+
+def _named(rows: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
     named = nodes.select("node", "sig1", "sig2", "size").join(roots, "node", "left")
     named = named.select("sig1", "sig2", "size", F.coalesce("root", "node").alias("root"))
     full = rows.where("size > 0").join(named, ["sig1", "sig2", "size"])
