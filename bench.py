@@ -20,7 +20,8 @@ HEADLINE = [
     "transaction_features_spread", "validation_report", "numeric_stats", "percentiles_exact",
     "dedupe_keys", "time_split", "stratified_sample", "natural_rate_test", "backtest_windows",
     "time_series_folds", "impute_median", "correlation_pairs", "model_benchmark", "threshold_grid",
-    "alert_budget", "topk_pct", "backtest_metrics",
+    "alert_budget", "topk_pct", "backtest_metrics", "transaction_features_hot", "column_medians", "score_gbt",
+    "score_forest", "score_logreg", "tune_random_search", "feature_importance", "stress_test", "predictions_output",
 ]
 
 

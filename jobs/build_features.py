@@ -1,14 +1,20 @@
-"""spark-submit jobs/build_features.py TRANSACTIONS ACCOUNTS OUTPUT_TABLE"""
+"""spark-submit jobs/build_features.py TRANSACTIONS ACCOUNTS OUTPUT [FILES_PER_DAY]"""
 
 import sys
 
 from pyspark.sql import SparkSession
 
 from paywatch.plans.features import build_transaction_features
+from paywatch.session import clear_staged
 from paywatch.sources.tables import overwrite_features, read_table
 
-if __name__ == "__main__":
-    transactions, accounts, output = sys.argv[1:4]
-    spark = SparkSession.builder.appName("build_features").getOrCreate()
+
+def main(spark, transactions, accounts, output, files_per_day=32):
     features = build_transaction_features(read_table(spark, transactions), read_table(spark, accounts))
-    overwrite_features(features, output)
+    overwrite_features(features, output, files_per_day=int(files_per_day))
+
+
+if __name__ == "__main__":
+    session = SparkSession.builder.appName("build_features").getOrCreate()
+    main(session, *sys.argv[1:])
+    clear_staged(session)

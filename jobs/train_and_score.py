@@ -1,23 +1,28 @@
-"""spark-submit jobs/train_and_score.py FEATURE_TABLE RUNS_TABLE PREDICTIONS_TABLE [TEST_DAYS] [TRIALS]"""
+"""spark-submit jobs/train_and_score.py FEATURES RUNS PREDICTIONS [TEST_DAYS] [TRIALS]"""
 
 import sys
+from dataclasses import replace
 
 from pyspark.sql import SparkSession
 
 from paywatch import settings
 from paywatch.plans.training import TrainingConfig, train_and_evaluate
+from paywatch.session import clear_staged
 from paywatch.sources.tables import read_table
 
-if __name__ == "__main__":
-    features, runs_table, predictions_table = sys.argv[1:4]
-    days = int(sys.argv[4]) if len(sys.argv) > 4 else settings.TEST_DAYS
-    trials = int(sys.argv[5]) if len(sys.argv) > 5 else settings.SEARCH_TRIALS
-    spark = SparkSession.builder.appName("train_and_score").getOrCreate()
-    result = train_and_evaluate(
-        read_table(spark, features), TrainingConfig(test_days=days, trials=trials),
-        runs_table=runs_table, predictions_table=predictions_table,
-    )
+
+def main(spark, features, runs, predictions, test_days=settings.TEST_DAYS, trials=settings.SEARCH_TRIALS,
+         config=TrainingConfig()):
+    config = replace(config, test_days=int(test_days), trials=int(trials))
+    result = train_and_evaluate(read_table(spark, features), config, runs_table=runs, predictions_table=predictions)
     result.benchmark.show()
     for name, view in result.reports.items():
         print(name)
         view.show(50, truncate=False)
+    return result
+
+
+if __name__ == "__main__":
+    session = SparkSession.builder.appName("train_and_score").getOrCreate()
+    main(session, *sys.argv[1:])
+    clear_staged(session)

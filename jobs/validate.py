@@ -1,4 +1,4 @@
-"""spark-submit jobs/validate.py FEATURE_TABLE REPORT_TABLE [DISTRIBUTION_TABLE]"""
+"""spark-submit jobs/validate.py FEATURES REPORT [DISTRIBUTIONS]"""
 
 import sys
 
@@ -6,6 +6,12 @@ from pyspark.sql import SparkSession
 
 from paywatch.plans.validation import validate_table
 
+
+def main(spark, features, report, distributions=None):
+    written = validate_table(spark, features, report, distributions)
+    written.show(truncate=False, vertical=True)
+    return written
+
+
 if __name__ == "__main__":
-    spark = SparkSession.builder.appName("validate").getOrCreate()
-    validate_table(spark, *sys.argv[1:4]).show(truncate=False, vertical=True)
+    main(SparkSession.builder.appName("validate").getOrCreate(), *sys.argv[1:])

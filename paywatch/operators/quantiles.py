@@ -16,60 +16,97 @@ def approximate_quantiles(df: DataFrame, columns, shares, accuracy=ACCURACY) ->
     ])).alias("q")).select("q.*")
 
 
-def _long(df: DataFrame, columns) -> DataFrame:
-    """(column, x) of the non-null values."""
-    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    return numbers.unpivot([], list(columns), "column", "x").filter(F.col("x").isNotNull())
+def _in_batches(items, size=8):
+    return [items[i:i + size] for i in range(0, len(items), size)]
+
+
+def _one_row(df: DataFrame, columns, aggregates) -> dict:
+    """Aggregates of each column, a few columns a pass so that generated code stays small. `aggregates` gives
+    {name: aggregate} of a column."""
+    found = {}
+    for batch in _in_batches(list(columns)):
+        row = df.agg(*[a.alias(f"{c}::{n}") for c in batch for n, a in aggregates(c).items()]).first()
+        found.update({c: {n: row[f"{c}::{n}"] for n in aggregates(c)} for c in batch})
+    return found
 
 
 def exact_quantiles(df: DataFrame, columns, shares, accuracy=ACCURACY) -> DataFrame:
     """(column, share, value) with linear interpolation between neighbours; nulls are ignored and a
     column without values gives null.
 
-    A sketch with a guaranteed rank error brackets each quantile. Then one pass counts what lies below
-    the brackets, and another groups by value only what lies inside them, about 4/accuracy of the
-    values. All aggregates combine map-side: no column is sorted or held whole.
+    Sketches bracket each quantile. Another pass counts what lies below and inside the brackets; where
+    one misses, all are widened and counted again. Only values inside brackets, about 4/accuracy of
+    them, are then grouped and ranked. No column is sorted or held whole. The driver sees one row.
     """
-    shares = [float(s) for s in shares]
+    columns, shares = list(columns), [float(s) for s in shares]
+    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     margin = 2.0 / accuracy
-    bounds = [max(0.0, min(1.0, s + d)) for s in shares for d in (-margin, margin)]
-    values = _long(df, columns)
-    # One row per column, so broadcasting it is safe.
-    brackets = F.broadcast(values.groupBy("column").agg(F.percentile_approx("x", bounds, accuracy).alias("b")))
-    placed = values.join(brackets, "column")
-
-    x = F.col("x")
-    lows, highs = [[F.col("b")[2 * i + side] for i in range(len(shares))] for side in (0, 1)]
-    facts = placed.groupBy("column").agg(F.count("*").alias("n"), *[
-        a for i in range(len(shares)) for a in (
-            F.count_if(x < lows[i]).alias(f"below{i}"),
-            F.max(F.when(x < lows[i], x)).alias(f"previous{i}"),
-            F.min(F.when(x > highs[i], x)).alias(f"next{i}"),
-        )
-    ])
-    facts = facts.select("column", "n", F.inline(F.array(*[
-        F.struct(F.lit(i).alias("q"), F.lit(s).alias("share"), F.col(f"below{i}").alias("below"),
-                 F.col(f"previous{i}").alias("previous"), F.col(f"next{i}").alias("next"))
-        for i, s in enumerate(shares)
-    ])))
-    hits = F.array_compact(F.array(*[F.when((x >= lows[i]) & (x <= highs[i]), i) for i in range(len(shares))]))
-    inside = placed.select("column", F.explode(hits).alias("q"), "x").groupBy("column", "q", "x").agg(
-        F.count("*").alias("rows"))
-
-    ranked = running_totals(inside, "x", ["rows"], by=["column", "q"])
-    position = (F.col("n") - 1) * F.col("share")
-    floor, upto = F.floor(position), F.col("below") + F.col("cum_rows")
-    found = ranked.join(F.broadcast(facts), ["column", "q"]).groupBy("column", "share").agg(
+    while True:
+        asks = [(c, i, s) for c in columns for i, s in enumerate(shares)]
+        facts = _bracketed(numbers, columns, shares, margin, accuracy)
+        if margin >= 1 or all(_holds(facts[c], i, s) for c, i, s in asks):
+            break
+        margin *= 8
+    asks = [(q, c, i, s) for q, (c, i, s) in enumerate(asks) if facts[c]["n"]]
+
+    hits = F.array(*[
+        F.when((F.col(c) >= facts[c][f"low{i}"]) & (F.col(c) <= facts[c][f"high{i}"]),
+               F.struct(F.lit(q).alias("q"), F.col(c).alias("x")))
+        for q, c, i, _ in asks
+    ]) if asks else F.array().cast("array<struct<q: int, x: double>>")
+    inside = numbers.select(F.inline(F.array_compact(hits))).groupBy("q", "x").agg(F.count("*").alias("rows"))
+    known = df.sparkSession.createDataFrame(
+        [(q, c, s, (facts[c]["n"] - 1) * s, facts[c][f"below{i}"], facts[c][f"previous{i}"], facts[c][f"next{i}"])
+         for q, c, i, s in asks],
+        "q int, column string, share double, position double, below long, previous double, next double")
+
+    ranked = running_totals(inside, "x", ["rows"], by=["q"])
+    floor, upto, x = F.floor("position"), F.col("below") + F.col("cum_rows"), F.col("x")
+    found = ranked.join(F.broadcast(known), "q").groupBy("column", "share").agg(
         F.min(F.when(upto > floor, x)).alias("at"), F.min(F.when(upto > floor + 1, x)).alias("after"),
-        *[F.first(c).alias(c) for c in ("n", "below", "previous", "next")],
+        *[F.first(c).alias(c) for c in ("position", "below", "previous", "next")],
     )
     lower = F.when(floor < F.col("below"), F.col("previous")).otherwise(F.coalesce("at", "next"))
     upper = F.when(floor + 1 < F.col("below"), F.col("previous")).otherwise(F.coalesce("after", "next", "at"))
-    answers = found.select("column", "share", (lower + (upper - lower) * (position - floor)).alias("value"))
+    answers = found.select("column", "share", (lower + (upper - lower) * (F.col("position") - floor)).alias("value"))
     asked = df.sparkSession.createDataFrame([(c, s) for c in columns for s in shares], "column string, share double")
     return asked.join(F.broadcast(answers), ["column", "share"], "left")
 
 
+def _bracketed(numbers: DataFrame, columns, shares, margin, accuracy) -> dict:
+    """{column: n, and per share: low, high, rows below and inside, nearest values outside}."""
+    bounds = [max(0.0, min(1.0, s + d)) for s in shares for d in (-margin, margin)]
+    sketches = _one_row(numbers, columns, lambda c: {"b": F.percentile_approx(c, bounds, accuracy),
+                                                     "min": F.min(c), "max": F.max(c)})
+
+    def edges(c, i):
+        if margin >= 1:
+            return sketches[c]["min"], sketches[c]["max"]
+        return sketches[c]["b"][2 * i], sketches[c]["b"][2 * i + 1]
+
+    def counts(c):
+        out, x = {"n": F.count(c)}, F.col(c)
+        for i in range(len(shares) if sketches[c]["b"] else 0):
+            low, high = map(F.lit, edges(c, i))
+            out |= {f"below{i}": F.count_if(x < low), f"inside{i}": F.count_if((x >= low) & (x <= high)),
+                    f"previous{i}": F.max(F.when(x < low, x)), f"next{i}": F.min(F.when(x > high, x))}
+        return out
+
+    facts = _one_row(numbers, columns, counts)
+    for c in columns:
+        for i in range(len(shares) if sketches[c]["b"] else 0):
+            facts[c][f"low{i}"], facts[c][f"high{i}"] = edges(c, i)
+    return facts
+
+
+def _holds(fact: dict, i: int, share: float) -> bool:
+    """Whether both neighbours of a quantile lie inside its bracket or next to it."""
+    if not fact["n"]:
+        return True
+    floor = int((fact["n"] - 1) * share)
+    return fact[f"below{i}"] - 1 <= floor and floor + 1 <= fact[f"below{i}"] + fact[f"inside{i}"]
+
+
 def medians(df: DataFrame, columns) -> DataFrame:
     """(column, value): exact medians; null for a column without values."""
     return exact_quantiles(df, columns, [0.5]).select("column", "value")

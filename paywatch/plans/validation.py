@@ -10,4 +10,4 @@ def validate_table(spark, feature_table, report_table, distribution_table=None,
     overwrite_table(validation_report(features, feature_table), report_table, path=path)
     if distribution_table:
         overwrite_table(distribution_report(features), distribution_table, path=distribution_path)
-    return spark.table(report_table)
+    return read_table(spark, report_table)

@@ -43,6 +43,13 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/paywatch/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def clear_staged(spark: SparkSession):
+    """Removes what this application staged; call it when nothing reads it any more."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/paywatch/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write once and read back: cuts lineage, survives lost executors and keeps column pruning."""
     spark = df.sparkSession

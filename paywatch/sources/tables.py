@@ -2,7 +2,9 @@
 
 import logging
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from paywatch.columns import EVENT_DATE, TS
 
@@ -11,7 +13,7 @@ log = logging.getLogger(__name__)
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     """A catalog table, or a parquet folder when the name holds a slash."""
-    return spark.read.parquet(name) if "/" in name else spark.table(name)
+    return spark.read.parquet(name) if is_folder(name) else spark.table(name)
 
 
 def run_sql(spark: SparkSession, text: str, **views: DataFrame) -> DataFrame:
@@ -19,8 +21,15 @@ def run_sql(spark: SparkSession, text: str, **views: DataFrame) -> DataFrame:
     return spark.sql(text, **views)
 
 
+def is_folder(name: str) -> bool:
+    return "/" in name
+
+
 def overwrite_table(df: DataFrame, table: str, partition_by=(), path=None):
-    """Replace a table."""
+    """Replace a catalog table, or a parquet folder."""
+    if is_folder(table):
+        df.write.mode("overwrite").partitionBy(*partition_by).parquet(table)
+        return
     writer = df.write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -39,13 +48,28 @@ def overwrite_features(df: DataFrame, table: str, path=None, files_per_day=32):
     overwrite_table(out.sortWithinPartitions(EVENT_DATE, TS), table, [EVENT_DATE], path)
 
 
+def folder_schema(spark: SparkSession, folder: str):
+    """Columns of all files of a folder, or None if it holds none."""
+    try:
+        return spark.read.option("mergeSchema", True).parquet(folder).schema
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
 def create_if_absent(spark: SparkSession, table: str, schema, path=None):
+    if is_folder(table):  # the first append makes it
+        return
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     location = f" LOCATION '{path}'" if path else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet{location}")
 
 
 def add_column_if_absent(spark: SparkSession, table: str, column: str, data_type: str) -> bool:
+    """Whether the column was added. A folder's new files bring theirs, so there is nothing to do for one."""
+    if is_folder(table):
+        return False
     if column.lower() in {c.lower() for c in spark.table(table).columns}:
         return False
     spark.sql(f"ALTER TABLE {table} ADD COLUMNS (`{column}` {data_type})")
@@ -66,7 +90,16 @@ def align_to(df: DataFrame, target) -> DataFrame:
 
 
 def append_table(df: DataFrame, table: str, path=None):
-    """Append rows, creating the table on first use and following its columns afterwards."""
+    """Append rows, creating the table on first use and following its columns afterwards. Files of a folder also keep
+    columns that earlier ones lack; read such a folder with `mergeSchema`."""
     spark = df.sparkSession
+    if is_folder(table):
+        have = folder_schema(spark, table)
+        if have is not None:
+            known = {f.name.lower() for f in have.fields}
+            new = [f for f in df.schema.fields if f.name.lower() not in known]
+            df = align_to(df, StructType([*have.fields, *new]))
+        df.write.mode("append").parquet(table)
+        return
     create_if_absent(spark, table, df.schema, path)
     align_to(df, spark.table(table).schema).write.mode("append").saveAsTable(table)

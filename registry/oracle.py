@@ -412,7 +412,6 @@ PROFILE = """SELECT '{c}' AS column_name, CAST(min({c}) AS DOUBLE) AS min_value,
   round(avg(CAST({c} AS DOUBLE)), 4) AS mean_value,
   round(avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END) * 100, 2) AS null_pct FROM sample"""
 CHECKED = KEYS + [LABEL] + MODEL_FEATURES
-SIMPLE = [c for c in STRICT_FEATURES if not c.endswith(("zscore_7d_from", "_ratio", "vs_prev"))]
 BAD = """count(*) FILTER (amount_paid <= 0 OR amount_paid IS NULL) AS bad_amount_paid_cnt,
   count(*) FILTER (amount_received <= 0 OR amount_received IS NULL) AS bad_amount_received_cnt,
   count(*) FILTER (is_laundering NOT IN (0, 1) OR is_laundering IS NULL) AS bad_label_cnt"""
@@ -443,7 +442,7 @@ SELECT tx_id, CAST(NULL AS VARCHAR) AS note, {integer('is_laundering')}, {dbl('a
     "select_model_columns": q(f"""
 SELECT tx_id, {integer('is_laundering')}, {dbl('amount_paid')}, hour_of_day, same_bank
 FROM (SELECT *, {CALENDAR} FROM tx)""", TX),
-    "exclude_leaky_features": q(f"SELECT tx_id, {', '.join(typed(c) for c in SIMPLE)} FROM feats"),
+    "exclude_leaky_features": q(f"SELECT tx_id, {', '.join(typed(c) for c in STRICT_FEATURES)} FROM feats"),
     "clean_transactions": q(f"""
 SELECT tx_id, {when('ts')} AS ts, from_bank, from_account, to_bank, to_account, {dbl('amount_paid', 'amount_received')},
   receiving_currency, payment_currency, payment_format, {integer('is_laundering')} FROM tx""", TX),
@@ -483,6 +482,8 @@ SELECT tx_id, {dbl('amount_vs_7d_avg_ratio', 'amount_zscore_7d_from', 'pct_chang
                               enriched("acc", WINDOWS, "feats")),
     "transaction_features_spread": q(
         f"SELECT tx_id, {', '.join(typed(c) for c, _ in FEATURE_TABLE if 'entity' not in c and 'bank_name' not in c)} FROM feats"),
+    "transaction_features_hot": q(f"SELECT tx_id, {', '.join(typed(c) for c, _ in FEATURE_TABLE)} FROM enr",
+                                  enriched("acc", WINDOWS, "feats")),
     "busiest_accounts": q("""
 SELECT from_bank, from_account, count(*) AS "rows" FROM tx GROUP BY ALL
 ORDER BY "rows" DESC, from_bank NULLS FIRST, from_account NULLS FIRST LIMIT 50""", TX),
@@ -606,6 +607,9 @@ SELECT CAST({r} AS DOUBLE) AS rate, k, round(threshold, 6) AS threshold, alerts,
                 WHERE rn = greatest(1, CAST(round_even(n * {r}, 0) AS BIGINT))) x
   WHERE score >= x.threshold GROUP BY x.k, x.threshold)""" for r in (0.001, 0.002, 0.005, 0.01)), RANKED),
     "topk_precision_recall": q("""
+SELECT ask, k, round(tp / k, 6) AS precision, round(tp / greatest(p, 1), 6) AS recall, CAST(tp AS BIGINT) AS tp FROM found""",
+        top_k([(f"CAST({k} AS BIGINT)", str(k)) for k in (0, 200, 10**9)])),
+    "topk_rows": q("""
 SELECT tx_id, CAST(label AS INTEGER) AS label, round(score, 4) AS score FROM scores ORDER BY scores.score DESC, tx_id LIMIT 200""", SCORES),
     "topk_pct": q("""
 SELECT ask AS share, k, round(tp / k, 6) AS precision, round(tp / greatest(p, 1), 6) AS recall, CAST(tp AS BIGINT) AS tp FROM found""",
@@ -622,4 +626,20 @@ SELECT short_days, long_days, round(ks_short, 6) AS ks_short, round(ks_long, 6)
   CASE WHEN ks_long < ks_short THEN 'drops' ELSE 'stable/improves' END AS trend
 FROM (SELECT min(window_days) AS short_days, max(window_days) AS long_days, arg_min(ks, window_days) AS ks_short,
              arg_max(ks, window_days) AS ks_long, count(*) AS n FROM bt) WHERE n >= 2""", BACKTEST),
+
+}
+
+# Models and sketches are not SQL; what must hold for them is.
+_TEST = f"FROM tx WHERE ts >= {CUT}"
+ORACLE |= {
+    "percentiles_approx": q("\nUNION ALL\n".join(
+        unpivoted(MODEL_FEATURES, f"""SELECT '{{c}}' AS column_name, CAST({s} AS DOUBLE) AS share, true AS within
+FROM feats HAVING count({{c}}) > 0""") for s in (0.5, 0.9, 0.99))),
+    **{name: q(f"SELECT tx_id, {integer('is_laundering')}, true AS is_probability, true AS scores_differ {_TEST}", TX)
+       for name in ("score_gbt", "score_forest", "score_logreg")},
+    "tune_random_search": "SELECT CAST(place AS INTEGER) AS place, true AS in_ranges, true AS is_share, true AS in_order FROM range(1, 3) t(place)",
+    "feature_importance": "SELECT CAST(1 AS DOUBLE) AS total, true AS none_negative, true AS one_row_each",
+    "stress_test": "SELECT true AS base_is_share, true AS stressed_is_share, true AS delta_is_difference",
+    "predictions_output": q(f"""
+SELECT from_bank, from_account, to_bank, to_account, {when('ts')} AS event_timestamp, true AS is_probability, true AS stamped {_TEST}""", TX),
 }

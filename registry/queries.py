@@ -11,10 +11,12 @@ from paywatch.columns import (
 )
 from paywatch.functions import scalars
 from paywatch.operators import (
-    account_windows, dedup, enrichment, evaluation, hot_keys, models, preparation, quality, sampling, splits,
+    account_windows, dedup, enrichment, evaluation, hot_keys, models, preparation, quality, quantiles, sampling, splits,
 )
 from paywatch.operators.cleaning import clean_transactions, rejected_transactions
-from paywatch.plans.features import build_transaction_features, payment_features
+from paywatch.plans.features import (
+    build_transaction_features, payment_features, transaction_features as transaction_table,
+)
 from paywatch.session import new_path, stage
 from paywatch.sources import event_payments as source, runs, tables
 
@@ -147,8 +149,7 @@ def select_model_columns(spark, d):
 
 
 def exclude_leaky_features(spark, d):
-    return rounded(features(spark, d).drop(*LEAKY_FEATURES).select(
-        "tx_id", *[c for c in STRICT_FEATURES if not c.endswith(("zscore_7d_from", "_ratio", "vs_prev"))]))
+    return rounded(features(spark, d).drop(*LEAKY_FEATURES).select("tx_id", *STRICT_FEATURES))
 
 
 # ---- cleaning, calendar, amounts, accounts ----------------------------------------------------
@@ -216,6 +217,14 @@ def transaction_features_spread(spark, d):
     return rounded(payment_features(payments(spark, d), *everything))
 
 
+def transaction_features_hot(spark, d):
+    """The whole table with low thresholds: some accounts are hot, and some of their minutes are cut."""
+    tx = stage(payments(spark, d), "payments")
+    hot = hot_keys.find_hot_sides(tx, FROM_KEYS, TO_KEYS, min_rows=40)
+    hot = [h.with_busy_minutes(tx, max_rows=1) for h in hot]
+    return rounded(transaction_table(tx, accounts(spark, d), *hot))
+
+
 def busiest_accounts(spark, d):
     return hot_keys.busiest_accounts(payments(spark, d), FROM_KEYS, 50)
 
@@ -257,7 +266,16 @@ def percentiles_exact(spark, d):
 
 
 def percentiles_approx(spark, d):
-    return rounded(quality.percentiles(features(spark, d)).withColumnRenamed("column", "column_name"))
+    """Whether each approximate percentile is a value whose rank is off by at most rows / accuracy."""
+    data = stage(features(spark, d), "features")
+    found = quality.percentiles(data)
+    value = F.col("v").cast("double")
+    values = data.unpivot([], [F.col(c).cast("double").alias(c) for c in MODEL_FEATURES], "column", "v").filter("v is not null")
+    ranks = values.join(F.broadcast(found), "column").groupBy("column", "share").agg(
+        F.count("*").alias("n"), F.count_if(value < F.col("value")).alias("below"), F.count_if(value <= F.col("value")).alias("upto"))
+    off, rank = F.col("n") / quantiles.ACCURACY + 1, F.col("share") * F.col("n")
+    return ranks.select(F.col("column").alias("column_name"), "share", (
+        (F.col("below") <= rank + off) & (F.col("upto") >= rank - off) & (F.col("upto") > F.col("below"))).alias("within"))
 
 
 def column_medians(spark, d):
@@ -406,48 +424,63 @@ def _boosted(spark, d):
     return models.fit_boosted_trees(train, plan.keep, SMALL), train, test, plan
 
 
+def _probabilities(scored):
+    """Every row of the test set with whether its score is a probability, and whether scores differ at all."""
+    seen = scored.agg(F.count_distinct("score") > 1).scalar()
+    return scored.select("tx_id", "is_laundering", F.col("score").between(0, 1).alias("is_probability"), seen.alias("scores_differ"))
+
+
 def score_gbt(spark, d):
     model, _, test, _ = _boosted(spark, d)
-    return models.score(model, test).select("tx_id", "is_laundering", "score")
+    return _probabilities(models.score(model, test))
 
 
 def score_forest(spark, d):
     train, test, plan = _prepared(spark, d)
     model = models.fit_forest(train, plan.keep, trees=10, depth=4)
-    return models.score(model, test).select("tx_id", "is_laundering", "score")
+    return _probabilities(models.score(model, test))
 
 
 def score_logreg(spark, d):
     train, test, plan = _prepared(spark, d)
     model = models.fit_logistic(plan.scales.apply(train), plan.keep, max_iter=50)
-    return models.score(model, plan.scales.apply(test)).select("tx_id", "is_laundering", "score")
+    return _probabilities(models.score(model, plan.scales.apply(test)))
 
 
 def tune_random_search(spark, d):
     data = stage(features(spark, d), "features")
     train, _ = splits.train_test(data, DAYS)
-    ranges = {**models.SEARCH_RANGES, "n_estimators": (2, 4, "int"), "max_depth": (2, 3, "int")}
+    ranges = {**models.SEARCH_RANGES, "n_estimators": (5, 12, "int"), "max_depth": (2, 3, "int")}
     found = models.search(train, STRICT_FEATURES, models.random_trials(2, ranges=ranges), folds=2)
-    rows = [(i + 1, p.n_estimators, p.max_depth, p.learning_rate, m) for i, (p, m) in enumerate(found)]
-    return spark.createDataFrame(
-        rows, "place int, n_estimators int, max_depth int, learning_rate double, mean_auc_pr double")
+    means = [m for _, m in found]
+    rows = [(i + 1, 5 <= p.n_estimators <= 12 and 2 <= p.max_depth <= 3 and 0.02 <= p.learning_rate <= 0.2,
+             0 < m <= 1, m == max(means[i:])) for i, (p, m) in enumerate(found)]
+    return spark.createDataFrame(rows, "place int, in_ranges boolean, is_share boolean, in_order boolean")
 
 
 def feature_importance(spark, d):
     model, _, _, plan = _boosted(spark, d)
-    return models.feature_importance(model, plan.keep, spark)
+    found = models.feature_importance(model, plan.keep, spark, top=len(plan.keep))
+    return found.agg(F.round(F.sum("gain"), 9).alias("total"), (F.min("gain") >= 0).alias("none_negative"),
+                     (F.count_distinct("feature") == len(plan.keep)).alias("one_row_each"))
 
 
 def stress_test(spark, d):
     model, _, test, plan = _boosted(spark, d)
-    return models.stress_test(model, test, plan)
+    found = models.stress_test(model, test, plan)
+    return found.select(F.col("auc_pr_base").between(0, 1).alias("base_is_share"),
+                        F.col("auc_pr_stressed").between(0, 1).alias("stressed_is_share"),
+                        (F.col("delta") == F.col("auc_pr_stressed") - F.col("auc_pr_base")).alias("delta_is_difference"))
 
 
 def predictions_output(spark, d):
     model, _, test, _ = _boosted(spark, d)
     table, path = _table(spark, "predictions")
     runs.write_predictions(runs.predictions(models.score(model, test), "run", "model_run"), table, path)
-    return spark.table(table)
+    written = spark.table(table)
+    stamped = (F.col("model_version") == "model_run") & (F.col("run_id") == "run") & F.col("scored_at").isNotNull()
+    return rounded(written.select(*runs.ID_COLUMNS, F.col("fraud_probability").between(0, 1).alias("is_probability"),
+                                  stamped.alias("stamped")))
 
 
 def _summary(spark, d):
@@ -489,6 +522,13 @@ def model_benchmark(spark, d):
 
 
 def topk_precision_recall(spark, d):
+    """Precision, recall and hits at 200; asks outside [1, n] are held within it."""
+    found = scores(spark, d)
+    asks = [evaluation.top_k_clamped(found, k).withColumn("ask", F.lit(k).cast("bigint")) for k in (0, 200, 10**9)]
+    return rounded(asks[0].unionByName(asks[1]).unionByName(asks[2]), 6)
+
+
+def topk_rows(spark, d):
     return rounded(evaluation.top_k_rows(scores(spark, d), 200))
 
 
@@ -533,6 +573,7 @@ QUERIES = {
     "ratio_features": ratio_features,
     "transaction_features": transaction_features,
     "transaction_features_spread": transaction_features_spread,
+    "transaction_features_hot": transaction_features_hot,
     "busiest_accounts": busiest_accounts,
     "label_summary": label_summary,
     "time_span": time_span,
@@ -586,6 +627,7 @@ QUERIES = {
     "best_threshold_f2": _scored(evaluation.best_threshold, "f2"),
     "alert_budget": _scored(evaluation.alert_budget),
     "topk_precision_recall": topk_precision_recall,
+    "topk_rows": topk_rows,
     "topk_pct": _scored(evaluation.top_k_shares),
     "topk_abs": _scored(evaluation.top_k_counts),
     "investigation_capacity": _scored(evaluation.investigation_capacity),
