@@ -156,7 +156,8 @@ def _bags(words, most):
             for a, b in zip(borders[:-1], borders[1:]):
                 take = a + np.arange(min(most, b - a)) * (b - a) // min(most, b - a)
                 bags.append(x[take].tobytes())
-            yield pa.RecordBatch.from_arrays([part.column("label"), pa.array(bags, pa.binary())], names=["label", "bag"])
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), part.column("label"), pa.array(bags, pa.binary())], names=["doc_id", "label", "bag"])
 
     return run
 
@@ -168,9 +169,10 @@ def train(docs: DataFrame, labels: DataFrame, column: str = "quality", sample: i
     known = labels.select(F.col("doc_id").cast("long"), F.col(column).cast("double").alias("label")).dropna()
     known = known.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.avg("label").alias("label"))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(known), "doc_id").select("label", "text")
+    rows = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(known), "doc_id").select("doc_id", "label", "text")
+    bags = rows.mapInArrow(_bags(words, most), "doc_id long, label double, bag binary")
     # One bag for each id, also where rows repeat an id.
-    bags = rows.mapInArrow(_bags(words, most), "label double, bag binary").collect()
+    bags = bags.groupBy("doc_id").agg(F.min(F.struct("label", "bag")).alias("one")).select("one.*").collect()
     if not bags:
         return None
     bags = sorted((r.label, bytes(r.bag)) for r in bags)
