@@ -278,8 +278,8 @@ def grouped(docs: DataFrame, k: int, percent: int, rounds: int) -> DataFrame:
     # All pairs of different components in a list that pass the length and the positional filter.
     a, b = (left.select("gram", *[F.col(c).alias(f"{c}_{s}") for c in ("root", "node", "size", "place")]) for s in "ab")
     least, most = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
-    most_shared = 1 + F.least("place_a", "place_b") + F.least(
-        F.col("size_a") - F.col("place_a") - 1, F.col("size_b") - F.col("place_b") - 1)
+    # Nothing is shared before the first n-gram that a pair shares, so a pair that links passes at that one.
+    most_shared = F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b"))
     passes = (F.col("root_a") < F.col("root_b")) & (least * 100 >= most * percent) & (
         most_shared * 100 >= (F.col("size_a") + F.col("size_b") - most_shared) * percent)
     pairs = a.join(b, "gram").where(passes).select(*_ordered(F.col("node_a"), F.col("node_b"))).distinct()
