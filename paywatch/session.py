@@ -1,7 +1,9 @@
 """Session helpers: a local session for tests, and staging in the shared folder of the cluster."""
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,6 +25,16 @@ def local_session(cores="*", partitions=8, **conf) -> SparkSession:
     return spark
 
 
+def package_on_workers(spark: SparkSession):
+    """Lets Python workers import this package from the source tree that the driver runs, wherever it was started.
+    A cluster whose nodes don't share that tree gets the package by --py-files."""
+    root = str(Path(__file__).resolve().parents[1])
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 _local_folders = {}
 
 
