@@ -5,6 +5,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from paywatch.session import package_on_workers
+
 
 def let(value: Column, body) -> Column:
     """`body` of a value that is computed once, however often the body names it."""
@@ -12,6 +14,7 @@ def let(value: Column, body) -> Column:
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    package_on_workers(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
