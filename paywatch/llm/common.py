@@ -19,10 +19,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def slices(batches, column: str, limit: int = 4 << 20):
-    """Zero-copy pieces of record batches with at most `limit` bytes in `column` (one row at least), so that
+    """Zero-copy pieces of record batches with at most `limit` bytes (of lists: elements) in `column` (one row at least), so that
     working memory doesn't depend on how many rows, or how long texts, a batch holds."""
     for batch in batches:
-        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        values = batch.column(column)
+        sizes = pc.list_value_length(values) if pa.types.is_list(values.type) else pc.binary_length(values)
+        sizes = pc.fill_null(sizes, 0).to_numpy(zero_copy_only=False)
         ends = np.cumsum(sizes, dtype=np.int64)
         start = 0
         while start < batch.num_rows:

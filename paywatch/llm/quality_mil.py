@@ -11,6 +11,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import DoubleType, StructType
 
 from paywatch.llm.common import mix, slices, utf8
 
@@ -181,12 +182,14 @@ def train(docs: DataFrame, labels: DataFrame, column: str = "quality", sample: i
     return fit(np.concatenate(x), borders, np.array([label for label, _ in bags]))
 
 
-def _score(model, words):
+def _score(model, words, names, name):
+    """Returns the columns `names` and the score as `name`."""
     def run(batches):
         for part in slices(batches, "text"):
             x, borders = passages(part.column("text"), words)
             score = np.full(len(part), 0.5) if model is None else model.forward(x, borders)["score"]
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(np.round(score, 6))], names=[*part.schema.names, "score"])
+            columns = [part.column(part.schema.names.index(n)) for n in names]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(np.round(score, 6))], names=[*names, name])
 
     return run
 
@@ -200,32 +203,16 @@ def score_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, word
     """
     model = train(docs, labels, sample=sample, words=words)
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    scored = rows.mapInArrow(_drop_text(_score(model, words)), "doc_id long, score double")
+    scored = rows.mapInArrow(_score(model, words, ["doc_id"], "score"), "doc_id long, score double")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                          (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
-def _drop_text(run):
-    def only(batches):
-        for part in run(batches):
-            yield part.select(["doc_id", "score"])
-
-    return only
-
-
 def keep_good(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, words: int = WORDS) -> DataFrame:
     """The rows of `docs`, with their columns, that `score_quality` predicts as 1."""
-    from pyspark.sql.types import DoubleType, StructType
-
     model = train(docs, labels, sample=sample, words=words)
     name = "_score"
     while name in docs.columns:
         name += "_"
-    rename = _score(model, words)
-
-    def run(batches):
-        for part in rename(batches):
-            yield part.rename_columns([*part.schema.names[:-1], name])
-
-    scored = docs.mapInArrow(run, StructType([*docs.schema.fields]).add(name, DoubleType()))
+    scored = docs.mapInArrow(_score(model, words, docs.columns, name), StructType([*docs.schema.fields]).add(name, DoubleType()))
     return scored.where(F.col(name) >= THRESHOLD).drop(name)
