@@ -26,6 +26,7 @@ BLOCK = 1 << 14
 ROUNDS = 2
 RANGES = 64
 SALTS = 64
+BUCKETS = 1 << 20
 ROW = ("doc_id long, key long, size int, sig1 long, sig2 long, prefix array<long>, ranges binary")
 
 
@@ -189,12 +190,16 @@ def _narrowed(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that link, by their whole sets. Sets are made from the texts of the classes in question."""
+    """The pairs (a, b) that link, by their whole sets. Sets are made from the texts of the classes in question: a
+    broadcast of at most BUCKETS hash values keeps most other texts out of the shuffle, and the join is exact."""
     asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     asked = asked.join(nodes.select("node", "rep"), "node").select(
         "node", F.col("rep.doc_id").alias("id"), F.col("rep.key").alias("key"))
+    asked = stage(asked, "asked")
+    buckets = F.broadcast(asked.select(F.pmod("key", F.lit(BUCKETS)).alias("bucket")).distinct())
+    texts = docs.join(buckets, F.pmod(F.xxhash64("text"), F.lit(BUCKETS)) == F.col("bucket"), "left_semi")
     same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.xxhash64("text") == F.col("key"))
-    texts = docs.join(asked, same).select("node", "text")
+    texts = texts.join(asked, same).select("node", "text")
     members = stage(texts.mapInArrow(_whole(k), "node long, members binary"), "sets").dropDuplicates(["node"])
     rows = pairs.join(members.select(F.col("node").alias("a"), F.col("members").alias("left")), "a")
     rows = rows.join(members.select(F.col("node").alias("b"), F.col("members").alias("right")), "b")
