@@ -256,9 +256,13 @@ def grouped(docs: DataFrame, k: int, percent: int, rounds: int) -> DataFrame:
         F.first("prefix").alias("prefix"), F.first("ranges").alias("ranges"))
     nodes = stage(nodes.withColumn("node", F.monotonically_increasing_id()), "classes")
 
+    # Size and place travel as one number: these rows are the largest shuffle.
     entries = nodes.select("node", "size", F.posexplode("prefix").alias("place", "gram"))
+    entries = entries.select("node", (F.shiftleft(F.col("size").cast("long"), 32) + F.col("place")).alias("both"), "gram")
     lists = entries.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    entries = stage(entries.join(lists, "gram"), "lists")
+    entries = stage(entries.join(lists, "gram").select(
+        "gram", "node", F.shiftright("both", 32).cast("int").alias("size"),
+        F.col("both").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("place")), "lists")
     # Members that share much come first in every list: an original before its edited copies.
     weights = entries.groupBy("node").agg(F.count("*").alias("weight"))
     entries = stage(entries.join(weights, "node").withColumn("rank", F.struct("weight", "node")), "ranked")
