@@ -44,7 +44,7 @@ def op8_exact_dedup(spark, folder):
 
 
 def op9_line_dedup(spark, folder):
-    rows = line_dedup.dedup_lines(table(spark, folder, "documents"))
+    rows = line_dedup.dedup_runs(table(spark, folder, "documents"))
     return rows.select("doc_id", "removed_lines", F.length("text").cast("long").alias("kept_chars"),
                        F.sha2("text", 256).alias("text_sha256"))
 
