@@ -2,13 +2,15 @@ r"""Mixture-controlled packing by deficit round-robin over source queues.
 
 Every source is a queue of tokens, and a queue earns credit at its share of all tokens. Whenever the credit that a
 queue has not yet spent (its deficit) reaches a quantum, the next quantum of its tokens is served; the stream of
-served tokens is cut into windows of 2048. So every window holds the target proportions to within a quantum per queue, and
-what a queue is owed goes on to the next window.
+served tokens is cut into windows of 2048. A quantum is what the target gives the queue in one window, so every window
+by itself holds the target proportions; only queues that are due fewer than LEAST tokens in a window wait for more
+than one window until they have that many.
 
-Serving order has a closed form: quantum k of a queue with T tokens is due when the share min((k + 1) * q, T) / T of
-the whole is served. The place of a quantum is then the sum, over the queues, of the quanta due earlier; only the
+Serving order has a closed form: quantum k of a queue with m quanta is due when the share (k + 1) / m of the whole is
+served. The place of a quantum is then the sum, over the queues, of the quanta due earlier; only the
 totals of the queues are needed, so each partition computes its own windows and deficits carry over partitions
-without a pass from one to the next. Only the last window can be short.
+without a pass from one to the next. Only the last window can be short. A quantum of a fixed number of tokens, the same for
+all queues, can be asked for.
 """
 
 import re
@@ -23,7 +25,8 @@ from paywatch.llm.common import slices, utf8
 from paywatch.session import stage
 
 WINDOW = 2048
-QUANTUM = 256
+QUANTUM = 256  # no deviation grows beyond two of these, whatever the sources' shares
+LEAST = 16
 QUEUES = 256
 MEMORY = 600_000
 VOCABULARY = "word_bpe_49k.json"
@@ -171,8 +174,53 @@ def due_before(ends: np.ndarray, queue: int, totals: list[int], quantum: int) ->
     return out
 
 
-def layout(place: np.ndarray, size: np.ndarray, queue: np.ndarray, totals: list[int], quantum: int, window: int):
-    """Pieces of documents: arrays of document, start, length and position in the stream, in the documents' order."""
+def quanta_of(totals: list[int], window: int) -> list[int]:
+    """How many quanta each queue is served in: one for each window, or fewer of LEAST tokens or more."""
+    windows, least = -(-sum(totals) // window), max(1, min(LEAST, window // 2))
+    return [min(windows, max(1, t // least)) for t in totals]
+
+
+def _part(k: np.ndarray, total, count):
+    """k * total // count without a product beyond 64 bits; k is at most `count`."""
+    return k * (total // count) + k * (total % count) // count
+
+
+def due_before_quanta(k: np.ndarray, queue: int, totals: list[int], counts: list[int]) -> np.ndarray:
+    """Tokens of all queues served before quantum `k` of `queue`. Quantum j of queue i ends at (j + 1) * T_i // m_i of its
+    tokens and goes first when (j + 1) / m_i < (k + 1) / m, or as early in a queue listed before."""
+    out = np.zeros(len(k), np.int64)
+    for i, (other, count) in enumerate(zip(totals, counts)):
+        due = (k + 1) * count
+        out += _part(k if i == queue else due // counts[queue] if i < queue else -(-due // counts[queue]) - 1, other, count)
+    return out
+
+
+def shares(place: np.ndarray, size: np.ndarray, queue: np.ndarray, totals: list[int], window: int):
+    """Parts of documents by quantum: arrays of document, start, length and position in the stream."""
+    counts = quanta_of(totals, window)
+    total, count = np.array(totals)[queue], np.array(counts)[queue]
+    wide = max(t * c for t, c in zip(totals, counts)) >= 1 << 62
+
+    def number(token):  # the last quantum that begins at or before the token
+        token, many, all_ = (x.astype(object) if wide else x for x in (token, count, total))
+        return (((token + 1) * many - 1) // all_).astype(np.int64)
+
+    first = number(place)
+    each = number(place + size - 1) - first + 1
+    doc = np.repeat(np.arange(len(place)), each)
+    k = first[doc] + np.arange(len(doc)) - np.repeat(np.cumsum(each) - each, each)
+    begins = _part(k, total[doc], count[doc])
+    starts = np.maximum(begins, place[doc])
+    lengths = np.minimum(_part(k + 1, total[doc], count[doc]), (place + size)[doc]) - starts
+    at = starts - begins
+    for q in np.unique(queue).tolist():
+        mine = queue[doc] == q
+        at[mine] += due_before_quanta(k[mine], q, totals, counts)
+    return doc, starts, lengths, at
+
+
+def _equal(place: np.ndarray, size: np.ndarray, queue: np.ndarray, totals: list[int], quantum: int):
+    """As `shares`, for quanta of a fixed number of tokens."""
     first = place // quantum
     count = (place + size - 1) // quantum - first + 1
     doc = np.repeat(np.arange(len(place)), count)
@@ -184,6 +232,15 @@ def layout(place: np.ndarray, size: np.ndarray, queue: np.ndarray, totals: list[
     for q in np.unique(queue).tolist():
         mine = queue[doc] == q
         at[mine] += due_before(ends[mine], q, totals, quantum)
+    return doc, starts, lengths, at
+
+
+def layout(place: np.ndarray, size: np.ndarray, queue: np.ndarray, totals: list[int], quantum: int | None, window: int):
+    """Pieces of documents: arrays of document, start, length and position in the stream, in the documents' order."""
+    if quantum:
+        doc, starts, lengths, at = _equal(place, size, queue, totals, quantum)
+    else:
+        doc, starts, lengths, at = shares(place, size, queue, totals, window)
     cut = at // window * window + window - at  # a quantum is no longer than a window: at most one cut
     two = np.flatnonzero(lengths > cut)
     doc, starts, at, lengths = (np.concatenate(x) for x in (
@@ -199,7 +256,7 @@ def layout(place: np.ndarray, size: np.ndarray, queue: np.ndarray, totals: list[
     return doc, starts[heads] - place[doc], np.add.reduceat(lengths, heads), at[heads]
 
 
-def _pieces(names: list, totals: list[int], quantum: int, window: int):
+def _pieces(names: list, totals: list[int], quantum: int | None, window: int):
     number = {q: i for i, q in enumerate(names)}
 
     def run(batches):
@@ -219,11 +276,12 @@ def _pieces(names: list, totals: list[int], quantum: int, window: int):
     return run
 
 
-def pack(docs: DataFrame, by: str = "source", window: int = WINDOW, quantum: int = QUANTUM, queues: int = QUEUES,
+def pack(docs: DataFrame, by: str = "source", window: int = WINDOW, quantum: int | None = None, queues: int = QUEUES,
          path: str | None = None) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, queue.
 
-    Targets are the shares of the sources in all tokens, which lets every queue end with the last window. Up to
+    Targets are the shares of the sources in all tokens, which lets every queue end with the last window. Quanta follow the
+    targets unless `quantum` gives one number of tokens for all. Up to
     `queues` largest sources have queues of their own; all others share one. A null source is a source. Null and
     empty texts are one token (id 1); rows that repeat are documents of their own; a long document takes as many
     windows as it needs. Other columns are ignored; an empty table gives none.

@@ -2,13 +2,14 @@
 
 import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 
-from paywatch.llm import line_dedup
+from paywatch.llm import line_dedup, packing
 from paywatch.llm.queries import QUERIES
 from tests.llm import plain
+from tests.llm.test_operators import check_packing, ids_of
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -61,3 +62,34 @@ def test_line_query_leaves_no_repeated_run(spark):
     want = without_repeated_runs(sorted((r.doc_id, r.text) for r in docs))
     out = QUERIES["op9_line_dedup"](spark, FOLDER).collect()
     assert {r.doc_id: r.text_sha256 for r in out} == {d: plain.sha(t) for d, t in want.items()}
+
+
+def distances(pieces):
+    """Total variation between each full window and the shares of the queues in all tokens."""
+    totals, windows = Counter(), defaultdict(Counter)
+    for p in pieces:
+        totals[p.queue] += p.length
+        windows[p.sequence_id][p.queue] += p.length
+    whole = sum(totals.values())
+    return [sum(abs(windows[w][q] / 2048 - t / whole) for q, t in totals.items()) / 2 for w in range(max(windows))]
+
+
+def test_each_window_holds_the_targets(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    pieces = packing.pack(docs).collect()
+    found = distances(pieces)
+    assert len(found) > 20 and max(found) < 0.03
+    assert min(distances(packing.pack(docs, quantum=256).collect())) > 0.2  # what a fixed quantum gave
+    check_packing(pieces, [(r.doc_id, ids_of(r.text)) for r in docs.collect()])
+
+
+def test_serving_order_of_shares_against_a_sort():
+    totals = [100_000, 37, 5, 40_961, 1, 9_000]
+    counts = packing.quanta_of(totals, 2048)
+    assert counts == [74, 2, 1, 74, 1, 74]
+    at = 0
+    for _, i, k in sorted(((k + 1) / m, i, k) for i, m in enumerate(counts) for k in range(m)):
+        ends = [j * totals[i] // counts[i] for j in (k, k + 1)]
+        assert packing.due_before_quanta(packing.np.array([k]), i, totals, counts).tolist() == [at]
+        at += ends[1] - ends[0]
+    assert at == sum(totals)
