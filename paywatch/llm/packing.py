@@ -27,7 +27,6 @@ from paywatch.session import stage
 WINDOW = 2048
 QUANTUM = 256  # no deviation grows beyond two of these, whatever the sources' shares
 LEAST = 16
-QUEUES = 256
 MEMORY = 600_000
 VOCABULARY = "word_bpe_49k.json"
 END = 1
@@ -256,14 +255,63 @@ def layout(place: np.ndarray, size: np.ndarray, queue: np.ndarray, totals: list[
     return doc, starts[heads] - place[doc], np.add.reduceat(lengths, heads), at[heads]
 
 
+def _dealt(placed: DataFrame, sizes: DataFrame, least: int) -> DataFrame:
+    """Rows of small queues as parts, one for each quantum: row, parts as array<struct<start, length, place>>, `place` being the
+    tokens before a part in one queue that all small ones make up. Quanta stand there in the order in which they are due,
+    the first of each queue at a hashed place, else all of the smallest would be due at the end. They are ranked in buckets of equal
+    shares of the whole, and sums of earlier buckets are added, so no table of all queues stands in one task."""
+    many = F.greatest(F.lit(1), F.floor(F.col("sum") / least)).cast("long")
+    phase = (F.pmod(F.xxhash64("queue"), F.lit(1 << 20)) + 1) / F.lit(1 << 20)
+    rows = placed.join(sizes.select("queue", "sum", many.alias("many"), phase.alias("phase")), "queue")
+    rows = rows.select("*", F.explode(F.expr(
+        "sequence(((place + 1) * many - 1) div sum, ((place + doc_tokens) * many - 1) div sum)")).alias("k"))
+    begin = F.expr("k * (sum div many) + k * (sum % many) div many")
+    end = F.expr("(k + 1) * (sum div many) + (k + 1) * (sum % many) div many")
+    rows = rows.select("row", "queue", "place", F.greatest(begin, "place").alias("start"),
+                       F.least(end, F.col("place") + F.col("doc_tokens")).alias("end"), ((F.col("k") + F.col("phase")) / F.col("many")).alias("due"))
+    buckets = 4 * int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.select("row", "queue", "due", "start", (F.col("start") - F.col("place")).alias("from"), (F.col("end") - F.col("start")).alias("length"),
+                       F.least(F.floor(F.col("due") * buckets), F.lit(buckets - 1)).alias("bucket"))
+    rows = stage(rows, "quanta")
+    sums = rows.groupBy("bucket").agg(F.sum("length").alias("sum"))
+    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)  # one row for each bucket
+    sums = sums.select("bucket", F.coalesce(F.sum("sum").over(before), F.lit(0)).alias("base"))
+    inside = Window.partitionBy("bucket").orderBy("due", "queue", "start").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("inside", F.coalesce(F.sum("length").over(inside), F.lit(0))).join(sums, "bucket")
+    part = F.struct(F.col("from").alias("start"), "length", (F.col("base") + F.col("inside")).alias("place"))
+    return rows.groupBy("row").agg(F.sort_array(F.collect_list(part)).alias("parts"))
+
+
+def _parts(part: pa.RecordBatch):
+    """Row, start in the row, length and place of each part; rows of large queues are one part."""
+    place, size = (part.column(c).to_numpy() for c in ("place", "doc_tokens"))
+    row, start = np.arange(len(place)), np.zeros(len(place), np.int64)
+    if "parts" not in part.schema.names:
+        return row, start, size, place
+    lists = part.column("parts")
+    known, flat = lists.is_valid().to_numpy(zero_copy_only=False), lists.flatten()
+    many = np.where(known, lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False), 1)
+    row, inner = np.repeat(row, many), np.repeat(known, many)
+    start, size, place = start[row], size[row], place[row]
+    start[inner], size[inner], place[inner] = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("start", "length", "place"))
+    # Parts that follow each other in both are one.
+    heads = np.ones(len(row), bool)
+    heads[1:] = (row[1:] != row[:-1]) | (place[1:] != place[:-1] + size[:-1])
+    heads = np.flatnonzero(heads)
+    return row[heads], start[heads], np.add.reduceat(size, heads), place[heads]
+
+
 def _pieces(names: list, totals: list[int], quantum: int | None, window: int):
+    """`names` are the large queues; if `totals` has one more entry, that is the queue of all others."""
     number = {q: i for i, q in enumerate(names)}
 
     def run(batches):
         for part in slices(batches, "ids"):
-            place, size = (part.column(c).to_numpy() for c in ("place", "doc_tokens"))
-            queue = np.array([number[q] for q in part.column("queue").to_pylist()])
-            doc, start, length, at = layout(place, size, queue, totals, quantum, window)
+            queue = np.array([number.get(q, len(names)) for q in part.column("queue").to_pylist()])
+            row, first, size, place = _parts(part)
+            doc, start, length, at = layout(place, size, queue[row], totals, quantum, window)
+            start, doc = start + first[doc], row[doc]
+            size = part.column("doc_tokens").to_numpy()
             wide = memoryview(np.frombuffer(b"".join(part.column("ids").to_pylist()), "<u2").astype("<u4")).cast("B")
             begin = 4 * ((np.cumsum(size) - size)[doc] + start)
             sums = [zlib.crc32(wide[a:b]) for a, b in zip(begin.tolist(), (begin + 4 * length).tolist())]
@@ -276,13 +324,13 @@ def _pieces(names: list, totals: list[int], quantum: int | None, window: int):
     return run
 
 
-def pack(docs: DataFrame, by: str = "source", window: int = WINDOW, quantum: int | None = None, queues: int = QUEUES,
+def pack(docs: DataFrame, by: str = "source", window: int = WINDOW, quantum: int | None = None, queues: int | None = None,
          path: str | None = None) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, queue.
 
     Targets are the shares of the sources in all tokens, which lets every queue end with the last window. Quanta follow the
-    targets unless `quantum` gives one number of tokens for all. Up to
-    `queues` largest sources have queues of their own; all others share one. A null source is a source. Null and
+    targets unless `quantum` gives one number of tokens for all. Every source is a queue, however many there are, unless
+    `queues` says how many of the largest have their own and all others share one. A null source is a source. Null and
     empty texts are one token (id 1); rows that repeat are documents of their own; a long document takes as many
     windows as it needs. Other columns are ignored; an empty table gives none.
     """
@@ -292,13 +340,26 @@ def pack(docs: DataFrame, by: str = "source", window: int = WINDOW, quantum: int
                  .withColumn("row", F.monotonically_increasing_id()), "tokens")
 
     sizes = rows.groupBy("queue").agg(F.sum("doc_tokens").alias("sum"))
-    large = [r.queue for r in sizes.orderBy(F.desc("sum"), "queue").limit(queues).collect()]
-    own = F.col("queue").isin(large) if large else F.lit(True)
-    rows = rows.withColumn("queue", F.when(own, F.col("queue")).otherwise("rest"))
-    totals = {r.queue: r["sum"] for r in rows.groupBy("queue").agg(F.sum("doc_tokens").alias("sum")).collect()}
+    if queues is not None:
+        large = [r.queue for r in sizes.orderBy(F.desc("sum"), "queue").limit(queues).collect()]
+        rows = rows.withColumn("queue", F.when(F.col("queue").isin(large), F.col("queue")).otherwise("rest"))
+        sizes = rows.groupBy("queue").agg(F.sum("doc_tokens").alias("sum"))
+    sizes = stage(sizes, "queues")
+    total = sizes.agg(F.sum("sum")).first()[0] or 0
+    # A queue is large if it is due a quantum of LEAST tokens in each window: at most window / LEAST of them are.
+    least = max(1, min(LEAST, window // 2))
+    bound = 0 if quantum else least * -(-total // window)
+    totals = {r.queue: r["sum"] for r in sizes.where(F.col("sum") >= bound).collect()}
     names = sorted(totals)
-    placed = _queued(rows.select("row", "queue", "doc_tokens")).select("row", "place")
-    whole = rows.join(placed, "row").select("doc_id", "queue", "ids", "doc_tokens", "place")
+    totals = [totals[n] for n in names]
+    placed = _queued(rows.select("row", "queue", "doc_tokens")).select("row", "queue", "doc_tokens", "place")
+    kept = ["doc_id", "queue", "ids", "doc_tokens", "place"]
+    if sum(totals) < total:
+        totals.append(total - sum(totals))
+        placed = stage(placed, "placed")
+        parts = _dealt(placed, sizes.where(F.col("sum") < bound), least)
+        placed, kept = placed.join(parts, "row", "left"), [*kept, "parts"]
+    whole = rows.join(placed.drop("queue", "doc_tokens"), "row").select(*kept)
     return whole.mapInArrow(
-        _pieces(names, [totals[n] for n in names], quantum, window),
+        _pieces(names, totals, quantum, window),
         "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, queue string")

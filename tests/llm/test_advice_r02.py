@@ -4,12 +4,14 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import public_tokenizers
 import pytest
+from tokenizers import Tokenizer
 
 from paywatch.llm import line_dedup, packing
 from paywatch.llm.queries import QUERIES
 from tests.llm import plain
-from tests.llm.test_operators import check_packing, ids_of
+from tests.llm.test_operators import check_packing
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -64,6 +66,13 @@ def test_line_query_leaves_no_repeated_run(spark):
     assert {r.doc_id: r.text_sha256 for r in out} == {d: plain.sha(t) for d, t in want.items()}
 
 
+def wanted(docs):
+    """(doc_id, ids) of each document, as check_packing wants them."""
+    t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    t.encode_special_tokens = True
+    return [(d, t.encode(x or "", add_special_tokens=False).ids + [1]) for d, x in docs]
+
+
 def distances(pieces):
     """Total variation between each full window and the shares of the queues in all tokens."""
     totals, windows = Counter(), defaultdict(Counter)
@@ -80,7 +89,7 @@ def test_each_window_holds_the_targets(spark):
     found = distances(pieces)
     assert len(found) > 20 and max(found) < 0.03
     assert min(distances(packing.pack(docs, quantum=256).collect())) > 0.2  # what a fixed quantum gave
-    check_packing(pieces, [(r.doc_id, ids_of(r.text)) for r in docs.collect()])
+    check_packing(pieces, wanted((r.doc_id, r.text) for r in docs.collect()))
 
 
 def test_serving_order_of_shares_against_a_sort():
@@ -93,3 +102,20 @@ def test_serving_order_of_shares_against_a_sort():
         assert packing.due_before_quanta(packing.np.array([k]), i, totals, counts).tolist() == [at]
         at += ends[1] - ends[0]
     assert at == sum(totals)
+
+
+def test_each_of_many_sources_holds_its_share(spark):
+    docs = [(i, " ".join(f"w{(i * 7 + j) % 97}" for j in range(60)), f"s{i % 400}" if i % 3 else "hot") for i in range(2400)]
+    pieces = packing.pack(spark.createDataFrame(docs, "doc_id long, text string, source string").repartition(5)).collect()
+    check_packing(pieces, wanted((d, t) for d, t, _ in docs))
+    totals, served, so_far = Counter(), defaultdict(Counter), Counter()
+    for p in pieces:
+        totals[p.queue] += p.length
+        served[p.sequence_id][p.queue] += p.length
+    whole = sum(totals.values())
+    assert len(totals) == 401 and len(served) > 100
+    for w in range(max(served)):
+        so_far.update(served[w])
+        for q, t in totals.items():
+            assert abs(so_far[q] - (w + 1) * 2048 * t / whole) <= max(64, 2048 * t / whole), q  # a quantum
+        assert abs(served[w]["=hot"] - 2048 * totals["=hot"] / whole) < 8
