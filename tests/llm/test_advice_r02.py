@@ -66,6 +66,14 @@ def test_line_query_leaves_no_repeated_run(spark):
     assert {r.doc_id: r.text_sha256 for r in out} == {d: plain.sha(t) for d, t in want.items()}
 
 
+@pytest.mark.parametrize("way", [line_dedup.dedup_lines, line_dedup.dedup_runs])
+def test_one_of_the_texts_that_share_an_id_keeps_a_chunk(spark, way):
+    head = "\n".join(f"license {i}" for i in range(40))
+    rows = [(d, f"{head}\nown {i}") for i, d in enumerate([None] * 5 + [7] * 5)]
+    out = [r.removed_lines for r in way(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(out)[0] == 0 and sorted(out)[1] > 20
+
+
 def wanted(docs):
     """(doc_id, ids) of each document, as check_packing wants them."""
     t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
