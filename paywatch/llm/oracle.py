@@ -74,8 +74,70 @@ WITH docs AS (
 )
 SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(t) AS text_sha256 FROM ranked"""
 
+_MIX = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+        CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || md5(coalesce(text, ''))), 1, 15) AS BIGINT) AS place
+    FROM documents
+), sources AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS source_size, 2.0::DOUBLE * sum(size) AS most,
+        (ARRAY[3.0, 1.0, 2.0])[1 + (row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3]::DOUBLE AS weight
+    FROM docs GROUP BY source
+), levels AS (
+    SELECT most / weight AS full_at, (1.5 * sum(source_size) OVER () - coalesce(sum(most) OVER before, 0)) / sum(weight) OVER after AS level
+    FROM sources WINDOW before AS (ORDER BY most / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+        after AS (ORDER BY most / weight, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+), level AS (SELECT coalesce(arg_min(level, full_at) FILTER (level <= full_at), 0.0) AS level FROM levels
+), targets AS (SELECT source, source_size, least(weight * level, most) AS target FROM sources, level
+), placed AS (
+    SELECT doc_id, docs.source, size, source_size, target,
+        coalesce(sum(size) OVER (PARTITION BY docs.source ORDER BY place, r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+    FROM docs JOIN targets ON docs.source IS NOT DISTINCT FROM targets.source
+)
+SELECT doc_id, size, source, source_size, target, CAST(size * (
+    CASE WHEN target >= source_size OR 2 * before + size <= 2 * target THEN 1 ELSE 0 END +
+    CASE WHEN target - source_size >= source_size OR 2 * before + size <= 2 * (target - source_size) THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM placed"""
+
+_AUDIT = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+), groups AS (SELECT DISTINCT lang, source FROM docs
+), found AS (
+    SELECT r, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs
+), kept AS (SELECT lang, term FROM found GROUP BY lang, term HAVING count(DISTINCT r) >= 10
+), vocabulary AS (SELECT lang, count(term) AS v FROM (SELECT DISTINCT lang FROM docs) LEFT JOIN kept USING (lang) GROUP BY lang
+), counts AS (SELECT lang, source, term, count(*) AS n FROM found JOIN kept USING (lang, term) GROUP BY lang, source, term
+), totals AS (
+    SELECT lang, source, v, coalesce(s, 0) + 2 * v AS total FROM groups JOIN vocabulary USING (lang)
+    LEFT JOIN (SELECT lang, source, sum(n) AS s FROM counts GROUP BY lang, source) USING (lang, source)
+), shares AS (
+    SELECT lang, source, term, coalesce(n, 0) AS n, CAST(1 + (1000000000::HUGEINT * (coalesce(n, 0) + 2)) // total AS BIGINT) AS p
+    FROM totals JOIN kept USING (lang) LEFT JOIN counts USING (lang, source, term)
+), overall AS (
+    SELECT lang, term, CAST(1 + (1000000000::HUGEINT * (n + 2)) // (s + 2 * v) AS BIGINT) AS q
+    FROM (SELECT lang, term, sum(n) AS n FROM counts GROUP BY lang, term) JOIN
+        (SELECT lang, sum(n) AS s FROM counts GROUP BY lang) USING (lang) JOIN vocabulary USING (lang)
+), pairs AS (
+    SELECT a.lang, a.source, b.source AS item, CAST(sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS BIGINT) AS value
+    FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source
+), terms AS (
+    SELECT lang, source, term AS item, ((p - q) * (p - q)) // (p + q) AS value FROM shares JOIN overall USING (lang, term) WHERE n > 0 AND p > q
+), ranked AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value,
+        row_number() OVER (PARTITION BY a.lang, a.source ORDER BY coalesce(value, 0) DESC, b.source) AS rank
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+    UNION ALL
+    SELECT lang, source, 'term', item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) FROM terms
+)
+SELECT lang, source, part, item, value, CAST(rank AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR rank <= 10"""
+
 ORACLE = {
     "op1_secret_scan": _SECRETS,
     "op7_ngram_join": _NEAR,
     "op8_exact_dedup": _EXACT,
+    "op11_source_mix": _MIX,
+    "op13_source_audit": _AUDIT,
 }

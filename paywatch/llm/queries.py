@@ -2,7 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from paywatch.llm import exact_dedup, line_dedup, ngram_join, order_minhash, packing, pii, quality_mil, secrets, sentencepiece_nbest, url_filter
+from paywatch.llm import (
+    exact_dedup, line_dedup, ngram_join, order_minhash, packing, pii, quality_mil, secrets, sentencepiece_nbest, source_audit, source_mix,
+    url_filter, whitening,
+)
 from paywatch.llm.common import table
 
 
@@ -53,6 +56,19 @@ def op10_order_minhash(spark, folder):
     return order_minhash.fingerprint(table(spark, folder, "documents"))
 
 
+def op11_source_mix(spark, folder):
+    return source_mix.mix(table(spark, folder, "documents"))
+
+
+def op12_whitening(spark, folder):
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
+def op13_source_audit(spark, folder):
+    return source_audit.audit(table(spark, folder, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_quality_mil, op3_sentencepiece_nbest, op4_url_filter,
-    op5_mixture_packing, op6_personal_data, op7_ngram_join, op8_exact_dedup, op9_line_dedup, op10_order_minhash)}
+    op5_mixture_packing, op6_personal_data, op7_ngram_join, op8_exact_dedup, op9_line_dedup, op10_order_minhash,
+    op11_source_mix, op12_whitening, op13_source_audit)}
