@@ -1,7 +1,7 @@
 """Independent SQL (DuckDB) for the registered queries, over the same parquet tables."""
 
 from paywatch.columns import FEATURE_TABLE, KEYS, LABEL, MODEL_FEATURES, STRICT_FEATURES
-from registry.queries import BACKTEST_DAYS, DAYS, NULLABLE_COUNTS, PREPARED
+from registry.queries import BACKTEST_DAYS, DAYS, NEWTON, NULLABLE_COUNTS, PREPARED
 
 RAW = """
 ev AS (
@@ -356,6 +356,84 @@ WHERE NOT EXISTS (
 """, filled_train(STRICT_FEATURES) + f",\nused AS ({has}),\npairs AS ({_pairs(names)})")
 
 
+def newton(params=NEWTON):
+    """CTEs of boosted trees on all training rows: `binned` rows, and for each round t gradients, the nodes of the rows level by level and
+    the best split of each node; at the end `nodes`, with the splits, and `leaves` with the values of all nodes."""
+    unit, lam = float(1 << 24), params.reg_lambda
+    values = ", ".join(f"coalesce({rnd(c, 6)}, 0.0)" for c in STRICT_FEATURES)
+    each = f"unnest(range({len(STRICT_FEATURES)})) AS f, unnest([{values}]) AS x"
+    out = TRAIN_TEST + f""",
+long AS MATERIALIZED (SELECT tx_id, {each} FROM train),
+long_test AS MATERIALIZED (SELECT tx_id, {each} FROM test),
+weight AS (SELECT count(*) FILTER (is_laundering = 0) / CAST(count(*) FILTER (is_laundering = 1) AS DOUBLE) AS w FROM train),
+ranked AS (SELECT f, x, row_number() OVER (PARTITION BY f ORDER BY x) AS place, count(*) OVER (PARTITION BY f) AS n,
+  max(x) OVER (PARTITION BY f) AS most FROM long),
+cuts AS MATERIALIZED (SELECT DISTINCT f, x FROM ranked JOIN range(1, {params.bins}) r(i)
+  ON place = greatest(1, CAST(ceil(i / CAST({params.bins} AS DOUBLE) * n) AS BIGINT)) WHERE x < most),
+edges AS (SELECT f, x, row_number() OVER (PARTITION BY f ORDER BY x) - 1 AS b FROM cuts),
+binned AS MATERIALIZED (SELECT tx_id, l.f, count(c.x) AS b FROM long l LEFT JOIN cuts c ON c.f = l.f AND c.x < l.x GROUP BY tx_id, l.f),
+m0 AS (SELECT tx_id, CAST(0.0 AS DOUBLE) AS m FROM train)"""
+    for t in range(params.rounds):
+        out += f""",
+g{t} AS MATERIALIZED (
+  SELECT tx_id, CAST(round(w * (p - y) * {unit}) AS BIGINT) AS g, CAST(round(w * p * (1 - p) * {unit}) AS BIGINT) AS h
+  FROM (SELECT tx_id, is_laundering AS y, 1 / (1 + exp(-m)) AS p, CASE WHEN is_laundering = 1 THEN w ELSE 1.0 END AS w
+    FROM m{t} JOIN train USING (tx_id), weight)),
+n{t}_0 AS (SELECT tx_id, 0 AS node FROM g{t})"""
+        first, open_ = "1", "0"  # the next node's number, and the first node of the level
+        for level in range(params.depth):
+            out += f""",
+s{t}_{level} AS MATERIALIZED (
+  SELECT *, {first} + 2 * (row_number() OVER (ORDER BY node) - 1) AS below FROM (
+    SELECT *, row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, b) AS place FROM (
+      SELECT *, lg * lg / (lh + {lam}) + rg * rg / (rh + {lam}) - tg * tg / (th + {lam}) AS gain FROM (
+        SELECT node, f, b, ln, tn - ln AS rn, lg / {unit} AS lg, lh / {unit} AS lh, tg / {unit} AS tg, th / {unit} AS th,
+          tg / {unit} - lg / {unit} AS rg, th / {unit} - lh / {unit} AS rh
+        FROM (SELECT node, f, b, sum(g) OVER upto AS lg, sum(h) OVER upto AS lh, sum(n) OVER upto AS ln,
+            sum(g) OVER part AS tg, sum(h) OVER part AS th, sum(n) OVER part AS tn
+          FROM (SELECT node, f, b, sum(g) AS g, sum(h) AS h, count(*) AS n
+            FROM binned JOIN g{t} USING (tx_id) JOIN n{t}_{level} USING (tx_id) WHERE node >= {open_} GROUP BY node, f, b)
+          WINDOW part AS (PARTITION BY node, f), upto AS (PARTITION BY node, f ORDER BY b))))
+    WHERE gain > {params.gamma} AND ln > 0 AND rn > 0 AND lh >= {params.min_child_weight} AND rh >= {params.min_child_weight})
+  WHERE place = 1),
+n{t}_{level + 1} AS MATERIALIZED (
+  SELECT n.tx_id, CASE WHEN s.node IS NULL THEN n.node ELSE s.below + CASE WHEN k.b > s.b THEN 1 ELSE 0 END END AS node
+  FROM n{t}_{level} n LEFT JOIN s{t}_{level} s ON s.node = n.node LEFT JOIN binned k ON k.tx_id = n.tx_id AND k.f = s.f)"""
+            open_, first = first, f"(1 + 2 * (SELECT count(*) FROM ({' UNION ALL '.join(f'SELECT node FROM s{t}_{i}' for i in range(level + 1))})))"
+        splits = " UNION ALL ".join(f"SELECT *, {i} AS depth FROM s{t}_{i}" for i in range(params.depth))
+        out += f""",
+splits{t} AS MATERIALIZED ({splits}),
+all{t} AS MATERIALIZED (
+  SELECT 0 AS node, 0 AS depth, -(sum(g) / {unit}) / (sum(h) / {unit} + {lam}) AS value, sum(h) / {unit} AS hessian, count(*) AS n FROM g{t}
+  UNION ALL SELECT below, depth + 1, -lg / (lh + {lam}), lh, ln FROM splits{t}
+  UNION ALL SELECT below + 1, depth + 1, -rg / (rh + {lam}), rh, rn FROM splits{t}),
+m{t + 1} AS MATERIALIZED (SELECT tx_id, m + {params.learning_rate} * value AS m
+  FROM m{t} JOIN n{t}_{params.depth} USING (tx_id) JOIN all{t} USING (node))"""
+    names = ", ".join(f"'{c}'" for c in STRICT_FEATURES)
+    nodes = " UNION ALL ".join(f"""SELECT {t} AS tree, a.node, a.depth, [{names}][s.f + 1] AS feature, e.x AS threshold, s.below AS "left",
+  s.below + 1 AS "right", coalesce(s.gain, 0.0) AS gain, a.value, a.hessian, a.n
+  FROM all{t} a LEFT JOIN splits{t} s ON s.node = a.node LEFT JOIN edges e ON e.f = s.f AND e.b = s.b""" for t in range(params.rounds))
+    return out + f",\nnodes AS MATERIALIZED ({nodes})"
+
+
+def newton_score(params=NEWTON):
+    """Test rows walk down each tree by thresholds."""
+    ctes, margin = newton(params), []
+    index = f"list_position([{', '.join(repr(c) for c in STRICT_FEATURES)}], feature) - 1"
+    for t in range(params.rounds):
+        ctes += f",\nw{t}_0 AS (SELECT tx_id, 0 AS node FROM test)"
+        for level in range(params.depth):
+            ctes += f""",
+w{t}_{level + 1} AS (
+  SELECT w.tx_id, CASE WHEN n.feature IS NULL THEN w.node WHEN x <= threshold THEN n."left" ELSE n."right" END AS node
+  FROM w{t}_{level} w JOIN nodes n ON n.tree = {t} AND n.node = w.node
+  LEFT JOIN long_test l ON l.tx_id = w.tx_id AND l.f = {index})"""
+        margin.append(f"(SELECT w.tx_id, value FROM w{t}_{params.depth} w JOIN nodes n ON n.tree = {t} AND n.node = w.node)")
+    total = " + ".join(f"{params.learning_rate} * t{t}.value" for t in range(params.rounds))
+    tables = " ".join(f"JOIN {m} t{t} ON t{t}.tx_id = test.tx_id" for t, m in enumerate(margin))
+    return q(f"SELECT test.tx_id, {rnd(f'1 / (1 + exp(-({total})))', 6)} AS score FROM test {tables}", ctes)
+
+
 CALENDAR = """CAST(extract(hour FROM ts) AS INTEGER) AS hour_of_day, CAST(extract(dow FROM ts) AS INTEGER) AS day_of_week,
   CASE WHEN extract(dow FROM ts) IN (0, 6) THEN 1 ELSE 0 END AS is_weekend,
   CASE WHEN from_bank = to_bank THEN 1 ELSE 0 END AS same_bank"""
@@ -632,6 +710,12 @@ FROM (SELECT min(window_days) AS short_days, max(window_days) AS long_days, arg_
 # Models and sketches are not SQL; what must hold for them is.
 _TEST = f"FROM tx WHERE ts >= {CUT}"
 ORACLE |= {
+    "newton_tree_nodes": q(f"""SELECT CAST(tree AS INTEGER) AS tree, CAST(node AS INTEGER) AS node, CAST(depth AS INTEGER) AS depth, feature,
+  {dbl('threshold', digits=6)}, CAST("left" AS DOUBLE) AS "left", CAST("right" AS DOUBLE) AS "right",
+  {dbl('gain', 'value', 'hessian', digits=6)}, CAST(n AS BIGINT) AS rows FROM nodes""", newton()),
+    "newton_feature_gain": q(f"""SELECT feature, count(*) AS splits, {rnd('avg(gain)', 6)} AS gain, {rnd('sum(gain)', 6)} AS total_gain
+FROM nodes WHERE feature IS NOT NULL GROUP BY feature""", newton()),
+    "score_boosted_newton": newton_score(),
     "percentiles_approx": q("\nUNION ALL\n".join(
         unpivoted(MODEL_FEATURES, f"""SELECT '{{c}}' AS column_name, CAST({s} AS DOUBLE) AS share, true AS within
 FROM feats HAVING count({{c}}) > 0""") for s in (0.5, 0.9, 0.99))),

@@ -11,7 +11,8 @@ from paywatch.columns import (
 )
 from paywatch.functions import scalars
 from paywatch.operators import (
-    account_windows, dedup, enrichment, evaluation, hot_keys, models, preparation, quality, quantiles, sampling, splits,
+    account_windows, boosting, dedup, enrichment, evaluation, hot_keys, models, preparation, quality, quantiles,
+    sampling, splits,
 )
 from paywatch.operators.cleaning import clean_transactions, rejected_transactions
 from paywatch.plans.features import (
@@ -447,6 +448,32 @@ def score_logreg(spark, d):
     return _probabilities(models.score(model, plan.scales.apply(test)))
 
 
+NEWTON = boosting.NewtonParams(rounds=2, depth=2, subsample=1.0, colsample=1.0, bins=16, exact_edges=True)
+
+
+def _newton(spark, d, params=NEWTON):
+    """Trees of a few rounds on all training rows, every model input to six decimals and 0 where it is null; and the test rows."""
+    data = features(spark, d)
+    data = data.select("tx_id", TS, "is_laundering", *[F.coalesce(
+        F.floor(F.col(c).cast("double") * 10**6 + 0.5) / float(10**6), F.lit(0.0)).alias(c) for c in STRICT_FEATURES])
+    train, test = splits.train_test(stage(data, "features"), DAYS)
+    return boosting.fit_newton_trees(train, STRICT_FEATURES, params, early_stopping=False), test
+
+
+def newton_tree_nodes(spark, d):
+    nodes = _newton(spark, d)[0].nodes(spark)
+    return rounded(nodes.withColumns({c: F.col(c).cast("double") for c in ("left", "right")}), 6)
+
+
+def newton_feature_gain(spark, d):
+    return rounded(boosting.feature_gain(_newton(spark, d)[0].nodes(spark)), 6)
+
+
+def score_boosted_newton(spark, d):
+    model, test = _newton(spark, d)
+    return rounded(model.score(test).select("tx_id", "score"), 6)
+
+
 def tune_random_search(spark, d):
     data = stage(features(spark, d), "features")
     train, _ = splits.train_test(data, DAYS)
@@ -607,6 +634,9 @@ QUERIES = {
     "standardize": standardize,
     "neutralize_features": neutralize_features,
     "score_gbt": score_gbt,
+    "newton_tree_nodes": newton_tree_nodes,
+    "newton_feature_gain": newton_feature_gain,
+    "score_boosted_newton": score_boosted_newton,
     "score_forest": score_forest,
     "score_logreg": score_logreg,
     "tune_random_search": tune_random_search,
