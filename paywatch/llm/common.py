@@ -18,6 +18,26 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+HOT_ROWS, HOT_BUCKETS = 20_000, 4096
+
+
+def join_hot(rows: DataFrame, names: DataFrame, keys: list, copies: str = "copies", per_task: int = HOT_ROWS) -> DataFrame:
+    """`rows` inner joined to `names` on `keys`, which are not null and say in `copies` how many rows each has, about.
+
+    Keys with more than `per_task` rows are dealt over as many places as they need, so no key is one task's work. Which
+    those are travels as a broadcast of one number for each of at most HOT_BUCKETS hash values of the keys. `names` is
+    read twice, so it should be staged.
+    """
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(HOT_BUCKETS)).cast("int")
+    hot = names.where(F.col(copies) > per_task).groupBy(bucket.alias("_bucket")).agg(
+        F.max(F.ceil(F.col(copies) / per_task)).cast("int").alias("_parts"))
+    dealt = lambda df: df.withColumn("_bucket", bucket).join(F.broadcast(hot), "_bucket", "left").withColumn(
+        "_parts", F.coalesce("_parts", F.lit(1)))
+    rows = dealt(rows).withColumn("_part", F.pmod(F.monotonically_increasing_id(), F.col("_parts")).cast("int"))
+    names = dealt(names).withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+    return rows.drop("_bucket", "_parts").join(names.drop("_bucket", "_parts"), [*keys, "_part"]).drop("_part")
+
+
 def slices(batches, column: str, limit: int = 4 << 20):
     """Zero-copy pieces of record batches with at most `limit` bytes (of lists: elements) in `column` (one row at least), so that
     working memory doesn't depend on how many rows, or how long texts, a batch holds."""

@@ -26,22 +26,26 @@ WITH docs AS (
 ), good AS (
     SELECT *, stop - length(m) AS start FROM placed
     WHERE CASE k WHEN 0 THEN length(v) >= 6 WHEN 1 THEN length(v) >= 20 WHEN 2 THEN length(v) >= 24
-        ELSE regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Z]') AND regexp_matches(v, '[a-z]') END
+        ELSE regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Z]') AND
+            (regexp_matches(v, '[a-z]') OR regexp_full_match(v, '[0-9A-F]{24,}')) END
 ), owned AS (
-    SELECT v, count(DISTINCT coalesce('=' || source, 'null')) AS owners FROM good GROUP BY v
+    SELECT v, count(DISTINCT coalesce('=' || source, 'null')) AS owners,
+        count(DISTINCT {'s': coalesce('=' || source, 'null'), 'l': coalesce('=' || lang, 'null')}) AS repositories FROM good GROUP BY v
 ), judged AS (
-    SELECT good.*, patterns.kind, owners, owners <= 1 AS live
-    FROM good JOIN owned USING (v) JOIN patterns USING (k) WHERE k < 3 OR owners <= 1
+    SELECT good.*, owners, repositories, owners <= 2 AND repositories <= 4 AS live,
+        CASE WHEN k = 3 AND NOT (owners <= 2 AND repositories <= 4) THEN 'copied' ELSE patterns.kind END AS kind
+    FROM good JOIN owned USING (v) JOIN patterns USING (k)
 ), spans AS (
     SELECT r, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
         coalesce(string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, k) FILTER (k < 3), '') AS base,
         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, k) AS spans,
-        count(*) FILTER (live) AS n_live, count(*) FILTER (NOT live) AS n_copied, max(owners) AS max_owners
+        count(*) FILTER (live) AS n_live, count(*) FILTER (NOT live) AS n_copied, max(owners) AS max_owners,
+        max(repositories) AS max_repositories
     FROM judged GROUP BY r
 )
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
     sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live,
-    coalesce(n_copied, 0) AS n_copied, coalesce(max_owners, 0) AS max_owners
+    coalesce(n_copied, 0) AS n_copied, coalesce(max_owners, 0) AS max_owners, coalesce(max_repositories, 0) AS max_repositories
 FROM docs LEFT JOIN spans USING (r)"""
 
 _NEAR = r"""
@@ -74,6 +78,23 @@ WITH docs AS (
 )
 SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(t) AS text_sha256 FROM ranked"""
 
+_LINES = r"""
+WITH lines AS (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS x, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents
+), pairs AS (
+    SELECT doc_id, i, x, lead(x) OVER (PARTITION BY doc_id ORDER BY i) AS y FROM lines
+), places AS (
+    SELECT doc_id, i, min({'d': doc_id, 'i': i}) OVER (PARTITION BY x, y) AS first FROM pairs
+    WHERE y IS NOT NULL AND regexp_matches(x || y, '[^\x20\x09-\x0D]')
+), gone AS (
+    SELECT doc_id, i + 1 AS i FROM places WHERE first <> {'d': doc_id, 'i': i}
+    UNION SELECT doc_id, i FROM places WHERE first <> {'d': doc_id, 'i': i} AND first <> {'d': doc_id, 'i': i - 1}
+), kept AS (
+    SELECT doc_id, string_agg(x, chr(10) ORDER BY i) AS t, count(*) AS n FROM lines ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+), counted AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT doc_id, coalesce(counted.n, 0) AS removed_lines, length(coalesce(t, text)) AS kept_chars, sha256(coalesce(t, text)) AS text_sha256
+FROM documents LEFT JOIN kept USING (doc_id) LEFT JOIN counted USING (doc_id)"""
+
 _MIX = r"""
 WITH docs AS (
     SELECT row_number() OVER () AS r, doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
@@ -138,6 +159,7 @@ ORACLE = {
     "op1_secret_scan": _SECRETS,
     "op7_ngram_join": _NEAR,
     "op8_exact_dedup": _EXACT,
+    "op9_line_dedup": _LINES,
     "op11_source_mix": _MIX,
     "op13_source_audit": _AUDIT,
 }

@@ -25,7 +25,6 @@ from paywatch.llm.common import slices, utf8
 from paywatch.session import stage
 
 WINDOW = 2048
-QUANTUM = 256  # no deviation grows beyond two of these, whatever the sources' shares
 LEAST = 16
 MEMORY = 600_000
 VOCABULARY = "word_bpe_49k.json"
@@ -52,7 +51,12 @@ class Units:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path or public_tokenizers.path(VOCABULARY))
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        # Strings that the tokenizer takes out of a text before anything else, as they are written.
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        if any(t.normalized or t.single_word or t.lstrip or t.rstrip for t in added):
+            raise ValueError("added tokens that depend on what is around them")
+        added = sorted((t.content.encode() for t in added), key=lambda x: (-len(x), x))
+        self.added = re.compile(b"|".join(map(re.escape, added))) if added else None
         self.model = self.tokenizer.model
         # Byte-level vocabularies write a byte as this character.
         hidden = [*range(33), *range(127, 161), 173]
@@ -92,19 +96,42 @@ class Units:
         return self.ends[which], self.ends[which + 1] - self.ends[which]
 
 
+def added(data: np.ndarray, borders: np.ndarray, known: "Units") -> tuple[list, list]:
+    """Begins and ends of the tokenizer's added strings that lie within one text."""
+    begins, ends = [], []
+    if known.added is not None:
+        whole = data.tobytes()
+        if known.added.search(whole):
+            for a, b in zip(borders[:-1].tolist(), borders[1:].tolist()):
+                found = [m.span() for m in known.added.finditer(whole, a, b)]
+                begins += [x for x, _ in found]
+                ends += [x for _, x in found]
+    return begins, ends
+
+
 def encode(texts: pa.Array, path: str | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts in a row, and the border of each. This vocabulary drops white space and lowers case, and no token
     crosses white space or the border of an ASCII letter and a sign other than the apostrophe. So a text is the sequence of
-    its units between such borders, and each different unit is encoded once. A-Z are lowered first where no other
+    its units between such borders, and each different unit is encoded once; strings of added tokens are units, too. A-Z are lowered first where no other
     character than ASCII follows, which might combine with them."""
     data, borders = utf8(texts)
+    if path not in _known:
+        _known[path] = Units(path)
+    known = _known[path]
     kinds = KINDS[data]
     before = np.concatenate([np.full(min(1, len(kinds)), 3, np.uint8), kinds[:-1]])
     cut = (before == 3) | (kinds + before == 3) & (kinds != 3) & (kinds != 0) & (before != 0)
     first = np.zeros(len(data) + 1, bool)
     first[borders[:-1]] = True
     cut |= first[:-1]
+    begins, ends = added(data, borders, known)
+    for a, b in zip(begins, ends):  # each of them is a unit of its own
+        cut[a + 1:b] = False
+        cut[a] = True
+        cut[b:b + 1] = True
     plain = np.append(data[1:] < 128, True)[:len(data)] | np.append(first[1:-1], True)[:len(data)]
+    for a, b in zip(begins, ends):
+        plain[a:b] = False
     data = data + (((data >= 65) & (data <= 90) & plain) * np.uint8(32))
     keep = kinds != 3
     starts = np.flatnonzero((cut & keep)[keep])
@@ -113,9 +140,6 @@ def encode(texts: pa.Array, path: str | None = None) -> tuple[np.ndarray, np.nda
     units = pa.StringArray.from_buffers(len(starts), pa.py_buffer(np.append(starts, len(solid)).astype(np.int32)),
                                         pa.py_buffer(solid.tobytes()))
     coded = units.dictionary_encode()
-    if path not in _known:
-        _known[path] = Units(path)
-    known = _known[path]
     firsts, sizes = known.of(coded.dictionary.to_pylist())
     which = coded.indices.to_numpy(zero_copy_only=False)
     lengths = sizes[which]
@@ -173,9 +197,9 @@ def due_before(ends: np.ndarray, queue: int, totals: list[int], quantum: int) ->
     return out
 
 
-def quanta_of(totals: list[int], window: int) -> list[int]:
-    """How many quanta each queue is served in: one for each window, or fewer of LEAST tokens or more."""
-    windows, least = -(-sum(totals) // window), max(1, min(LEAST, window // 2))
+def quanta_of(totals: list[int], window: int, least: int = LEAST) -> list[int]:
+    """How many quanta each queue is served in: one for each window, or fewer of `least` tokens or more."""
+    windows, least = -(-sum(totals) // window), max(1, min(least, window // 2))
     return [min(windows, max(1, t // least)) for t in totals]
 
 
@@ -194,9 +218,9 @@ def due_before_quanta(k: np.ndarray, queue: int, totals: list[int], counts: list
     return out
 
 
-def shares(place: np.ndarray, size: np.ndarray, queue: np.ndarray, totals: list[int], window: int):
+def shares(place: np.ndarray, size: np.ndarray, queue: np.ndarray, totals: list[int], window: int, least: int = LEAST):
     """Parts of documents by quantum: arrays of document, start, length and position in the stream."""
-    counts = quanta_of(totals, window)
+    counts = quanta_of(totals, window, least)
     total, count = np.array(totals)[queue], np.array(counts)[queue]
     wide = max(t * c for t, c in zip(totals, counts)) >= 1 << 62
 
@@ -234,12 +258,13 @@ def _equal(place: np.ndarray, size: np.ndarray, queue: np.ndarray, totals: list[
     return doc, starts, lengths, at
 
 
-def layout(place: np.ndarray, size: np.ndarray, queue: np.ndarray, totals: list[int], quantum: int | None, window: int):
+def layout(place: np.ndarray, size: np.ndarray, queue: np.ndarray, totals: list[int], quantum: int | None, window: int,
+           least: int = LEAST):
     """Pieces of documents: arrays of document, start, length and position in the stream, in the documents' order."""
     if quantum:
         doc, starts, lengths, at = _equal(place, size, queue, totals, quantum)
     else:
-        doc, starts, lengths, at = shares(place, size, queue, totals, window)
+        doc, starts, lengths, at = shares(place, size, queue, totals, window, least)
     cut = at // window * window + window - at  # a quantum is no longer than a window: at most one cut
     two = np.flatnonzero(lengths > cut)
     doc, starts, at, lengths = (np.concatenate(x) for x in (
@@ -301,7 +326,7 @@ def _parts(part: pa.RecordBatch):
     return row[heads], start[heads], np.add.reduceat(size, heads), place[heads]
 
 
-def _pieces(names: list, totals: list[int], quantum: int | None, window: int):
+def _pieces(names: list, totals: list[int], quantum: int | None, window: int, least: int):
     """`names` are the large queues; if `totals` has one more entry, that is the queue of all others."""
     number = {q: i for i, q in enumerate(names)}
 
@@ -309,7 +334,7 @@ def _pieces(names: list, totals: list[int], quantum: int | None, window: int):
         for part in slices(batches, "ids"):
             queue = np.array([number.get(q, len(names)) for q in part.column("queue").to_pylist()])
             row, first, size, place = _parts(part)
-            doc, start, length, at = layout(place, size, queue[row], totals, quantum, window)
+            doc, start, length, at = layout(place, size, queue[row], totals, quantum, window, least)
             start, doc = start + first[doc], row[doc]
             size = part.column("doc_tokens").to_numpy()
             wide = memoryview(np.frombuffer(b"".join(part.column("ids").to_pylist()), "<u2").astype("<u4")).cast("B")
@@ -324,13 +349,13 @@ def _pieces(names: list, totals: list[int], quantum: int | None, window: int):
     return run
 
 
-def pack(docs: DataFrame, by: str = "source", window: int = WINDOW, quantum: int | None = None, queues: int | None = None,
-         path: str | None = None) -> DataFrame:
+def pack(docs: DataFrame, by: str = "source", window: int = WINDOW, quantum: int | None = None, path: str | None = None,
+         least: int = LEAST) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, queue.
 
     Targets are the shares of the sources in all tokens, which lets every queue end with the last window. Quanta follow the
-    targets unless `quantum` gives one number of tokens for all. Every source is a queue, however many there are, unless
-    `queues` says how many of the largest have their own and all others share one. A null source is a source. Null and
+    targets unless `quantum` gives one number of tokens for all. Every source is a queue, however many there are; one that is due
+    fewer than `least` tokens in a window is served that many at a time. A null source is a source. Null and
     empty texts are one token (id 1); rows that repeat are documents of their own; a long document takes as many
     windows as it needs. Other columns are ignored; an empty table gives none.
     """
@@ -340,14 +365,10 @@ def pack(docs: DataFrame, by: str = "source", window: int = WINDOW, quantum: int
                  .withColumn("row", F.monotonically_increasing_id()), "tokens")
 
     sizes = rows.groupBy("queue").agg(F.sum("doc_tokens").alias("sum"))
-    if queues is not None:
-        large = [r.queue for r in sizes.orderBy(F.desc("sum"), "queue").limit(queues).collect()]
-        rows = rows.withColumn("queue", F.when(F.col("queue").isin(large), F.col("queue")).otherwise("rest"))
-        sizes = rows.groupBy("queue").agg(F.sum("doc_tokens").alias("sum"))
     sizes = stage(sizes, "queues")
     total = sizes.agg(F.sum("sum")).first()[0] or 0
-    # A queue is large if it is due a quantum of LEAST tokens in each window: at most window / LEAST of them are.
-    least = max(1, min(LEAST, window // 2))
+    # A queue is large if it is due a quantum of `least` tokens in each window: at most window / least of them are.
+    least = max(1, min(least, window // 2))
     bound = 0 if quantum else least * -(-total // window)
     totals = {r.queue: r["sum"] for r in sizes.where(F.col("sum") >= bound).collect()}
     names = sorted(totals)
@@ -361,5 +382,5 @@ def pack(docs: DataFrame, by: str = "source", window: int = WINDOW, quantum: int
         placed, kept = placed.join(parts, "row", "left"), [*kept, "parts"]
     whole = rows.join(placed.drop("queue", "doc_tokens"), "row").select(*kept)
     return whole.mapInArrow(
-        _pieces(names, totals, quantum, window),
+        _pieces(names, totals, quantum, window, least),
         "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, queue string")

@@ -2,8 +2,8 @@
 
 A document is a bag of passages of up to 64 words. Each passage is encoded (how its characters follow each other, how its words
 repeat, then one learned layer); a gated attention weighs the passages; the weighted sum is scored. Only documents have
-labels: the weights of the passages are learned from them. Training runs on the driver over a bounded
-sample; scoring reads every whole text and needs the few thousand learned numbers only.
+labels: the weights of the passages are learned from them. Training runs on the driver over all passages of a bounded
+sample of labelled documents; scoring reads every whole text and needs the few thousand learned numbers only.
 """
 
 from dataclasses import dataclass
@@ -14,10 +14,11 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructType
 
 from paywatch.llm.common import mix, slices, utf8
+from paywatch.session import stage
 
 WORDS = 64  # words of a passage, at most
 SAMPLE = 3000  # labelled documents to fit on, at most
-BAG = 48  # passages of one of them, at most, evenly spread
+PASSAGES = 200_000  # of all of them together, at most: documents beyond that are left out whole
 HIDDEN, GATE = 24, 12
 THRESHOLD = 0.3  # fixed value of the contract
 
@@ -64,6 +65,8 @@ def passages(texts: pa.Array, words: int = WORDS) -> tuple[np.ndarray, np.ndarra
         pair[1:] += N_CLASSES * kinds[starts[0]:-1].astype(np.int64)
         inside = np.ones(len(pair), bool)
         inside[starts[within == 0] - starts[0]] = False  # nor over the border of two documents
+        # White space at the head of a document is nothing of the one before.
+        inside &= np.repeat(np.arange(rows), np.diff(borders))[starts[0]:] == np.repeat(row, np.diff(np.append(starts, len(data))))
         grams = np.bincount(of[inside] * N_CLASSES**2 + pair[inside], minlength=len(out) * N_CLASSES**2)
         out[:, :N_CLASSES**2] = grams.reshape(len(out), -1) / np.maximum(count * 6, 1)[:, None]
         # Words by the sum of their letters' numbers: repeated ones, different ones, length.
@@ -149,33 +152,38 @@ def held_out(doc_id):
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(5)) == 0
 
 
-def _bags(words, most):
+def _bags(words):
     def run(batches):
         for part in slices(batches, "text"):
             x, borders = passages(part.column("text"), words)
-            bags = []
-            for a, b in zip(borders[:-1], borders[1:]):
-                take = a + np.arange(min(most, b - a)) * (b - a) // min(most, b - a)
-                bags.append(x[take].tobytes())
+            bags = [x[a:b].tobytes() for a, b in zip(borders[:-1], borders[1:])]
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("label"), pa.array(bags, pa.binary())], names=["doc_id", "label", "bag"])
+                [part.column("doc_id"), part.column("label"), pa.array(np.diff(borders), pa.int64()), pa.array(bags, pa.binary())],
+                names=["doc_id", "label", "size", "bag"])
 
     return run
 
 
-def train(docs: DataFrame, labels: DataFrame, column: str = "quality", sample: int = SAMPLE, most: int = BAG,
+def train(docs: DataFrame, labels: DataFrame, column: str = "quality", sample: int = SAMPLE, most: int = PASSAGES,
           words: int = WORDS) -> Model | None:
-    """Fits on at most `sample` labelled documents outside the held-out fold, chosen by a hash of their id, with at most
-    `most` passages of each. Ids with several labels get their mean. None if there is no labelled document."""
+    """Fits on labelled documents outside the held-out fold, in the order of a hash of their id: on at most `sample` of them and as
+    many as have `most` passages together (one at least). Each document comes with all its passages. Ids with several
+    labels get their mean. None if there is no labelled document."""
     known = labels.select(F.col("doc_id").cast("long"), F.col(column).cast("double").alias("label")).dropna()
     known = known.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.avg("label").alias("label"))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     rows = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(known), "doc_id").select("doc_id", "label", "text")
-    bags = rows.mapInArrow(_bags(words, most), "doc_id long, label double, bag binary")
+    bags = rows.mapInArrow(_bags(words), "doc_id long, label double, size long, bag binary")
     # One bag for each id, also where rows repeat an id.
-    bags = bags.groupBy("doc_id").agg(F.min(F.struct("label", "bag")).alias("one")).select("one.*").collect()
-    if not bags:
+    bags = stage(bags.groupBy("doc_id").agg(F.min(F.struct("label", "bag", "size")).alias("one")), "bags")
+    sizes = sorted(bags.select(F.xxhash64("doc_id").alias("at"), "doc_id", "one.size").collect())  # `sample` rows
+    if not sizes:
         return None
+    within = np.cumsum([r.size for r in sizes]) <= most
+    within[0] = True
+    last = sizes[int(np.flatnonzero(within)[-1])]
+    bags = bags.where(F.struct(F.xxhash64("doc_id").alias("at"), "doc_id") <= F.struct(
+        F.lit(last["at"]).alias("at"), F.lit(last.doc_id).cast("long").alias("doc_id"))).select("one.label", "one.bag").collect()
     bags = sorted((r.label, bytes(r.bag)) for r in bags)
     x = [np.frombuffer(b, np.float32).reshape(-1, FEATURES) for _, b in bags]
     borders = np.concatenate([[0], np.cumsum([len(b) for b in x])])

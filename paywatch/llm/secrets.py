@@ -1,13 +1,14 @@
 r"""Secret scan with corpus-wide ownership frequency, in DataFrame functions only.
 
 Every text is split by each pattern once; matches and the gaps between them give positions. Values become SHA-256
-hashes, which are counted by distinct repositories and owners over the whole corpus. A value seen under few owners
-looks live; one that many owners have is a copied example. Long mixed tokens outside the base patterns are reported
-only when they look live.
+hashes, which are counted by distinct repositories and owners over the whole corpus. A value with few owners and in few
+repositories looks live; one that many owners have, or that stands in many repositories of one owner, is a copied example.
+Long mixed tokens outside the base patterns are added as `token` when they look live and as `copied` when not.
 """
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from paywatch.llm.common import join_hot
 from paywatch.session import stage
 
 # Fixed values of the contract.
@@ -15,8 +16,9 @@ ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{24,}"  # the runs of 24 and more among all maximal runs
 TOKEN = r"[A-Za-z0-9+/_-]{20,}"
-KINDS = ("assign", "access", "hex", "token")
-MAX_OWNERS = 1
+KINDS = ("assign", "access", "hex", "token", "copied")
+MAX_OWNERS = 2  # a credential may be shared with one other owner
+MAX_REPOSITORIES = 4
 
 
 def _found(text: Column, order: int) -> Column:
@@ -30,7 +32,7 @@ def _found(text: Column, order: int) -> Column:
             0: F.length(value) >= 6,
             1: F.length(value) >= 20,
             2: F.lit(True),
-            3: value.rlike("[0-9]") & value.rlike("[A-Z]") & value.rlike("[a-z]"),
+            3: value.rlike("[0-9]") & value.rlike("[A-Z]") & (value.rlike("[a-z]") | value.rlike("^[0-9A-F]{24,}$")),
         }[order]
         return F.struct(F.lit(order).alias("kind"), F.length(z["gap"]).cast("long").alias("gap"),
                         F.length(z["m"]).cast("long").alias("size"), good.alias("good"), F.sha2(value, 256).alias("hash"))
@@ -54,12 +56,13 @@ def ownership(values: DataFrame) -> DataFrame:
 
 
 def scan_secrets(docs: DataFrame, owner: str = "source", repository=("source", "lang"),
-                 max_owners: int = MAX_OWNERS) -> DataFrame:
-    """One row per document: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_copied, max_owners.
+                 max_owners: int = MAX_OWNERS, max_repositories: int = MAX_REPOSITORIES) -> DataFrame:
+    """One row per document: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_copied, max_owners, max_repositories.
 
     Null and empty texts have no span. A null owner or repository is one owner or repository of its own. Repeated
-    rows each get their row. `n_live` counts spans whose value at most `max_owners` owners have, `n_copied` the
-    others; `max_owners` in the result is the largest number of owners of one of its values, 0 without any.
+    rows each get their row. `n_live` counts spans whose value has at most `max_owners` owners and stands in at most
+    `max_repositories` repositories, `n_copied` the others; `max_owners` and `max_repositories` in the result are the largest
+    numbers of owners and repositories of one of its values, 0 without any.
     Positions are code points, however long the text. Other columns are ignored; an empty table gives none.
     """
     text = F.coalesce("text", F.lit(""))
@@ -77,17 +80,19 @@ def scan_secrets(docs: DataFrame, owner: str = "source", repository=("source", "
         (F.col("end") - F.col("f.size")).alias("start"), "end")
     each = stage(each, "secret-spans")
 
-    judged = each.join(ownership(each), "hash").withColumn("live", F.col("owners") <= max_owners)
-    judged = judged.where("kind < 3 or live")
+    judged = join_hot(each, stage(ownership(each), "secret-owners"), ["hash"], "occurrences")
+    judged = judged.withColumn("live", (F.col("owners") <= max_owners) & (F.col("repositories") <= max_repositories))
+    judged = judged.withColumn("kind", F.when((F.col("kind") == 3) & ~F.col("live"), 4).otherwise(F.col("kind")))
     spans = judged.groupBy("row").agg(
         *[F.count(F.when(F.col("kind") == k, 1)).alias(f"n_{KINDS[k]}") for k in range(3)],
         F.sort_array(F.collect_list(F.struct("start", "kind", "end"))).alias("all"),
         F.count(F.when(F.col("live"), 1)).alias("n_live"), F.count(F.when(~F.col("live"), 1)).alias("n_copied"),
-        F.max("owners").alias("max_owners"))
+        F.max("owners").alias("max_owners"), F.max("repositories").alias("max_repositories"))
     none = F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")
     out = rows.select("row", "doc_id").join(spans, "row", "left").withColumn("all", F.coalesce("all", none))
     count = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
     return out.select(
         "doc_id", count("n_assign"), count("n_access"), count("n_hex"),
         F.sha2(_listed(F.filter("all", lambda s: s["kind"] < 3)), 256).alias("base_sha256"),
-        _listed(F.col("all")).alias("spans"), count("n_live"), count("n_copied"), count("max_owners"))
+        _listed(F.col("all")).alias("spans"), count("n_live"), count("n_copied"), count("max_owners"),
+        count("max_repositories"))

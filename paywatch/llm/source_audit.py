@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from paywatch.llm.common import slices, utf8
+from paywatch.llm.common import mix, slices, utf8
 from paywatch.session import stage
 
 # Fixed values of the contract.
@@ -26,7 +26,7 @@ TOP = 10
 
 FIRST = 4  # bytes of the first level's prefixes; each level has twice as many
 MOST_BITS = 23  # 1 MB
-ELEMENTS = 1 << 19
+ELEMENTS = 1 << 18
 BLOCK, CHUNK = 128, 1024
 
 IS_TERM = np.zeros(256, bool)
@@ -50,25 +50,63 @@ def _terms(batches):
         starts[begins] = solid[begins]
         places = np.flatnonzero(starts)
         row = np.searchsorted(borders, places, side="right") - 1
-        length = np.append(np.cumsum(solid)[places] - 1, solid.sum()).astype(np.int32)
+        of = np.flatnonzero(solid)
+        ends = np.append(np.searchsorted(of, places), len(of)).astype(np.int32)
         words = pa.BinaryArray.from_buffers(pa.binary(), len(places), [
-            None, pa.py_buffer(length), pa.py_buffer(SMALL[data[solid]].tobytes())]).dictionary_encode()
-        known = words.dictionary.to_pylist()
-        order = sorted(range(len(known)), key=known.__getitem__)
-        rank = np.empty(len(known), np.int64)
-        rank[order] = np.arange(len(known))
-        each = row * max(1, len(known)) + rank[words.indices.to_numpy(zero_copy_only=False)] if len(places) else row
-        each, counts = np.unique(each, return_counts=True)
-        per_row = np.bincount(each // max(1, len(known)), minlength=len(part))
-        terms = pa.array([known[i] for i in order], pa.binary()).take(pa.array(each % max(1, len(known))))
+            None, pa.py_buffer(ends), pa.py_buffer(SMALL[data[of]].tobytes())]).dictionary_encode()
+        many = max(1, len(words.dictionary))
+        order = pc.array_sort_indices(words.dictionary)
+        rank = np.empty(many, np.int64)
+        rank[order.to_numpy()] = np.arange(len(order))
+        each, counts = np.unique(row * many + rank[words.indices.to_numpy(zero_copy_only=False)], return_counts=True)
+        per_row = np.bincount(each // many, minlength=len(part))
+        terms = words.dictionary.take(order).take(pa.array(each % many))
         yield pa.RecordBatch.from_arrays(
             [part.column("lang"), part.column("source"), _lists(per_row, terms), _lists(per_row, pa.array(counts, pa.int32()))],
             names=["lang", "source", "terms", "counts"])
 
 
-def _hash(lang: bytes, term: bytes) -> int:
-    """As Spark's xxhash64(lang, term)."""
-    return xxhash.xxh64_intdigest(term, xxhash.xxh64_intdigest(lang, 42))
+def _bytes(terms: pa.Array):
+    """All bytes, padded, and begin and length of each term."""
+    begin = np.frombuffer(terms.buffers()[1], np.int32)[terms.offset:terms.offset + len(terms) + 1].astype(np.int64)
+    data = terms.buffers()[2]
+    data = np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
+    return np.concatenate([data, np.zeros(8, np.uint8)]), begin[:-1], np.diff(begin)
+
+
+def hashes(terms: pa.Array, lang: np.ndarray, most: int | None = None) -> np.ndarray:
+    """Of (hash of the language, the first `most` bytes of each term), eight bytes at a time."""
+    data, begin, length = _bytes(terms)
+    length = length if most is None else np.minimum(length, most)
+    words = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
+    out = mix(lang + length.astype(np.uint64))
+    at, part = np.arange(len(terms)), 0
+    while len(at):
+        left = length[at] - 8 * part
+        word = words[begin[at] + 8 * part] & (np.uint64(0xFFFFFFFFFFFFFFFF) >> (8 * np.clip(8 - left, 0, 7)).astype(np.uint64))
+        out[at] = mix(out[at] * np.uint64(0x9E3779B97F4A7C15) + np.where(left > 0, word, np.uint64(0)))
+        part += 1
+        at = at[left > 8]
+    return out
+
+
+def lang_hashes(column: pa.Array) -> np.ndarray:
+    coded = column.dictionary_encode()
+    known = np.array([xxhash.xxh64_intdigest(x) for x in coded.dictionary.to_pylist()], np.uint64)
+    return known[coded.indices.to_numpy(zero_copy_only=False)] if len(known) else np.zeros(len(column), np.uint64)
+
+
+def _bits(number: int):
+    def run(batches):
+        table = np.zeros(number // 8, np.uint8)
+        for batch in batches:
+            at = (hashes(batch.column("term"), lang_hashes(batch.column("lang"))) % np.uint64(number)).astype(np.int64)
+            np.bitwise_or.at(table, at >> 3, (1 << (at & 7)).astype(np.uint8))
+        words = table.view(np.int64)
+        at = np.flatnonzero(words)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(words[at])], names=["word", "bits"])
+
+    return run
 
 
 class Kept:
@@ -76,58 +114,46 @@ class Kept:
 
     def __init__(self, rows: DataFrame, count: int):
         """`rows` has columns lang and term (binary); no more than 2 ** MOST_BITS bits reach driver and tasks."""
-        self.bits = 1 << min(MOST_BITS, max(10, (8 * count).bit_length()))
-        found = rows.select(F.pmod(F.xxhash64("lang", "term"), F.lit(self.bits)).alias("at")).select(
-            F.expr("at div 64").alias("word"), F.expr("shiftleft(1L, cast(at % 64 as int))").alias("bit"))
-        words = np.zeros(self.bits // 64, np.int64)
-        for r in found.groupBy("word").agg(F.bit_or("bit").alias("bits")).collect():
+        number = 1 << min(MOST_BITS, max(10, (8 * count).bit_length()))
+        words = np.zeros(number // 64, np.int64)
+        found = rows.select("lang", "term").mapInArrow(_bits(number), "word int, bits long")
+        for r in found.groupBy("word").agg(F.bit_or("bits").alias("bits")).collect():
             words[r.word] = r.bits
-        self.table = np.unpackbits(words.view(np.uint8), bitorder="little").tobytes()
+        self.table = words.view(np.uint8)
 
-    def holds(self, lang: bytes, term: bytes) -> bool:
-        value = _hash(lang, term)  # pmod of the signed value is the remainder: the number of bits divides 2 ** 64
-        return self.table[value % self.bits] == 1
+    def holds(self, values: np.ndarray) -> np.ndarray:
+        at = (values % np.uint64(8 * len(self.table))).astype(np.int64)
+        return (self.table[at >> 3] >> (at & 7)) & 1 == 1
 
 
-def _postings(part: pa.RecordBatch, key: pa.Array):
-    """Of the terms of all rows: their row's number of `key`, their row, their number among the known terms; and the known keys and terms."""
+def _postings(part: pa.RecordBatch):
+    """The row of each term, and the terms of all rows."""
     lists = part.column("terms")
-    row = np.repeat(np.arange(len(part)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
-    coded, keys = lists.flatten().dictionary_encode(), key.dictionary_encode()
-    known = coded.dictionary.to_pylist()
-    of = keys.indices.to_numpy(zero_copy_only=False)[row]
-    return of, row, coded.indices.to_numpy(zero_copy_only=False), keys.dictionary.to_pylist(), known
-
-
-def _present(first: np.ndarray, second: np.ndarray, width: int):
-    """The different pairs, and for each row which one it has."""
-    each, which = np.unique(first.astype(np.int64) * width + second, return_inverse=True)
-    return each // max(1, width), each % max(1, width), which
+    return np.repeat(np.arange(len(part)), pc.list_value_length(lists).to_numpy(zero_copy_only=False)), lists.flatten()
 
 
 def _counted(length: int, kept: Kept | None):
     """Documents by language and the first `length` bytes of their terms, of terms that the level before let through."""
     def run(batches):
         for part in slices(batches, "terms", ELEMENTS):
-            of, row, code, langs, known = _postings(part, part.column("lang"))
+            row, terms = _postings(part)
+            langs = part.column("lang").dictionary_encode()
+            lang = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            size = pc.binary_length(terms).to_numpy(zero_copy_only=False)
             if kept is not None:
-                langs_, terms, which = _present(of, code, len(known))
-                bytes_of = [x.encode() for x in langs]
-                good = np.array([len(known[t]) > length // 2 and kept.holds(bytes_of[g], known[t][:length // 2])
-                                 for g, t in zip(langs_.tolist(), terms.tolist())], bool)
-                good = good[which] if len(good) else np.zeros(0, bool)
-                of, row, code = of[good], row[good], code[good]
-            numbers: dict = {}
-            prefix = np.array([numbers.setdefault((t[:length], len(t) <= length), len(numbers)) for t in known], np.int64)[code]
-            new = np.ones(len(code), bool)
+                longer = np.flatnonzero(size > length // 2)
+                terms = terms.take(pa.array(longer))
+                good = kept.holds(hashes(terms, lang_hashes(part.column("lang"))[row[longer]], length // 2))
+                row, size, terms = row[longer][good], size[longer][good], terms.filter(pa.array(good))
+            coded = pc.binary_slice(terms, 0, length).dictionary_encode()
+            many = max(1, len(coded.dictionary))
+            prefix = 2 * coded.indices.to_numpy(zero_copy_only=False).astype(np.int64) + (size <= length)
+            new = np.ones(len(prefix), bool)
             new[1:] = (row[1:] != row[:-1]) | (prefix[1:] != prefix[:-1])
-            each, docs = np.unique(of[new].astype(np.int64) * max(1, len(numbers)) + prefix[new], return_counts=True)
-            names = list(numbers)
-            found = [names[p] for p in (each % max(1, len(numbers))).tolist()]
+            each, docs = np.unique(lang[row[new]] * (2 * many) + prefix[new], return_counts=True)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([langs[g] for g in (each // max(1, len(numbers))).tolist()], pa.string()),
-                 pa.array([p for p, _ in found], pa.binary()), pa.array([c for _, c in found], pa.bool_()), pa.array(docs, pa.int64())],
-                names=["lang", "term", "complete", "docs"])
+                [langs.dictionary.take(pa.array(each // (2 * many))), coded.dictionary.take(pa.array(each % (2 * many) // 2)),
+                 pa.array(each % 2 == 1), pa.array(docs, pa.int64())], names=["lang", "term", "complete", "docs"])
 
     return run
 
@@ -136,19 +162,19 @@ def _summed(kept: Kept):
     """Occurrences by language, source and term, of terms that may be kept ones."""
     def run(batches):
         for part in slices(batches, "terms", ELEMENTS):
-            both = pa.StructArray.from_arrays([part.column("lang"), part.column("source")], names=["lang", "source"])
-            groups: dict = {}
-            number = np.array([groups.setdefault((g["lang"], g["source"]), len(groups)) for g in both.to_pylist()], np.int64)
-            of, row, code, numbers, known = _postings(part, pa.array(number))
-            group, term, which = _present(np.array(numbers, np.int64)[of] if len(of) else of, code, len(known))
-            counts = np.bincount(which, part.column("counts").flatten().to_numpy(zero_copy_only=False), len(group)).astype(np.int64)
-            names = list(groups)
-            found = [(*names[g], known[t], n) for g, t, n in zip(group.tolist(), term.tolist(), counts.tolist())
-                     if kept.holds(names[g][0].encode(), known[t])]
-            columns = list(zip(*found)) or [[]] * 4
+            row, terms = _postings(part)
+            good = kept.holds(hashes(terms, lang_hashes(part.column("lang"))[row]))
+            row, coded = row[good], terms.filter(pa.array(good)).dictionary_encode()
+            counts = part.column("counts").flatten().to_numpy(zero_copy_only=False)[good]
+            langs, sources = (part.column(c).dictionary_encode() for c in ("lang", "source"))
+            lang, source = (x.indices.to_numpy(zero_copy_only=False).astype(np.int64)[row] for x in (langs, sources))
+            wide, many = max(1, len(sources.dictionary)), max(1, len(coded.dictionary))
+            each, which = np.unique((lang * wide + source) * many + coded.indices.to_numpy(zero_copy_only=False), return_inverse=True)
+            sums = np.bincount(which, counts, len(each)).astype(np.int64)
+            group = each // many
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.binary(), pa.int64()))],
-                names=["lang", "source", "term", "n"])
+                [langs.dictionary.take(pa.array(group // wide)), sources.dictionary.take(pa.array(group % wide)),
+                 coded.dictionary.take(pa.array(each % many)), pa.array(sums)], names=["lang", "source", "term", "n"])
 
     return run
 

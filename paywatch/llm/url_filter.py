@@ -63,9 +63,12 @@ SEEDS += [(f"https://site{i}.example.org{path}", label) for i, (path, label) in
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
+    """What follows the first `://`: up to a slash, question mark or hash, and from there up to a question mark or hash."""
     url = F.coalesce(url, F.lit(""))
-    host = F.regexp_extract(url, r"^(?s:.*?)://([^/?#]*)", 1)
-    path = F.regexp_extract(url, r"^(?s:.*?)://[^/?#]*(/[^?#]*)", 1)
+    at = F.instr(url, "://")
+    rest = F.when(at > 0, F.substring(url, at + 3, F.length(url))).otherwise("")
+    host = F.regexp_extract(rest, r"^[^/?#]*", 0)
+    path = F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1)
     return F.translate(host, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), path
 
 

@@ -1,7 +1,6 @@
 """Whole results where the second review found cuts, against plain versions."""
 
 import random
-import re
 from collections import Counter, defaultdict
 
 import public_tokenizers
@@ -16,22 +15,6 @@ from tests.llm.test_operators import check_packing
 FOLDER = "/root/testdata/sf0.001"
 
 
-def without_repeated_runs(docs):
-    """{doc_id: text} for distinct ids."""
-    places = defaultdict(list)
-    for d, t in docs:
-        lines = (t or "").split("\n")
-        for i, two in enumerate(zip(lines, lines[1:])):
-            if re.search(r"[^\x20\x09-\x0D]", "".join(two)):
-                places[two].append((d, i))
-    gone = defaultdict(set)
-    for found in places.values():
-        first, *others = sorted(found)
-        for d, i in others:
-            gone[d].update({i, i + 1} - ({i} if (d, i - 1) == first else set()))
-    return {d: t if not gone[d] else "\n".join(x for i, x in enumerate(t.split("\n")) if i not in gone[d]) for d, t in docs}
-
-
 def short_passages():
     rng = random.Random(3)
     passages = [[f"passage {p} line {j}" for j in range(2 + p % 4)] for p in range(12)]
@@ -50,8 +33,8 @@ def line_rows(spark):
 
 
 def test_repeated_runs_go_whole(line_rows):
-    out = {r.doc_id: r for r in line_dedup.dedup_runs(line_rows).collect()}
-    assert {d: r.text for d, r in out.items()} == without_repeated_runs(short_passages())
+    out = {r.doc_id: r for r in line_dedup.dedup_lines(line_rows).collect()}
+    assert {d: r.text for d, r in out.items()} == plain.without_repeated_runs(short_passages())
     kept = [x for d, r in out.items() if d < 60 for x in r.text.split("\n") if x.startswith("passage")]
     assert len(kept) == len(set(kept)) == sum(2 + p % 4 for p in range(12))
     for d, t in short_passages():
@@ -61,23 +44,23 @@ def test_repeated_runs_go_whole(line_rows):
 
 def test_line_query_leaves_no_repeated_run(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").collect()
-    want = without_repeated_runs(sorted((r.doc_id, r.text) for r in docs))
+    want = plain.without_repeated_runs(sorted((r.doc_id, r.text) for r in docs))
     out = QUERIES["op9_line_dedup"](spark, FOLDER).collect()
     assert {r.doc_id: r.text_sha256 for r in out} == {d: plain.sha(t) for d, t in want.items()}
 
 
-@pytest.mark.parametrize("way", [line_dedup.dedup_lines, line_dedup.dedup_runs])
-def test_one_of_the_texts_that_share_an_id_keeps_a_chunk(spark, way):
+@pytest.mark.parametrize("mean_lines", [1, 3, 1000])
+def test_one_of_the_texts_that_share_an_id_keeps_a_chunk(spark, mean_lines):
     head = "\n".join(f"license {i}" for i in range(40))
     rows = [(d, f"{head}\nown {i}") for i, d in enumerate([None] * 5 + [7] * 5)]
-    out = [r.removed_lines for r in way(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
-    assert sorted(out)[0] == 0 and sorted(out)[1] > 20
+    out = [r.removed_lines for r in line_dedup.dedup_lines(
+        spark.createDataFrame(rows, "doc_id long, text string"), mean_lines).collect()]
+    assert sorted(out)[0] == 0 and sorted(out)[1] >= 40
 
 
 def wanted(docs):
     """(doc_id, ids) of each document, as check_packing wants them."""
     t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    t.encode_special_tokens = True
     return [(d, t.encode(x or "", add_special_tokens=False).ids + [1]) for d, x in docs]
 
 

@@ -15,7 +15,7 @@ from tokenizers import Tokenizer
 from paywatch.llm import (
     exact_dedup, line_dedup, ngram_join, order_minhash, packing, pii, quality_mil, secrets, sentencepiece_nbest, url_filter,
 )
-from paywatch.llm.common import let
+from paywatch.llm.common import join_hot, let
 from tests.llm import plain
 
 FOLDER = "/root/testdata/sf0.001"
@@ -92,14 +92,25 @@ def test_secrets_base(spark):
 
 
 def test_secrets_ownership(spark):
-    shared, own = "0a1b2c3d" * 4, "9f8e7d6c" * 4
-    mixed, copied = "Ab1" * 10, "Zy9" * 10
+    shared, own, spread = "0a1b2c3d" * 4, "9f8e7d6c" * 4, "12ab34cd" * 4
+    mixed, copied, both = "Ab1" * 10, "Zy9" * 10, "Qr7" * 10
     data = [(i, f"x {shared} {copied}", f"s{i}", "en") for i in range(4)] + [(9, f"y {own} {mixed}", "s0", "en")]
+    data += [(20 + i, f"z {spread}", "s1", f"l{i}") for i in range(6)]  # one owner, many repositories
+    data += [(30 + i, f"{both} {'0123456789ABCDEF' * 2}", f"s{i}", "en") for i in range(2)]
     out = {r.doc_id: r for r in secrets.scan_secrets(
         spark.createDataFrame(data, "doc_id long, text string, source string, lang string")).collect()}
-    assert (out[0].n_live, out[0].n_copied, out[0].max_owners) == (0, 1, 4)
-    assert (out[9].n_live, out[9].n_copied, out[9].max_owners) == (2, 0, 1)
-    assert out[9].spans == "hex:2:34,token:35:65" and "token" not in out[0].spans
+    assert (out[0].n_live, out[0].n_copied, out[0].max_owners, out[0].max_repositories) == (0, 2, 4, 4)
+    assert (out[9].n_live, out[9].n_copied, out[9].max_owners, out[9].max_repositories) == (2, 0, 1, 1)
+    assert (out[20].n_live, out[20].n_copied, out[20].max_owners, out[20].max_repositories) == (0, 1, 1, 6)
+    assert out[9].spans == "hex:2:34,token:35:65" and out[0].spans == "hex:2:34,copied:35:65"
+    assert out[31].spans == "token:0:30,token:31:63" and out[31].n_live == 2
+
+
+def test_hot_values_are_dealt_out(spark):
+    rows_ = spark.range(5000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("k"), "id")
+    names = rows_.groupBy("k").agg(F.count("*").alias("copies"))
+    out = join_hot(rows_, names, ["k"], per_task=100)
+    assert out.count() == 5000 and out.select("id").distinct().count() == 5000 and out.columns == ["k", "id", "copies"]
 
 
 def test_secrets_edges(docs, none):
@@ -149,6 +160,57 @@ def test_quality_edges(spark, docs, none):
     assert kept.columns == docs.columns
 
 
+def test_quality_against_plain():
+    """Features, attention and score of every passage, one after another."""
+    texts = ["One two, two. THREE 4!\nfive", "", " ", "w " * 200, "é x " * 70 + "end", "Aa aa AA b"]
+    x, borders = quality_mil.passages(pa.array(texts))
+    model = quality_mil.Model.start(np.random.default_rng(2).random((9, quality_mil.FEATURES)).astype(np.float32), 0.6)
+    want = []
+    for t in texts:
+        data = t.encode()
+        starts = [i for i in range(len(data)) if data[i] not in b"\t\n\x0b\x0c\r " and (i == 0 or data[i - 1] in b"\t\n\x0b\x0c\r ")]
+        many = max(1, -(-len(starts) // quality_mil.WORDS))
+        bags = []
+        for k in range(many):
+            mine = [i for i in range(len(starts)) if i * many // len(starts) == k]
+            f = np.zeros(quality_mil.FEATURES)
+            if mine:
+                end = starts[mine[-1] + 1] if mine[-1] + 1 < len(starts) else len(data)
+                part = data[starts[mine[0]]:end]
+                before = data[starts[mine[0]] - 1:starts[mine[0]]] if mine[0] else b""
+                for a, b in zip(before + part, (before + part)[1:]):
+                    f[8 * quality_mil.CLASSES[a] + quality_mil.CLASSES[b]] += 1 / (6 * len(mine))
+                words = part.split()
+                low = [bytes(sorted(w.lower())) for w in words]
+                f[64:] = [sum(a == b for a, b in zip(low, low[1:])) / len(words), len(set(low)) / len(words),
+                          sum(map(len, words)) / len(words) / 8, len(words) / quality_mil.WORDS]
+            bags.append(f)
+        p = model.parts
+        hidden = [np.tanh(np.clip((f - p["mean"]) * p["scale"], -6, 6) @ p["encode"] + p["shift"]) for f in bags]
+        weights = np.exp([(np.tanh(h @ p["tanh"]) / (1 + np.exp(-(h @ p["gate"])))) @ p["weigh"] for h in hidden])
+        bag = sum(w * h for w, h in zip(weights / weights.sum(), hidden))
+        want.append(1 / (1 + np.exp(-(bag @ p["out"] + p["bias"][0]))))
+        at = borders[len(want) - 1]
+        np.testing.assert_allclose(x[at:at + many], np.array(bags), atol=1e-5)
+    np.testing.assert_allclose(model.forward(x, borders)["score"], want, atol=1e-4)
+
+
+def test_quality_trains_on_whole_documents(spark):
+    """The bound is one of documents: a document that doesn't fit is left out whole, never cut."""
+    docs = spark.createDataFrame([(i, f"word{i} " * (64 * 60 if i % 4 == 0 else 40)) for i in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    seen = []
+    keep = quality_mil.fit
+    try:
+        quality_mil.fit = lambda x, borders, y: seen.append((np.diff(borders).tolist(), len(y))) or keep(x, borders, y, rounds=2)
+        for most in (quality_mil.PASSAGES, 100, 1):
+            quality_mil.train(docs, labels, most=most)
+    finally:
+        quality_mil.fit = keep
+    assert all(set(sizes) <= {1, 60} for sizes, _ in seen) and 60 in seen[0][0]
+    assert seen[0][1] > seen[1][1] >= seen[2][1] == 1 and sum(seen[1][0]) <= 100
+
+
 def test_quality_gradients():
     x = np.random.default_rng(3).random((9, quality_mil.FEATURES)).astype(np.float32)
     borders, labels = np.array([0, 2, 3, 9]), np.array([1.0, 0.0, 1.0])
@@ -218,14 +280,22 @@ def test_decode_of_other_ids(spark):
 
 URLS = ["http://www.example.com/en/1", "http://EXAMPLE.com/en/", "https://a.example.com/en", "https://a.example.com/en/x?y#z",
         "https://example.com", "https://x.net/es/1", "http://x.net/fr/?a=/en/", "http://notexample.com/en/1", None, "", "no scheme/en/",
-        "ftp://a.org/://b.com/", "://", "x://h?/q", "x://h#f", "http://com/", "http://a.com:80/en/", "http://İ.com/", "a\nb://C.com/d\ne"]
+        "ftp://a.org/://b.com/", "://", "x://h?/q", "x://h#f", "http://com/", "http://a.com:80/en/", "http://İ.com/", "a\nb://C.com/d\ne", "http://example.com?u=http://x.org/en/1", "http://www.foo.net#a://b/fr/2",
+        "http://a.net://b.net/es/", "http://a.com/en/?x#y://z/", "https://x.net/es/" + "a/" * 50_000]
+
+
+def random_urls():
+    rng = random.Random(4)
+    parts = ["://", "/", "?", "#", "example.com", "www.", "net", "com", ".", "/en/", "/es/", "/fr/", "EXAMPLE", "x", "", "http", ":", "\n"]
+    return [noisy(rng, parts, rng.randint(1, 9)) for _ in range(800)]
 
 
 def test_urls(spark):
-    df = spark.createDataFrame([(i, u, "html", 5) for i, u in enumerate(URLS)], "page_id long, url string, html string, score int")
+    urls = URLS + random_urls()
+    df = spark.createDataFrame([(i, u, "html", 5) for i, u in enumerate(urls)], "page_id long, url string, html string, score int")
     out = {r.page_id: r for r in url_filter.judge_urls(df).collect()}
-    assert len(out) == len(URLS)
-    for i, u in enumerate(URLS):
+    assert len(out) == len(urls)
+    for i, u in enumerate(urls):
         host, path, rule, verdict = plain.host_path_rule(u)
         assert (out[i].host, out[i].path, out[i].rule) == (host, path, rule)
         assert out[i].verdict == (verdict or ("block" if out[i].score > url_filter.THRESHOLD else "allow"))
@@ -277,7 +347,6 @@ def check_packing(pieces, wanted):
 
 def ids_of(text):
     t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    t.encode_special_tokens = True
     return t.encode(text or "", add_special_tokens=False).ids + [1]
 
 
@@ -293,19 +362,23 @@ def test_packing_corpus(corpus, texts):
     for w in range(max(served)):
         so_far.update(served[w])
         for q, t in totals.items():
-            assert abs(so_far[q] - (w + 1) * 2048 * t / whole) <= 2 * packing.QUANTUM
+            assert abs(so_far[q] - (w + 1) * 2048 * t / whole) <= 512
 
 
 def test_packing_edges(docs, none):
     check_packing(packing.pack(docs).collect(), [(d, ids_of(t)) for d, t, _, _ in DOCS])
-    check_packing(packing.pack(docs, queues=2).collect(), [(d, ids_of(t)) for d, t, _, _ in DOCS])
+    for least in (1, 500):
+        check_packing(packing.pack(docs, least=least).collect(), [(d, ids_of(t)) for d, t, _, _ in DOCS])
+    special = [(i, t, "en", "a") for i, t in enumerate(["a <|endoftext|> b", "<|startoftext|>hi", "<|ENDOFTEXT|>", "<|endof", "text|>"])]
+    check_packing(packing.pack(docs.sparkSession.createDataFrame(special, SCHEMA)).collect(), [(d, ids_of(t)) for d, t, _, _ in special])
     assert packing.pack(none).count() == 0
 
 
 def test_encode_equals_tokenizer():
     rng = random.Random(5)
-    alphabet = ["a", "B", "the", "'s", "'S", "İ", "é", "e\u0301", " ", "  ", "\n", "\t", "\x0b", "\x1c", "\x85", "\u00a0", "1", "中", "Σ", "<|endoftext|>", "!", "𝄞", "\u0301"]
-    cases = [noisy(rng, alphabet, 12) for _ in range(500)] + [None, ""]
+    alphabet = ["a", "B", "the", "'s", "'S", "İ", "é", "e\u0301", " ", "  ", "\n", "\t", "\x0b", "\x1c", "\x85", "\u00a0", "1", "中", "Σ", "<|endoftext|>", "<|startoftext|>", "<|",
+                "<|ENDOFTEXT|>", "endoftext", "|>", "!", "𝄞", "\u0301", "\u0338"]
+    cases = [noisy(rng, alphabet, 12) for _ in range(1500)] + [None, "", "<|endof", "text|>"]
     ids, borders = packing.encode(pa.array(cases))
     for i, t in enumerate(cases):
         assert ids[borders[i]:borders[i + 1]].tolist() == ids_of(t)[:-1]
@@ -459,16 +532,35 @@ def test_cuts_follow_the_content():
 
 def test_lines_against_plain(corpus, texts):
     out = {r.doc_id: r.text for r in line_dedup.dedup_lines(corpus).collect()}
-    assert out == plain.without_repeated_lines(sorted(texts.items()))
+    assert out == plain.without_repeated_runs(sorted(texts.items()))
     assert out != texts
 
 
+@pytest.mark.parametrize("mean_lines", [1, 2, 7])
+def test_chunks_only_change_the_cost(corpus, texts, mean_lines):
+    out = {r.doc_id: r.text for r in line_dedup.dedup_lines(corpus, mean_lines).collect()}
+    assert out == plain.without_repeated_runs(sorted(texts.items()))
+
+
+def test_chunks_have_two_lines_and_share_borders(spark):
+    rng = random.Random(8)
+    shared = [f"shared {rng.random()}" for _ in range(60)]
+    texts = ["\n".join(shared), "\n".join(["own", "lines"] + shared[:30] + ["cut in"] + shared[30:])]
+    found = [r.c for r in spark.createDataFrame([(t,) for t in texts], "text string").select(
+        line_dedup.chunks(line_dedup.hashed_lines(F.col("text"))).alias("c")).collect()]
+    for c, t in zip(found, texts):
+        assert [x.start for x in c] == [0, *[x.start + x.lines for x in c][:-1]] and c[-1].start + c[-1].lines == len(t.split("\n"))
+        assert all(x.lines > 1 for x in c[:-1]) and len(c) > 8 and all(len(x.key) == 2 * x.lines for x in c)
+    keys = [{tuple(x.key) for x in c} for c in found]
+    assert len(keys[0] & keys[1]) >= len(keys[0]) - 3
+
+
 def test_lines_edges(docs, none):
     out = line_dedup.dedup_lines(docs)
     assert sorted(out.columns) == sorted(docs.columns) and out.count() == len(DOCS)
     by = {r.doc_id: r for r in out.collect()}
     assert by[4].text is None and by[5].text == "" and by[11].text == DOCS[10][1]
-    want = plain.without_repeated_lines([(11, DOCS[10][1]), (12, DOCS[11][1])])
+    want = plain.without_repeated_runs([(11, DOCS[10][1]), (12, DOCS[11][1])])
     assert by[12].text == want[12]
     assert line_dedup.dedup_lines(none).count() == 0
 
@@ -478,7 +570,7 @@ def test_shared_passages_go_whatever_surrounds_them(spark):
     passage = [f"line {rng.random()}" for _ in range(30)]
     data = [(i, "\n".join([f"own {i} {j}" for j in range(i % 5)] + passage + [f"end {i}"])) for i in range(20)]
     out = {r.doc_id: r for r in line_dedup.dedup_lines(spark.createDataFrame(data, "doc_id long, text string")).collect()}
-    assert out[0].removed_lines == 0 and all(out[i].removed_lines >= 20 for i in range(1, 20))
+    assert out[0].removed_lines == 0 and all(out[i].removed_lines == 30 for i in range(1, 20))
     assert all(f"end {i}" in out[i].text for i in range(20))
 
 

@@ -29,7 +29,7 @@ def test_stages_against_plain_versions(spark):
     assert all(texts(docs)[d] == t for d, t in texts(good).items()) and good.count() > 100
 
     lines = stage(functions[1](spark, good, FOLDER), "lines")
-    assert texts(lines) == plain.without_repeated_lines(sorted(texts(good).items()))
+    assert texts(lines) == plain.without_repeated_runs(sorted(texts(good).items()))
 
     one = stage(functions[2](spark, lines, FOLDER), "one")
     found = plain.near(sorted(texts(lines).items()), 5, 80)
