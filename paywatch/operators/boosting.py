@@ -253,7 +253,7 @@ class _Pass:
         g, h = gradients(label, weight, margin)
         use = ~valid
         if self.params.top_share is not None:
-            high = np.abs(g) >= self.threshold
+            high = np.abs(g).astype(np.float32) > np.float32(self.threshold)
             other = self.params.other_share / (1 - self.params.top_share)
             chosen = ~high & (draws(key, self.turn) < other)
             factor = 1 / other
@@ -344,7 +344,8 @@ def _top_gradients(work: _Pass, high_bits: int | None):
 
 def top_threshold(state: DataFrame, work: _Pass, share: float) -> float:
     """The gradient (in units, as a 32-bit float) that the wanted share of the rows reaches: sizes are counted by their upper
-    16 bits, then, within the cell where the share ends, by their lower 16. Rows that tie with it are all above."""
+    16 bits, then, within the cell where the share ends, by their lower 16. Only rows above it are kept whole: those that tie with it
+    may be nearly all rows (in the first round), and are drawn like the others."""
     want, high = None, None
     for _ in range(2):
         found = state.mapInArrow(_top_gradients(work, high), "cell int, rows long").groupBy("cell").agg(F.sum("rows").alias("rows"))

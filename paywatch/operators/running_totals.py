@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from paywatch.functions.arrays import count_not_above
 
+MOST_BUCKETS = 1024
+
 
 def running_totals(df: DataFrame, order: str, values, by=(), descending=False, buckets=None) -> DataFrame:
     """Adds `cum_<v>` (sum up to and including the row) and `total_<v>` for each v in `values`.
@@ -14,12 +16,13 @@ def running_totals(df: DataFrame, order: str, values, by=(), descending=False, b
     Needs one row per (by, order), so group first. Range buckets with about equally many rows come
     from approximate quantiles of `order` within each group; sums run inside each bucket in parallel and
     the sums of earlier buckets, at most `buckets` rows per group, are added. There are as many buckets as
-    shuffle partitions unless told otherwise, so they grow with the data as those do. A column with one
+    shuffle partitions unless told otherwise, but no more than MOST_BUCKETS: sketches, edges and sums stay small however
+    many partitions there are, and a task sorts a thousandth of a group's different values. A column with one
     heavy stretch of values still splits evenly, since edges follow the rows. Groups in `by` must be few
     (models, windows).
     """
     by = list(by)
-    buckets = buckets or max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    buckets = buckets or min(MOST_BUCKETS, max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     shares = [i / buckets for i in range(1, buckets)]
     sketch = F.percentile_approx(order, shares, 100 * buckets)
     if by:

@@ -67,4 +67,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_path = path
+    return out
+
+
+def unstage(*frames: DataFrame):
+    """Removes tables that `stage` wrote and nothing reads any more, not even a frame made from them that is still to run."""
+    for df in frames:
+        path = getattr(df, "staged_path", None)
+        if path is not None:
+            folder = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -1,7 +1,7 @@
 """Independent SQL (DuckDB) for the registered queries, over the same parquet tables."""
 
 from paywatch.columns import FEATURE_TABLE, KEYS, LABEL, MODEL_FEATURES, STRICT_FEATURES
-from registry.queries import BACKTEST_DAYS, DAYS, NEWTON, NULLABLE_COUNTS, PREPARED
+from registry.queries import BACKTEST_DAYS, DAYS, LEAFWISE, NEWTON, NULLABLE_COUNTS, PREPARED
 
 RAW = """
 ev AS (
@@ -374,18 +374,31 @@ edges AS (SELECT f, x, row_number() OVER (PARTITION BY f ORDER BY x) - 1 AS b FR
 binned AS MATERIALIZED (SELECT tx_id, l.f, count(c.x) AS b FROM long l LEFT JOIN cuts c ON c.f = l.f AND c.x < l.x GROUP BY tx_id, l.f),
 m0 AS (SELECT tx_id, CAST(0.0 AS DOUBLE) AS m FROM train)"""
     for t in range(params.rounds):
+        raw = "g" if params.top_share is None else "raw"
         out += f""",
-g{t} AS MATERIALIZED (
+{raw}{t} AS MATERIALIZED (
   SELECT tx_id, CAST(round(w * (p - y) * {unit}) AS BIGINT) AS g, CAST(round(w * p * (1 - p) * {unit}) AS BIGINT) AS h
   FROM (SELECT tx_id, is_laundering AS y, 1 / (1 + exp(-m)) AS p, CASE WHEN is_laundering = 1 THEN w ELSE 1.0 END AS w
-    FROM m{t} JOIN train USING (tx_id), weight)),
-n{t}_0 AS (SELECT tx_id, 0 AS node FROM g{t})"""
+    FROM m{t} JOIN train USING (tx_id), weight))"""
+        if params.top_share is not None:  # all rows with large gradients, and others by a draw of the turn
+            share, factor = params.other_share / (1 - params.top_share), 6364136223846793005 * (2 * t + 1) % 2**60
+            out += f""",
+drawn{t} AS (
+  SELECT *, CAST(abs(g) AS FLOAT) > (SELECT size FROM (
+      SELECT CAST(abs(g) AS FLOAT) AS size, row_number() OVER (ORDER BY abs(g) DESC) AS place, count(*) OVER () AS n FROM raw{t})
+    WHERE place = CAST(ceil({params.top_share} * n) AS BIGINT)) AS high,
+    CAST(CAST('0x' || substr(md5(tx_id || ':42'), 1, 15) AS HUGEINT) * {factor} % {2**60} AS DOUBLE) / {float(2**60)} < {share} AS chosen
+  FROM raw{t}),
+g{t} AS MATERIALIZED (SELECT tx_id, CASE WHEN high THEN g ELSE CAST(round(g * {1 / share}) AS BIGINT) END AS g,
+  CASE WHEN high THEN h ELSE CAST(round(h * {1 / share}) AS BIGINT) END AS h FROM drawn{t} WHERE high OR chosen)"""
+        out += f""",
+n{t}_0 AS (SELECT tx_id, 0 AS node FROM m{t})"""
         first, open_ = "1", "0"  # the next node's number, and the first node of the level
         for level in range(params.depth):
             out += f""",
 s{t}_{level} AS MATERIALIZED (
   SELECT *, {first} + 2 * (row_number() OVER (ORDER BY node) - 1) AS below FROM (
-    SELECT *, row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, b) AS place FROM (
+    SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, b) AS place FROM (
       SELECT *, lg * lg / (lh + {lam}) + rg * rg / (rh + {lam}) - tg * tg / (th + {lam}) AS gain FROM (
         SELECT node, f, b, ln, tn - ln AS rn, lg / {unit} AS lg, lh / {unit} AS lh, tg / {unit} AS tg, th / {unit} AS th,
           tg / {unit} - lg / {unit} AS rg, th / {unit} - lh / {unit} AS rh
@@ -395,7 +408,7 @@ s{t}_{level} AS MATERIALIZED (
             FROM binned JOIN g{t} USING (tx_id) JOIN n{t}_{level} USING (tx_id) WHERE node >= {open_} GROUP BY node, f, b)
           WINDOW part AS (PARTITION BY node, f), upto AS (PARTITION BY node, f ORDER BY b))))
     WHERE gain > {params.gamma} AND ln > 0 AND rn > 0 AND lh >= {params.min_child_weight} AND rh >= {params.min_child_weight})
-  WHERE place = 1),
+    WHERE place = 1{f" ORDER BY gain DESC, node LIMIT {params.leaves - level - 1}" if params.leaves else ""})),
 n{t}_{level + 1} AS MATERIALIZED (
   SELECT n.tx_id, CASE WHEN s.node IS NULL THEN n.node ELSE s.below + CASE WHEN k.b > s.b THEN 1 ELSE 0 END END AS node
   FROM n{t}_{level} n LEFT JOIN s{t}_{level} s ON s.node = n.node LEFT JOIN binned k ON k.tx_id = n.tx_id AND k.f = s.f)"""
@@ -710,12 +723,15 @@ FROM (SELECT min(window_days) AS short_days, max(window_days) AS long_days, arg_
 # Models and sketches are not SQL; what must hold for them is.
 _TEST = f"FROM tx WHERE ts >= {CUT}"
 ORACLE |= {
-    "newton_tree_nodes": q(f"""SELECT CAST(tree AS INTEGER) AS tree, CAST(node AS INTEGER) AS node, CAST(depth AS INTEGER) AS depth, feature,
+    **{name: q(f"""SELECT CAST(tree AS INTEGER) AS tree, CAST(node AS INTEGER) AS node, CAST(depth AS INTEGER) AS depth, feature,
   {dbl('threshold', digits=6)}, CAST("left" AS DOUBLE) AS "left", CAST("right" AS DOUBLE) AS "right",
-  {dbl('gain', 'value', 'hessian', digits=6)}, CAST(n AS BIGINT) AS rows FROM nodes""", newton()),
+  {dbl('gain', 'value', 'hessian', digits=6)}, CAST(n AS BIGINT) AS rows FROM nodes""", newton(params))
+       for name, params in (("newton_tree_nodes", NEWTON), ("leafwise_tree_nodes", LEAFWISE))},
     "newton_feature_gain": q(f"""SELECT feature, count(*) AS splits, {rnd('avg(gain)', 6)} AS gain, {rnd('sum(gain)', 6)} AS total_gain
 FROM nodes WHERE feature IS NOT NULL GROUP BY feature""", newton()),
     "score_boosted_newton": newton_score(),
+    # Three leaves: the root is split, then the child that gains more.
+    "score_leafwise": newton_score(LEAFWISE),
     "percentiles_approx": q("\nUNION ALL\n".join(
         unpivoted(MODEL_FEATURES, f"""SELECT '{{c}}' AS column_name, CAST({s} AS DOUBLE) AS share, true AS within
 FROM feats HAVING count({{c}}) > 0""") for s in (0.5, 0.9, 0.99))),

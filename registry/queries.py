@@ -12,7 +12,7 @@ from paywatch.columns import (
 from paywatch.functions import scalars
 from paywatch.operators import (
     account_windows, boosting, dedup, enrichment, evaluation, hot_keys, models, preparation, quality, quantiles,
-    sampling, splits,
+    sampling, splits, tuning,
 )
 from paywatch.operators.cleaning import clean_transactions, rejected_transactions
 from paywatch.plans.features import (
@@ -450,6 +450,9 @@ def score_logreg(spark, d):
 
 NEWTON = boosting.NewtonParams(rounds=2, depth=2, subsample=1.0, colsample=1.0, bins=16, exact_edges=True)
 
+LEAFWISE = boosting.NewtonParams(rounds=3, depth=2, leaves=3, top_share=0.2, other_share=0.1, colsample=1.0, bins=16,
+                                 min_child_weight=1.0, gamma=0.0, exact_edges=True)
+
 
 def _newton(spark, d, params=NEWTON):
     """Trees of a few rounds on all training rows, every model input to six decimals and 0 where it is null; and the test rows."""
@@ -461,7 +464,10 @@ def _newton(spark, d, params=NEWTON):
 
 
 def newton_tree_nodes(spark, d):
-    nodes = _newton(spark, d)[0].nodes(spark)
+    return _nodes(_newton(spark, d)[0].nodes(spark))
+
+
+def _nodes(nodes):
     return rounded(nodes.withColumns({c: F.col(c).cast("double") for c in ("left", "right")}), 6)
 
 
@@ -485,6 +491,25 @@ def tune_random_search(spark, d):
     return spark.createDataFrame(rows, "place int, in_ranges boolean, is_share boolean, in_order boolean")
 
 
+def tune_adaptive(spark, d):
+    """Trials of a small search: how far each got, and whether scores are shares and the one that got furthest led its rungs."""
+    train, _ = splits.train_test(stage(features(spark, d), "features"), DAYS)
+    ranges = {"rounds": (6, 9, "int"), "learning_rate": (0.05, 0.5, "log"), "reg_lambda": (1.0, 5.0, "float")}
+    _, trials, _ = tuning.adaptive_search(train, STRICT_FEATURES, trials=3, batch=3, folds=2, ranges=ranges,
+                                          base=boosting.NewtonParams(depth=2, bins=16))
+    return rounded(tuning.as_table(spark, trials), 6)
+
+
+def score_leafwise(spark, d):
+    """Trees grown leaf by leaf on rows with large gradients and a sample of the others."""
+    model, test = _newton(spark, d, LEAFWISE)
+    return rounded(model.score(test).select("tx_id", "score"), 6)
+
+
+def leafwise_tree_nodes(spark, d):
+    return _nodes(_newton(spark, d, LEAFWISE)[0].nodes(spark))
+
+
 def feature_importance(spark, d):
     model, _, _, plan = _boosted(spark, d)
     found = models.feature_importance(model, plan.keep, spark, top=len(plan.keep))
@@ -640,6 +665,9 @@ QUERIES = {
     "score_forest": score_forest,
     "score_logreg": score_logreg,
     "tune_random_search": tune_random_search,
+    "tune_adaptive": tune_adaptive,
+    "leafwise_tree_nodes": leafwise_tree_nodes,
+    "score_leafwise": score_leafwise,
     "feature_importance": feature_importance,
     "stress_test": stress_test,
     "predictions_output": predictions_output,

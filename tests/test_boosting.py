@@ -54,7 +54,7 @@ def plain_trees(rows, params, seed=42, weight=None):
             share = params.other_share / (1 - params.top_share)
             use = []
             for i in range(len(rows)):
-                if abs(g[i]) >= least:
+                if float(np.float32(abs(g[i]))) > least:
                     use.append(i)
                 elif draw[i] < share:
                     use.append(i)
