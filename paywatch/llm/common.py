@@ -18,6 +18,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def buckets(spark: SparkSession, each: int, most: int = 4096) -> int:
+    """How many buckets of a hash or range: `each` for a shuffle partition, but no more than `most`, for they are listed in one place."""
+    return max(2, min(most, each * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
 HOT_ROWS, HOT_BUCKETS = 20_000, 4096
 
 

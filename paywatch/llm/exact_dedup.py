@@ -13,7 +13,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from paywatch.llm.common import slices, utf8
+from paywatch.llm.common import join_hot, slices, utf8
 from paywatch.session import stage
 
 LEAST, MOST, BITS = 256, 8192, 10
@@ -116,6 +116,6 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
     rows = recipes(docs)
     best = F.max(F.struct("chars", F.bitwise_not("doc_id").alias("rest"), F.bitwise_not("row").alias("last")))
     groups = rows.groupBy("recipe").agg(best.alias("best"), F.count("*").alias("group_size"))
-    return rows.join(groups, "recipe").select(
+    return join_hot(rows, stage(groups, "groups"), ["recipe"], "group_size").select(
         "doc_id", F.bitwise_not("best.rest").alias("keep_id"), "group_size",
         (F.col("row") == F.bitwise_not("best.last")).alias("kept"), "text_sha256")

@@ -8,7 +8,7 @@ on whole sets, each pair once.
 
 Only groups are asked for, so no list of a prefix n-gram is turned into all its pairs. In each of a few rounds every class
 is compared with one head of its lists, the member that shares most of its n-grams with others and was no head yet; classes
-that link are one component. Lists within one component are done. In the lists that are left, all pairs of different components
+that link are one component. Lists within one component are done. In the lists that are left, all pairs of different components that can link
 are compared, so no link between components is lost. A list with thousands of near copies costs thousands of comparisons.
 """
 
@@ -18,8 +18,8 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from paywatch.llm.common import mix, slices, utf8
-from paywatch.session import stage
+from paywatch.llm.common import join_hot, mix, slices, utf8
+from paywatch.session import stage, unstage
 
 GRAMS, WORDS = 1 << 18, 1 << 20  # counters of n-grams and of words
 BLOCK = 1 << 14
@@ -190,7 +190,7 @@ def _narrowed(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that link, by their whole sets. Sets are made from the texts of the classes in question: a
+    """The pairs (a, b) that link, by their whole sets, as a table. Sets are made from the texts of the classes in question: a
     broadcast of at most BUCKETS hash values keeps most other texts out of the shuffle, and the join is exact."""
     asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     asked = asked.join(nodes.select("node", "rep"), "node").select(
@@ -200,10 +200,13 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, k: int, perce
     texts = docs.join(buckets, F.pmod(F.xxhash64("text"), F.lit(BUCKETS)) == F.col("bucket"), "left_semi")
     same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.xxhash64("text") == F.col("key"))
     texts = texts.join(asked, same).select("node", "text")
-    members = stage(texts.mapInArrow(_whole(k), "node long, members binary"), "sets").dropDuplicates(["node"])
+    whole = stage(texts.mapInArrow(_whole(k), "node long, members binary"), "sets")
+    members = whole.dropDuplicates(["node"])
     rows = pairs.join(members.select(F.col("node").alias("a"), F.col("members").alias("left")), "a")
     rows = rows.join(members.select(F.col("node").alias("b"), F.col("members").alias("right")), "b")
-    return rows.mapInArrow(_verify(percent), "a long, b long")
+    links = stage(rows.mapInArrow(_verify(percent), "a long, b long"), "links")
+    unstage(asked, whole)
+    return links
 
 
 def _ordered(x, y):
@@ -215,7 +218,7 @@ def _compared(pairs: DataFrame, done, docs: DataFrame, nodes: DataFrame, k: int,
     if done is not None:
         pairs = pairs.join(done, ["a", "b"], "left_anti")
     pairs = stage(_narrowed(pairs, nodes, percent), "pairs")
-    return pairs, stage(_verified(pairs, docs, nodes, k, percent), "links")
+    return pairs, _verified(pairs, docs, nodes, k, percent)
 
 
 def _mixed(entries: DataFrame, roots: DataFrame):
@@ -239,33 +242,64 @@ def components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         small = small.union(least.select("a", F.col("m").alias("b"))).distinct()
-        edges = stage(small, "stars")
+        last, edges = edges, stage(small, "stars")
+        unstage(last)
         now = edges.agg(F.count("*"), F.sum(F.pmod(F.xxhash64("a", "b"), F.lit(1 << 40)))).first()
         if now == before:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
         before = now
 
 
+def _candidates(left: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components that share an n-gram of a list and pass the length and the positional filter.
+
+    Of a pair that passes, the smaller set has its shared n-gram among the first (1 - t) / (1 + t) of its n-grams, so only such
+    entries are joined with all; and sizes must lie in neighbouring bands, so most pairs that can't pass are never formed. Texts from one
+    template that don't link have the template's n-grams behind their own, and form none. Large lists are dealt out.
+    """
+    def band(size):
+        return size.cast("int") if percent >= 100 else F.floor(F.log(size.cast("double")) / float(np.log(100 / percent))).cast("int")
+
+    left = left.withColumns({c: F.col(c).cast("long") for c in ("size", "place")})
+    b = left.select("gram", *[F.col(c).alias(f"{c}_b") for c in ("root", "node", "size", "place")], band(F.col("size")).alias("band"))
+    a = left.where(F.col("place") * (100 + percent) <= F.col("size") * (100 - percent))
+    a = a.select("gram", *[F.col(c).alias(f"{c}_a") for c in ("root", "node", "size", "place")], F.explode(F.sequence(
+        band(F.col("size")), band(F.expr(f"size * 100 div {percent}")))).alias("band"))
+    many = b.groupBy("gram", "band").agg(F.count("*").alias("copies"))
+    a = stage(a.join(many, ["gram", "band"]), "probes")
+    # Nothing is shared before the first n-gram that a pair shares, so a pair that links passes at that one.
+    most_shared = F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b"))
+    passes = (F.col("root_a") != F.col("root_b")) & (F.col("size_a") <= F.col("size_b")) & (
+        F.col("size_a") * 100 >= F.col("size_b") * percent) & (
+        most_shared * 100 >= (F.col("size_a") + F.col("size_b") - most_shared) * percent)
+    return join_hot(b, a, ["gram", "band"]).where(passes).select(*_ordered(F.col("node_a"), F.col("node_b"))).distinct()
+
+
 def grouped(docs: DataFrame, k: int, percent: int, rounds: int) -> DataFrame:
     """doc_id, key (a hash of the text), size, root of each document; the root, which names its component, is null for empty sets."""
     docs = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     tables = frequencies(docs, k)
-    rows = stage(docs.withColumn("key", F.xxhash64("text")).mapInArrow(_describe(k, percent, tables), ROW), "prefixes")
-    nodes = rows.where("size > 0").groupBy("sig1", "sig2", "size").agg(
+    whole = stage(docs.withColumn("key", F.xxhash64("text")).mapInArrow(_describe(k, percent, tables), ROW), "prefixes")
+    classes = whole.where("size > 0").groupBy("sig1", "sig2", "size").agg(
         F.min(F.struct("doc_id", "key")).alias("rep"),
         F.first("prefix").alias("prefix"), F.first("ranges").alias("ranges"))
-    nodes = stage(nodes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    classes = stage(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    rows = stage(whole.select("doc_id", "key", "size", "sig1", "sig2"), "documents")
+    unstage(whole)  # prefixes are the largest table; from here only the lists need them
 
     # Size and place travel as one number: these rows are the largest shuffle.
-    entries = nodes.select("node", "size", F.posexplode("prefix").alias("place", "gram"))
+    entries = classes.select("node", "size", F.posexplode("prefix").alias("place", "gram"))
     entries = entries.select("node", (F.shiftleft(F.col("size").cast("long"), 32) + F.col("place")).alias("both"), "gram")
     lists = entries.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    entries = stage(entries.join(lists, "gram").select(
+    lists = stage(entries.join(lists, "gram").select(
         "gram", "node", F.shiftright("both", 32).cast("int").alias("size"),
         F.col("both").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("place")), "lists")
+    nodes = stage(classes.drop("prefix"), "nodes")
+    unstage(classes)
     # Members that share much come first in every list: an original before its edited copies.
-    weights = entries.groupBy("node").agg(F.count("*").alias("weight"))
-    entries = stage(entries.join(weights, "node").withColumn("rank", F.struct("weight", "node")), "ranked")
+    weights = lists.groupBy("node").agg(F.count("*").alias("weight"))
+    entries = stage(lists.join(weights, "node").withColumn("rank", F.struct("weight", "node")), "ranked")
+    unstage(lists)
 
     done = links = None
     left = entries.withColumn("root", F.col("node"))
@@ -280,18 +314,12 @@ def grouped(docs: DataFrame, k: int, percent: int, rounds: int) -> DataFrame:
         pairs, found = _compared(pairs, done, docs, nodes, k, percent)
         done = pairs if done is None else done.union(pairs)
         links = found if links is None else links.union(found)
-        left, roots = _mixed(entries, components(links))
+        last, (left, roots) = left, _mixed(entries, components(links))
+        unstage(last)
         if left.isEmpty():
             return _named(rows, nodes, roots)
 
-    # All pairs of different components in a list that pass the length and the positional filter.
-    a, b = (left.select("gram", *[F.col(c).alias(f"{c}_{s}") for c in ("root", "node", "size", "place")]) for s in "ab")
-    least, most = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
-    # Nothing is shared before the first n-gram that a pair shares, so a pair that links passes at that one.
-    most_shared = F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b"))
-    passes = (F.col("root_a") < F.col("root_b")) & (least * 100 >= most * percent) & (
-        most_shared * 100 >= (F.col("size_a") + F.col("size_b") - most_shared) * percent)
-    pairs = a.join(b, "gram").where(passes).select(*_ordered(F.col("node_a"), F.col("node_b"))).distinct()
+    pairs = _candidates(left, percent)
     _, found = _compared(pairs, done, docs, nodes, k, percent)
     return _named(rows, nodes, components(links.union(found)))
 
@@ -314,8 +342,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, rounds: int
     its name: a document that reaches null ids only has a null component_id. Other columns are ignored; an empty table gives none.
     """
     rows = grouped(docs, k, percent, rounds)
-    best = rows.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    full = rows.join(best, "root").select("doc_id", F.col("size").cast("long").alias("n_shingles"), "component_id")
+    best = rows.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("copies"))
+    full = join_hot(rows.where("root is not null"), stage(best, "components"), ["root"]).select("doc_id", F.col("size").cast("long").alias("n_shingles"), "component_id")
     empty = rows.where("root is null").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return full.unionByName(empty)
 

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from paywatch.llm.common import slices, utf8
+from paywatch.llm.common import buckets, slices, utf8
 from paywatch.session import stage
 
 WINDOW = 2048
@@ -168,8 +168,8 @@ def _tokenise(path):
 def _queued(rows: DataFrame) -> DataFrame:
     """Adds `place`, the tokens before a row in its queue. Queues are cut into buckets by a hash of the row, sums run
     inside buckets in parallel, and sums of buckets are added; so a queue with a third of all rows spreads, too."""
-    buckets = 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("row"), F.lit(buckets)))
+    many = buckets(rows.sparkSession, 4)
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("row"), F.lit(many)))
     sums = rows.groupBy("queue", "bucket").agg(F.sum("doc_tokens").alias("sum"))
     before = Window.partitionBy("queue").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("queue", "bucket", F.coalesce(F.sum("sum").over(before), F.lit(0)).alias("base"))
@@ -294,9 +294,9 @@ def _dealt(placed: DataFrame, sizes: DataFrame, least: int) -> DataFrame:
     end = F.expr("(k + 1) * (sum div many) + (k + 1) * (sum % many) div many")
     rows = rows.select("row", "queue", "place", F.greatest(begin, "place").alias("start"),
                        F.least(end, F.col("place") + F.col("doc_tokens")).alias("end"), ((F.col("k") + F.col("phase")) / F.col("many")).alias("due"))
-    buckets = 4 * int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cells = buckets(placed.sparkSession, 4)
     rows = rows.select("row", "queue", "due", "start", (F.col("start") - F.col("place")).alias("from"), (F.col("end") - F.col("start")).alias("length"),
-                       F.least(F.floor(F.col("due") * buckets), F.lit(buckets - 1)).alias("bucket"))
+                       F.least(F.floor(F.col("due") * cells), F.lit(cells - 1)).alias("bucket"))
     rows = stage(rows, "quanta")
     sums = rows.groupBy("bucket").agg(F.sum("length").alias("sum"))
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)  # one row for each bucket
