@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from paywatch.llm.common import mix, slices, utf8
+from paywatch.llm.common import join_hot, mix, slices, utf8
 from paywatch.session import stage
 
 # Fixed values of the contract.
@@ -26,7 +26,7 @@ TOP = 10
 
 FIRST = 4  # bytes of the first level's prefixes; each level has twice as many
 MOST_BITS = 23  # 1 MB
-ELEMENTS = 1 << 18
+ELEMENTS = 1 << 19
 BLOCK, CHUNK = 128, 1024
 
 IS_TERM = np.zeros(256, bool)
@@ -211,6 +211,14 @@ def _share(n, total) -> np.ndarray:
     return whole + 1
 
 
+def _shares(rows: DataFrame, n: str, total: str, name: str) -> DataFrame:
+    """Adds what `_share` gives, by the same digits."""
+    rows = rows.withColumns({"_whole": F.expr(f"({n} + 2) div {total}"), "_rest": F.expr(f"({n} + 2) % {total}")})
+    for _ in range(3):
+        rows = rows.withColumns({"_whole": F.expr(f"_whole * 1000 + (_rest * 1000) div {total}"), "_rest": F.expr(f"(_rest * 1000) % {total}")})
+    return rows.withColumn(name, F.col("_whole") + 1).drop("_whole", "_rest")
+
+
 def _distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return (p - q)**2 // (p + q)
 
@@ -219,16 +227,21 @@ def _compared(block: int):
     """Sums over a chunk of terms for the pairs of two blocks of sources."""
     def run(batches):
         for batch in batches:
-            for r in batch.to_pylist():
-                seen = np.unique(np.array([c["no"] for s in "ab" for c in r[f"cells_{s}"]], np.int64))
+            names = ("lang", "terms", "block_a", "block_b", "totals_a", "totals_b")
+            plain = {c: batch.column(c).to_pylist() for c in names}
+            borders = {x: batch.column(f"cells_{x}").offsets.to_numpy() for x in "ab"}
+            cells = {x: [batch.column(f"cells_{x}").values.field(c).to_numpy() for c in ("no", "rank", "n")] for x in "ab"}
+            for row in range(batch.num_rows):
+                r = {c: plain[c][row] for c in names}
+                mine = {x: [c[borders[x][row]:borders[x][row + 1]] for c in cells[x]] for x in "ab"}
+                seen = np.unique(np.concatenate([mine["a"][0], mine["b"][0]]))
                 sides, zeros = [], []
-                for s in "ab":
-                    first, totals = block * r[f"block_{s}"], np.array(r[f"totals_{s}"], np.int64)
+                for x in "ab":
+                    first, totals = block * r[f"block_{x}"], np.array(r[f"totals_{x}"], np.int64)
                     zero = _share(0, totals)
                     table = np.repeat(zero[None, :], len(seen), axis=0)
-                    if r[f"cells_{s}"]:
-                        no, place, n = (np.array([c[k] for c in r[f"cells_{s}"]], np.int64) for k in ("no", "rank", "n"))
-                        table[np.searchsorted(seen, no), place - first] = _share(n, totals[place - first])
+                    no, place, n = mine[x]
+                    table[np.searchsorted(seen, no), place - first] = _share(n, totals[place - first])
                     sides.append(table)
                     zeros.append(zero)
                 value = (r["terms"] - len(seen)) * _distance(zeros[0][:, None], zeros[1][None, :])
@@ -243,11 +256,10 @@ def _compared(block: int):
     return run
 
 
-def _pairs(groups: DataFrame, langs: DataFrame, terms: DataFrame, counts: DataFrame, block: int) -> DataFrame:
+def _pairs(groups: DataFrame, chunks: DataFrame, terms: DataFrame, counts: DataFrame, block: int) -> DataFrame:
     """lang, a, b, value for ranks a < b of a language's sources."""
     blocks = groups.groupBy("lang", (F.col("rank") / block).cast("int").alias("block")).agg(
         F.transform(F.sort_array(F.collect_list(F.struct("rank", "total"))), lambda x: x["total"]).alias("totals"))
-    chunks = langs.select("lang", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(1), F.col("chunks")) - 1)).alias("chunk"))
     sizes = terms.groupBy("lang", "chunk").agg(F.count("*").alias("terms"))
     cells = counts.groupBy("lang", "chunk", (F.col("rank") / block).cast("int").alias("block")).agg(
         F.collect_list(F.struct("no", "rank", "n")).alias("cells"))
@@ -274,7 +286,8 @@ def audit(docs: DataFrame, least: int = LEAST_DOCS, top: int = TOP, block: int =
     langs = langs.select("lang", F.coalesce("v", F.lit(0).cast("long")).alias("v")).withColumn(
         "chunks", F.ceil(F.col("v") / chunk).cast("int"))
     langs = stage(langs, "langs")
-    terms = stage(found.withColumn("no", F.monotonically_increasing_id()).join(langs.select("lang", "chunks"), "lang").select(
+    named = join_hot(found.withColumn("no", F.monotonically_increasing_id()), langs, ["lang"], "v")
+    terms = stage(named.select(
         "lang", "term", "no", F.pmod(F.xxhash64("term"), F.col("chunks")).cast("int").alias("chunk")), "terms")
     counts = lists.mapInArrow(_summed(Kept(found, found.count())), "lang string, source string, term binary, n long")
     counts = counts.groupBy("lang", "source", "term").agg(F.sum("n").alias("n")).join(terms, ["lang", "term"])
@@ -285,8 +298,10 @@ def audit(docs: DataFrame, least: int = LEAST_DOCS, top: int = TOP, block: int =
     place = F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1
     groups = stage(groups.select("lang", "source", place.alias("rank"), (F.coalesce("sum", F.lit(0)) + 2 * F.col("v")).alias("total")), "groups")
 
-    placed = counts.join(groups.select("lang", "source", "rank"), ["lang", "source"])
-    pairs = _pairs(groups, langs, terms, placed.select("lang", "chunk", "no", "rank", "n"), block)
+    # By chunk, too: the terms of a large group and of a large language find their totals in many places.
+    spread = langs.select("lang", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(1), F.col("chunks")) - 1)).alias("chunk"))
+    placed = counts.join(groups.join(spread, "lang").select("lang", "source", "chunk", "rank", "total"), ["lang", "source", "chunk"])
+    pairs = _pairs(groups, spread, terms, placed.select("lang", "chunk", "no", "rank", "n"), block)
     pairs = pairs.union(pairs.select("lang", F.col("b").alias("a"), F.col("a").alias("b"), "value"))
     names = groups.select("lang", "source", "rank")
     pairs = pairs.join(names.select("lang", "source", F.col("rank").alias("a")), ["lang", "a"])
@@ -294,12 +309,11 @@ def audit(docs: DataFrame, least: int = LEAST_DOCS, top: int = TOP, block: int =
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     pairs = pairs.select("lang", "source", F.lit("pair").alias("part"), "item", "value", F.row_number().over(order).alias("rank"))
 
-    share = "1 + cast((cast(1000000000 as decimal(18,0)) * cast({} + 2 as decimal(19,0))) div cast({} as decimal(19,0)) as bigint)"
-    overall = counts.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"))
-    whole = counts.groupBy("lang").agg(F.sum("n").alias("sum")).join(langs, "lang")
-    overall = overall.join(whole.select("lang", (F.col("sum") + 2 * F.col("v")).alias("lang_total")), "lang")
-    rows = counts.join(groups.select("lang", "source", "total"), ["lang", "source"]).join(overall, ["lang", "term"])
-    rows = rows.withColumns({"p": F.expr(share.format("n", "total")), "q": F.expr(share.format("lang_n", "lang_total"))}).where("p > q")
+    overall = counts.groupBy("lang", "chunk", "term").agg(F.sum("n").alias("lang_n"))
+    whole = counts.groupBy("lang").agg(F.sum("n").alias("sum")).join(langs, "lang").select("lang", (F.col("sum") + 2 * F.col("v")).alias("lang_total"))
+    overall = overall.join(whole.join(spread, "lang"), ["lang", "chunk"])
+    rows = placed.select("lang", "source", "chunk", "term", "n", "total").join(overall, ["lang", "chunk", "term"])
+    rows = _shares(_shares(rows, "n", "total", "p"), "lang_n", "lang_total", "q").where("p > q")
     rows = rows.select("lang", "source", F.lit("term").alias("part"), F.col("term").cast("string").alias("item"),
                        F.expr("((p - q) * (p - q)) div (p + q)").alias("value"))
     rows = rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
