@@ -9,9 +9,9 @@ from paywatch.session import clear_staged
 from paywatch.sources.tables import overwrite_features, read_table
 
 
-def main(spark, transactions, accounts, output, files_per_day=32):
+def main(spark, transactions, accounts, output, files_per_day=None):
     features = build_transaction_features(read_table(spark, transactions), read_table(spark, accounts))
-    overwrite_features(features, output, files_per_day=int(files_per_day))
+    overwrite_features(features, output, files_per_day=files_per_day and int(files_per_day))
 
 
 if __name__ == "__main__":

@@ -68,12 +68,6 @@ def stratified_sample(df: DataFrame, fractions, caps=None, label=LABEL, seed=set
     return class_cap(sample, {c: (caps or {}).get(c) for c in fractions}, label, seed) if caps else sample
 
 
-def class_split(total: int, positives: int):
-    """Row caps per class: at most a fifth of the rows are positives."""
-    positives = min(positives, total // 5)
-    return {0: total - positives, 1: positives}
-
-
 def rate_limits(df: DataFrame, rate: float, label=LABEL) -> DataFrame:
     """(label, keep) that bring the positive rate to `rate` by thinning the class in excess."""
     row = df.agg(F.count_if(F.col(label) == 0).alias("neg"), F.count_if(F.col(label) == 1).alias("pos"))

@@ -122,7 +122,8 @@ def train_and_evaluate(features: DataFrame, config=TrainingConfig(), model_folde
     ready, ready_test = stage(prepared.apply(train), "train_ready"), stage(prepared.apply(test), "test_ready")
     params = config.params
     if config.trials:
-        params = models.search(train, wanted, models.random_trials(config.trials, config.seed))[0][0]
+        best, mean = models.search(train, wanted, models.random_trials(config.trials, config.seed))[0]
+        params = params if mean is None else best  # no fold could be scored
 
     fitted = {
         "boosted_trees": models.fit_boosted_trees(ready, keep, params, seed=config.seed),
@@ -157,12 +158,13 @@ def train_and_evaluate(features: DataFrame, config=TrainingConfig(), model_folde
     version = runs.model_version(run_id)
     folder = model_folder or f"{shared_folder(spark)}/paywatch/models"
     path = models.save_model(fitted["boosted_trees"], folder, version)
+    models.save_model(models.scorer(prepared, fitted["boosted_trees"]), folder, f"{version}-scorer")  # from raw features
     prepared.imputation.as_table(spark).write.mode("overwrite").parquet(f"{path}-imputation")
     summary = evaluation.run_summary(train, scores, splits.holdout_cutoff(data, config.test_days))
     run = runs.run_row(summary, run_id, version, asdict(params), keep, path)
     if runs_table:
-        runs.log_run(spark, run, runs_table)
+        runs.write_once(run, runs_table)
     if predictions_table:
-        runs.write_predictions(runs.predictions(scored, run_id, version), predictions_table)
+        runs.write_once(runs.predictions(scored, run_id, version), predictions_table)
     return TrainingResult(fitted, prepared, params, all_scores, scored,
                           evaluation.ranking_metrics(all_scores, ["model"]), views, run, version, run_id)

@@ -9,10 +9,7 @@ TEST_DAYS = 120
 SEED = 42
 TRAIN_FRACTIONS = {0: 0.08, 1: 0.80}
 TEST_FRACTIONS = {0: 0.30, 1: 1.00}
-MAX_TRAIN_ROWS = 3_000_000
 MAX_TEST_ROWS = 500_000
-MAX_POS_TRAIN = 80_000
-MAX_POS_TEST = 30_000
 TARGET_TEST_RATE = 0.01
 NATURAL_TEST_MAX_ROWS = 1_000_000
 BACKTEST_DAYS = (14, 28, 56)

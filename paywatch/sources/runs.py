@@ -5,7 +5,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paywatch.columns import RUN_SCHEMA, TO_KEYS, FROM_KEYS, TS
-from paywatch.sources.tables import add_column_if_absent, align_to, append_table, create_if_absent
+from paywatch.sources.tables import add_column_if_absent, align_to, append_once, append_table, create_if_absent, is_folder
 
 ID_COLUMNS = [*FROM_KEYS, *TO_KEYS, TS]
 
@@ -62,3 +62,12 @@ def write_predictions(df: DataFrame, table: str, path=None):
     for column in ("run_id", "model_version"):
         add_column_if_absent(spark, table, column, "string")
     append_table(df, table)
+
+
+def write_once(df: DataFrame, table: str, path=None):
+    """Run rows or predictions, keyed by their run id: a retried write leaves one copy. Older tables first get the run columns."""
+    spark = df.sparkSession
+    if not is_folder(table) and spark.catalog.tableExists(table):
+        for column in ("run_id", "model_version"):
+            add_column_if_absent(spark, table, column, "string")
+    append_once(df, table, "run_id", path)

@@ -528,6 +528,11 @@ SELECT tx_id, ts_text AS "timestamp", from_bank, from_account, to_bank, CAST(to_
 SELECT tx_id, CASE WHEN amount_paid < 50000 THEN payment_format END AS payment_format, {dbl('amount_paid')} FROM tx""", TX),
     "add_missing_column": q(f"""
 SELECT tx_id, {dbl('amount_paid')}, CAST(NULL AS VARCHAR) AS run_id, 'True,False' AS added FROM tx""", TX),
+    "append_twice_roundtrip": q(f"""
+SELECT tx_id, payment_format, {dbl('amount_paid')}, CASE WHEN amount_paid < 50000 THEN 'first' ELSE 'second' END AS run_id FROM tx""", TX),
+    "overwrite_while_reading": q(f"""
+SELECT tx_id, {dbl('amount_paid')}, 'new' AS version FROM tx WHERE amount_paid >= 1000
+UNION ALL SELECT tx_id, {dbl('amount_paid')}, 'old' FROM tx WHERE amount_paid < 50000""", TX),
     "align_to_target": q(f"""
 SELECT tx_id, CAST(NULL AS VARCHAR) AS note, {integer('is_laundering')}, {dbl('amount_paid')} FROM tx""", TX),
     "select_model_columns": q(f"""
@@ -735,6 +740,7 @@ FROM nodes WHERE feature IS NOT NULL GROUP BY feature""", newton()),
     "percentiles_approx": q("\nUNION ALL\n".join(
         unpivoted(MODEL_FEATURES, f"""SELECT '{{c}}' AS column_name, CAST({s} AS DOUBLE) AS share, true AS within
 FROM feats HAVING count({{c}}) > 0""") for s in (0.5, 0.9, 0.99))),
+    "score_reloaded": q(f"SELECT tx_id, {integer('is_laundering')}, true AS same, true AS is_probability {_TEST}", TX),
     **{name: q(f"SELECT tx_id, {integer('is_laundering')}, true AS is_probability, true AS scores_differ {_TEST}", TX)
        for name in ("score_gbt", "score_forest", "score_logreg")},
     "tune_random_search": "SELECT CAST(place AS INTEGER) AS place, true AS in_ranges, true AS is_share, true AS in_order FROM range(1, 3) t(place)",

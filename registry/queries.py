@@ -131,6 +131,29 @@ def sink_append_roundtrip(spark, d):
     return rounded(spark.table(table))
 
 
+def append_twice_roundtrip(spark, d):
+    """Two runs' rows, the first run's written again by a retry: one copy of each."""
+    table, path = _table(spark, "append_once")
+    out = dated(spark, d).select("tx_id", "payment_format", "amount_paid",
+                                 F.when(F.col("amount_paid") < 50000, "first").otherwise("second").alias("run_id"))
+    for run in ("first", "second", "first"):
+        tables.append_once(out.filter(F.col("run_id") == run), table, path=path)
+    return rounded(spark.table(table))
+
+
+def overwrite_while_reading(spark, d):
+    """A table replaced by rows made from itself while a reader of the old version goes on."""
+    view = "paywatch_versions"
+    spark.sql(f"DROP VIEW IF EXISTS {view}")
+    out, path = dated(spark, d).select("tx_id", TS, "amount_paid"), new_path(spark, "versions")
+    tables.replace_version(tables.by_day(out.filter("amount_paid < 50000")), view, path, ["event_date"])
+    reader = spark.table(view)
+    tables.replace_version(spark.table(view).filter("amount_paid >= 1000").unionByName(
+        out.filter("amount_paid >= 50000").withColumn("event_date", F.to_date(TS))), view, path, ["event_date"])
+    new = spark.table(view).select("tx_id", "amount_paid", F.lit("new").alias("version"))
+    return rounded(new.unionByName(reader.select("tx_id", "amount_paid", F.lit("old").alias("version"))))
+
+
 def add_missing_column(spark, d):
     table, path = _table(spark, "evolve")
     tables.append_table(dated(spark, d).select("tx_id", "amount_paid"), table, path)
@@ -436,6 +459,18 @@ def score_gbt(spark, d):
     return _probabilities(models.score(model, test))
 
 
+def score_reloaded(spark, d):
+    """Raw test rows scored by a model that was saved with its preparation and loaded again, beside the model at hand."""
+    data = stage(features(spark, d), "features")
+    train, test = splits.train_test(data, DAYS)
+    plan = models.fit_preparation(train, STRICT_FEATURES)
+    model = models.fit_logistic(plan.scales.apply(stage(plan.apply(train), "train")), plan.keep, max_iter=20)
+    path = models.save_model(models.scorer(plan, model, standardize=True), new_path(spark, "models"), "logistic")
+    again = models.score(models.load_model(path), test).select("tx_id", F.col("score").alias("again"))
+    both = models.score(model, plan.apply(test, standardize=True)).join(again, "tx_id")
+    return both.select("tx_id", "is_laundering", (F.col("score") == F.col("again")).alias("same"), F.col("again").between(0, 1).alias("is_probability"))
+
+
 def score_forest(spark, d):
     train, test, plan = _prepared(spark, d)
     model = models.fit_forest(train, plan.keep, trees=10, depth=4)
@@ -597,6 +632,8 @@ QUERIES = {
     "scan_accounts": scan_accounts,
     "sink_overwrite_roundtrip": sink_overwrite_roundtrip,
     "sink_append_roundtrip": sink_append_roundtrip,
+    "append_twice_roundtrip": append_twice_roundtrip,
+    "overwrite_while_reading": overwrite_while_reading,
     "add_missing_column": add_missing_column,
     "align_to_target": align_to_target,
     "select_model_columns": select_model_columns,
@@ -662,6 +699,7 @@ QUERIES = {
     "newton_tree_nodes": newton_tree_nodes,
     "newton_feature_gain": newton_feature_gain,
     "score_boosted_newton": score_boosted_newton,
+    "score_reloaded": score_reloaded,
     "score_forest": score_forest,
     "score_logreg": score_logreg,
     "tune_random_search": tune_random_search,

@@ -22,6 +22,53 @@ def test_append_creates_aligns_and_follows_new_columns(spark, name):
     assert sorted(map(tuple, spark.table(name).collect()), key=lambda r: r[0]) == [(1, "a", None), (2, None, "r")]
 
 
+@pytest.mark.parametrize("folder", [False, True])
+def test_append_once_keeps_one_copy_of_a_batch(spark, name, folder, tmp_path):
+    table = str(tmp_path / name) if folder else name
+    batch = lambda run, ids: spark.createDataFrame([(i, run) for i in ids], "id int, run_id string")
+    for run, ids in (("a", [1, 2]), ("b", [3]), ("a", [1, 2, 4]), ("b", [3])):
+        tables.append_once(batch(run, ids), table)
+    rows = tables.read_table(spark, table).select("run_id", "id").collect()
+    assert sorted(map(tuple, rows)) == [("a", 1), ("a", 2), ("a", 4), ("b", 3)]
+
+
+def test_append_once_to_a_table_without_batches(spark, name):
+    tables.append_table(spark.createDataFrame([(1, "a")], "id int, run_id string"), name)
+    for _ in range(2):
+        tables.append_once(spark.createDataFrame([(2, "b"), (3, "b")], "id int, run_id string"), name)
+    assert sorted(map(tuple, spark.table(name).collect())) == [(1, "a"), (2, "b"), (3, "b")]
+
+
+def test_failed_version_leaves_the_old_one(spark, name, tmp_path):
+    path = str(tmp_path / "versions")
+    first = tables.replace_version(spark.range(5), name, path)
+    bad = spark.range(3).selectExpr("CAST(raise_error('no') AS BIGINT) AS id")
+    with pytest.raises(Exception):
+        tables.replace_version(bad, name, path)
+    assert spark.table(name).count() == 5
+    reader = spark.table(name)
+    second = tables.replace_version(spark.table(name).where("id > 1"), name, path)
+    assert (reader.count(), spark.table(name).count()) == (5, 3) and first != second
+    tables.drop_versions(spark, path, second)
+    assert spark.table(name).count() == 3
+    spark.sql(f"DROP VIEW {name}")
+
+
+def test_files_of_a_day_follow_its_rows(spark, tmp_path):
+    rows = spark.range(1000).selectExpr(
+        "id AS tx_id", "CAST(timestamp'2024-01-01 00:00:00' + make_interval(0, 0, 0, IF(id < 900, 0, 1)) AS timestamp_ntz) AS event_timestamp")
+    path = str(tmp_path / "features")
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"  # small files would be joined
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    tables.overwrite_features(rows, path, rows_per_file=100)
+    spark.conf.set(setting, before)
+    files = spark.read.parquet(path).selectExpr("event_date", "input_file_name() AS f").distinct().groupBy("event_date").count().collect()
+    found = {str(r["event_date"]): r["count"] for r in files}
+    assert found["2024-01-02"] == 1 and 3 < found["2024-01-01"] <= 9
+    assert spark.read.parquet(path).count() == 1000
+
+
 def test_overwrite_replaces(spark, name):
     for n in (5, 2):
         tables.overwrite_table(spark.range(n), name)
