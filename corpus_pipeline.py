@@ -1,5 +1,10 @@
-"""A training corpus from `documents`: good ones, without repeated line chunks, one of each group of near duplicates, without
-personal data, packed. Each stage is one operator; its result is written and read again as the next one's documents."""
+"""A training corpus from `documents`: good ones, without repeated runs of lines, one of each group of near duplicates, without
+personal data, packed. Each stage is one operator; its result is written and read again as the next one's documents.
+
+Null and empty texts are one passage without words for the classifier and stay or go by its score; lines, n-grams and personal data have
+nothing to find in them, and packing gives them one token. Of copies the first by doc_id, then by a hash of the text, stays (null ids go first
+for lines and last for documents); rows that repeat an id with different texts are documents of their own. Extra columns of any name stay
+up to the last stage. An empty table gives an empty result."""
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
