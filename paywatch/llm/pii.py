@@ -1,7 +1,6 @@
 r"""Personal data by anchor expansion.
 
-One Aho-Corasick pass over a text finds anchors: at-signs, plus signs, digits, dots between digits, schemes and
-account cues. Small deterministic parsers expand from an anchor to the boundaries of an email, an address, a card,
+One Aho-Corasick pass over a text finds anchors: at-signs, plus signs, digits, schemes and account cues. Small deterministic parsers expand from an anchor to the boundaries of an email, an address, a card,
 a phone number or an account, and validate it. Parsers go from left to right and never back behind the end of the
 last candidate of their kind, valid or not, so they find exactly the leftmost non-overlapping matches.
 """
