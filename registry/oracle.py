@@ -571,6 +571,14 @@ SELECT tx_id, {big('from_num_accounts_per_entity', 'to_num_accounts_per_entity')
     "counterparty_novelty": _windowed(integer("is_new_counterparty"), big("repeat_counterparty_count")),
     "similar_amounts": _windowed(dbl("prev_amount_paid"), big("num_similar_amount_txns_24h")),
     "to_txn_gap": _windowed(big("time_since_last_txn_to")),
+    **{name: q(f"""
+SELECT tx_id, CAST(sum(first) OVER (PARTITION BY from_bank, from_account ORDER BY ts, tx_id) AS BIGINT) AS num_receivers_so_far
+FROM (SELECT *, CASE WHEN row_number() OVER (PARTITION BY from_bank, from_account, to_account ORDER BY ts, tx_id) = 1 THEN 1 ELSE 0 END AS first
+  FROM tx)""", TX) for name in ("unique_receivers_asof", "unique_receivers_asof_spread")},
+    "unique_senders_asof": q("""
+SELECT tx_id, CAST(sum(first) OVER (PARTITION BY to_bank, to_account ORDER BY ts, tx_id) AS BIGINT) AS num_senders_so_far
+FROM (SELECT *, CASE WHEN row_number() OVER (PARTITION BY to_bank, to_account, from_account ORDER BY ts, tx_id) = 1 THEN 1 ELSE 0 END AS first
+  FROM tx)""", TX),
     "unique_senders": _windowed(big("num_unique_senders")),
     "ratio_features": q(f"""
 SELECT tx_id, {dbl('amount_vs_7d_avg_ratio', 'amount_zscore_7d_from', 'pct_change_vs_prev', 'txn_velocity_7d_from')} FROM feats"""),

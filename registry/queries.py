@@ -11,7 +11,7 @@ from paywatch.columns import (
 )
 from paywatch.functions import scalars
 from paywatch.operators import (
-    account_windows, boosting, dedup, enrichment, evaluation, hot_keys, models, preparation, quality, quantiles,
+    account_windows, asof_counts, boosting, dedup, enrichment, evaluation, hot_keys, models, preparation, quality, quantiles,
     sampling, splits, tuning,
 )
 from paywatch.operators.cleaning import clean_transactions, rejected_transactions
@@ -431,6 +431,20 @@ def neutralize_features(spark, d):
     return rounded(preparation.neutralize(test, plan, columns[:1]).select("tx_id", *columns))
 
 
+def unique_receivers_asof(spark, d):
+    return asof_counts.receivers_asof(payments(spark, d)).select("tx_id", "num_receivers_so_far")
+
+
+def unique_receivers_asof_spread(spark, d):
+    """All accounts by slots, as for hot ones."""
+    hot = hot_keys.HotKeys(tuple(FROM_KEYS), everything=True)
+    return asof_counts.receivers_asof(payments(spark, d), hot).select("tx_id", "num_receivers_so_far")
+
+
+def unique_senders_asof(spark, d):
+    return asof_counts.senders_asof(payments(spark, d)).select("tx_id", "num_senders_so_far")
+
+
 # ---- models -----------------------------------------------------------------------------------
 
 SMALL = models.TreeParams(n_estimators=5, max_depth=3, subsample=1.0, colsample=1.0)
@@ -658,6 +672,9 @@ QUERIES = {
     "counterparty_novelty": _columns(outgoing, "is_new_counterparty", "repeat_counterparty_count"),
     "similar_amounts": _columns(outgoing, "prev_amount_paid", "num_similar_amount_txns_24h"),
     "to_txn_gap": _columns(incoming, "time_since_last_txn_to"),
+    "unique_receivers_asof": unique_receivers_asof,
+    "unique_receivers_asof_spread": unique_receivers_asof_spread,
+    "unique_senders_asof": unique_senders_asof,
     "unique_senders": _columns(incoming, "num_unique_senders"),
     "ratio_features": ratio_features,
     "transaction_features": transaction_features,
