@@ -181,12 +181,12 @@ def test_early_stopping_fits_no_more_rounds_than_it_must(spark, rows, monkeypatc
 
 
 def test_training_goes_on_where_it_stopped(spark, rows):
-    params = NewtonParams(rounds=14, depth=2, bins=8)  # beyond the round in which margins are written
+    params = NewtonParams(rounds=12, depth=2, bins=8)  # beyond the round in which margins are written
     whole = fit_newton_trees(rows, COLUMNS, params, early_stopping=False)
     parts = Boosting(rows, COLUMNS, params, early_stopping=False)
     parts.run(3)
     parts.run(11)
-    assert [vars(t) for t in parts.run().trees] == [vars(t) for t in whole.trees] and len(whole.trees) == 14
+    assert [vars(t) for t in parts.run().trees] == [vars(t) for t in whole.trees] and len(whole.trees) == 12
 
 
 def test_saved_trees_score_alike(spark, rows, tmp_path):
@@ -216,8 +216,8 @@ def test_leafwise_ap_is_near_the_first_model(spark, rows):
     from paywatch.operators.evaluation import average_precision
     from paywatch.operators.models import as_scores
     train, test = rows.where("tx_id % 4 <> 0"), rows.where("tx_id % 4 = 0")
-    level = fit_newton_trees(train, COLUMNS, NewtonParams(rounds=15, depth=3, bins=32, min_child_weight=1.0), early_stopping=False)
-    leaf = fit_newton_trees(train, COLUMNS, NewtonParams(rounds=15, depth=6, leaves=8, top_share=0.2, other_share=0.2, bins=32,
+    level = fit_newton_trees(train, COLUMNS, NewtonParams(rounds=8, depth=3, bins=32, min_child_weight=1.0), early_stopping=False)
+    leaf = fit_newton_trees(train, COLUMNS, NewtonParams(rounds=8, depth=6, leaves=8, top_share=0.2, other_share=0.2, bins=32,
                                                          min_child_weight=1.0), early_stopping=False)
     found = [average_precision(as_scores(m.score(test))).first()["auc_pr"] for m in (level, leaf)]
     assert found[1] >= found[0] - 0.02
