@@ -1,7 +1,7 @@
 """Independent SQL (DuckDB) for the registered queries, over the same parquet tables."""
 
 from paywatch.columns import FEATURE_TABLE, KEYS, LABEL, MODEL_FEATURES, STRICT_FEATURES
-from registry.queries import BACKTEST_DAYS, DAYS, LEAFWISE, NEWTON, NULLABLE_COUNTS, PREPARED
+from registry.queries import BACKTEST_DAYS, DAYS, LEAFWISE, NEWTON, NULLABLE_COUNTS, PREPARED, RANGES
 
 RAW = """
 ev AS (
@@ -605,6 +605,15 @@ SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicate_rows_estimate FROM (
   SELECT count(*) AS n FROM tx2 GROUP BY from_bank, from_account, to_bank, to_account, ts HAVING count(*) > 1)""", DUPLICATE_TX),
     "numeric_stats": q(f"""
 SELECT column_name, {dbl('mean_value', 'std_value', 'min_value', 'max_value', digits=3)} FROM ({unpivoted(MODEL_FEATURES, STAT)})"""),
+    "profile_merged": q("\nUNION ALL\n".join(unpivoted(MODEL_FEATURES, f"""
+SELECT '{{c}}' AS column_name, count(*) AS rows, count({{c}}) AS n, {rnd('avg({c})', 3)} AS mean_value, {rnd('stddev_samp({c})', 3)} AS std_value,
+  {rnd('min({c})', 3)} AS min_value, {rnd('max({c})', 3)} AS max_value, '{name}' AS days
+FROM feats WHERE date_diff('day', (SELECT CAST(min(event_timestamp) AS DATE) FROM feats), CAST(event_timestamp AS DATE))
+  BETWEEN {low} AND {high - 1}""") for name, (low, high) in RANGES.items())),
+    "profile_correlations": q("SELECT column_a, column_b, round(CASE WHEN isnan(r) THEN NULL ELSE r END, 4) AS abs_r FROM (" +
+        _pairs(STRICT_FEATURES) + ")", WINDOWS + f""",
+filled AS (SELECT {', '.join(f'coalesce(CAST({c} AS DOUBLE), 0.0) AS {c}' for c in STRICT_FEATURES)} FROM feats
+  WHERE date_diff('day', (SELECT CAST(min(event_timestamp) AS DATE) FROM feats), CAST(event_timestamp AS DATE)) BETWEEN 5 AND 20)"""),
     "percentiles_exact": q("\nUNION ALL\n".join(
         unpivoted(MODEL_FEATURES, f"""SELECT '{{c}}' AS column_name, CAST({s} AS DOUBLE) AS share,
   round(quantile_cont(CAST({{c}} AS DOUBLE), {s}), 4) AS value FROM feats""") for s in (0.5, 0.9, 0.99))),

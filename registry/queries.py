@@ -11,8 +11,8 @@ from paywatch.columns import (
 )
 from paywatch.functions import scalars
 from paywatch.operators import (
-    account_windows, asof_counts, boosting, dedup, enrichment, evaluation, hot_keys, models, preparation, quality, quantiles,
-    sampling, splits, tuning,
+    account_windows, asof_counts, boosting, dedup, enrichment, evaluation, hot_keys, models, preparation, profile_state, quality,
+    quantiles, sampling, splits, tuning,
 )
 from paywatch.operators.cleaning import clean_transactions, rejected_transactions
 from paywatch.plans.features import (
@@ -284,6 +284,32 @@ def numeric_stats(spark, d):
         {"column": "column_name", "avg": "mean_value", "std": "std_value", "min": "min_value", "max": "max_value"}), 3)
 
 
+RANGES = {"all": (0, 1000), "first": (0, 10), "week": (12, 19)}  # days after the first one
+
+
+def profile_merged(spark, d):
+    """Statistics of ranges of days from merged daily states; no range reads the payments again."""
+    state = stage(profile_state.column_state(features(spark, d), MODEL_FEATURES), "column_state")
+    first = state.agg(F.min("day")).scalar()
+    parts = []
+    for name, (low, high) in RANGES.items():
+        days = state.where((F.datediff("day", first) >= low) & (F.datediff("day", first) < high))
+        out = profile_state.merged_columns(days).select(
+            "column", "rows", "n", F.col("avg").alias("mean_value"), F.col("std").alias("std_value"), F.col("min").alias("min_value"),
+            F.col("max").alias("max_value"))
+        parts.append(rounded(out.withColumn("days", F.lit(name)).withColumnRenamed("column", "column_name"), 3))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def profile_correlations(spark, d):
+    """Correlations of a range of days from merged daily states."""
+    rows = features(spark, d).select(TS, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in STRICT_FEATURES])
+    state = stage(profile_state.pair_state(rows, STRICT_FEATURES), "pair_state")
+    days = state.where(F.datediff("day", state.agg(F.min("day")).scalar()).between(5, 20))
+    found = profile_state.merged_correlations(days, STRICT_FEATURES)
+    return found.withColumn("abs_r", F.round("abs_r", 4))
+
+
 def percentiles_exact(spark, d):
     out = quality.percentiles(stage(features(spark, d), "features"), MODEL_FEATURES, exact=True)
     return rounded(out.select(F.col("column").alias("column_name"), "share", "value"))
@@ -687,6 +713,8 @@ QUERIES = {
     "bad_values": bad_values,
     "duplicate_keys": duplicate_keys,
     "numeric_stats": numeric_stats,
+    "profile_merged": profile_merged,
+    "profile_correlations": profile_correlations,
     "percentiles_exact": percentiles_exact,
     "percentiles_approx": percentiles_approx,
     "column_medians": column_medians,
