@@ -54,10 +54,10 @@ def passages(texts: pa.Array, words: int = WORDS) -> tuple[np.ndarray, np.ndarra
     per_row = np.bincount(row, minlength=rows)
     within = np.arange(len(starts)) - (np.cumsum(per_row) - per_row)[row]
     sizes = np.maximum(1, -(-per_row // words))
-    ends = np.cumsum(sizes)
-    out = np.zeros((int(ends[-1]) if rows else 0, FEATURES), np.float32)
+    until = np.cumsum(sizes)
+    out = np.zeros((int(until[-1]) if rows else 0, FEATURES), np.float32)
     if len(starts):
-        passage = (ends - sizes)[row] + within * sizes[row] // per_row[row]  # of equal length, none a short rest
+        passage = (until - sizes)[row] + within * sizes[row] // per_row[row]  # of equal length, none a short rest
         count = np.bincount(passage, minlength=len(out)).astype(np.float32)
         # Neighbouring classes, counted where the second byte lies: behind the first word of a passage, up to the next one.
         of = np.repeat(passage, np.diff(np.append(starts, len(data))))
@@ -66,7 +66,11 @@ def passages(texts: pa.Array, words: int = WORDS) -> tuple[np.ndarray, np.ndarra
         inside = np.ones(len(pair), bool)
         inside[starts[within == 0] - starts[0]] = False  # nor over the border of two documents
         # White space at the head of a document is nothing of the one before.
-        inside &= np.repeat(np.arange(rows), np.diff(borders))[starts[0]:] == np.repeat(row, np.diff(np.append(starts, len(data))))
+        heads = borders[:-1][(np.diff(borders) > 0) & (borders[:-1] > starts[0])]
+        heads = heads[blank[heads]]
+        behind = np.append(starts, len(data))[np.searchsorted(starts, heads)]
+        for a, b in zip((heads - starts[0]).tolist(), (behind - starts[0]).tolist()):
+            inside[a:b] = False
         grams = np.bincount(of[inside] * N_CLASSES**2 + pair[inside], minlength=len(out) * N_CLASSES**2)
         out[:, :N_CLASSES**2] = grams.reshape(len(out), -1) / np.maximum(count * 6, 1)[:, None]
         # Words by the sum of their letters' numbers: repeated ones, different ones, length.
@@ -84,7 +88,7 @@ def passages(texts: pa.Array, words: int = WORDS) -> tuple[np.ndarray, np.ndarra
         letters = np.add.reduceat((~blank).astype(np.int32), starts)
         out[:, base + 2] = np.bincount(passage, letters, len(out)) / np.maximum(count, 1) / 8
         out[:, base + 3] = count / words
-    return out, np.concatenate([[0], ends])
+    return out, np.concatenate([[0], until])
 
 
 @dataclass
