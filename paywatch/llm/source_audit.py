@@ -26,7 +26,7 @@ TOP = 10
 
 FIRST = 4  # bytes of the first level's prefixes; each level has twice as many
 MOST_BITS = 23  # 1 MB
-ELEMENTS = 1 << 19
+ELEMENTS = 1 << 18
 BLOCK, CHUNK = 128, 1024
 
 IS_TERM = np.zeros(256, bool)
