@@ -121,7 +121,7 @@ def slot_history(hot: DataFrame, keys) -> DataFrame:
         F.count_if(F.col("from_bank") != F.col("to_bank")).alias("cross"),
     )
 
-    order = Window.partitionBy(*keys).orderBy("_slot")
+    order = Window.partitionBy(*keys).orderBy("ts", "_slot")  # a slot's minute is its `ts`: one sort, also for minutes
     slots = slots.withColumns({
         "_previous_ts": F.lag("ts").over(order), "h_prev_amount": F.lag("last_amount").over(order),
     })
@@ -151,6 +151,15 @@ def _minutes(slots: DataFrame, keys) -> DataFrame:
     )
 
 
+FRAMES = {  # name: (aggregate, value, days)
+    "h_count_24h": (F.sum, "n", 1), "h_sum_24h": (F.sum, "total", 1), "h_similar": (F.sum, "similar", 1),
+    "h_count_7d": (F.sum, "n", 7), "_sum_7d": (F.sum, "total", 7), "_cross_7d": (F.sum, "cross", 7),
+    "h_max_7d": (F.max, "high", 7), "_min_7d": (F.min, "low", 7),
+    "_s1": (F.sum, "_d1", 7), "_s2": (F.sum, "_d2", 7),
+    "_g0": (F.sum, "gaps", 7), "_g1": (F.sum, "gap", 7), "_g2": (F.sum, "_gap2", 7),
+}
+
+
 def _minute_frames(minutes: DataFrame, keys) -> DataFrame:
     """24-hour and 7-day frames without sliding, in time linear in the minutes.
 
@@ -159,45 +168,44 @@ def _minute_frames(minutes: DataFrame, keys) -> DataFrame:
     minute is the running total of kind 0 up to it plus the running total, from the end, of kind 7 down
     to it. Days work alike with kind 1. No value is subtracted again, so nothing cancels, and one window
     group holds at most the minutes of two weeks.
+
+    The copies are dealt out by week, so tasks are as large as the copies, not as the minutes behind them, and
+    the weeks of an account spread. They are sorted twice, on and back, each time by day and minute, which is one
+    order for weeks and days; a total takes the place of its value, so rows don't grow on the way.
     """
     hourly = minutes.withColumn("h_count_1h", over_range("sum(n)", keys, "'1' hour"))  # at most 61 minutes back
     spread = hourly.withColumn("_kind", F.explode(F.array(F.lit(0), F.lit(1), F.lit(7))))
-    spread = spread.withColumn("_at", F.col("ts") + F.make_dt_interval("_kind")).withColumns({
-        "_week": F.floor(F.datediff("_at", F.lit("1970-01-01").cast("date")) / 7).cast("int"),
-        "_day": F.to_date("_at"),
-    })
+    at = F.col("ts") + F.make_dt_interval("_kind")
+    day = F.datediff(at, F.lit("1970-01-01").cast("date"))
     week = [*keys, "_week"]
+    spread = spread.select(
+        *keys, "_kind", at.alias("_at"), day.alias("_day"), F.floor(day / 7).cast("int").alias("_week"), "h_count_1h",
+        "n", "total", "low", "high", "similar", "cross", "gaps", "gap", "mean", "_m2").repartition(*week)
+
+    first = [F.col("_day").asc(), F.col("_at").asc()]
+    whole = Window.partitionBy(*week).orderBy(*first).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     # Deviations are taken from a common centre of the week: squares of raw amounts would cancel badly.
-    deviation = F.col("mean") - F.avg("mean").over(Window.partitionBy(*week))
-    spread = spread.withColumn("_d", deviation).withColumns({
+    spread = spread.withColumn("_d", F.col("mean") - F.avg("mean").over(whole)).withColumns({
         "_d1": F.col("n") * F.col("_d"),
         "_d2": F.col("_m2") + F.col("n") * F.col("_d") * F.col("_d"),
         "_gap2": F.col("gap") * F.col("gap"),
-    })
+    }).select(*week, "_kind", "_at", "_day", (-F.col("_day")).alias("_back"), "h_count_1h", *[
+        F.col(value).alias(name) for name, (_, value, _) in FRAMES.items()])
 
-    def halves(aggregate, value, kind):
-        group = week if kind == 7 else [*week, "_day"]
-        def half(k, order):
-            return aggregate(F.when(F.col("_kind") == k, F.col(value))).over(Window.partitionBy(*group).orderBy(order))
-        return half(0, F.col("_at").asc()), half(kind, F.col("_at").desc())
-
-    frames = {
-        "h_count_24h": (F.sum, "n", 1), "h_sum_24h": (F.sum, "total", 1), "h_similar": (F.sum, "similar", 1),
-        "h_count_7d": (F.sum, "n", 7), "_sum_7d": (F.sum, "total", 7), "_cross_7d": (F.sum, "cross", 7),
-        "h_max_7d": (F.max, "high", 7), "_min_7d": (F.min, "low", 7),
-        "_s1": (F.sum, "_d1", 7), "_s2": (F.sum, "_d2", 7),
-        "_g0": (F.sum, "gaps", 7), "_g1": (F.sum, "gap", 7), "_g2": (F.sum, "_gap2", 7),
-    }
-    parts = {}
-    for name, (aggregate, value, kind) in frames.items():
-        parts[f"{name}_a"], parts[f"{name}_b"] = halves(aggregate, value, kind)
-    spread = spread.withColumns(parts).filter(F.col("_kind") == 0)
+    onward = {1: Window.partitionBy(*week, "_day").orderBy("_at"), 7: Window.partitionBy(*week).orderBy(*first)}
+    own = F.col("_kind") == 0
+    spread = spread.withColumns({
+        name: F.when(own, f(F.when(own, F.col(name))).over(onward[days])).otherwise(F.col(name))
+        for name, (f, _, days) in FRAMES.items()}).drop("_day")
+
+    last = F.col("_at").desc()
+    back = {1: Window.partitionBy(*week, "_back").orderBy(last), 7: Window.partitionBy(*week).orderBy("_back", last)}
+    earlier = {name: f(F.when(F.col("_kind") == days, F.col(name))).over(back[days]) for name, (f, _, days) in FRAMES.items()}
     joined = {F.max: F.greatest, F.min: F.least}
     spread = spread.withColumns({
-        name: joined[f](f"{name}_a", f"{name}_b") if f in joined
-        else F.col(f"{name}_a") + F.coalesce(F.col(f"{name}_b"), F.lit(0))
-        for name, (f, _, _) in frames.items()
-    })
+        name: joined[f](F.col(name), earlier[name]) if f in joined else F.col(name) + F.coalesce(earlier[name], F.lit(0))
+        for name, (f, _, _) in FRAMES.items()
+    }).filter(own).withColumnRenamed("_at", "ts")
 
     n, g0 = F.col("h_count_7d").cast("double"), F.col("_g0")
     spread_amount = F.greatest(F.col("_s2") - F.col("_s1") * F.col("_s1") / n, F.lit(0.0))

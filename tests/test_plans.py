@@ -8,7 +8,7 @@ import pytest
 
 from paywatch.columns import FROM_KEYS, TO_KEYS
 from paywatch.operators import dedup, evaluation, sampling
-from paywatch.operators.account_windows import outgoing_features
+from paywatch.operators.account_windows import _minute_frames, outgoing_features
 from paywatch.operators.hot_keys import HotKeys
 from paywatch.plans.features import payment_features, transaction_features
 from paywatch.session import shared_folder, stage
@@ -170,3 +170,14 @@ def test_only_local_masters_get_a_temporary_folder():
     assert shared_folder(local) == shared_folder(local)
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_folder(session("yarn"))
+
+
+def test_minute_frames_sort_copies_twice_dealt_out_by_week(spark):
+    """A task holds a few sorts of narrow rows, sized by the copies: one exchange by week behind them, none of the sorts by day alone."""
+    minutes = spark.sql("""SELECT 1 AS bank, id AS account, make_timestamp_ntz(2024, 1, 1, 0, 0, 0) + make_dt_interval(id) AS ts, id AS n,
+        1d AS total, 1d AS low, 1d AS high, 1L AS similar, 1L AS cross, 1L AS gaps, CAST(1 AS DECIMAL(19, 0)) AS gap, 1d AS mean, 0d AS _m2
+        FROM range(9)""")
+    text = plan(_minute_frames(minutes, ["bank", "account"]))
+    copies = text[:text.index("Generate explode")]
+    assert len(re.findall(r"\bSort \[", copies)) == 2
+    assert re.findall(r"Exchange hashpartitioning\(([^)]*)\)", copies) and "_week" in copies[copies.index("Exchange hashpartitioning"):][:80]
