@@ -20,13 +20,20 @@ PAIRS = "day date, n long, mean array<double>, comoment array<double>"
 
 
 def column_state(df: DataFrame, columns, ts=TS) -> DataFrame:
-    """(day, column, rows, n, mean, m2, low, high, sketch) of each day and column; `n` counts values, nulls are left out."""
-    values = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("double").alias("x")) for c in columns])
-    each = df.select(F.to_date(ts).alias("day"), F.inline(values))
-    n = F.count("x")
-    return each.groupBy("day", "column").agg(
-        F.count("*").alias("rows"), n.alias("n"), F.avg("x").alias("mean"), (F.var_pop("x") * n).alias("m2"),
-        F.min("x").alias("low"), F.max("x").alias("high"), F.kll_sketch_agg_double("x").alias("sketch"))
+    """(day, column, rows, n, mean, m2, low, high, sketch) of each day and column; `n` counts values, nulls are left out.
+
+    One wide row per day, turned into a row per column afterwards: payments are not copied per column, and a task keeps a group
+    per day.
+    """
+    numbers = df.select(F.to_date(ts).alias("day"), *[F.col(f"`{c}`").cast("double").alias(f"x{i}") for i, c in enumerate(columns)])
+
+    def state(x):
+        return F.struct(F.count(x).alias("n"), F.avg(x).alias("mean"), (F.var_pop(x) * F.count(x)).alias("m2"), F.min(x).alias("low"),
+                        F.max(x).alias("high"), F.kll_sketch_agg_double(x).alias("sketch"))
+
+    days = numbers.groupBy("day").agg(F.count("*").alias("rows"), *[state(f"x{i}").alias(f"s{i}") for i, _ in enumerate(columns)])
+    each = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"s{i}").alias("s")) for i, c in enumerate(columns)])
+    return days.select("day", "rows", F.inline(each)).select("day", "column", "rows", "s.*")
 
 
 def merged_columns(state: DataFrame, shares=()) -> DataFrame:

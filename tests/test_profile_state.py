@@ -55,3 +55,17 @@ def test_scales_and_correlations(rows):
         for r in found.collect():
             other = want[r.column_a, r.column_b]
             assert r.abs_r is None and (other is None or math.isnan(other)) or r.abs_r == pytest.approx(other, abs=1e-9)
+
+
+def test_states_do_not_copy_rows_per_column(rows):
+    """Rows are grouped by day alone; columns become rows afterwards."""
+    text = profile_state.column_state(rows, COLUMNS)._jdf.queryExecution().executedPlan().toString()
+    assert text.index("Generate") < text.index("ObjectHashAggregate") and text.count("Generate") == 1
+
+
+def test_a_column_without_values_and_rows_without_a_day(spark):
+    rows = spark.sql("SELECT CAST(NULL AS TIMESTAMP_NTZ) AS event_timestamp, 1d AS a, CAST(NULL AS DOUBLE) AS b "
+                     "UNION ALL SELECT TIMESTAMP_NTZ'2024-01-01 10:00:00', CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE)")
+    found = {(str(r.day), r.column): (r.rows, r.n, r.mean, r.m2, r.low) for r in profile_state.column_state(rows, ["a", "b"]).collect()}
+    assert found == {("None", "a"): (1, 1, 1.0, 0.0, 1.0), ("None", "b"): (1, 0, None, None, None),
+                     ("2024-01-01", "a"): (1, 0, None, None, None), ("2024-01-01", "b"): (1, 0, None, None, None)}
