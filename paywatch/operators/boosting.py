@@ -184,7 +184,8 @@ def quantile_edges(df: DataFrame, columns, bins: int, exact: bool = False, accur
     numbers = [F.col(f"`{c}`").cast("double") for c in columns]
     if exact:
         each = df.select(F.inline(F.array(*[F.struct(F.lit(i).alias("f"), x.alias("x")) for i, x in enumerate(numbers)])))
-        ranked = running_totals(each.groupBy("f", "x").agg(F.count("*").alias("rows")), "x", ["rows"], by=["f"])
+        values = stage(each.groupBy("f", "x").agg(F.count("*").alias("rows")), "edge_values")  # read three times below
+        ranked = running_totals(values, "x", ["rows"], by=["f"])
         upto = F.expr(f"(cum_rows * {bins}) div total_rows")
         before = F.expr(f"((cum_rows - rows) * {bins}) div total_rows")
         rows = ranked.where((upto > before) & ((before < bins - 1) | (F.col("cum_rows") == F.col("total_rows")))).select("f", "x")

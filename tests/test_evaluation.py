@@ -5,8 +5,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from paywatch.operators import evaluation as ev
+from paywatch.operators import quantiles
 from paywatch.operators.quantiles import exact_quantiles
 from paywatch.operators.running_totals import running_totals
+from paywatch.session import stage
 
 
 def make(spark, n=700, seed=3, tied=0.4, digits=2):
@@ -160,3 +162,15 @@ def test_exact_quantiles_against_numpy(spark, n, accuracy):
                 assert np.isclose(got[c, s], np.quantile(x, s), rtol=1e-12, atol=1e-12), (c, s)
             else:
                 assert got[c, s] is None
+
+
+def test_tied_brackets_need_no_pass_over_the_rows(spark, monkeypatch):
+    """A bracket of one value is known by its count; values of the others are counted once and written."""
+    staged = []
+    monkeypatch.setattr(quantiles, "stage", lambda df, name: staged.append(df) or stage(df, name))
+    df = spark.range(5000).select(F.lit(-0.0).alias("zero"), (F.col("id") % 100 == 0).cast("int").alias("mark"), F.col("id").alias("id"))
+    got = {r["column"]: r["value"] for r in exact_quantiles(df, ["zero", "mark"], [0.5]).collect()}
+    assert got == {"zero": 0.0, "mark": 0.0} and not staged
+    got = {r["column"]: r["value"] for r in exact_quantiles(df, ["zero", "mark", "id"], [0.5]).collect()}
+    assert got == {"zero": 0.0, "mark": 0.0, "id": 2499.5} and len(staged) == 1
+    assert [r[0] for r in staged[0].select("q").distinct().collect()] == [2]
