@@ -10,6 +10,7 @@ Scores are whole numbers in this vocabulary, so sums are exact. Characters witho
 """
 
 import heapq
+import struct
 
 import numpy as np
 import pyarrow as pa
@@ -22,13 +23,34 @@ from paywatch.llm.common import slices, utf8
 MODEL = "piece_bpe_32k.model"
 BLANK = "▁"
 NONE = 1 << 62  # the gap of a unit with one path
-MEMORY = 300_000
+MEMORY = 200_000  # solved units that a worker keeps, each as one byte string: four workers may share an executor of two cores
 LONG = 64
+HEAD = struct.Struct("<qq")
 MISSING = object()
 
 _loaded: dict[str | None, "Pieces"] = {}
 
 
+class Kept:
+    """At most `limit` entries: when half of them are new, those that were not asked for since the last time go."""
+
+    def __init__(self, limit: int):
+        self.half, self.new, self.old = limit // 2, {}, {}
+
+    def get(self, key):
+        value = self.new.get(key)
+        if value is None:
+            value = self.old.pop(key, None)
+            if value is not None:
+                self.put(key, value)
+        return value
+
+    def put(self, key, value):
+        if len(self.new) >= self.half:
+            self.old, self.new = self.new, {}
+        self.new[key] = value
+
+
 class Pieces:
     """Vocabulary, the pairs of characters inside pieces, and the units solved so far."""
 
@@ -60,8 +82,8 @@ class Pieces:
         for p in self.scores:
             n = self.number[[ord(c) for c in p]]
             self.joined[n[:-1], n[1:]] = True
-        self.solved: dict[str, tuple] = {}
-        self.listed: dict[tuple[str, int], list] = {}
+        self.solved = Kept(MEMORY)  # by text: score, gap, ids
+        self.listed = Kept(MEMORY // 10)  # by text and n: score and ids of each path
         self.sizes = np.array([len(t) for t in self.texts], np.int64)
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.pool = np.frombuffer(b"".join(self.texts), np.uint8)
@@ -89,8 +111,9 @@ class Pieces:
     def solve(self, text: str) -> tuple[bytes, int, int]:
         """Ids of the best path, its score, and how much less the second path scores. Of equal paths the one with
         the longer pieces at its end is the best."""
-        if text in self.solved:
-            return self.solved[text]
+        known = self.solved.get(text)
+        if known is not None:
+            return known[HEAD.size:], *HEAD.unpack_from(known)
         size, get = len(text), self.prefixes.get
         best, back, lattice = [0] + [-NONE] * size, [0] * (size + 1), []
         for i in range(size):
@@ -126,16 +149,15 @@ class Pieces:
                 second = best[i] + score
         out = (np.array(ids, np.uint16).tobytes(), best[size], NONE if second == -NONE else best[size] - second)
         if size <= LONG:
-            if len(self.solved) > MEMORY:
-                self.solved.clear()
-            self.solved[text] = out
+            self.solved.put(text, HEAD.pack(out[1], out[2]) + out[0])
         return out
 
     def nbest(self, text: str, n: int) -> list[tuple[int, list[int]]]:
         """The n best paths as (score, ids): A-star from the end, with the forward Viterbi score of a place as the exact
         heuristic of what lies before it. Of equal paths those closer to the start go first, then longer pieces."""
-        if (text, n) in self.listed:
-            return self.listed[text, n]
+        known = self.listed.get((text, n))
+        if known is not None:
+            return [(score, np.frombuffer(ids, np.uint16).tolist()) for score, ids in known]
         lattice, size = self.edges(text), len(text)
         before = [0] + [-NONE] * size
         into = [[] for _ in range(size + 1)]
@@ -159,9 +181,7 @@ class Pieces:
                 tick += 1
                 heapq.heappush(queue, (-(before[i] + score + gained), i, tick, score + gained, (place, tail)))
         if size <= LONG:
-            if len(self.listed) > MEMORY // 10:
-                self.listed.clear()
-            self.listed[text, n] = out
+            self.listed.put((text, n), tuple((score, np.array(ids, np.uint16).tobytes()) for score, ids in out))
         return out
 
     def units(self, column: pa.Array) -> tuple[pa.Array, np.ndarray]:

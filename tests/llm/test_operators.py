@@ -627,3 +627,16 @@ def test_sql_is_for_registered_queries():
     from paywatch.llm.queries import QUERIES
 
     assert set(ORACLE) <= set(QUERIES)
+
+
+def test_kept_units_are_bounded_and_read_back():
+    kept = sentencepiece_nbest.Kept(10)
+    for i in range(100):
+        kept.put(i, str(i))
+        assert kept.get(0) == "0" and len(kept.new) + len(kept.old) <= 10
+    assert kept.get(99) == "99" and kept.get(50) is None
+    pieces = sentencepiece_nbest.loaded(None)
+    for text in (" hello", " na\u00efve", " \u597d", " aaaaab", " "):
+        first = pieces.solve(text), pieces.nbest(text, 4)
+        assert (pieces.solve(text), pieces.nbest(text, 4)) == first
+        assert isinstance(pieces.solved.get(text), bytes)
