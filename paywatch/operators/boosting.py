@@ -158,7 +158,7 @@ def _with(df: DataFrame, name: str, kind: str) -> str:
 
 def _numbers(batch: pa.RecordBatch, many: int) -> list:
     flat = batch.column("_numbers").flatten().to_numpy(zero_copy_only=False)
-    return list(flat.reshape(-1, many).T)
+    return list(np.ascontiguousarray(flat.reshape(-1, many).T))
 
 
 def _margins(model: BoostedTrees, name: str):
@@ -218,15 +218,19 @@ def _binned(edges: list):
                 continue
             numbers = _numbers(batch, len(edges))
             bins = np.stack([np.searchsorted(e, x, side="left") for e, x in zip(edges, numbers)], axis=1).astype(np.uint8)
+            ends = np.arange(len(bins) + 1, dtype=np.int32) * len(edges)
+            packed = pa.BinaryArray.from_buffers(pa.binary(), len(bins), [None, pa.py_buffer(ends), pa.py_buffer(bins.tobytes())])
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in ("key", "label", "weight", "valid")], pa.array([r.tobytes() for r in bins], pa.binary()),
+                [*[batch.column(c) for c in ("key", "label", "weight", "valid")], packed,
                  pa.array(np.zeros(batch.num_rows))], names=["key", "label", "weight", "valid", "bins", "margin"])
 
     return run
 
 
 def _rows_of(batch: pa.RecordBatch, many: int):
-    bins = np.frombuffer(b"".join(batch.column("bins").to_pylist()), np.uint8).reshape(-1, many)
+    bins = batch.column("bins")
+    begin, data = np.frombuffer(bins.buffers()[1], np.int32)[bins.offset], bins.buffers()[2]
+    bins = np.frombuffer(data or b"", np.uint8)[begin:begin + len(bins) * many].reshape(-1, many)
     return bins, *[batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "label", "weight", "valid", "margin")]
 
 

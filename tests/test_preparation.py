@@ -2,10 +2,13 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.ml.stat import Correlation
+from pyspark.sql import functions as F
 
-from paywatch.columns import missing_columns, require_columns, select_present
+from paywatch.columns import LEAKY_FEATURES, missing_columns, require_columns, select_present
 from paywatch.operators import preparation as prep
 from paywatch.operators import quality
+from paywatch.session import stage
 
 
 @pytest.fixture(scope="module")
@@ -72,3 +75,37 @@ def test_quality_on_empty_table(spark):
     row = quality.label_summary(empty).first()
     assert (row["row_count"], row["fraud_count"], row["fraud_rate"]) == (0, None, None)
     assert quality.duplicate_keys(empty, ["from_bank"]).first()[0] == 0
+
+
+def test_moments_are_merged_from_tasks(spark):
+    df = spark.range(5000).repartition(7).select(
+        (F.col("id") * 1.5 + 1e6).alias("a"), F.pmod(F.xxhash64("id"), F.lit(97)).cast("int").alias("b"), F.lit(123456789.123).alias("same"),
+        (F.col("id") * F.col("id")).alias("c"))
+    found = prep.moments(df, ["a", "b", "same", "c"])
+    want = abs(Correlation.corr(prep.assemble(df, ["a", "b", "same", "c"], "_v"), "_v").first()[0].toArray())
+    np.testing.assert_allclose(found.correlations(), want, atol=1e-9)
+    assert np.isnan(found.correlations()[2, 0]) and found.scales(["same"]) == {"same": (123456789.123, 0.0)}
+    assert found.scales(["a", "c"])["c"] == pytest.approx(prep.fit_standardization(df, ["c"]).scales["c"])
+    with pytest.raises(Exception, match="null"):
+        prep.moments(df.withColumn("b", F.when(F.col("b") > 3, F.col("b"))), ["a", "b"])
+
+
+def test_prepared_features_leave_out_windows_of_leaky_columns(spark):
+    from registry.queries import _prepared
+
+    train, test, _ = _prepared(spark, "/root/testdata/sf0.001")
+    assert not {*LEAKY_FEATURES} & {*train.columns, *test.columns}
+
+
+def test_staged_tables_are_read_in_more_tasks_than_cores(spark):
+    rows = spark.range(4_000_000).select("id", F.rand(1).alias("a"), F.rand(2).alias("b"), F.rand(3).alias("c")).coalesce(2)
+    read = stage(rows, "wide").select("a").mapInArrow(lambda batches: (b for b in batches if b.num_rows), "a double")
+    tasks = read.groupBy(F.spark_partition_id()).count().count()
+    assert tasks > 2
+
+
+def test_stage_restores_the_session(spark):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    stage(spark.range(10).repartition("id"), "few", "1m")
+    assert spark.conf.get(key) == before
