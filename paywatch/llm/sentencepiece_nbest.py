@@ -11,6 +11,7 @@ Scores are whole numbers in this vocabulary, so sums are exact. Characters witho
 
 import heapq
 import struct
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -23,10 +24,11 @@ from paywatch.llm.common import slices, utf8
 MODEL = "piece_bpe_32k.model"
 BLANK = "▁"
 NONE = 1 << 62  # the gap of a unit with one path
-MEMORY = 200_000  # solved units that a worker keeps, each as one byte string: four workers may share an executor of two cores
+MEMORY = 120_000  # solved units that a worker keeps, each as one byte string: four workers may share an executor of two cores
 LONG = 64
 HEAD = struct.Struct("<qq")
-MISSING = object()
+LAST: dict = {}  # what may follow where nothing may
+NOTHING = (None, LAST)
 
 _loaded: dict[str | None, "Pieces"] = {}
 
@@ -72,8 +74,13 @@ class Pieces:
                 self.scores[shown], self.ids[shown] = int(model.get_score(i)), i
                 self.texts.append(shown.encode())
         self.unknown = min(self.scores.values()) - 10
-        # Every prefix of a piece, with its score where it is a piece.
-        self.prefixes = {p[:k]: self.scores.get(p[:k]) for p in self.scores for k in range(1, len(p) + 1)}
+        # By character: the score of what was read so far, if that is a piece, and what may follow (LAST: nothing).
+        prefixes = sorted({p[:k] for p in self.scores for k in range(1, len(p) + 1)})
+        inner, below = {p[:-1] for p in prefixes}, {}
+        for p in prefixes:
+            below[p] = {} if p in inner else LAST
+            (below[p[:-1]] if len(p) > 1 else below.setdefault("", {}))[p[-1]] = (self.scores.get(p), below[p])
+        self.trie = below.get("", {})
         # Numbers of characters: 0 stands for all without a piece.
         chars = sorted({c for p in self.scores for c in p})
         self.number = np.zeros(0x110000, np.uint16)
@@ -90,17 +97,16 @@ class Pieces:
 
     def edges(self, text: str):
         """For each start, the pieces of the lattice as (end, score)."""
-        size, out, get = len(text), [], self.prefixes.get
+        size, out, first = len(text), [], self.trie.get
         for i in range(size):
-            here = []
-            if get(text[i]) is None:
+            here, at, j = [], first(text[i]), i
+            if at is None or at[0] is None:
                 here.append((i + 1, self.unknown))
-            for j in range(i + 1, size + 1):
-                score = get(text[i:j], MISSING)
-                if score is MISSING:
-                    break
-                if score is not None:
-                    here.append((j, score))
+            while at is not None:
+                j += 1
+                if at[0] is not None:
+                    here.append((j, at[0]))
+                at = at[1].get(text[j]) if j < size else None
             out.append(here)
         return out
 
@@ -114,40 +120,44 @@ class Pieces:
         known = self.solved.get(text)
         if known is not None:
             return known[HEAD.size:], *HEAD.unpack_from(known)
-        size, get = len(text), self.prefixes.get
-        best, back, lattice = [0] + [-NONE] * size, [0] * (size + 1), []
+        # Scores of the best and of the second path to each place: the second comes by the best edge from a second path, or by
+        # another edge from a best one.
+        size, first = len(text), self.trie.get
+        best, second, back = [0] + [-NONE] * size, [-NONE] * (size + 1), [0] * (size + 1)
         for i in range(size):
-            base = best[i]
-            if get(text[i]) is None:
-                lattice.append((i, i + 1, self.unknown))
-                if base + self.unknown > best[i + 1]:
-                    best[i + 1], back[i + 1] = base + self.unknown, i
-            for j in range(i + 1, size + 1):
-                score = get(text[i:j], MISSING)
-                if score is MISSING:  # no piece begins like this
+            base, low = best[i], second[i]
+            j, at = i, first(text[i])
+            if at is None or at[0] is None:
+                at, score = at or NOTHING, self.unknown
+            else:
+                score = at[0]
+            while True:
+                j += 1
+                if score is not None:
+                    total, old = base + score, best[j]
+                    if total > old:
+                        best[j], back[j] = total, i
+                        score += low
+                        second[j] = old if old > score else score
+                    elif total > second[j]:
+                        second[j] = total
+                if j == size:
+                    break
+                at = at[1].get(text[j])
+                if at is None:  # no piece begins like this
                     break
-                if score is None:
-                    continue
-                lattice.append((i, j, score))
-                if base + score > best[j]:
-                    best[j], back[j] = base + score, i
-        after = [-NONE] * size + [0]
-        path, j, ids = set(), size, []
+                score = at[0]
+        j, ids, known = size, [], self.ids
         while j:
             i = back[j]
-            path.add((i, j))
-            ids.append(self.pieces(text[i:j]))
+            piece = known.get(text[i:j])
+            if piece is None:
+                ids += reversed(self.pieces(text[i:j]))
+            else:
+                ids.append(piece)
             j = i
-        ids = [x for piece in reversed(ids) for x in piece]
-        # The second path has an edge outside the best one: the best path through such an edge.
-        second = -NONE
-        for i, j, score in reversed(lattice):
-            score += after[j]
-            if score > after[i]:
-                after[i] = score
-            if best[i] + score > second and (i, j) not in path:
-                second = best[i] + score
-        out = (np.array(ids, np.uint16).tobytes(), best[size], NONE if second == -NONE else best[size] - second)
+        ids.reverse()
+        out = (array("H", ids).tobytes(), best[size], NONE if second[size] < -NONE // 2 else best[size] - second[size])
         if size <= LONG:
             self.solved.put(text, HEAD.pack(out[1], out[2]) + out[0])
         return out

@@ -640,3 +640,16 @@ def test_kept_units_are_bounded_and_read_back():
         first = pieces.solve(text), pieces.nbest(text, 4)
         assert (pieces.solve(text), pieces.nbest(text, 4)) == first
         assert isinstance(pieces.solved.get(text), bytes)
+
+
+def test_units_are_solved_by_characters():
+    """Best and second scores against the list of the two best paths; a piece is looked up by its characters, no substrings are made."""
+    pieces = sentencepiece_nbest.loaded(None)
+    draw = random.Random(5)
+    for _ in range(400):
+        text = " " + "".join(draw.choice("aeinrstlo hdTü漢01") for _ in range(draw.randrange(0, 14)))
+        ids, score, gap = pieces.solve(text)
+        paths = pieces.nbest(text, 2)
+        assert (score, np.frombuffer(ids, np.uint16).tolist()) == (paths[0][0], paths[0][1]) or score == paths[0][0] == paths[1][0]
+        assert gap == (score - paths[1][0] if len(paths) > 1 else sentencepiece_nbest.NONE)
+    assert not hasattr(pieces, "prefixes") and pieces.trie["t"][1]["h"][0] == pieces.scores["th"]
