@@ -26,7 +26,8 @@ TOP = 10
 
 FIRST = 4  # bytes of the first level's prefixes; each level has twice as many
 MOST_BITS = 23  # 1 MB
-ELEMENTS = 1 << 18
+SLICE = 2 << 20  # bytes of terms, about 2 ** 18 of them
+BLANK = 32  # stands in no term
 BLOCK, CHUNK = 128, 1024
 
 IS_TERM = np.zeros(256, bool)
@@ -35,12 +36,23 @@ SMALL = np.arange(256, dtype=np.uint8)
 SMALL[65:91] += 32
 
 
-def _lists(counts, values) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), values)
+def _blobs(borders: np.ndarray, data: np.ndarray) -> pa.Array:
+    """The stretches of `data` between `borders`."""
+    return pa.BinaryArray.from_buffers(pa.binary(), len(borders) - 1, [
+        None, pa.py_buffer(borders.astype(np.int32)), pa.py_buffer(data.tobytes())])
+
+
+def _content(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a binary column without nulls and the row borders in them."""
+    borders = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1].astype(np.int64)
+    data = column.buffers()[2]
+    data = np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
+    return data[borders[0]:borders[-1]], borders - borders[0]
 
 
 def _terms(batches):
-    """The distinct terms of each text in byte order, and how often each stands there."""
+    """The distinct terms of each text in byte order, each with a blank behind it, and how often each stands there, four bytes a number:
+    two byte strings a document, for rows of many small elements cost the JVM more than the counting."""
     for part in slices(batches, "text"):
         data, borders = utf8(part.column("text"))
         solid = IS_TERM[data]
@@ -60,9 +72,14 @@ def _terms(batches):
         rank[order.to_numpy()] = np.arange(len(order))
         each, counts = np.unique(row * many + rank[words.indices.to_numpy(zero_copy_only=False)], return_counts=True)
         per_row = np.bincount(each // many, minlength=len(part))
-        terms = words.dictionary.take(order).take(pa.array(each % many))
+        letters, ends = _content(words.dictionary.take(order).take(pa.array(each % many)))
+        upto = np.concatenate([[0], np.cumsum(per_row)])
+        joined = np.full(len(letters) + len(each), BLANK, np.uint8)
+        term = np.ones(len(joined), bool)
+        term[ends[1:] + np.arange(len(each))] = False
+        joined[term] = letters
         yield pa.RecordBatch.from_arrays(
-            [part.column("lang"), part.column("source"), _lists(per_row, terms), _lists(per_row, pa.array(counts, pa.int32()))],
+            [part.column("lang"), part.column("source"), _blobs(ends[upto] + upto, joined), _blobs(4 * upto, counts.astype("<i4"))],
             names=["lang", "source", "terms", "counts"])
 
 
@@ -128,14 +145,17 @@ class Kept:
 
 def _postings(part: pa.RecordBatch):
     """The row of each term, and the terms of all rows."""
-    lists = part.column("terms")
-    return np.repeat(np.arange(len(part)), pc.list_value_length(lists).to_numpy(zero_copy_only=False)), lists.flatten()
+    data, borders = _content(part.column("terms"))
+    solid = data != BLANK
+    ends = np.flatnonzero(~solid)
+    row = np.repeat(np.arange(len(part)), np.diff(np.searchsorted(ends, borders)))
+    return row, _blobs(np.concatenate([[0], ends - np.arange(len(ends))]), data[solid])
 
 
 def _counted(length: int, kept: Kept | None):
     """Documents by language and the first `length` bytes of their terms, of terms that the level before let through."""
     def run(batches):
-        for part in slices(batches, "terms", ELEMENTS):
+        for part in slices(batches, "terms", SLICE):
             row, terms = _postings(part)
             langs = part.column("lang").dictionary_encode()
             lang = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)
@@ -161,11 +181,11 @@ def _counted(length: int, kept: Kept | None):
 def _summed(kept: Kept):
     """Occurrences by language, source and term, of terms that may be kept ones."""
     def run(batches):
-        for part in slices(batches, "terms", ELEMENTS):
+        for part in slices(batches, "terms", 2 * SLICE):
             row, terms = _postings(part)
             good = kept.holds(hashes(terms, lang_hashes(part.column("lang"))[row]))
             row, coded = row[good], terms.filter(pa.array(good)).dictionary_encode()
-            counts = part.column("counts").flatten().to_numpy(zero_copy_only=False)[good]
+            counts = _content(part.column("counts"))[0].view("<i4")[good]
             langs, sources = (part.column(c).dictionary_encode() for c in ("lang", "source"))
             lang, source = (x.indices.to_numpy(zero_copy_only=False).astype(np.int64)[row] for x in (langs, sources))
             wide, many = max(1, len(sources.dictionary)), max(1, len(coded.dictionary))
@@ -180,9 +200,9 @@ def _summed(kept: Kept):
 
 
 def postings(docs: DataFrame) -> DataFrame:
-    """lang, source, terms, counts of each document."""
+    """lang, source, terms, counts of each document (see `_terms`)."""
     rows = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
-    return stage(rows.mapInArrow(_terms, "lang string, source string, terms array<binary>, counts array<int>"), "postings")
+    return stage(rows.mapInArrow(_terms, "lang string, source string, terms binary, counts binary"), "postings")
 
 
 def kept_terms(lists: DataFrame, least: int = LEAST_DOCS) -> DataFrame:

@@ -221,3 +221,12 @@ def test_spectra_combine():
     assert one.count[0] == 101
     np.testing.assert_allclose(one.mean[0], x.mean(0), atol=1e-12)
     np.testing.assert_allclose(one.values[0], np.linalg.eigvalsh((x - x.mean(0)).T @ (x - x.mean(0))), rtol=1e-8)
+
+
+def test_terms_of_a_document_are_two_byte_strings(spark):
+    texts = ["b a b", "", None, "!!", "Ünïc 中文 ab1ab", "a" * 5000, " z"]
+    rows = spark.createDataFrame([(i, t, "x", str(i)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
+    found = {int(r.source): (bytes(r.terms), np.frombuffer(r.counts, "<i4").tolist()) for r in source_audit.postings(rows.coalesce(1)).collect()}
+    assert found == {
+        0: (b"a b ", [1, 2]), 1: (b"", []), 2: (b"", []), 3: (b"", []), 4: ("ab Ünïc 中文 ".encode(), [2, 1, 1]),
+        5: (b"a" * 5000 + b" ", [1]), 6: (b"z ", [1])}
