@@ -24,8 +24,9 @@ from paywatch.llm.common import slices, utf8
 MODEL = "piece_bpe_32k.model"
 BLANK = "▁"
 NONE = 1 << 62  # the gap of a unit with one path
-MEMORY = 120_000  # solved units that a worker keeps, each as one byte string: four workers may share an executor of two cores
+MEMORY = 150_000  # solved units that a worker keeps, each as one byte string: four workers may share an executor of two cores
 LONG = 64
+SLICE, CODES = 1 << 19, 1 << 17  # bytes of texts to encode and ids to decode at a time: working memory is about 50 times as many bytes
 HEAD = struct.Struct("<qq")
 LAST: dict = {}  # what may follow where nothing may
 NOTHING = (None, LAST)
@@ -230,7 +231,7 @@ def merged(lists: list[list[tuple[int, list[int]]]], n: int) -> list[tuple[int,
 def _encode(n, path):
     def run(batches):
         pieces = loaded(path)
-        for part in slices(batches, "text", 2 << 20):
+        for part in slices(batches, "text", SLICE):
             units, borders = pieces.units(part.column("text"))
             coded = units.dictionary_encode()
             keys = coded.dictionary.to_pylist()
@@ -285,7 +286,7 @@ def encode(docs: DataFrame, n: int = 4, path: str | None = None) -> DataFrame:
 def _decode(path):
     def run(batches):
         pieces = loaded(path)
-        for part in slices(batches, "ids", 1 << 20):
+        for part in slices(batches, "ids", CODES):
             column = pc.fill_null(part.column("ids"), pa.scalar([], pa.list_(pa.int32())))
             ids = column.flatten().to_numpy(zero_copy_only=False)
             count = pc.list_value_length(column).to_numpy(zero_copy_only=False)
