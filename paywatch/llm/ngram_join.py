@@ -24,6 +24,7 @@ from paywatch.session import stage, unstage
 GRAMS, WORDS = 1 << 18, 1 << 20  # counters of n-grams and of words
 BLOCK = 1 << 14
 ROUNDS = 2
+SLICE = 1 << 20  # bytes of texts at a time: working memory is about 25 times as much
 RANGES = 64
 SALTS = 64
 BUCKETS = 1 << 20
@@ -77,7 +78,7 @@ def sets(column: pa.Array, k: int):
 def _count(k):
     def run(batches):
         counts = np.zeros(GRAMS + WORDS, np.int64)
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", SLICE):
             hashes, _, words, *_ = shingles(part.column("text"), k)
             counts[:GRAMS] += np.bincount((hashes & np.uint64(GRAMS - 1)).astype(np.int64), minlength=GRAMS)
             counts[GRAMS:] += np.bincount((words & np.uint64(WORDS - 1)).astype(np.int64), minlength=WORDS)
@@ -111,7 +112,7 @@ def frequencies(docs: DataFrame, k: int) -> np.ndarray:
 
 def _describe(k, percent, tables):
     def run(batches):
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", SLICE):
             rows = []
             hashes, borders, *more = shingles(part.column("text"), k)
             bound = at_most(tables, hashes, *more, k)
@@ -144,7 +145,7 @@ def _describe(k, percent, tables):
 
 def _whole(k):
     def run(batches):
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", SLICE):
             yield pa.RecordBatch.from_arrays(
                 [part.column("node"), pa.array([s.tobytes() for s in sets(part.column("text"), k)], pa.binary())],
                 names=["node", "members"])

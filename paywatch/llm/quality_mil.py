@@ -21,6 +21,7 @@ SAMPLE = 3000  # labelled documents to fit on, at most
 PASSAGES = 200_000  # of all of them together, at most: documents beyond that are left out whole
 HIDDEN, GATE = 24, 12
 THRESHOLD = 0.3  # fixed value of the contract
+SLICE = 1 << 19  # bytes of texts at a time: working memory is about 50 times as much
 
 # Classes of bytes: lower, upper, digit, blank, line end, full stop or comma, other signs, beyond ASCII.
 CLASSES = np.full(256, 6, np.uint8)
@@ -158,7 +159,7 @@ def held_out(doc_id):
 
 def _bags(words):
     def run(batches):
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", SLICE):
             x, borders = passages(part.column("text"), words)
             bags = [x[a:b].tobytes() for a, b in zip(borders[:-1], borders[1:])]
             yield pa.RecordBatch.from_arrays(
@@ -197,7 +198,7 @@ def train(docs: DataFrame, labels: DataFrame, column: str = "quality", sample: i
 def _score(model, words, names, name):
     """Returns the columns `names` and the score as `name`."""
     def run(batches):
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", SLICE):
             x, borders = passages(part.column("text"), words)
             score = np.full(len(part), 0.5) if model is None else model.forward(x, borders)["score"]
             columns = [part.column(part.schema.names.index(n)) for n in names]

@@ -2,9 +2,10 @@
 
 import tracemalloc
 
+import numpy as np
 import pyarrow as pa
 
-from paywatch.llm import sentencepiece_nbest
+from paywatch.llm import ngram_join, packing, quality_mil, sentencepiece_nbest
 
 WORDS = ["alpha", "Beta", "gamma,", "delta.", "42", "épsilon", "zeta\n"]
 
@@ -24,6 +25,15 @@ def peak(run, rows):
     return most
 
 
+def test_scores_of_a_large_batch():
+    rows = batch(6000)
+    x, _ = quality_mil.passages(rows.slice(0, 100).column("text"))
+    run = quality_mil._score(quality_mil.Model.start(x, 0.5), quality_mil.WORDS, ["doc_id"], "score")
+    assert peak(run, rows) < 60
+    got = np.concatenate([part.column("score").to_numpy() for part in run(iter([rows]))])
+    assert got.tolist() == [run(iter([rows.slice(i, 1)])).__next__().column("score")[0].as_py() for i in range(20)] + got[20:].tolist()
+
+
 def test_codes_of_a_large_batch():
     rows = batch(6000)
     encode, decode = sentencepiece_nbest._encode(2, None), sentencepiece_nbest._decode(None)
@@ -33,3 +43,21 @@ def test_codes_of_a_large_batch():
     assert len(coded) == 1 and len(coded[0].column("ids").flatten()) > 500_000
     assert peak(decode, coded[0]) < 30
     assert [t for part in decode(iter(coded)) for t in part.column("decoded").to_pylist()] == rows.column("text").to_pylist()
+
+
+def test_shingles_of_a_large_batch():
+    rows = batch(6000)
+    rows = pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), rows.column(0)], names=["doc_id", "text", "key"])
+    tables = np.ones(ngram_join.GRAMS + ngram_join.WORDS, np.uint32)
+    assert peak(ngram_join._describe(5, 80, tables), rows) < 30
+    keys = lambda of: [x for part in ngram_join._describe(5, 80, tables)(iter(of)) for x in part.column("sig1").to_pylist()]
+    assert keys([rows])[:20] == keys([rows.slice(i, 1) for i in range(20)])
+
+
+def test_kept_units_are_bounded():
+    words = [f"{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}{'uvwxyzabcd'[i // 100 % 10]}{'efghijklmn'[i // 1000 % 10]}{'opqrstuvwx'[i // 10000 % 10]}"
+             f"{'yzabcdefgh'[i // 100000]}" for i in range(320_000)]
+    ids = [packing.encode(pa.array([" ".join(words[a:a + 40_000])]))[0] for a in range(0, len(words), 40_000)]
+    assert len(packing._known[None].numbers) <= packing.MEMORY + 40_000 < len(words)
+    again = packing.encode(pa.array([" ".join(words[:40_000])]))[0]
+    assert again.tolist() == ids[0].tolist()
