@@ -5,7 +5,7 @@ import tracemalloc
 import numpy as np
 import pyarrow as pa
 
-from paywatch.llm import ngram_join, packing, quality_mil, sentencepiece_nbest
+from paywatch.llm import common, ngram_join, packing, quality_mil, sentencepiece_nbest
 
 WORDS = ["alpha", "Beta", "gamma,", "delta.", "42", "épsilon", "zeta\n"]
 
@@ -61,3 +61,15 @@ def test_kept_units_are_bounded():
     assert len(packing._known[None].numbers) <= packing.MEMORY + 40_000 < len(words)
     again = packing.encode(pa.array([" ".join(words[:40_000])]))[0]
     assert again.tolist() == ids[0].tolist()
+
+
+def test_batches_are_limited_by_bytes(spark, tmp_path):
+    spark.range(3000, numPartitions=1).selectExpr("id doc_id", "repeat(cast(id % 10 as string), 10000) text").write.parquet(
+        f"{tmp_path}/documents.parquet")
+
+    def sizes(batches):
+        for part in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([part.num_rows], pa.int64()), pa.array([part.nbytes], pa.int64())], names=["rows", "size"])
+
+    found = common.table(spark, str(tmp_path), "documents").coalesce(1).mapInArrow(sizes, "rows long, size long").collect()
+    assert sum(r.rows for r in found) == 3000 and max(r.size for r in found) < 2 * common.BATCH
