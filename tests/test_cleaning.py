@@ -1,8 +1,11 @@
+import re
+
 import pytest
 
 from paywatch.functions.scalars import to_double, to_label
 from paywatch.operators.cleaning import clean_transactions, rejected_transactions, with_payment_ids
 from paywatch.operators.enrichment import enrich, entity_account_counts
+from paywatch.sources import event_payments as source
 from tests.helpers import payment, payments
 
 RAW = ("tx_id bigint, timestamp string, from_bank int, from_account bigint, to_bank int, to_account bigint, "
@@ -60,3 +63,8 @@ def test_missing_ids_are_made_once(spark):
     first, again = (sorted(r["tx_id"] for r in out.select("tx_id").collect()) for _ in range(2))
     assert first == again and len(set(first)) == 20
     assert with_payment_ids(out) is out
+
+
+def test_amounts_are_read_once(spark):
+    text = clean_transactions(source.raw_transactions(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall("regexp_extract", text)) == 2

@@ -1,13 +1,15 @@
 import math
+import re
 
 import numpy as np
 import pytest
 from pyspark.ml.stat import Correlation
 from pyspark.sql import functions as F
 
-from paywatch.columns import LEAKY_FEATURES, missing_columns, require_columns, select_present
+from paywatch.columns import LEAKY_FEATURES, TS, missing_columns, require_columns, select_present
 from paywatch.operators import preparation as prep
 from paywatch.operators import quality
+from paywatch.operators.splits import holdout_cutoff, train_test, with_split
 from paywatch.session import stage
 
 
@@ -109,3 +111,29 @@ def test_stage_restores_the_session(spark):
     before = spark.conf.get(key)
     stage(spark.range(10).repartition("id"), "few", "1m")
     assert spark.conf.get(key) == before
+
+
+def test_train_and_test_rows_are_read_from_their_own_folders(spark):
+    from registry.queries import _newton, _prepared
+
+    found = [_prepared(spark, "/root/testdata/sf0.001")[:2], [None, _newton(spark, "/root/testdata/sf0.001")[1]]]
+    for train, test in found:
+        for part, rows in (("train", train), ("test", test)):
+            if rows is not None:
+                text = rows._jdf.queryExecution().executedPlan().toString()
+                assert re.search(rf"PartitionFilters: \[[^\]]*split#\d+ = {part}\)", text)
+                assert {r.count("/split=") for r in rows.inputFiles()} == {1}
+    train, test = found[0]
+    assert train.agg(F.max(TS)).first()[0] < test.agg(F.min(TS)).first()[0]
+    assert not train.isEmpty() and test.count() == found[1][1].count()
+
+
+def test_rows_without_time_are_in_neither_part(spark):
+    rows = spark.sql("""SELECT id, CASE WHEN id % 5 > 0 THEN timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(CAST(id AS INT)) END AS at
+        FROM range(30)""")
+    cutoff = holdout_cutoff(rows, 10, "at")
+    staged = stage(with_split(rows, 10, "at", cutoff), "parts", folders="split")
+    want = train_test(rows, 10, "at")
+    for part, plain in zip(("train", "test"), want):
+        assert sorted(r.id for r in staged.where(F.col("split") == part).collect()) == sorted(r.id for r in plain.collect())
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
