@@ -533,7 +533,7 @@ def score_forest(spark, d):
 
 def score_logreg(spark, d):
     train, test, plan = _prepared(spark, d)
-    model = models.fit_logistic(plan.scales.apply(train), plan.keep, max_iter=50)
+    model = models.fit_logistic(plan.scales.apply(train), plan.keep)
     return _probabilities(models.score(model, plan.scales.apply(test)))
 
 
